@@ -169,7 +169,8 @@ parted AS (
 )
 SELECT node, CAST(part AS INTEGER) AS part, parts,
        coalesce(string_agg(CAST(dst AS VARCHAR), ',' ORDER BY dst), '') AS out_links,
-       {O.dbl(1.0)} / (SELECT n_nodes FROM stats) AS page_rank
+       CASE WHEN part = min(part) OVER (PARTITION BY node)
+            THEN {O.dbl(1.0)} / (SELECT n_nodes FROM stats) END AS page_rank
 FROM parted GROUP BY node, part, parts""")
 def q_adjacency(spark, sf_dir):
     adj = G.adjacency(_edges(spark, sf_dir))
