@@ -21,24 +21,26 @@ Physical design of the loop
   hash-partitioned on ``(src, salt)`` and cached.  A hub's edges are thus
   spread over many tasks; only the table of hubs (at most
   ``rows(edges) / split_edges`` rows) is broadcast while laying out.
-* The state ``node, out_degree, splits, page_rank`` is hash-partitioned on
-  ``node``.  A round sends each node's share ``PR / outdeg`` to its
-  ``splits`` salts (one shuffle of about ``n`` rows), joins it to the cached
-  edges in place (the edges never move again), sums the shares per ``dst``
-  with a partial aggregate (map-side combine, so an in-hub is no hot key) and
-  left-joins the sums back onto the state, which is partitioned the same way,
-  so that join moves nothing.
+* The state is ``node, out_degree, splits, page_rank``.  A round sends each
+  node's share ``PR / outdeg`` to its ``splits`` salts (a shuffle of about
+  ``n`` rows), joins it to the cached edges in place (the edges never move
+  again), sums the shares per ``dst`` with a partial aggregate (map-side
+  combine, so an in-hub is no hot key) and left-joins the sums back onto the
+  state (again about ``n`` rows).
 * ``D`` is a one-row aggregate joined as a broadcast single row.
-* Each round's state is written as a reliable checkpoint (in the folder of
-  ``spark.checkpoint.dir``), which cuts the lineage so the plan does not grow
-  with the rounds and a lost executor only loses the current round.  The
-  checkpoint keeps the ``node`` partitioning, so the next round joins
-  without a shuffle.
+* Each round's state is written as a Parquet table under the shared folder
+  named by ``spark.checkpoint.dir`` and read back, which cuts the lineage (the
+  plan does not grow with the rounds) and means a lost executor only costs
+  the current round.  One pass per round writes compressed columns; the
+  previous round's table is deleted once the next one exists.  The state
+  read back is shuffled on ``node`` for the left join (about ``n`` rows); the
+  edges, the big side, stay where the layout put them.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import uuid
+from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
@@ -132,6 +134,8 @@ class RankGraph:
     nodes: DataFrame       # node, out_degree, splits   partitioned by node, cached
     n_nodes: int
     partitions: int
+    run_dir: str = field(default="")
+    rounds_written: int = 0
 
     def release(self) -> None:
         self.layout.unpersist()
@@ -147,6 +151,9 @@ def prepare_graph(edges: DataFrame, dedupe_edges: bool = False,
     edges = edges.select("src", "dst")
     if dedupe_edges:
         edges = edges.distinct()
+    # The input is used by three branches (node set, degrees, layout); keep it
+    # for the preparation only.
+    edges = edges.persist(StorageLevel.MEMORY_AND_DISK)
     deg = out_degrees(edges)
     splits = F.greatest(F.lit(1), F.ceil(F.col("out_degree") / F.lit(split_edges))).cast("int")
     nodes = (deg.select("node", "out_degree", splits.alias("splits"))
@@ -163,7 +170,9 @@ def prepare_graph(edges: DataFrame, dedupe_edges: bool = False,
               .repartition(partitions, "src", "salt")
               .persist(StorageLevel.MEMORY_AND_DISK))
     layout.count()
-    return RankGraph(layout=layout, nodes=nodes, n_nodes=n_nodes, partitions=partitions)
+    edges.unpersist()
+    run_dir = f"{checkpoint_dir(spark).rstrip('/')}/bigraph-pagerank-{uuid.uuid4().hex}"
+    return RankGraph(layout=layout, nodes=nodes, n_nodes=n_nodes, partitions=partitions, run_dir=run_dir)
 
 
 def _initial_state(graph: RankGraph, n_nodes: int) -> DataFrame:
@@ -191,13 +200,23 @@ def _round(graph: RankGraph, state: DataFrame, n_nodes: int, damping: float | No
     return joined.select("node", "out_degree", "splits", rank.alias("page_rank"))
 
 
-def _cut(state: DataFrame) -> DataFrame:
-    """Materialise a round once and cut its lineage with a reliable checkpoint."""
-    checkpoint_dir(state.sparkSession)
-    state = state.persist(StorageLevel.MEMORY_AND_DISK)
-    cut = state.checkpoint(eager=True)
-    state.unpersist()
-    return cut
+def _delete(spark, path: str) -> None:
+    """Remove a finished round's table (Hadoop FileSystem of the path)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def _cut(graph: RankGraph, state: DataFrame) -> DataFrame:
+    """Write a round as a table in the shared checkpoint folder and read it
+    back: one pass, and the lineage ends here."""
+    spark = state.sparkSession
+    path = f"{graph.run_dir}/round-{graph.rounds_written:05d}"
+    state.write.mode("overwrite").parquet(path)
+    if graph.rounds_written > 1:
+        _delete(spark, f"{graph.run_dir}/round-{graph.rounds_written - 2:05d}")
+    graph.rounds_written += 1
+    return spark.read.schema(state.schema).parquet(path)
 
 
 def _l1_change(old: DataFrame, new: DataFrame) -> float:
@@ -215,7 +234,7 @@ def iterate_ranks(graph: RankGraph, n_iterations: int, damping: float | None,
     n = graph.n_nodes if n_nodes is None else n_nodes
     state = _initial_state(graph, n)
     for i in range(n_iterations):
-        new = _cut(_round(graph, state, n, damping, node_range))
+        new = _cut(graph, _round(graph, state, n, damping, node_range))
         if tol is not None and _l1_change(state, new) < n * tol:
             return new, i + 1
         state = new
