@@ -65,6 +65,13 @@ SELECT word, CAST(part AS INTEGER) AS part, parts,
 FROM parted GROUP BY word, part, parts"""
 
 
+GRAPH_CTE = """nodes AS (SELECT src AS node FROM edges UNION SELECT dst FROM edges),
+deg AS (
+  SELECT n.node, coalesce(o.c, 0) AS out_degree
+  FROM nodes n LEFT JOIN (SELECT src, count(*) AS c FROM edges GROUP BY src) o ON o.src = n.node
+),
+stats AS (SELECT min(node) AS min_node, max(node) AS max_node, count(*) AS n_nodes FROM nodes)"""
+
 EDGES_CTE = f"""li AS (
   SELECT l_partkey AS src,
          lead(l_partkey) OVER (PARTITION BY l_orderkey
@@ -73,12 +80,11 @@ EDGES_CTE = f"""li AS (
   FROM lineitem
 ),
 edges AS (SELECT src, dst FROM li WHERE dst IS NOT NULL AND l_quantity >= {MIN_QUANTITY}),
-nodes AS (SELECT src AS node FROM edges UNION SELECT dst FROM edges),
-deg AS (
-  SELECT n.node, coalesce(o.c, 0) AS out_degree
-  FROM nodes n LEFT JOIN (SELECT src, count(*) AS c FROM edges GROUP BY src) o ON o.src = n.node
-),
-stats AS (SELECT min(node) AS min_node, max(node) AS max_node, count(*) AS n_nodes FROM nodes)"""
+""" + GRAPH_CTE
+
+WORD_GRAPH_CTE = COUNTS_CTE + """,
+edges AS (SELECT word AS src, next_word AS dst FROM counts),
+""" + GRAPH_CTE
 
 
 def _n_expr() -> str:

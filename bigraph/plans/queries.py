@@ -255,3 +255,12 @@ def q_top_n(spark, sf_dir):
 SELECT round(sum(page_rank), {O.ROUND}) AS rank_mass FROM r{ROUNDS}""")
 def q_rank_mass(spark, sf_dir):
     return P.rank_mass(P.pagerank_simple(_edges(spark, sf_dir), ROUNDS)).select(_r("rank_mass"))
+
+
+@register("pagerank_word_graph", "WITH " + O.WORD_GRAPH_CTE + ",\n" + O.pagerank_ctes(ROUNDS, DAMPING)
+          + f"\nSELECT node, round(page_rank, {O.ROUND}) AS page_rank FROM r{ROUNDS}")
+def q_pagerank_word_graph(spark, sf_dir):
+    """Complete PageRank on the second test graph: one STRING-id edge per
+    distinct bigram of the documents."""
+    ranks = P.pagerank_complete(T.word_edges(_counts(spark, sf_dir)), ROUNDS, DAMPING)
+    return ranks.select("node", _r())
