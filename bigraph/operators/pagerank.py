@@ -23,10 +23,11 @@ Physical design of the loop
   ``rows(edges) / split_edges`` rows) is broadcast while laying out.
 * The state is ``node, out_degree, splits, page_rank``.  A round sends each
   node's share ``PR / outdeg`` to its ``splits`` salts (a shuffle of about
-  ``n`` rows), joins it to the cached edges in place (the edges never move
-  again), sums the shares per ``dst`` with a partial aggregate (map-side
-  combine, so an in-hub is no hot key) and left-joins the sums back onto the
-  state (again about ``n`` rows).
+  ``n`` rows) and joins it to the cached edges in place (the edges never move
+  again).  The shares per ``dst`` and every node's own state row then go
+  through one partial + final aggregate on ``node`` (map-side combine, so an
+  in-hub is no hot key): that single shuffle yields the whole new state, with
+  no join back.
 * ``D`` is a one-row aggregate joined as a broadcast single row.
 * Each round's state is written as a Parquet table under the shared folder
   named by ``spark.checkpoint.dir`` and read back, which cuts the lineage (the
@@ -186,18 +187,24 @@ def _round(graph: RankGraph, state: DataFrame, n_nodes: int, damping: float | No
               .select(F.col("node").alias("src"),
                       F.explode(F.sequence(F.lit(0), F.col("splits") - 1)).alias("salt"),
                       (F.col("page_rank") / F.col("out_degree")).alias("share")))
-    incoming = (graph.layout.join(shares, ["src", "salt"])
-                .groupBy("dst").agg(F.sum("share").alias("incoming")))
-    joined = state.join(incoming, state["node"] == incoming["dst"], "left")
+    flows = (graph.layout.join(shares, ["src", "salt"])
+             .select(F.col("dst").alias("node"), "share",
+                     F.lit(None).cast("bigint").alias("out_degree"), F.lit(None).cast("int").alias("splits")))
+    # Every node's own row rides along in the same aggregation (with a NULL
+    # share), so one shuffle on ``node`` yields the whole new state: no join.
+    carried = state.select("node", F.lit(None).cast("double").alias("share"), "out_degree", "splits")
+    summed = (flows.unionByName(carried).groupBy("node")
+              .agg(F.sum("share").alias("incoming"), F.max("out_degree").alias("out_degree"),
+                   F.max("splits").alias("splits")))
     if damping is not None:
         mass = (state.where(F.col("out_degree") == 0)
                 .agg(F.coalesce(F.sum("page_rank"), F.lit(0.0)).alias("dangling_mass")))
-        joined = joined.crossJoin(F.broadcast(mass))
+        summed = summed.crossJoin(F.broadcast(mass))
         dangling = F.col("dangling_mass")
     else:
         dangling = F.lit(0.0)
     rank = _updated_rank(F.col("incoming"), dangling, F.col("node"), n_nodes, damping, node_range)
-    return joined.select("node", "out_degree", "splits", rank.alias("page_rank"))
+    return summed.select("node", "out_degree", "splits", rank.alias("page_rank"))
 
 
 def _delete(spark, path: str) -> None:
