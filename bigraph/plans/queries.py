@@ -238,6 +238,9 @@ def _converged_sql() -> str:
         + f"\nSELECT node, round(page_rank, {O.ROUND}) AS page_rank FROM r{CONVERGED_ROUNDS_SF001}")
 
 
+TOP_CONVERGED = 100  # top_n_converged
+
+
 @register("pagerank_converged", _converged_sql())
 def q_pagerank_converged(spark, sf_dir):
     return P.pagerank_converged(_edges(spark, sf_dir), DAMPING).select("node", _r())
@@ -264,3 +267,13 @@ def q_pagerank_word_graph(spark, sf_dir):
     distinct bigram of the documents."""
     ranks = P.pagerank_complete(T.word_edges(_counts(spark, sf_dir)), ROUNDS, DAMPING)
     return ranks.select("node", _r())
+
+
+@register("top_n_converged", _converged_sql().replace(
+    f"SELECT node, round(page_rank, {O.ROUND}) AS page_rank FROM r{CONVERGED_ROUNDS_SF001}",
+    f"SELECT node, round(page_rank, {O.ROUND}) AS page_rank FROM r{CONVERGED_ROUNDS_SF001}\n"
+    f"ORDER BY round(page_rank, {O.ROUND}) DESC, node LIMIT {TOP_CONVERGED}"))
+def q_top_n_converged(spark, sf_dir):
+    """The 100 highest converged ranks (T4)."""
+    ranks = P.pagerank_converged(_edges(spark, sf_dir), DAMPING).select("node", _r())
+    return top_n(ranks, TOP_CONVERGED)
