@@ -52,8 +52,8 @@ def adjacency(edges: DataFrame, n_nodes: int | None = None,
 
     Every node of the graph appears; nodes seen only as targets have an empty
     list.  Duplicate edges stay in the list.  ``page_rank`` is ``1 / n_nodes``
-    (counted when not given) on the first part of a node and NULL on
-    further parts, so the ranks still sum to 1.  A node with more than ``max_entries`` out-links
+    (counted when not given) on part 0 of a node and NULL on further
+    parts, so the ranks still sum to 1.  A node with more than ``max_entries`` out-links
     gets ``parts`` rows whose lists together hold every link, so no row or
     task carries a whole hub; only the table of such hubs (at most
     ``rows(edges) / max_entries`` rows) is broadcast.
@@ -65,21 +65,21 @@ def adjacency(edges: DataFrame, n_nodes: int | None = None,
             .select("src", n_parts(F.col("deg"), max_entries).alias("hub_parts")))
     part = (F.when(F.col("hub_parts").isNull(), F.lit(0))
             .otherwise(part_of(F.col("dst"), F.col("hub_parts"))))
-    lists = (edges.join(F.broadcast(hubs), "src", "left")
+    links = (edges.join(F.broadcast(hubs), "src", "left")
              .select(F.col("src").alias("node"), "dst", part.alias("part"),
-                     F.coalesce(F.col("hub_parts"), F.lit(1)).alias("parts"))
+                     F.coalesce(F.col("hub_parts"), F.lit(1)).alias("parts")))
+    # One header row per hub (NULL link) makes part 0 exist for every node,
+    # so the rank can sit on part 0; collect_list skips the NULL.
+    headers = hubs.select(F.col("src").alias("node"), F.lit(None).cast(links.schema["dst"].dataType).alias("dst"),
+                          F.lit(0).alias("part"), F.col("hub_parts").alias("parts"))
+    lists = (links.unionByName(headers)
              .groupBy("node", "part", "parts")
              .agg(F.collect_list("dst").alias("out_links")))
     only_targets = (dangling_nodes(edges)
                     .select("node", F.lit(0).alias("part"), F.lit(1).alias("parts"),
                             F.array().cast(lists.schema["out_links"].dataType).alias("out_links")))
-    # The rank goes on the lowest part a hub actually has (one row per hub).
-    first_parts = (lists.where(F.col("parts") > 1).groupBy("node")
-                   .agg(F.min("part").alias("first_part")))
-    rank = F.when(F.col("part") == F.coalesce(F.col("first_part"), F.lit(0)), F.lit(1.0 / n_nodes))
-    return (lists.unionByName(only_targets)
-            .join(F.broadcast(first_parts), "node", "left")
-            .select("node", "part", "parts", "out_links", rank.alias("page_rank")))
+    rank = F.when(F.col("part") == 0, F.lit(1.0 / n_nodes))
+    return lists.unionByName(only_targets).withColumn("page_rank", rank)
 
 
 def initial_ranks(edges: DataFrame, n_nodes: int | None = None) -> DataFrame:

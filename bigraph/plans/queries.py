@@ -165,12 +165,13 @@ lists AS (
   FROM nodes n JOIN deg d ON d.node = n.node LEFT JOIN edges e ON e.src = n.node
 ),
 parted AS (
-  SELECT *, CASE WHEN parts > 1 THEN {O.md5_part('dst', 'parts')} ELSE 0 END AS part FROM lists
+  SELECT node, dst, parts, CASE WHEN parts > 1 THEN {O.md5_part('dst', 'parts')} ELSE 0 END AS part FROM lists
+  UNION ALL
+  SELECT DISTINCT node, NULL, parts, 0 FROM lists WHERE parts > 1
 )
 SELECT node, CAST(part AS INTEGER) AS part, parts,
        coalesce(string_agg(CAST(dst AS VARCHAR), ',' ORDER BY dst), '') AS out_links,
-       CASE WHEN part = min(part) OVER (PARTITION BY node)
-            THEN {O.dbl(1.0)} / (SELECT n_nodes FROM stats) END AS page_rank
+       CASE WHEN part = 0 THEN {O.dbl(1.0)} / (SELECT n_nodes FROM stats) END AS page_rank
 FROM parted GROUP BY node, part, parts""")
 def q_adjacency(spark, sf_dir):
     adj = G.adjacency(_edges(spark, sf_dir))
