@@ -132,7 +132,7 @@ class RankGraph:
     """An edge list laid out for repeated rank steps (see module notes)."""
 
     layout: DataFrame      # src, salt, dst   partitioned by (src, salt), cached
-    nodes: DataFrame       # node, out_degree, splits   partitioned by node, cached
+    nodes: DataFrame       # node, out_degree, splits   cached
     n_nodes: int
     partitions: int
     run_dir: str = field(default="")
@@ -158,7 +158,6 @@ def prepare_graph(edges: DataFrame, dedupe_edges: bool = False,
     deg = out_degrees(edges)
     splits = F.greatest(F.lit(1), F.ceil(F.col("out_degree") / F.lit(split_edges))).cast("int")
     nodes = (deg.select("node", "out_degree", splits.alias("splits"))
-             .repartition(partitions, "node")
              .persist(StorageLevel.MEMORY_AND_DISK))
     n_nodes = nodes.count()
 
@@ -182,20 +181,27 @@ def _initial_state(graph: RankGraph, n_nodes: int) -> DataFrame:
 
 
 def _round(graph: RankGraph, state: DataFrame, n_nodes: int, damping: float | None,
-           node_range: tuple[int, int] | None) -> DataFrame:
+           node_range: tuple[int, int] | None, keep_previous: bool = False) -> DataFrame:
+    """One round.  With ``keep_previous`` the new state also holds the old
+    rank as ``previous``, so the change of the round is a plain scan of it."""
     shares = (state.where(F.col("out_degree") > 0)
               .select(F.col("node").alias("src"),
                       F.explode(F.sequence(F.lit(0), F.col("splits") - 1)).alias("salt"),
                       (F.col("page_rank") / F.col("out_degree")).alias("share")))
+    null_double = F.lit(None).cast("double")
     flows = (graph.layout.join(shares, ["src", "salt"])
              .select(F.col("dst").alias("node"), "share",
-                     F.lit(None).cast("bigint").alias("out_degree"), F.lit(None).cast("int").alias("splits")))
+                     F.lit(None).cast("bigint").alias("out_degree"), F.lit(None).cast("int").alias("splits"),
+                     null_double.alias("previous")))
     # Every node's own row rides along in the same aggregation (with a NULL
     # share), so one shuffle on ``node`` yields the whole new state: no join.
-    carried = state.select("node", F.lit(None).cast("double").alias("share"), "out_degree", "splits")
-    summed = (flows.unionByName(carried).groupBy("node")
-              .agg(F.sum("share").alias("incoming"), F.max("out_degree").alias("out_degree"),
-                   F.max("splits").alias("splits")))
+    carried = state.select("node", null_double.alias("share"), "out_degree", "splits",
+                           (F.col("page_rank") if keep_previous else null_double).alias("previous"))
+    aggs = [F.sum("share").alias("incoming"), F.max("out_degree").alias("out_degree"),
+            F.max("splits").alias("splits")]
+    if keep_previous:
+        aggs.append(F.max("previous").alias("previous"))
+    summed = flows.unionByName(carried).groupBy("node").agg(*aggs)
     if damping is not None:
         mass = (state.where(F.col("out_degree") == 0)
                 .agg(F.coalesce(F.sum("page_rank"), F.lit(0.0)).alias("dangling_mass")))
@@ -204,7 +210,10 @@ def _round(graph: RankGraph, state: DataFrame, n_nodes: int, damping: float | No
     else:
         dangling = F.lit(0.0)
     rank = _updated_rank(F.col("incoming"), dangling, F.col("node"), n_nodes, damping, node_range)
-    return summed.select("node", "out_degree", "splits", rank.alias("page_rank"))
+    cols = ["node", "out_degree", "splits", rank.alias("page_rank")]
+    if keep_previous:
+        cols.append("previous")
+    return summed.select(*cols)
 
 
 def _delete(spark, path: str) -> None:
@@ -226,11 +235,11 @@ def _cut(graph: RankGraph, state: DataFrame) -> DataFrame:
     return spark.read.schema(state.schema).parquet(path)
 
 
-def _l1_change(old: DataFrame, new: DataFrame) -> float:
-    diff = (old.select("node", F.col("page_rank").alias("old"))
-            .join(new.select("node", F.col("page_rank").alias("new")), "node")
-            .agg(F.sum(F.abs(F.col("new") - F.col("old"))).alias("err")))
-    return float(diff.first()["err"] or 0.0)
+def _l1_change(state: DataFrame) -> float:
+    """Sum of ``|page_rank - previous|`` over a written round (one scan, no
+    shuffle beyond a one-row total)."""
+    err = state.agg(F.sum(F.abs(F.col("page_rank") - F.col("previous"))).alias("err")).first()["err"]
+    return float(err or 0.0)
 
 
 def iterate_ranks(graph: RankGraph, n_iterations: int, damping: float | None,
@@ -241,8 +250,8 @@ def iterate_ranks(graph: RankGraph, n_iterations: int, damping: float | None,
     n = graph.n_nodes if n_nodes is None else n_nodes
     state = _initial_state(graph, n)
     for i in range(n_iterations):
-        new = _cut(graph, _round(graph, state, n, damping, node_range))
-        if tol is not None and _l1_change(state, new) < n * tol:
+        new = _cut(graph, _round(graph, state, n, damping, node_range, keep_previous=tol is not None))
+        if tol is not None and _l1_change(new) < n * tol:
             return new, i + 1
         state = new
     if tol is not None:
