@@ -3,7 +3,7 @@
 Pairs way:   documents -> bigrams -> counts (word, next_word, n)
              -> totals per word -> n / total.
 Stripes way: counts -> one map next_word -> n per word (cut into bounded
-             parts for hot words) -> n / sum of the word's map values.
+             parts for hot words) -> n / the word total the stripe carries.
 Both give the same numbers.
 
 Scale notes
@@ -13,10 +13,12 @@ Scale notes
   built in).  The shuffle key is ``(word, next_word)``, so a hot first word is
   spread over all reducers.
 * Totals per word are a second partial aggregate over the counts (one row per
-  word leaves each task).  The join of counts with totals is a plain equi-join
-  on ``word``: adaptive execution turns it into a broadcast join when the
-  totals turn out small at run time, and splits a skewed ``word`` partition
-  otherwise (``spark.sql.adaptive.skewJoin.enabled``).
+  word leaves each task); the same aggregate counts each word's followers.
+  Words with more than ``max_entries`` followers are "hot": their totals are
+  broadcast (that table has at most ``rows(counts) / max_entries`` rows) and
+  their counts are divided in place.  Only the other words take the equi-join
+  on ``word`` (a broadcast join when adaptive execution finds the totals
+  small), so no word puts more than ``max_entries`` rows into one task.
 * A stripe is a collected group.  Words whose follower count is above
   ``max_entries`` are cut into ``ceil(n_next / max_entries)`` parts by a hash
   of the follower, and the shuffle goes on ``(word, part)``, so no task holds
@@ -75,11 +77,26 @@ def word_totals(counts: DataFrame) -> DataFrame:
     return counts.groupBy("word").agg(F.sum("n").alias("total"))
 
 
-def bigram_probabilities(counts: DataFrame) -> DataFrame:
-    """``word, next_word, probability`` from pair counts."""
-    totals = word_totals(counts)
-    return (counts.join(totals, "word")
-            .select("word", "next_word", (F.col("n") / F.col("total")).alias("probability")))
+def bigram_probabilities(counts: DataFrame, max_entries: int = DEFAULT_MAX_ENTRIES) -> DataFrame:
+    """``word, next_word, probability`` from pair counts.
+
+    One aggregate per word gives the total and the number of followers.  Hot
+    words (more than ``max_entries`` followers; at most
+    ``rows(counts) / max_entries`` of them) are broadcast with their totals and
+    their rows are divided where they lie; only the other words go through
+    the equi-join on ``word``, so no word sends more than ``max_entries`` rows
+    to one task.
+    """
+    totals = counts.groupBy("word").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("n_next"))
+    hot = totals.where(F.col("n_next") > max_entries).select("word", F.col("total").alias("hot_total"))
+    tagged = counts.join(F.broadcast(hot), "word", "left")
+    hot_rows = (tagged.where(F.col("hot_total").isNotNull())
+                .select("word", "next_word", (F.col("n") / F.col("hot_total")).alias("probability")))
+    cold_totals = totals.where(F.col("n_next") <= max_entries).select("word", "total")
+    cold_rows = (tagged.where(F.col("hot_total").isNull()).select("word", "next_word", "n")
+                 .join(cold_totals, "word")
+                 .select("word", "next_word", (F.col("n") / F.col("total")).alias("probability")))
+    return hot_rows.unionByName(cold_rows)
 
 
 def stripes(counts: DataFrame, max_entries: int = DEFAULT_MAX_ENTRIES) -> DataFrame:
