@@ -38,7 +38,8 @@ def out_degrees(edges: DataFrame) -> DataFrame:
 
 def dangling_nodes(edges: DataFrame) -> DataFrame:
     """``node``: nodes without out-links (F3, J3 as an anti join)."""
-    return node_set(edges).join(edges.select(F.col("src").alias("node")), "node", "left_anti")
+    sources = edges.select(F.col("src").alias("node")).distinct()  # combined map-side: no hot key
+    return node_set(edges).join(sources, "node", "left_anti")
 
 
 def count_nodes(edges: DataFrame) -> int:

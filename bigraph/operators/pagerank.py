@@ -62,17 +62,42 @@ class PageRankNotConverged(RuntimeError):
 # One step as plain relational operators (lazy; used for single-step queries)
 # ---------------------------------------------------------------------------
 
-def rank_contributions(edges: DataFrame, ranks: DataFrame) -> DataFrame:
+def _splits(out_degree, split_edges: int):
+    return F.greatest(F.lit(1), F.ceil(out_degree / F.lit(split_edges))).cast("int")
+
+
+def _salted(edges: DataFrame, deg: DataFrame, split_edges: int) -> DataFrame:
+    """``src, salt, dst``: hub edges spread over ``splits(src)`` salts by a hash
+    of ``dst``; only the hub table (at most ``rows(edges) / split_edges``
+    rows) is broadcast."""
+    hubs = (deg.where(F.col("splits") > 1)
+            .select(F.col("node").alias("src"), F.col("splits").alias("hub_splits")))
+    salt = (F.when(F.col("hub_splits").isNull(), F.lit(0))
+            .otherwise(F.pmod(F.xxhash64("dst"), F.col("hub_splits").cast("bigint")).cast("int")))
+    return edges.join(F.broadcast(hubs), "src", "left").select("src", salt.alias("salt"), "dst")
+
+
+def _shares(state: DataFrame) -> DataFrame:
+    """``src, salt, share``: each node's ``PR / outdeg`` sent to its salts."""
+    return (state.where(F.col("out_degree") > 0)
+            .select(F.col("node").alias("src"),
+                    F.explode(F.sequence(F.lit(0), F.col("splits") - 1)).alias("salt"),
+                    (F.col("page_rank") / F.col("out_degree")).alias("share")))
+
+
+def rank_contributions(edges: DataFrame, ranks: DataFrame,
+                       split_edges: int = DEFAULT_SPLIT_EDGES) -> DataFrame:
     """``node, incoming``: sum of ``PR(u) / outdeg(u)`` over in-edges.
 
-    Nodes without in-links have no row.  The shares are computed per source
-    node, then joined to the edges; a skewed source partition is split by
-    adaptive execution, and the sum per target is combined map-side.
+    Nodes without in-links have no row.  The edges meet the shares on
+    ``(src, salt)``, so a hub's edges are spread over several tasks, and the
+    sum per target is combined map-side.
     """
-    deg = edges.groupBy("src").agg(F.count(F.lit(1)).alias("out_degree"))
-    shares = (ranks.join(deg, ranks["node"] == deg["src"])
-              .select("src", (F.col("page_rank") / F.col("out_degree")).alias("share")))
-    return (edges.join(shares, "src")
+    edges = edges.select("src", "dst")
+    deg = (edges.groupBy(F.col("src").alias("node")).agg(F.count(F.lit(1)).alias("out_degree"))
+           .withColumn("splits", _splits(F.col("out_degree"), split_edges)))
+    state = ranks.join(deg, "node")
+    return (_salted(edges, deg, split_edges).join(_shares(state), ["src", "salt"])
             .groupBy(F.col("dst").alias("node"))
             .agg(F.sum("share").alias("incoming")))
 
@@ -156,17 +181,10 @@ def prepare_graph(edges: DataFrame, dedupe_edges: bool = False,
     # for the preparation only.
     edges = edges.persist(StorageLevel.MEMORY_AND_DISK)
     deg = out_degrees(edges)
-    splits = F.greatest(F.lit(1), F.ceil(F.col("out_degree") / F.lit(split_edges))).cast("int")
-    nodes = (deg.select("node", "out_degree", splits.alias("splits"))
+    nodes = (deg.select("node", "out_degree", _splits(F.col("out_degree"), split_edges).alias("splits"))
              .persist(StorageLevel.MEMORY_AND_DISK))
     n_nodes = nodes.count()
-
-    hubs = (nodes.where(F.col("splits") > 1)
-            .select(F.col("node").alias("src"), F.col("splits").alias("hub_splits")))
-    salt = (F.when(F.col("hub_splits").isNull(), F.lit(0))
-            .otherwise(F.pmod(F.xxhash64("dst"), F.col("hub_splits").cast("bigint")).cast("int")))
-    layout = (edges.join(F.broadcast(hubs), "src", "left")
-              .select("src", salt.alias("salt"), "dst")
+    layout = (_salted(edges, nodes, split_edges)
               .repartition(partitions, "src", "salt")
               .persist(StorageLevel.MEMORY_AND_DISK))
     layout.count()
@@ -184,10 +202,7 @@ def _round(graph: RankGraph, state: DataFrame, n_nodes: int, damping: float | No
            node_range: tuple[int, int] | None, keep_previous: bool = False) -> DataFrame:
     """One round.  With ``keep_previous`` the new state also holds the old
     rank as ``previous``, so the change of the round is a plain scan of it."""
-    shares = (state.where(F.col("out_degree") > 0)
-              .select(F.col("node").alias("src"),
-                      F.explode(F.sequence(F.lit(0), F.col("splits") - 1)).alias("salt"),
-                      (F.col("page_rank") / F.col("out_degree")).alias("share")))
+    shares = _shares(state)
     null_double = F.lit(None).cast("double")
     flows = (graph.layout.join(shares, ["src", "salt"])
              .select(F.col("dst").alias("node"), "share",

@@ -109,3 +109,14 @@ def test_out_hub_split(spark):
     a = {r.node: r.page_rank for r in P.pagerank_complete(edges, 5).collect()}
     b = {r.node: r.page_rank for r in P.pagerank_complete(edges, 5, split_edges=50).collect()}
     assert max(abs(a[v] - b[v]) for v in a) < 1e-15
+
+
+def test_one_step_hub_split(spark):
+    edges = spark.createDataFrame([(0, d) for d in range(1, 301)] + [(d, 0) for d in range(1, 301)],
+                                  "src bigint, dst bigint")
+    from bigraph.operators import graph as G
+    r0 = G.initial_ranks(edges)
+    a = {r.node: r.incoming for r in P.rank_contributions(edges, r0).collect()}
+    b = {r.node: r.incoming for r in P.rank_contributions(edges, r0, split_edges=40).collect()}
+    assert a.keys() == b.keys() and max(abs(a[v] - b[v]) for v in a) < 1e-15
+    assert abs(a[0] - 300 / 301) < 1e-12
