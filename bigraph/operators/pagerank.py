@@ -47,7 +47,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bigraph.operators.graph import node_set, out_degrees
+from bigraph.operators.graph import out_degrees
 from bigraph.session import checkpoint_dir
 
 DEFAULT_SPLIT_EDGES = 100_000
@@ -282,8 +282,10 @@ def pagerank_simple(edges: DataFrame, n_iterations: int = 10, n_nodes: int | Non
                     **layout) -> DataFrame:
     """``node, page_rank`` after ``n_iterations`` simplified rounds (G1)."""
     graph = prepare_graph(edges, **layout)
-    state, _ = iterate_ranks(graph, n_iterations, None, n_nodes)
-    graph.release()
+    try:
+        state, _ = iterate_ranks(graph, n_iterations, None, n_nodes)
+    finally:
+        graph.release()
     return _ranks(state)
 
 
@@ -292,8 +294,10 @@ def pagerank_complete(edges: DataFrame, n_iterations: int = 10, damping: float =
                       **layout) -> DataFrame:
     """``node, page_rank`` after ``n_iterations`` complete rounds."""
     graph = prepare_graph(edges, **layout)
-    state, _ = iterate_ranks(graph, n_iterations, damping, n_nodes, node_range)
-    graph.release()
+    try:
+        state, _ = iterate_ranks(graph, n_iterations, damping, n_nodes, node_range)
+    finally:
+        graph.release()
     return _ranks(state)
 
 
@@ -303,6 +307,8 @@ def pagerank_converged(edges: DataFrame, damping: float = DEFAULT_DAMPING, max_i
     below ``n * tol`` (G4).  Duplicate edges are dropped by default.  Raises
     :class:`PageRankNotConverged` after ``max_iter`` rounds."""
     graph = prepare_graph(edges, dedupe_edges=dedupe_edges, **layout)
-    state, _ = iterate_ranks(graph, max_iter, damping, tol=tol)
-    graph.release()
+    try:
+        state, _ = iterate_ranks(graph, max_iter, damping, tol=tol)
+    finally:
+        graph.release()
     return _ranks(state)

@@ -9,7 +9,6 @@ DOUBLE so both engines start from bit-identical values.
 from __future__ import annotations
 
 from bigraph.functions.collect import DEFAULT_MAX_ENTRIES
-from bigraph.operators.bigrams import DEFAULT_TOP_K_SALTS  # noqa: F401  (same default as Spark)
 from bigraph.sources.tables import MIN_QUANTITY
 
 ROUND = 12
