@@ -6,6 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from bigraph.sources.tables import spread
+
 ADJACENCY_VALUE_SCHEMA = "out_links ARRAY<STRING>, page_rank DOUBLE"
 
 
@@ -23,12 +25,14 @@ def read_documents_csv(spark: SparkSession, path: str, text_col: str = "Joke",
     """CSV with a header row; returns ``doc_id BIGINT, text STRING``.
 
     Quoted fields may hold commas, doubled quotes and newlines.  Columns other
-    than the id and the text are not read.
+    than the id and the text are not read.  A multi-line CSV file cannot be
+    split, so it is read by one task per file; the rows are then spread when
+    there are fewer files than the default parallelism.
     """
     df = (spark.read.option("header", True).option("multiLine", True)
           .option("quote", '"').option("escape", '"').csv(path))
     doc_id = F.col(id_col).cast("bigint") if id_col else F.monotonically_increasing_id()
-    return df.select(doc_id.alias("doc_id"), F.col(text_col).alias("text"))
+    return spread(df.select(doc_id.alias("doc_id"), F.col(text_col).alias("text")))
 
 
 def read_edges(spark: SparkSession, path: str, id_type: str = "BIGINT") -> DataFrame:
