@@ -31,7 +31,7 @@ def read_documents_csv(spark: SparkSession, path: str, text_col: str = "Joke",
     """
     df = (spark.read.option("header", True).option("multiLine", True)
           .option("quote", '"').option("escape", '"').csv(path))
-    doc_id = F.col(id_col).cast("bigint") if id_col else F.monotonically_increasing_id()
+    doc_id = F.col(id_col).try_cast("bigint") if id_col else F.monotonically_increasing_id()
     return spread(df.select(doc_id.alias("doc_id"), F.col(text_col).alias("text")))
 
 
