@@ -58,7 +58,7 @@ parted AS (
   SELECT *, CASE WHEN parts > 1 THEN {md5_part('next_word', 'parts')} ELSE 0 END AS part FROM tagged
 )
 SELECT word, CAST(part AS INTEGER) AS part, parts,
-       CASE WHEN parts > 1 THEN max(word_total) ELSE sum(n) END AS total,
+       CAST(CASE WHEN parts > 1 THEN max(word_total) ELSE sum(n) END AS BIGINT) AS total,
        count(*) AS n_entries,
        string_agg(next_word || ':' || CAST(n AS VARCHAR), ',' ORDER BY next_word) AS stripe
 FROM parted GROUP BY word, part, parts"""

@@ -81,7 +81,7 @@ def q_bigram_counts(spark, sf_dir):
     return _counts(spark, sf_dir)
 
 
-@register("word_totals", "WITH " + O.COUNTS_CTE + "\nSELECT word, sum(n) AS total FROM counts GROUP BY word")
+@register("word_totals", "WITH " + O.COUNTS_CTE + "\nSELECT word, CAST(sum(n) AS BIGINT) AS total FROM counts GROUP BY word")
 def q_word_totals(spark, sf_dir):
     return B.word_totals(_counts(spark, sf_dir))
 
