@@ -194,3 +194,9 @@ def test_zero_rounds(derived):
     e, edge_list = derived
     n = len({u for x in edge_list for u in x})
     assert set(ranks_of(P.pagerank_complete(e, 0), 15).values()) == {round(1.0 / n, 15)}
+
+
+def test_given_node_count(small_graph):
+    """``n_nodes`` is a parameter that overrides the count."""
+    assert ranks_of(P.pagerank_simple(small_graph, 1, n_nodes=8)) == {0: 0.0625, 1: 0.0625, 2: 0.1875, 3: 0.0625}
+    assert ranks_of(G.initial_ranks(small_graph, n_nodes=8)) == {0: 0.125, 1: 0.125, 2: 0.125, 3: 0.125}
