@@ -18,7 +18,8 @@ Physical design of the loop
 * The edge list is laid out once: every edge gets a ``salt`` in
   ``[0, splits(src))`` from a hash of ``dst``, where ``splits`` grows with the
   out-degree (``ceil(outdeg / split_edges)``), and the edges are
-  hash-partitioned on ``(src, salt)`` and cached.  A hub's edges are thus
+  hash-partitioned on ``(src, salt)`` into partitions of about
+  ``edges_per_partition`` edges and cached.  A hub's edges are thus
   spread over many tasks; only the table of hubs (at most
   ``rows(edges) / split_edges`` rows) is broadcast while laying out.
 * The state is ``node, out_degree, splits, page_rank``.  A round sends each
@@ -51,6 +52,7 @@ from bigraph.operators.graph import out_degrees
 from bigraph.session import checkpoint_dir
 
 DEFAULT_SPLIT_EDGES = 100_000
+DEFAULT_EDGES_PER_PARTITION = 4_000_000   # about 100 MB of (src, salt, dst) rows
 DEFAULT_DAMPING = 0.85
 
 
@@ -169,19 +171,30 @@ class RankGraph:
 
 
 def prepare_graph(edges: DataFrame, dedupe_edges: bool = False,
-                  split_edges: int = DEFAULT_SPLIT_EDGES, partitions: int | None = None) -> RankGraph:
-    """Lay out ``edges`` for the iteration and count the nodes."""
+                  split_edges: int = DEFAULT_SPLIT_EDGES, partitions: int | None = None,
+                  edges_per_partition: int = DEFAULT_EDGES_PER_PARTITION) -> RankGraph:
+    """Lay out ``edges`` for the iteration and count the nodes.
+
+    The layout gets ``partitions`` partitions; by default as many as hold
+    about ``edges_per_partition`` edges each (at least the default
+    parallelism), so it follows the data and not the session's shuffle
+    setting: every round runs one task per layout partition.
+    """
     spark = edges.sparkSession
-    if partitions is None:
-        partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     edges = edges.select("src", "dst")
     if dedupe_edges:
         edges = edges.distinct()
     # The input is used by three branches (node set, degrees, layout); keep it
     # for the preparation only.
     edges = edges.persist(StorageLevel.MEMORY_AND_DISK)
+    if partitions is None:
+        n_edges = edges.count()
+        partitions = max(spark.sparkContext.defaultParallelism, -(-n_edges // edges_per_partition))
     deg = out_degrees(edges)
+    # ``coalesce`` (no shuffle) keeps the node table as coarse as the layout
+    # when the session's shuffle setting is finer than the data needs.
     nodes = (deg.select("node", "out_degree", _splits(F.col("out_degree"), split_edges).alias("splits"))
+             .coalesce(partitions)
              .persist(StorageLevel.MEMORY_AND_DISK))
     n_nodes = nodes.count()
     layout = (_salted(edges, nodes, split_edges)
