@@ -79,7 +79,7 @@ def adjacency(edges: DataFrame, n_nodes: int | None = None,
     only_targets = (dangling_nodes(edges)
                     .select("node", F.lit(0).alias("part"), F.lit(1).alias("parts"),
                             F.array().cast(lists.schema["out_links"].dataType).alias("out_links")))
-    rank = F.when(F.col("part") == 0, F.lit(1.0 / n_nodes))
+    rank = F.when(F.col("part") == 0, F.lit(1.0 / max(n_nodes, 1)))  # an empty graph has no rows
     return lists.unionByName(only_targets).withColumn("page_rank", rank)
 
 
@@ -87,4 +87,4 @@ def initial_ranks(edges: DataFrame, n_nodes: int | None = None) -> DataFrame:
     """``node, page_rank = 1/n`` for every node."""
     if n_nodes is None:
         n_nodes = count_nodes(edges)
-    return node_set(edges).select("node", F.lit(1.0 / n_nodes).alias("page_rank"))
+    return node_set(edges).select("node", F.lit(1.0 / max(n_nodes, 1)).alias("page_rank"))

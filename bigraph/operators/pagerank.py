@@ -134,6 +134,7 @@ def rank_step(edges: DataFrame, ranks: DataFrame, damping: float | None = DEFAUL
     """
     if n_nodes is None:
         n_nodes = ranks.count()
+    n_nodes = max(n_nodes, 1)  # an empty graph has no rows to rank
     inc = rank_contributions(edges, ranks)
     out = ranks.join(inc, "node", "left")
     if damping is not None:
@@ -208,7 +209,7 @@ def prepare_graph(edges: DataFrame, dedupe_edges: bool = False,
 
 def _initial_state(graph: RankGraph, n_nodes: int) -> DataFrame:
     return graph.nodes.select("node", "out_degree", "splits",
-                              F.lit(1.0 / n_nodes).alias("page_rank"))
+                              F.lit(1.0 / max(n_nodes, 1)).alias("page_rank"))
 
 
 def _round(graph: RankGraph, state: DataFrame, n_nodes: int, damping: float | None,
@@ -277,6 +278,8 @@ def iterate_ranks(graph: RankGraph, n_iterations: int, damping: float | None,
     is below ``n * tol``.  Returns the state and the rounds run."""
     n = graph.n_nodes if n_nodes is None else n_nodes
     state = _initial_state(graph, n)
+    if n == 0:  # empty graph: nothing to rank
+        return state, 0
     for i in range(n_iterations):
         new = _cut(graph, _round(graph, state, n, damping, node_range, keep_previous=tol is not None))
         if tol is not None and _l1_change(new) < n * tol:

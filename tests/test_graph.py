@@ -200,3 +200,12 @@ def test_given_node_count(small_graph):
     """``n_nodes`` is a parameter that overrides the count."""
     assert ranks_of(P.pagerank_simple(small_graph, 1, n_nodes=8)) == {0: 0.0625, 1: 0.0625, 2: 0.1875, 3: 0.0625}
     assert ranks_of(G.initial_ranks(small_graph, n_nodes=8)) == {0: 0.125, 1: 0.125, 2: 0.125, 3: 0.125}
+
+
+def test_empty_graph(spark):
+    e = spark.createDataFrame([], "src bigint, dst bigint")
+    assert P.pagerank_complete(e, 3).count() == 0
+    assert P.pagerank_converged(e).count() == 0
+    assert G.adjacency(e).count() == 0 and G.initial_ranks(e).count() == 0
+    assert P.rank_step(e, G.initial_ranks(e)).count() == 0
+    assert G.graph_stats(e).first()["n_nodes"] == 0
