@@ -278,3 +278,12 @@ def q_top_n_converged(spark, sf_dir):
     """The 100 highest converged ranks (T4)."""
     ranks = P.pagerank_converged(_edges(spark, sf_dir), DAMPING).select("node", _r())
     return top_n(ranks, TOP_CONVERGED)
+
+
+@register("top_n_simple", "WITH " + O.EDGES_CTE + ",\n" + O.pagerank_ctes(ROUNDS, None) + f"""
+SELECT node, round(page_rank, {O.ROUND}) AS page_rank FROM r{ROUNDS}
+ORDER BY round(page_rank, {O.ROUND}) DESC, node LIMIT {TOP_N}""")
+def q_top_n_simple(spark, sf_dir):
+    """Top 20 of the simplified form (T2 with G1)."""
+    ranks = P.pagerank_simple(_edges(spark, sf_dir), ROUNDS).select("node", _r())
+    return top_n(ranks, TOP_N)
