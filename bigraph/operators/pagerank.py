@@ -188,16 +188,14 @@ def prepare_graph(edges: DataFrame, dedupe_edges: bool = False,
     # The input is used by three branches (node set, degrees, layout); keep it
     # for the preparation only.
     edges = edges.persist(StorageLevel.MEMORY_AND_DISK)
-    if partitions is None:
-        n_edges = edges.count()
-        partitions = max(spark.sparkContext.defaultParallelism, -(-n_edges // edges_per_partition))
     deg = out_degrees(edges)
-    # ``coalesce`` (no shuffle) keeps the node table as coarse as the layout
-    # when the session's shuffle setting is finer than the data needs.
     nodes = (deg.select("node", "out_degree", _splits(F.col("out_degree"), split_edges).alias("splits"))
-             .coalesce(partitions)
              .persist(StorageLevel.MEMORY_AND_DISK))
-    n_nodes = nodes.count()
+    # One job fills the node cache and counts nodes and edges (sum of out-degrees).
+    sizes = nodes.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("out_degree"), F.lit(0)).alias("m")).first()
+    n_nodes, n_edges = int(sizes["n"]), int(sizes["m"])
+    if partitions is None:
+        partitions = max(spark.sparkContext.defaultParallelism, -(-n_edges // edges_per_partition))
     layout = (_salted(edges, nodes, split_edges)
               .repartition(partitions, "src", "salt")
               .persist(StorageLevel.MEMORY_AND_DISK))
@@ -208,8 +206,10 @@ def prepare_graph(edges: DataFrame, dedupe_edges: bool = False,
 
 
 def _initial_state(graph: RankGraph, n_nodes: int) -> DataFrame:
-    return graph.nodes.select("node", "out_degree", "splits",
-                              F.lit(1.0 / max(n_nodes, 1)).alias("page_rank"))
+    # ``coalesce`` (no shuffle) keeps the first round as coarse as the layout
+    # when the session's shuffle setting is finer than the data needs.
+    return (graph.nodes.coalesce(graph.partitions)
+            .select("node", "out_degree", "splits", F.lit(1.0 / max(n_nodes, 1)).alias("page_rank")))
 
 
 def _round(graph: RankGraph, state: DataFrame, n_nodes: int, damping: float | None,
