@@ -14,6 +14,7 @@ from bigraph.operators.bigrams import (
     sort_probabilities,
     stripes,
     top_next_words,
+    top_next_words_from_counts,
     word_totals,
 )
 from bigraph.operators.graph import adjacency, dangling_nodes, graph_stats, initial_ranks, node_set, out_degrees
@@ -54,5 +55,6 @@ __all__ = [
     "stripes",
     "top_n",
     "top_next_words",
+    "top_next_words_from_counts",
     "word_totals",
 ]

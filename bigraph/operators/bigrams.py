@@ -26,6 +26,7 @@ Scale notes
   hot words is broadcast; it has at most ``rows(counts) / max_entries`` rows.
 * Top-k per word ranks within ``(word, salt)`` first, then over at most
   ``k * salts`` survivors per word, so a hot word never sorts in one task.
+  From counts, only the survivors meet the word totals.
 """
 
 from __future__ import annotations
@@ -149,17 +150,37 @@ def next_words(probs: DataFrame, word: str) -> DataFrame:
             .orderBy(F.desc("probability"), F.asc("next_word")))
 
 
-def top_next_words(probs: DataFrame, k: int, salts: int = DEFAULT_TOP_K_SALTS) -> DataFrame:
-    """The ``k`` most likely followers of every word, with ``rank`` 1..k.
-
-    Ties are broken by ``next_word``.  Two rounds: the best ``k`` within each
-    ``(word, salt)`` group, then the best ``k`` of those per word.
-    """
-    order = [F.desc("probability"), F.asc("next_word")]
-    salted = probs.withColumn("salt", F.pmod(F.xxhash64("next_word"), F.lit(salts)))
+def _top_k_per_word(df: DataFrame, k: int, order: list, salts: int) -> DataFrame:
+    """Rows with ``rank`` 1..k per ``word`` under ``order``: the best ``k``
+    within each ``(word, salt)`` group first, then the best ``k`` of those."""
+    salted = df.withColumn("salt", F.pmod(F.xxhash64("next_word"), F.lit(salts)))
     first = (salted.repartition("word", "salt")
              .withColumn("rank", F.row_number().over(Window.partitionBy("word", "salt").orderBy(*order)))
              .where(F.col("rank") <= k)
              .drop("rank", "salt"))
     return (first.withColumn("rank", F.row_number().over(Window.partitionBy("word").orderBy(*order)))
             .where(F.col("rank") <= k))
+
+
+def top_next_words(probs: DataFrame, k: int, salts: int = DEFAULT_TOP_K_SALTS) -> DataFrame:
+    """The ``k`` most likely followers of every word, with ``rank`` 1..k.
+
+    Ties are broken by ``next_word``.  Two rounds: the best ``k`` within each
+    ``(word, salt)`` group, then the best ``k`` of those per word.
+    """
+    return _top_k_per_word(probs, k, [F.desc("probability"), F.asc("next_word")], salts)
+
+
+def top_next_words_from_counts(counts: DataFrame, k: int, salts: int = DEFAULT_TOP_K_SALTS) -> DataFrame:
+    """Same result as ``top_next_words(bigram_probabilities(counts), k)``.
+
+    Within a word the probability order is the count order (one positive
+    total divides every count of the word, and different counts give
+    different quotients), so the ranking runs on the counts and only the at
+    most ``k`` survivors per word are joined with the word totals.  The full
+    table of counts is never joined with the totals.
+    """
+    best = _top_k_per_word(counts, k, [F.desc("n"), F.asc("next_word")], salts)
+    totals = word_totals(counts)
+    return (best.join(totals, "word")
+            .select("word", "next_word", (F.col("n") / F.col("total")).alias("probability"), "rank"))

@@ -129,7 +129,7 @@ SELECT * FROM (
          CAST(row_number() OVER (PARTITION BY word ORDER BY probability DESC, next_word) AS INTEGER) AS rank
   FROM probs) WHERE rank <= {TOP_K}""")
 def q_top_next_words(spark, sf_dir):
-    return B.top_next_words(_probs(spark, sf_dir), TOP_K)
+    return B.top_next_words_from_counts(_counts(spark, sf_dir), TOP_K)
 
 
 # -------------------------------------------------------------------- graph

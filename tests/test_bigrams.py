@@ -103,3 +103,11 @@ def test_top_next_words(counts, expected, salts):
         for i, (_, x) in enumerate(sorted(items)[:k]):
             want[(w, i + 1)] = x
     assert got == want
+
+
+def test_top_next_words_from_counts(counts):
+    a = {(r.word, r.rank): (r.next_word, r.probability)
+         for r in B.top_next_words(B.bigram_probabilities(counts), 4).collect()}
+    b = {(r.word, r.rank): (r.next_word, r.probability)
+         for r in B.top_next_words_from_counts(counts, 4, salts=3).collect()}
+    assert a == b
