@@ -15,9 +15,12 @@ edges ``u -> v``, ``D`` the rank held by dangling nodes):
 
 Physical design of the loop
 ---------------------------
+* Copies of an edge are combined map-side into one row with their number
+  ``mult`` (a group of copies is never a hot key), and the shares are
+  multiplied by it, so copies still weigh once each.
 * The edge list is laid out once: every edge gets a ``salt`` in
   ``[0, splits(src))`` from a hash of ``dst``, where ``splits`` grows with the
-  out-degree (``ceil(outdeg / split_edges)``), and the edges are
+  number of distinct targets (``ceil(links / split_edges)``), and the edges are
   hash-partitioned on ``(src, salt)`` into partitions of about
   ``edges_per_partition`` edges and cached.  A hub's edges are thus
   spread over many tasks; only the table of hubs (at most
@@ -48,7 +51,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bigraph.operators.graph import out_degrees
+from bigraph.operators.graph import node_set
 from bigraph.session import checkpoint_dir
 
 DEFAULT_SPLIT_EDGES = 100_000
@@ -64,19 +67,37 @@ class PageRankNotConverged(RuntimeError):
 # One step as plain relational operators (lazy; used for single-step queries)
 # ---------------------------------------------------------------------------
 
-def _splits(out_degree, split_edges: int):
-    return F.greatest(F.lit(1), F.ceil(out_degree / F.lit(split_edges))).cast("int")
+def _splits(links, split_edges: int):
+    return F.greatest(F.lit(1), F.ceil(links / F.lit(split_edges))).cast("int")
 
 
-def _salted(edges: DataFrame, deg: DataFrame, split_edges: int) -> DataFrame:
-    """``src, salt, dst``: hub edges spread over ``splits(src)`` salts by a hash
-    of ``dst``; only the hub table (at most ``rows(edges) / split_edges``
-    rows) is broadcast."""
+def _weighted(edges: DataFrame, dedupe_edges: bool = False) -> DataFrame:
+    """``src, dst, mult``: copies of an edge combined map-side into one row
+    that carries their number (1 for every edge with ``dedupe_edges``).  A
+    group of copies is thus one row, never a hot key."""
+    if dedupe_edges:
+        return edges.distinct().withColumn("mult", F.lit(1).cast("bigint"))
+    return edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("mult"))
+
+
+def _degrees(weighted: DataFrame, split_edges: int) -> DataFrame:
+    """``node, out_degree, links, splits`` for nodes with out-links:
+    ``out_degree`` counts copies, ``links`` distinct targets (what salts can
+    spread)."""
+    return (weighted.groupBy(F.col("src").alias("node"))
+            .agg(F.sum("mult").alias("out_degree"), F.count(F.lit(1)).alias("links"))
+            .withColumn("splits", _splits(F.col("links"), split_edges)))
+
+
+def _salted(weighted: DataFrame, deg: DataFrame) -> DataFrame:
+    """``src, salt, dst, mult``: a hub's distinct targets spread over
+    ``splits(src)`` salts by a hash of ``dst``; only the hub table (at most
+    ``rows(edges) / split_edges`` rows) is broadcast."""
     hubs = (deg.where(F.col("splits") > 1)
             .select(F.col("node").alias("src"), F.col("splits").alias("hub_splits")))
     salt = (F.when(F.col("hub_splits").isNull(), F.lit(0))
             .otherwise(F.pmod(F.xxhash64("dst"), F.col("hub_splits").cast("bigint")).cast("int")))
-    return edges.join(F.broadcast(hubs), "src", "left").select("src", salt.alias("salt"), "dst")
+    return weighted.join(F.broadcast(hubs), "src", "left").select("src", salt.alias("salt"), "dst", "mult")
 
 
 def _shares(state: DataFrame) -> DataFrame:
@@ -87,21 +108,26 @@ def _shares(state: DataFrame) -> DataFrame:
                     (F.col("page_rank") / F.col("out_degree")).alias("share")))
 
 
+def _flow():
+    """Share carried by an edge row: copies of an edge carry it ``mult`` times
+    (``x * 1`` is exact, so single edges carry exactly their share)."""
+    return F.col("share") * F.col("mult")
+
+
 def rank_contributions(edges: DataFrame, ranks: DataFrame,
                        split_edges: int = DEFAULT_SPLIT_EDGES) -> DataFrame:
     """``node, incoming``: sum of ``PR(u) / outdeg(u)`` over in-edges.
 
-    Nodes without in-links have no row.  The edges meet the shares on
-    ``(src, salt)``, so a hub's edges are spread over several tasks, and the
-    sum per target is combined map-side.
+    Nodes without in-links have no row.  Copies of an edge are combined
+    first; the edges meet the shares on ``(src, salt)``, so a hub's edges are
+    spread over several tasks, and the sum per target is combined map-side.
     """
-    edges = edges.select("src", "dst")
-    deg = (edges.groupBy(F.col("src").alias("node")).agg(F.count(F.lit(1)).alias("out_degree"))
-           .withColumn("splits", _splits(F.col("out_degree"), split_edges)))
+    weighted = _weighted(edges.select("src", "dst"))
+    deg = _degrees(weighted, split_edges)
     state = ranks.join(deg, "node")
-    return (_salted(edges, deg, split_edges).join(_shares(state), ["src", "salt"])
+    return (_salted(weighted, deg).join(_shares(state), ["src", "salt"])
             .groupBy(F.col("dst").alias("node"))
-            .agg(F.sum("share").alias("incoming")))
+            .agg(F.sum(_flow()).alias("incoming")))
 
 
 def dangling_mass(edges: DataFrame, ranks: DataFrame) -> DataFrame:
@@ -159,8 +185,8 @@ def rank_mass(ranks: DataFrame) -> DataFrame:
 class RankGraph:
     """An edge list laid out for repeated rank steps (see module notes)."""
 
-    layout: DataFrame      # src, salt, dst   partitioned by (src, salt), cached
-    nodes: DataFrame       # node, out_degree, splits   cached
+    layout: DataFrame      # src, salt, dst, mult   partitioned by (src, salt), cached
+    nodes: DataFrame       # node, out_degree, links, splits   cached
     n_nodes: int
     partitions: int
     run_dir: str = field(default="")
@@ -182,25 +208,26 @@ def prepare_graph(edges: DataFrame, dedupe_edges: bool = False,
     setting: every round runs one task per layout partition.
     """
     spark = edges.sparkSession
-    edges = edges.select("src", "dst")
-    if dedupe_edges:
-        edges = edges.distinct()
-    # The input is used by three branches (node set, degrees, layout); keep it
-    # for the preparation only.
-    edges = edges.persist(StorageLevel.MEMORY_AND_DISK)
-    deg = out_degrees(edges)
-    nodes = (deg.select("node", "out_degree", _splits(F.col("out_degree"), split_edges).alias("splits"))
-             .persist(StorageLevel.MEMORY_AND_DISK))
-    # One job fills the node cache and counts nodes and edges (sum of out-degrees).
-    sizes = nodes.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("out_degree"), F.lit(0)).alias("m")).first()
-    n_nodes, n_edges = int(sizes["n"]), int(sizes["m"])
+    # Copies of an edge become one row with their number; the result feeds
+    # three branches (node set, degrees, layout), so it is kept for the
+    # preparation only.
+    weighted = _weighted(edges.select("src", "dst"), dedupe_edges).persist(StorageLevel.MEMORY_AND_DISK)
+    with_links = _degrees(weighted, split_edges)
+    deg = (node_set(weighted).join(with_links, "node", "left")
+           .select("node", F.coalesce(F.col("out_degree"), F.lit(0)).alias("out_degree"),
+                   F.coalesce(F.col("links"), F.lit(0)).alias("links"),
+                   F.coalesce(F.col("splits"), F.lit(1)).alias("splits")))
+    nodes = deg.persist(StorageLevel.MEMORY_AND_DISK)
+    # One job fills the node cache and counts nodes and layout rows.
+    sizes = nodes.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("links"), F.lit(0)).alias("m")).first()
+    n_nodes, n_rows = int(sizes["n"]), int(sizes["m"])
     if partitions is None:
-        partitions = max(spark.sparkContext.defaultParallelism, -(-n_edges // edges_per_partition))
-    layout = (_salted(edges, nodes, split_edges)
+        partitions = max(spark.sparkContext.defaultParallelism, -(-n_rows // edges_per_partition))
+    layout = (_salted(weighted, nodes)
               .repartition(partitions, "src", "salt")
               .persist(StorageLevel.MEMORY_AND_DISK))
     layout.count()
-    edges.unpersist()
+    weighted.unpersist()
     run_dir = f"{checkpoint_dir(spark).rstrip('/')}/bigraph-pagerank-{uuid.uuid4().hex}"
     return RankGraph(layout=layout, nodes=nodes, n_nodes=n_nodes, partitions=partitions, run_dir=run_dir)
 
@@ -219,7 +246,7 @@ def _round(graph: RankGraph, state: DataFrame, n_nodes: int, damping: float | No
     shares = _shares(state)
     null_double = F.lit(None).cast("double")
     flows = (graph.layout.join(shares, ["src", "salt"])
-             .select(F.col("dst").alias("node"), "share",
+             .select(F.col("dst").alias("node"), _flow().alias("share"),
                      F.lit(None).cast("bigint").alias("out_degree"), F.lit(None).cast("int").alias("splits"),
                      null_double.alias("previous")))
     # Every node's own row rides along in the same aggregation (with a NULL

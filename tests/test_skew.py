@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from bigraph.operators import bigrams as B
+from bigraph.operators import graph as G
 from bigraph.operators import pagerank as P
 
 from .test_text import reference_pairs
@@ -120,3 +121,21 @@ def test_one_step_hub_split(spark):
     b = {r.node: r.incoming for r in P.rank_contributions(edges, r0, split_edges=40).collect()}
     assert a.keys() == b.keys() and max(abs(a[v] - b[v]) for v in a) < 1e-15
     assert abs(a[0] - 300 / 301) < 1e-12
+
+
+def test_copies_of_one_edge(spark):
+    """A third of all rows are copies of one edge: they become one layout row
+    carrying their number, and every copy still weighs once."""
+    from .test_graph import python_pagerank
+
+    edge_list = [(0, 1)] * 400 + [(0, 2), (1, 2), (2, 0), (2, 3)] + [(d, d + 1) for d in range(3, 800)]
+    edges = spark.createDataFrame(edge_list, "src bigint, dst bigint")
+    g = P.prepare_graph(edges)
+    assert g.layout.where("src = 0 AND dst = 1").collect()[0]["mult"] == 400
+    assert g.layout.count() == len(set(edge_list))
+    g.release()
+    want = python_pagerank(edge_list, 5, 0.85)
+    got = {r.node: r.page_rank for r in P.pagerank_complete(edges, 5).collect()}
+    assert max(abs(got[v] - want[v]) for v in want) < 1e-15
+    inc = {r.node: r.incoming for r in P.rank_contributions(edges, G.initial_ranks(edges)).collect()}
+    assert abs(inc[1] - (1 / 801) * 400 / 401) < 1e-15
