@@ -54,28 +54,37 @@ def adjacency(edges: DataFrame, n_nodes: int | None = None,
     Every node of the graph appears; nodes seen only as targets have an empty
     list.  Duplicate edges stay in the list.  ``page_rank`` is ``1 / n_nodes``
     (counted when not given) on part 0 of a node and NULL on further
-    parts, so the ranks still sum to 1.  A node with more than ``max_entries`` out-links
-    gets ``parts`` rows whose lists together hold every link, so no row or
-    task carries a whole hub; only the table of such hubs (at most
-    ``rows(edges) / max_entries`` rows) is broadcast.
+    parts, so the ranks still sum to 1.  A node with more than ``max_entries``
+    out-links gets ``parts`` rows whose lists together hold every link, so no
+    row or task carries a whole hub; copies of one link are spread over the
+    parts in chunks of at most ``max_entries``.  Only the table of hubs (at
+    most ``rows(edges) / max_entries`` rows) is broadcast.
     """
     if n_nodes is None:
         n_nodes = count_nodes(edges)
-    deg = edges.groupBy("src").agg(F.count(F.lit(1)).alias("deg"))
+    # Copies of a link are combined map-side, then cut into chunks of at most
+    # ``max_entries`` copies, so neither a hub nor a pile of copies of one link
+    # makes an unbounded list.
+    weighted = edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("mult"))
+    deg = weighted.groupBy("src").agg(F.sum("mult").alias("deg"))
     hubs = (deg.where(F.col("deg") > max_entries)
             .select("src", n_parts(F.col("deg"), max_entries).alias("hub_parts")))
-    part = (F.when(F.col("hub_parts").isNull(), F.lit(0))
-            .otherwise(part_of(F.col("dst"), F.col("hub_parts"))))
-    links = (edges.join(F.broadcast(hubs), "src", "left")
-             .select(F.col("src").alias("node"), "dst", part.alias("part"),
-                     F.coalesce(F.col("hub_parts"), F.lit(1)).alias("parts")))
-    # One header row per hub (NULL link) makes part 0 exist for every node,
-    # so the rank can sit on part 0; collect_list skips the NULL.
-    headers = hubs.select(F.col("src").alias("node"), F.lit(None).cast(links.schema["dst"].dataType).alias("dst"),
+    chunks = (weighted.join(F.broadcast(hubs), "src", "left")
+              .select("src", "dst", "mult", "hub_parts",
+                      F.explode(F.sequence(F.lit(0), n_parts(F.col("mult"), max_entries) - 1)).alias("chunk")))
+    copies = F.least(F.lit(max_entries).cast("bigint"), F.col("mult") - F.col("chunk") * F.lit(max_entries))
+    key = F.when(F.col("chunk") == 0, F.col("dst").cast("string")).otherwise(
+        F.concat(F.col("dst").cast("string"), F.lit("#"), F.col("chunk").cast("string")))
+    part = F.when(F.col("hub_parts").isNull(), F.lit(0)).otherwise(part_of(key, F.col("hub_parts")))
+    links = chunks.select(F.col("src").alias("node"), F.array_repeat("dst", copies.cast("int")).alias("dsts"),
+                          part.alias("part"), F.coalesce(F.col("hub_parts"), F.lit(1)).alias("parts"))
+    # One header row per hub (no link) makes part 0 exist for every node, so
+    # the rank can sit on part 0.
+    headers = hubs.select(F.col("src").alias("node"), F.array().cast(links.schema["dsts"].dataType).alias("dsts"),
                           F.lit(0).alias("part"), F.col("hub_parts").alias("parts"))
     lists = (links.unionByName(headers)
              .groupBy("node", "part", "parts")
-             .agg(F.collect_list("dst").alias("out_links")))
+             .agg(F.flatten(F.collect_list("dsts")).alias("out_links")))
     only_targets = (dangling_nodes(edges)
                     .select("node", F.lit(0).alias("part"), F.lit(1).alias("parts"),
                             F.array().cast(lists.schema["out_links"].dataType).alias("out_links")))

@@ -160,12 +160,18 @@ def q_dangling_nodes(spark, sf_dir):
 
 @register("adjacency", "WITH " + O.EDGES_CTE + f""",
 lists AS (
-  SELECT n.node, e.dst, CASE WHEN d.out_degree > {O.DEFAULT_MAX_ENTRIES}
-                             THEN CAST(ceil(d.out_degree / {O.DEFAULT_MAX_ENTRIES}) AS INTEGER) ELSE 1 END AS parts
+  SELECT n.node, e.dst,
+         CASE WHEN d.out_degree > {O.DEFAULT_MAX_ENTRIES}
+              THEN CAST(ceil(d.out_degree / {O.DEFAULT_MAX_ENTRIES}) AS INTEGER) ELSE 1 END AS parts,
+         (row_number() OVER (PARTITION BY n.node, e.dst) - 1) // {O.DEFAULT_MAX_ENTRIES} AS chunk
   FROM nodes n JOIN deg d ON d.node = n.node LEFT JOIN edges e ON e.src = n.node
 ),
+keyed AS (
+  SELECT *, CASE WHEN chunk = 0 THEN CAST(dst AS VARCHAR)
+                 ELSE CAST(dst AS VARCHAR) || '#' || CAST(chunk AS VARCHAR) END AS entry FROM lists
+),
 parted AS (
-  SELECT node, dst, parts, CASE WHEN parts > 1 THEN {O.md5_part('dst', 'parts')} ELSE 0 END AS part FROM lists
+  SELECT node, dst, parts, CASE WHEN parts > 1 THEN {O.md5_part('entry', 'parts')} ELSE 0 END AS part FROM keyed
   UNION ALL
   SELECT DISTINCT node, NULL, parts, 0 FROM lists WHERE parts > 1
 )

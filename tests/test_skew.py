@@ -139,3 +139,18 @@ def test_copies_of_one_edge(spark):
     assert max(abs(got[v] - want[v]) for v in want) < 1e-15
     inc = {r.node: r.incoming for r in P.rank_contributions(edges, G.initial_ranks(edges)).collect()}
     assert abs(inc[1] - (1 / 801) * 400 / 401) < 1e-15
+
+
+def test_adjacency_copies_are_chunked(spark):
+    from collections import Counter as C
+
+    edge_list = [(0, 1)] * 25 + [(0, d) for d in range(2, 12)] + [(5, 0)]
+    edges = spark.createDataFrame(edge_list, "src bigint, dst bigint")
+    rows = G.adjacency(edges, max_entries=10).where("node = 0").collect()
+    assert all(r.parts == 4 for r in rows)
+    assert C(x for r in rows for x in r.out_links) == C(d for s, d in edge_list if s == 0)
+    # copies of one link are cut into chunks of at most 10 that hash to parts
+    # independently: the 25 copies do not stay together
+    assert max(r.out_links.count(1) for r in rows) < 25
+    assert [r.page_rank is not None for r in sorted(rows, key=lambda r: r.part)][0]
+    assert sum(r.page_rank for r in rows if r.page_rank is not None) == 1 / 12
