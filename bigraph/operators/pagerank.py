@@ -197,6 +197,13 @@ class RankGraph:
         self.nodes.unpersist()
 
 
+def _default_parallelism(spark) -> int:
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:  # no local JVM context (Spark Connect)
+        return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def prepare_graph(edges: DataFrame, dedupe_edges: bool = False,
                   split_edges: int = DEFAULT_SPLIT_EDGES, partitions: int | None = None,
                   edges_per_partition: int = DEFAULT_EDGES_PER_PARTITION) -> RankGraph:
@@ -222,7 +229,7 @@ def prepare_graph(edges: DataFrame, dedupe_edges: bool = False,
     sizes = nodes.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("links"), F.lit(0)).alias("m")).first()
     n_nodes, n_rows = int(sizes["n"]), int(sizes["m"])
     if partitions is None:
-        partitions = max(spark.sparkContext.defaultParallelism, -(-n_rows // edges_per_partition))
+        partitions = max(_default_parallelism(spark), -(-n_rows // edges_per_partition))
     layout = (_salted(weighted, nodes)
               .repartition(partitions, "src", "salt")
               .persist(StorageLevel.MEMORY_AND_DISK))
@@ -273,10 +280,14 @@ def _round(graph: RankGraph, state: DataFrame, n_nodes: int, damping: float | No
 
 
 def _delete(spark, path: str) -> None:
-    """Remove a finished round's table (Hadoop FileSystem of the path)."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    """Remove a finished round's table (Hadoop FileSystem of the path); kept
+    when the session has no local JVM context."""
+    try:
+        jvm = spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    except Exception:
+        pass
 
 
 def _cut(graph: RankGraph, state: DataFrame) -> DataFrame:

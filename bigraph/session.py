@@ -28,25 +28,30 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Return the reliable checkpoint folder, setting it only when unset.
+    """Return the reliable folder for per-round tables, setting it only when unset.
 
     The cluster names a shared folder in ``spark.checkpoint.dir``; that one is
     used.  Only a local-mode session without any setting (tests) gets a fresh
     folder under the system temp dir.  On a cluster without a setting this
     raises instead of silently using a machine-local folder.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
-        "spark.checkpoint.dir", None)
-    if configured:
-        sc.setCheckpointDir(configured)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a session without a local JVM context (Spark Connect)
+        sc = None
+    if sc is not None and sc.getCheckpointDir():
         return sc.getCheckpointDir()
-    if sc.master.startswith("local"):
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="bigraph-ckpt-"))
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured and sc is not None:
+        configured = sc.getConf().get("spark.checkpoint.dir", None)
+    if not configured:
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+        if not str(master).startswith("local"):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set; iterative operators need a shared "
+                "folder (HDFS/S3/...) to cut lineage between rounds")
+        configured = tempfile.mkdtemp(prefix="bigraph-ckpt-")
+    if sc is not None:
+        sc.setCheckpointDir(configured)
         return sc.getCheckpointDir()
-    raise RuntimeError(
-        "spark.checkpoint.dir is not set; iterative operators need a shared "
-        "folder (HDFS/S3/...) to cut lineage between rounds")
+    return configured

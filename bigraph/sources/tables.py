@@ -29,10 +29,12 @@ def spread(df: DataFrame) -> DataFrame:
     files already has enough splits and is returned unchanged, so this never
     adds a shuffle at scale.  Asking for the partition count only plans the
     scan; it runs no job."""
-    want = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
-        return df.repartition(want)
-    return df
+    try:
+        want = df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # no local JVM context (Spark Connect): leave the scan as it is
+        return df
+    return df.repartition(want) if have < want else df
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
