@@ -39,7 +39,9 @@ def start_bigram_counts(counts: DataFrame, checkpoint_location: str, sink: str =
                         query_name: str = "bigram_counts", available_now: bool = False,
                         **options) -> StreamingQuery:
     """Start the counting query; ``complete`` mode re-emits the whole table
-    (memory sink, tests), ``update`` mode (other sinks) emits changed rows."""
+    (memory sink, tests), ``update`` mode emits changed rows to sinks that
+    accept updates (console, Kafka, ...).  File sinks only append, so to keep
+    the counts in Parquet/Delta use ``counts.writeStream.foreachBatch``."""
     mode = "complete" if sink == "memory" else "update"
     writer = (counts.writeStream.format(sink).outputMode(mode).queryName(query_name)
               .option("checkpointLocation", checkpoint_location))
