@@ -2,6 +2,7 @@
 
 from bigraph.functions.collect import (
     DEFAULT_MAX_ENTRIES,
+    hot_side,
     n_parts,
     part_of,
     sorted_entries_text,
@@ -13,6 +14,7 @@ __all__ = [
     "DEFAULT_MAX_ENTRIES",
     "adjacent_pairs",
     "bigram_key",
+    "hot_side",
     "n_parts",
     "normalize_text",
     "part_of",

@@ -13,7 +13,7 @@ can recompute, so the split is reproducible outside Spark.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_MAX_ENTRIES = 100_000
@@ -41,3 +41,19 @@ def sorted_entries_text(m: Column) -> Column:
 def sorted_list_text(a: Column) -> Column:
     """An array rendered as its sorted elements joined by ``,``."""
     return F.array_join(F.transform(F.array_sort(a), lambda x: x.cast("string")), ",")
+
+
+def hot_side(df: DataFrame) -> DataFrame:
+    """The table of hot keys, as the small side of a join.
+
+    With adaptive execution (the default) Spark broadcasts it only when its
+    measured size is under ``spark.sql.adaptive.autoBroadcastJoinThreshold``
+    and shuffle-joins it otherwise: a size check with another way beyond it.
+    Without adaptive execution it is hinted, on its bound of
+    ``rows / max_entries`` rows.
+    """
+    try:
+        adaptive = df.sparkSession.conf.get("spark.sql.adaptive.enabled", "true").lower() == "true"
+    except Exception:
+        adaptive = True
+    return df if adaptive else F.broadcast(df)

@@ -14,16 +14,18 @@ Scale notes
   spread over all reducers.
 * Totals per word are a second partial aggregate over the counts (one row per
   word leaves each task); the same aggregate counts each word's followers.
-  Words with more than ``max_entries`` followers are "hot": their totals are
-  broadcast (that table has at most ``rows(counts) / max_entries`` rows) and
-  their counts are divided in place.  Only the other words take the equi-join
+  Words with more than ``max_entries`` followers are "hot": their totals form
+  a table of at most ``rows(counts) / max_entries`` rows, which adaptive
+  execution broadcasts after measuring it (a shuffle join beyond its
+  threshold), and their counts are divided in place.  Only the other words take the equi-join
   on ``word`` (a broadcast join when adaptive execution finds the totals
   small), so no word puts more than ``max_entries`` rows into one task.
 * A stripe is a collected group.  Words whose follower count is above
   ``max_entries`` are cut into ``ceil(n_next / max_entries)`` parts by a hash
   of the follower, and the shuffle goes on ``(word, part)``, so no task holds
-  more than about ``max_entries`` entries of one word.  Only the table of such
-  hot words is broadcast; it has at most ``rows(counts) / max_entries`` rows.
+  more than about ``max_entries`` entries of one word.  The table of such hot
+  words (at most ``rows(counts) / max_entries`` rows) is broadcast on its
+  measured size.
 * Top-k per word ranks within ``(word, salt)`` first, then over at most
   ``k * salts`` survivors per word, so a hot word never sorts in one task.
   From counts, only the survivors meet the word totals.
@@ -38,6 +40,7 @@ from bigraph.functions import (
     DEFAULT_MAX_ENTRIES,
     adjacent_pairs,
     bigram_key,
+    hot_side,
     n_parts,
     normalize_text,
     part_of,
@@ -83,14 +86,15 @@ def bigram_probabilities(counts: DataFrame, max_entries: int = DEFAULT_MAX_ENTRI
 
     One aggregate per word gives the total and the number of followers.  Hot
     words (more than ``max_entries`` followers; at most
-    ``rows(counts) / max_entries`` of them) are broadcast with their totals and
-    their rows are divided where they lie; only the other words go through
+    ``rows(counts) / max_entries`` of them) are joined with their totals as a
+    small side (broadcast on its measured size) and their rows are divided
+    where they lie; only the other words go through
     the equi-join on ``word``, so no word sends more than ``max_entries`` rows
     to one task.
     """
     totals = counts.groupBy("word").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("n_next"))
     hot = totals.where(F.col("n_next") > max_entries).select("word", F.col("total").alias("hot_total"))
-    tagged = counts.join(F.broadcast(hot), "word", "left")
+    tagged = counts.join(hot_side(hot), "word", "left")
     hot_rows = (tagged.where(F.col("hot_total").isNotNull())
                 .select("word", "next_word", (F.col("n") / F.col("hot_total")).alias("probability")))
     cold_totals = totals.where(F.col("n_next") <= max_entries).select("word", "total")
@@ -113,7 +117,7 @@ def stripes(counts: DataFrame, max_entries: int = DEFAULT_MAX_ENTRIES) -> DataFr
            .select("word", n_parts(F.col("n_next"), max_entries).alias("hot_parts"), "hot_total"))
     part = (F.when(F.col("hot_parts").isNull(), F.lit(0))
             .otherwise(part_of(F.col("next_word"), F.col("hot_parts"))))
-    tagged = (counts.join(F.broadcast(hot), "word", "left")
+    tagged = (counts.join(hot_side(hot), "word", "left")
               .select("word", "next_word", "n", part.alias("part"),
                       F.coalesce(F.col("hot_parts"), F.lit(1)).alias("parts"), "hot_total"))
     collected = (tagged.groupBy("word", "part", "parts", "hot_total")

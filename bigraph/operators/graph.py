@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bigraph.functions import DEFAULT_MAX_ENTRIES, n_parts, part_of
+from bigraph.functions import DEFAULT_MAX_ENTRIES, hot_side, n_parts, part_of
 
 
 def node_set(edges: DataFrame) -> DataFrame:
@@ -57,8 +57,8 @@ def adjacency(edges: DataFrame, n_nodes: int | None = None,
     parts, so the ranks still sum to 1.  A node with more than ``max_entries``
     out-links gets ``parts`` rows whose lists together hold every link, so no
     row or task carries a whole hub; copies of one link are spread over the
-    parts in chunks of at most ``max_entries``.  Only the table of hubs (at
-    most ``rows(edges) / max_entries`` rows) is broadcast.
+    parts in chunks of at most ``max_entries``.  The table of hubs (at most
+    ``rows(edges) / max_entries`` rows) is broadcast on its measured size.
     """
     if n_nodes is None:
         n_nodes = count_nodes(edges)
@@ -69,7 +69,7 @@ def adjacency(edges: DataFrame, n_nodes: int | None = None,
     deg = weighted.groupBy("src").agg(F.sum("mult").alias("deg"))
     hubs = (deg.where(F.col("deg") > max_entries)
             .select("src", n_parts(F.col("deg"), max_entries).alias("hub_parts")))
-    chunks = (weighted.join(F.broadcast(hubs), "src", "left")
+    chunks = (weighted.join(hot_side(hubs), "src", "left")
               .select("src", "dst", "mult", "hub_parts",
                       F.explode(F.sequence(F.lit(0), n_parts(F.col("mult"), max_entries) - 1)).alias("chunk")))
     copies = F.least(F.lit(max_entries).cast("bigint"), F.col("mult") - F.col("chunk") * F.lit(max_entries))

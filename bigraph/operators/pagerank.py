@@ -23,8 +23,9 @@ Physical design of the loop
   number of distinct targets (``ceil(links / split_edges)``), and the edges are
   hash-partitioned on ``(src, salt)`` into partitions of about
   ``edges_per_partition`` edges and cached.  A hub's edges are thus
-  spread over many tasks; only the table of hubs (at most
-  ``rows(edges) / split_edges`` rows) is broadcast while laying out.
+  spread over many tasks; the table of hubs (at most
+  ``rows(edges) / split_edges`` rows) is broadcast on its measured size
+  while laying out.
 * The state is ``node, out_degree, splits, page_rank``.  A round sends each
   node's share ``PR / outdeg`` to its ``splits`` salts (a shuffle of about
   ``n`` rows) and joins it to the cached edges in place (the edges never move
@@ -51,6 +52,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from bigraph.functions import hot_side
 from bigraph.operators.graph import node_set
 from bigraph.session import checkpoint_dir
 
@@ -91,13 +93,13 @@ def _degrees(weighted: DataFrame, split_edges: int) -> DataFrame:
 
 def _salted(weighted: DataFrame, deg: DataFrame) -> DataFrame:
     """``src, salt, dst, mult``: a hub's distinct targets spread over
-    ``splits(src)`` salts by a hash of ``dst``; only the hub table (at most
-    ``rows(edges) / split_edges`` rows) is broadcast."""
+    ``splits(src)`` salts by a hash of ``dst``; the hub table (at most
+    ``rows(edges) / split_edges`` rows) is broadcast on its measured size."""
     hubs = (deg.where(F.col("splits") > 1)
             .select(F.col("node").alias("src"), F.col("splits").alias("hub_splits")))
     salt = (F.when(F.col("hub_splits").isNull(), F.lit(0))
             .otherwise(F.pmod(F.xxhash64("dst"), F.col("hub_splits").cast("bigint")).cast("int")))
-    return weighted.join(F.broadcast(hubs), "src", "left").select("src", salt.alias("salt"), "dst", "mult")
+    return weighted.join(hot_side(hubs), "src", "left").select("src", salt.alias("salt"), "dst", "mult")
 
 
 def _shares(state: DataFrame) -> DataFrame:

@@ -154,3 +154,22 @@ def test_adjacency_copies_are_chunked(spark):
     assert max(r.out_links.count(1) for r in rows) < 25
     assert [r.page_rank is not None for r in sorted(rows, key=lambda r: r.part)][0]
     assert sum(r.page_rank for r in rows if r.page_rank is not None) == 1 / 12
+
+
+def test_hot_side_without_adaptive_execution(spark, hot_docs):
+    """With adaptive execution off the hot table is hinted, results unchanged."""
+    docs, texts = hot_docs
+    old = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        probs = B.bigram_probabilities(B.bigram_counts(B.bigrams(docs)), max_entries=500)
+        rows = probs.collect()
+        assert "BroadcastHashJoin" in probs._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", old)
+    pairs = Counter(p for t in texts for p in reference_pairs(t))
+    totals = defaultdict(int)
+    for (w, _), n in pairs.items():
+        totals[w] += n
+    assert {(r.word, r.next_word): r.probability for r in rows} == {
+        (w, x): n / totals[w] for (w, x), n in pairs.items()}
