@@ -75,3 +75,14 @@ def test_ranks_round_trip(spark, small_graph):
     back = {r.node: r.page_rank for r in read_ranks_kv(spark, out).collect()}
     assert back == {str(r.node): r.page_rank for r in ranks.collect()}
     assert abs(sum(back.values()) - 1.0) < 1e-12
+
+
+def test_edges_source_string_ids(spark):
+    d = fresh()
+    path = os.path.join(d, "words.tsv")
+    with open(path, "w") as f:
+        f.write("a\tb\na\tc\nb\tc\nc\ta\nc\td\n")
+    e = read_edges(spark, path, id_type="STRING")
+    assert dict(e.dtypes) == {"src": "string", "dst": "string"}
+    ranks = {r.node: round(r.page_rank, 9) for r in P.pagerank_complete(e, 1).collect()}
+    assert ranks == {"a": 0.196875, "b": 0.196875, "c": 0.409375, "d": 0.196875}
