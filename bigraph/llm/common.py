@@ -10,6 +10,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from bigraph.session import checkpoint_dir
 
@@ -71,24 +72,24 @@ def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[pa.RecordBa
     return df.mapInArrow(run, schema)
 
 
-def keyed(docs: DataFrame, key: str, payload: str) -> tuple[DataFrame, DataFrame | None]:
-    """``(rows, names)``: ``rows`` is ``_key BIGINT, payload`` with a unique,
-    non-null key in document order.
+KEY = "__llm_key"           # no column of a caller's table is expected to have this name
 
-    Usually the ids are unique and the key is the id (``names`` is None).  A
-    table with NULL or repeated ids gets ranks instead: rows ordered by id
-    (NULL last), then by payload; ``names`` maps ``_key`` to the id.  The
-    rank is two passes of prefix sums over range partitions, not one task.
+
+def keyed(docs: DataFrame, key: str, payload: str) -> tuple[DataFrame, bool]:
+    """``docs`` with a unique, non-null BIGINT ``KEY`` in document order, and
+    whether it is the id itself.
+
+    Usually the ids are unique and the key is the id.  A table with NULL or
+    repeated ids gets ranks instead: rows ordered by id (NULL last), then by
+    payload.  The rank is two passes of prefix sums over range partitions,
+    not one task.
     """
-    ids = docs.select(F.col(key).cast("bigint").alias("_id"), F.col(payload).alias(payload))
     # Copies of an id are combined map-side, so a hot id is one row per task.
-    seen = ids.groupBy("_id").agg(F.count(F.lit(1)).alias("n"))
-    odd = seen.where(F.col("_id").isNull() | (F.col("n") > 1)).limit(1).count()
-    if not odd:
-        return ids.withColumnRenamed("_id", "_key"), None
-    ranked = with_rank(ids, [F.col("_id").asc_nulls_last(), F.col(payload).asc_nulls_first()], "_key")
-    ranked = materialize(ranked, "keyed")
-    return ranked.select("_key", payload), ranked.select("_key", F.col("_id").alias(key))
+    seen = docs.groupBy(F.col(key).alias("id")).agg(F.count(F.lit(1)).alias("n"))
+    if seen.where(F.col("id").isNull() | (F.col("n") > 1)).isEmpty():
+        return docs.withColumn(KEY, F.col(key).cast("bigint")), True
+    order = [F.col(key).asc_nulls_last(), F.col(payload).asc_nulls_first()]
+    return materialize(with_rank(docs, order, KEY), "keyed"), False
 
 
 def with_rank(df: DataFrame, order: list[Column], name: str) -> DataFrame:
@@ -105,16 +106,17 @@ def with_rank(df: DataFrame, order: list[Column], name: str) -> DataFrame:
         for b in batches:
             yield pa.RecordBatch.from_arrays(
                 [*b.columns, pa.array([pid] * b.num_rows, pa.int32()),
-                 pa.array(range(n, n + b.num_rows), pa.int64())], names=[*cols, "_pid", "_local"])
+                 pa.array(range(n, n + b.num_rows), pa.int64())], names=[*cols, "__pid", "__local"])
             n += b.num_rows
 
     ordered = df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
-    schema = df.schema.add("_pid", "int").add("_local", "bigint")
+    schema = StructType([*df.schema, StructField("__pid", IntegerType()), StructField("__local", LongType())])
     local = materialize(ordered.mapInArrow(number, schema), "rank")
-    base = partition_offsets(local.groupBy("_pid").agg(F.count(F.lit(1)).alias("total")))
-    return (local.join(F.broadcast(base), "_pid")
-            .withColumn(name, F.col("_local") + F.col("base"))
-            .drop("_pid", "_local", "base"))
+    base = partition_offsets(local.groupBy(F.col("__pid").alias("_pid")).agg(F.count(F.lit(1)).alias("total")))
+    base = base.select(F.col("_pid").alias("__pid"), F.col("base").alias("__base"))
+    return (local.join(F.broadcast(base), "__pid")
+            .withColumn(name, F.col("__local") + F.col("__base"))
+            .drop("__pid", "__local", "__base"))
 
 
 def partition_offsets(totals: DataFrame) -> DataFrame:

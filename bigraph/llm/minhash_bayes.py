@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bigraph.llm.common import arrow_map, discard, keyed, materialize
+from bigraph.llm.common import KEY, arrow_map, discard, keyed, materialize
 from bigraph.llm.components import components
 from bigraph.llm.kernels import SHINGLE_BITS, U64, chunks, mix, pack, shingle_sets, split_bytes, text_arrays
 
@@ -251,8 +251,30 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text",
     the first of the component is ``kept``.  Empty tables give no rows.
     Other columns are ignored.
     """
-    rows, names = keyed(docs, key, text)
-    rows = rows.select(F.col("_key").alias("key"), F.col(text).alias("text"))
+    table, plain = keyed(docs.select(key, text), key, text)
+    out = _components(table, text, threshold, miss)
+    kept = (F.col("key") == F.col("comp")).alias("kept")
+    if plain:
+        return out.select(F.col("key").alias(key), "n_shingles", F.col("comp").alias("component_id"), kept)
+    a = table.select(F.col(KEY).alias("key"), F.col(key).cast("bigint").alias("own"))
+    b = table.select(F.col(KEY).alias("comp"), F.col(key).cast("bigint").alias("first"))
+    return (out.join(a, "key").join(b, "comp")
+            .select(F.col("own").alias(key), "n_shingles", F.col("first").alias("component_id"), kept))
+
+
+def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: tuple[int, int] = THRESHOLD,
+               miss: float = MISS) -> DataFrame:
+    """The rows of ``docs`` (all columns) that are the first of their
+    component; the ids that go travel alone."""
+    table, _ = keyed(docs, key, text)
+    gone = (_components(table, text, threshold, miss).where(F.col("key") != F.col("comp"))
+            .select(F.col("key").alias(KEY)))
+    return table.join(gone, KEY, "left_anti").select(*docs.columns)
+
+
+def _components(table: DataFrame, text: str, threshold: tuple[int, int], miss: float) -> DataFrame:
+    """``key, n_shingles, comp`` of rows with a unique ``KEY``."""
+    rows = table.select(F.col(KEY).alias("key"), F.col(text).alias("text"))
     sig = materialize(arrow_map(rows, _signatures, "key bigint, n bigint, h1 bigint, h2 bigint, sig binary"), "sig")
     full = sig.where(F.col("n") > 0)
     classes = full.groupBy("h1", "h2").agg(F.min("key").alias("rep"))
@@ -277,13 +299,6 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text",
 
     of_class = classes.join(comps, F.col("rep") == F.col("node"), "left").select(
         "h1", "h2", F.coalesce("component", "rep").alias("comp"))
-    out = (sig.select("key", "n", "h1", "h2").join(of_class, ["h1", "h2"], "left")
-           .select("key", F.col("n").alias("n_shingles"),
-                   F.when(F.col("n") > 0, F.col("comp")).otherwise(F.col("key")).alias("comp")))
-    kept = (F.col("key") == F.col("comp")).alias("kept")
-    if names is None:
-        return out.select(F.col("key").alias(key), "n_shingles", F.col("comp").alias("component_id"), kept)
-    a = names.select(F.col("_key").alias("key"), F.col(key).alias("_own"))
-    b = names.select(F.col("_key").alias("comp"), F.col(key).alias("_first"))
-    return (out.join(a, "key").join(b, "comp")
-            .select(F.col("_own").alias(key), "n_shingles", F.col("_first").alias("component_id"), kept))
+    return (sig.select("key", "n", "h1", "h2").join(of_class, ["h1", "h2"], "left")
+            .select("key", F.col("n").alias("n_shingles"),
+                    F.when(F.col("n") > 0, F.col("comp")).otherwise(F.col("key")).alias("comp")))

@@ -65,9 +65,10 @@ def source_targets(docs: DataFrame, source: str = "source", text: str = "text",
 
 def mixed(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text", weights=WEIGHTS,
           repeat: int = REPEAT, seed: str = SEED) -> DataFrame:
-    """The rows of ``docs`` with ``_size, _source_size, _target, _copies``.
+    """The rows of ``docs`` with ``__mix_size, __mix_source_size,
+    __mix_target, __mix_copies``.
 
-    ``_copies`` is floor(rate) plus a Bernoulli copy whose draw is the first
+    ``__mix_copies`` is floor(rate) plus a Bernoulli copy whose draw is the first
     52 bits of MD5(seed, id) as a fraction, so reruns agree.
 
     Edge cases: a NULL text has size 0; NULL is a source of its own, after all
@@ -77,22 +78,22 @@ def mixed(docs: DataFrame, key: str = "doc_id", source: str = "source", text: st
     """
     targets = materialize(source_targets(docs, source, text, weights, repeat), "targets")
     small = targets.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES
-    t = targets.select(F.col("source").alias("_of"), F.col("source_size").alias("_source_size"),
-                       F.col("target").alias("_target"), F.col("rate").alias("_rate"))
-    out = docs.join(F.broadcast(t) if small else t, F.col(source).eqNullSafe(F.col("_of"))).drop("_of")
+    t = targets.select(F.col("source").alias("__mix_of"), F.col("source_size").alias("__mix_source_size"),
+                       F.col("target").alias("__mix_target"), F.col("rate").alias("__mix_rate"))
+    out = docs.join(F.broadcast(t) if small else t, F.col(source).eqNullSafe(F.col("__mix_of"))).drop("__mix_of")
     name = F.concat(F.lit(seed + ":"), F.coalesce(F.col(key).cast("string"), F.lit("null")))
     draw = F.conv(F.substring(F.md5(name), 1, 13), 16, 10).cast("bigint") / F.lit(float(1 << 52))
-    whole = F.floor(F.col("_rate"))
-    copies = whole + F.when(draw < F.col("_rate") - whole, 1).otherwise(0)
-    return out.withColumn("_size", sized(docs, text)).withColumn("_copies", copies.cast("int")).drop("_rate")
+    whole = F.floor(F.col("__mix_rate"))
+    copies = whole + F.when(draw < F.col("__mix_rate") - whole, 1).otherwise(0)
+    return out.withColumn("__mix_size", sized(docs, text)).withColumn("__mix_copies", copies.cast("int")).drop("__mix_rate")
 
 
 def emit(docs: DataFrame, **settings) -> DataFrame:
     """``docs`` with each row repeated (or left out) by its number of copies."""
     columns = docs.columns
     out = mixed(docs, **settings)
-    return (out.where(F.col("_copies") > 0)
-            .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
+    return (out.where(F.col("__mix_copies") > 0)
+            .withColumn("__mix_copy", F.explode(F.sequence(F.lit(1), F.col("__mix_copies"))))
             .select(*columns))
 
 

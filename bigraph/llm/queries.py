@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bigraph.llm import compression_bands, lm_interpolation, minhash_bayes, mixing, packing, suffix_pfp
+from bigraph.llm import compression_bands, lm_interpolation, minhash_bayes, mixing, packing, quality_nbsvm, suffix_pfp
 from bigraph.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,8 +43,8 @@ def op1(spark, sf_dir):
 @register("op3_mixing", mixing.mix_sql())
 def op3(spark, sf_dir):
     m = mixing.mixed(read_table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
-    return m.select("doc_id", F.col("_size").alias("size"), F.col("_source_size").alias("source_size"),
-                    F.col("_target").alias("target"), (F.col("_copies") * F.col("_size")).alias("taken"))
+    return m.select("doc_id", F.col("__mix_size").alias("size"), F.col("__mix_source_size").alias("source_size"),
+                    F.col("__mix_target").alias("target"), (F.col("__mix_copies") * F.col("__mix_size")).alias("taken"))
 
 
 @register("op4_suffix_pfp")
@@ -64,6 +64,12 @@ def op7(spark, sf_dir):
                          "offset", "padded_length")
 
 
+@register("op8_quality_nbsvm")
+def op8(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents")
+    return quality_nbsvm.quality_scores(docs, quality_nbsvm.fit(docs, read_table(spark, sf_dir, "labels")))
+
+
 @register("op9_lm_interpolation")
 def op9(spark, sf_dir):
     return lm_interpolation.interpolated_scores(read_table(spark, sf_dir, "documents"))

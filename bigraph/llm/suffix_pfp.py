@@ -37,7 +37,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bigraph.llm.common import arrow_map, discard, keyed, materialize, shuffle_partitions
+from bigraph.llm.common import KEY, arrow_map, discard, keyed, materialize, shuffle_partitions
 from bigraph.llm.kernels import U64, chunks, mix, powers, prefix_hash, span_hash, text_arrays
 
 LENGTH = 100
@@ -450,10 +450,9 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH, gram: int = GRAM, max_
 
 
 def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH,
-                   **settings) -> tuple[DataFrame, DataFrame, DataFrame | None]:
-    """``(rows, cuts, names)``: the documents as ``_key, text`` with unique
-    keys, what :func:`repeated_spans` finds for them (a table in the shared
-    folder), and the ids of the keys where they differ (else None).
+                   **settings) -> tuple[DataFrame, DataFrame]:
+    """``(table, cuts)``: ``docs`` with a unique ``KEY``, and what
+    :func:`repeated_spans` finds for them (a table in the shared folder).
 
     Edge cases: a NULL text is empty; texts under ``length`` bytes lose
     nothing.  NULL or repeated ids: every row is its own document, ordered by
@@ -461,25 +460,41 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
     never cross documents.  Empty tables give no rows.  Cuts are by bytes and
     may part a character.
     """
-    rows, names = keyed(docs, key, text)
-    rows = rows.select("_key", F.col(text).alias("text"))
-    return rows, materialize(repeated_spans(rows, length, **settings), "cuts"), names
+    table, _ = keyed(docs, key, text)
+    rows = table.select(F.col(KEY).alias("_key"), F.col(text).alias("text"))
+    return table, materialize(repeated_spans(rows, length, **settings), "cuts")
+
+
+def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH,
+                    **settings) -> DataFrame:
+    """``docs`` (all columns) with the remaining text; a character that a cut
+    has parted goes with it, a NULL text stays NULL."""
+    table, cuts = remove_repeats(docs, key, text, length, **settings)
+    cut = cuts.where(F.col("n_removed") > 0).select(F.col("_key").alias(KEY), F.col("kept").alias("__llm_kept"))
+    place = docs.columns.index(text)
+
+    def decode(batch: pa.RecordBatch):
+        kept = batch.column(batch.num_columns - 1)
+        texts = [k.decode("utf-8", "ignore") if k is not None else t
+                 for k, t in zip(kept.to_pylist(), batch.column(place).to_pylist())]
+        columns = list(batch.columns[:-1])
+        columns[place] = pa.array(texts, pa.string())
+        yield pa.RecordBatch.from_arrays(columns, names=docs.columns)
+
+    joined = table.join(cut, KEY, "left").select(*docs.columns, "__llm_kept")
+    return arrow_map(joined, decode, docs.schema)
 
 
 def removal_digest(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH,
                    **settings) -> DataFrame:
     """``key, n_bytes, n_removed, n_spans, kept_sha256`` for every row; only
     affected documents' texts are shuffled for it."""
-    rows, cuts, names = remove_repeats(docs, key, text, length, **settings)
-    whole = F.coalesce(F.col("text"), F.lit("")).cast("binary")
-    base = rows.select("_key", F.octet_length(whole).cast("bigint").alias("n_bytes"), F.sha2(whole, 256).alias("sha"))
-    cut = cuts.select("_key", "n_removed", "n_spans", F.sha2("kept", 256).alias("cut_sha"))
+    table, cuts = remove_repeats(docs.select(key, text), key, text, length, **settings)
+    whole = F.coalesce(F.col(text), F.lit("")).cast("binary")
+    base = table.select(KEY, F.col(key).cast("bigint").alias(key), F.octet_length(whole).cast("bigint").alias("n_bytes"),
+                        F.sha2(whole, 256).alias("sha"))
+    cut = cuts.select(F.col("_key").alias(KEY), "n_removed", "n_spans", F.sha2("kept", 256).alias("cut_sha"))
     zero = F.lit(0).cast("bigint")
-    out = base.join(cut, "_key", "left").select(
-        "_key", "n_bytes", F.coalesce("n_removed", zero).alias("n_removed"),
+    return base.join(cut, KEY, "left").select(
+        key, "n_bytes", F.coalesce("n_removed", zero).alias("n_removed"),
         F.coalesce("n_spans", zero).alias("n_spans"), F.coalesce("cut_sha", "sha").alias("kept_sha256"))
-    if names is not None:
-        out = out.join(names, "_key")
-    else:
-        out = out.withColumn(key, F.col("_key"))
-    return out.select(key, "n_bytes", "n_removed", "n_spans", "kept_sha256")
