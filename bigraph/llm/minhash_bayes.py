@@ -11,9 +11,9 @@ the verified links.
 A bucket's pairs are never listed.  First every member meets the smallest and
 the largest member of its bucket (linear).  After the components of those
 links are known, only members outside their bucket's largest component still
-need partners: they are compared, block by block inside tasks, with the
-members of other components, and just the pairs that survive the signature
-test leave the task.  No link that could join two components is skipped.
+need partners: they are compared and verified, block by block inside tasks,
+with the members of other components, and only links that join two components
+leave the task.  No link that could join two components is skipped.
 
 A pair of similarity 0.85 shares no band with probability 8e-7, and each of
 the six signature tests drops it with probability under ``miss``.
@@ -38,7 +38,7 @@ HASHES = BANDS * ROWS
 BATCH = 20                  # signature entries per sequential test
 MISS = 1e-5                 # posterior probability under which a pair is dropped
 THRESHOLD = (85, 100)       # similarity as a fraction
-BLOCK = 1024                # bucket members compared at once inside a task
+BLOCK = 512                 # bucket members and seekers that a task compares
 
 _SEEDS = mix(np.arange(1, HASHES + 1, dtype=U64) * U64(0x9E3779B97F4A7C15)) | U64(1)
 _BAND_SEEDS = mix(np.arange(1001, 1001 + ROWS, dtype=U64) * U64(0x9E3779B97F4A7C15)) | U64(1)
@@ -154,60 +154,72 @@ def _exact(num: int, den: int):
     return run
 
 
-def verify(pairs: DataFrame, signatures: DataFrame, rows: DataFrame, threshold: tuple[int, int], miss: float,
-           tested: bool = False) -> DataFrame:
-    """The pairs ``a, b`` whose full sets reach the threshold.  ``tested``
-    pairs have passed the signature tests already."""
+def verify(pairs: DataFrame, signatures: DataFrame, sets: DataFrame, threshold: tuple[int, int],
+           miss: float) -> DataFrame:
+    """The pairs ``a, b`` that pass the signature tests and whose full sets
+    reach the threshold."""
     least = least_matches(threshold[0] / threshold[1], miss)
-    if not tested:
-        sa = signatures.select(F.col("key").alias("a"), F.col("sig").alias("sa"))
-        sb = signatures.select(F.col("key").alias("b"), F.col("sig").alias("sb"))
-
-        def sieve(batch: pa.RecordBatch):
-            if batch.num_rows:
-                s = [np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint32).reshape(batch.num_rows, -1)
-                     for k in (2, 3)]
-                ok = _sequential(least, *s)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(batch.column(k).to_numpy()[ok]) for k in (0, 1)], names=["a", "b"])
-
-        joined = pairs.join(sa, "a").join(sb, "b").select("a", "b", "sa", "sb")
-        pairs = materialize(arrow_map(joined, sieve, "a bigint, b bigint"), "survivors")
-    ends = pairs.select(F.col("a").alias("key")).union(pairs.select(F.col("b").alias("key"))).distinct()
-    texts = rows.join(ends.hint("shuffle_hash"), "key", "left_semi").select("key", "text")
-    sets = materialize(arrow_map(texts, _sets, "key bigint, members binary"), "sets")
+
+    def sieve(batch: pa.RecordBatch):
+        if batch.num_rows:
+            s = [np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint32).reshape(batch.num_rows, -1)
+                 for k in (2, 3)]
+            ok = _sequential(least, *s)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(batch.column(k).to_numpy()[ok]) for k in (0, 1)], names=["a", "b"])
+
+    sa = signatures.select(F.col("key").alias("a"), F.col("sig").alias("sa"))
+    sb = signatures.select(F.col("key").alias("b"), F.col("sig").alias("sb"))
+    joined = pairs.join(sa, "a").join(sb, "b").select("a", "b", "sa", "sb")
+    pairs = materialize(arrow_map(joined, sieve, "a bigint, b bigint"), "survivors")
     left = sets.select(F.col("key").alias("a"), F.col("members").alias("ma"))
     right = sets.select(F.col("key").alias("b"), F.col("members").alias("mb"))
     joined = pairs.join(left, "a").join(right, "b").select("a", "b", "ma", "mb")
-    links = materialize(arrow_map(joined, _exact(*threshold), "a bigint, b bigint"), "verified")
-    discard(sets)
-    return links
+    return materialize(arrow_map(joined, _exact(*threshold), "a bigint, b bigint"), "verified")
 
 
-def _across(least: np.ndarray):
-    """Signature-tested pairs between members of a bucket that lie in
-    different components; rows ``bucket, block, key, comp, role, sig``."""
+def _across(least: np.ndarray, num: int, den: int):
+    """Verified links between members of a bucket that lie in different
+    components, as many as join them; rows ``bucket, block, key, comp, role,
+    sig, members``.  A pair is looked at in the first band that it shares."""
     def run(_, frame):
         role = frame.column("role").to_numpy()
         key, comp = frame.column("key").to_numpy(), frame.column("comp").to_numpy()
         sig = np.frombuffer(b"".join(frame.column("sig").to_pylist()), np.uint32).reshape(len(key), -1)
+        raw, off = text_arrays(frame.column("members"))
+        values, off = np.frombuffer(raw.tobytes(), U64), off // 8
+        size = np.diff(off)
+        bands = band_keys(sig)
+        bucket = frame.column("bucket")[0].as_py()
         seekers, members = np.flatnonzero(role == 0), np.flatnonzero(role == 1)
-        out_a, out_b = [], []
+        _, group = np.unique(comp, return_inverse=True)
+        root = np.arange(group.max() + 1)
+        out = []
         for s in seekers:
-            m = members[comp[members] != comp[s]]
-            for i in range(0, len(m), BLOCK):
-                part = m[i:i + BLOCK]
-                ok = part[_sequential(least, np.broadcast_to(sig[s], (len(part), sig.shape[1])), sig[part])]
-                out_a.append(np.minimum(key[s], key[ok]))
-                out_b.append(np.maximum(key[s], key[ok]))
-        a = np.concatenate(out_a) if out_a else np.zeros(0, np.int64)
-        b = np.concatenate(out_b) if out_b else np.zeros(0, np.int64)
-        return pa.table({"a": a, "b": b})
+            m = members[root[group[members]] != root[group[s]]]
+            m = m[_sequential(least, np.broadcast_to(sig[s], (len(m), sig.shape[1])), sig[m])]
+            shared = bands[m] == bands[s]
+            m = m[bands[m, shared.argmax(axis=1)] == bucket] if m.size else m
+            if not m.size:
+                continue
+            mine = values[off[s]:off[s + 1]]
+            at = np.repeat(off[m] - np.append(0, np.cumsum(size[m])[:-1]), size[m]) + np.arange(size[m].sum())
+            theirs = values[at]
+            place = np.minimum(np.searchsorted(mine, theirs), len(mine) - 1)
+            hit = np.concatenate(([0], np.cumsum(mine[place] == theirs)))
+            ends = np.cumsum(size[m])
+            inter = hit[ends] - hit[ends - size[m]]
+            for t in m[den * inter >= num * (size[s] + size[m] - inter)]:
+                here, there = root[group[s]], root[group[t]]
+                if here != there:
+                    root[root == there] = here
+                    out.append((min(key[s], key[t]), max(key[s], key[t])))
+        return pa.table({"a": pa.array([a for a, _ in out], pa.int64()), "b": pa.array([b for _, b in out], pa.int64())})
     return run
 
 
-def _leftovers(multi: DataFrame, comps: DataFrame, signatures: DataFrame, tested: DataFrame, threshold, miss):
-    """Signature-tested pairs that could still join two components."""
+def _leftovers(multi: DataFrame, comps: DataFrame, signatures: DataFrame, sets: DataFrame, threshold, miss):
+    """Verified links that join components which share a bucket."""
     here = (multi.join(comps.withColumnRenamed("node", "key"), "key", "left")
             .select("bucket", "key", F.coalesce("component", "key").alias("comp")))
     here = materialize(here, "members")
@@ -217,7 +229,7 @@ def _leftovers(multi: DataFrame, comps: DataFrame, signatures: DataFrame, tested
              .agg(F.max_by("comp", "n").alias("major"), F.sum("n").alias("size"), F.count(F.lit(1)).alias("comps"))
              .where((F.col("comps") > 1) & (F.col("size") > 3))
              .select("bucket", "major", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")))
-    held = here.join(mixed, "bucket").join(signatures.select("key", "sig"), "key")
+    held = here.join(mixed, "bucket").join(signatures, "key").join(sets, "key")
     block = F.pmod(F.xxhash64("key"), F.col("blocks").cast("bigint")).cast("int")
     # Members stand in one (seeker block, member block) row group per seeker
     # block; seekers are those outside the bucket's largest component.
@@ -227,13 +239,13 @@ def _leftovers(multi: DataFrame, comps: DataFrame, signatures: DataFrame, tested
     sblock = F.pmod(F.xxhash64("key"), F.col("seek_blocks").cast("bigint")).cast("int")
     all_of = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
     as_member = (held.join(n_seek, "bucket").withColumn("mb", block).withColumn("sb", all_of("seek_blocks"))
-                 .select("bucket", "sb", "mb", "key", "comp", F.lit(1).alias("role"), "sig"))
+                 .select("bucket", "sb", "mb", "key", "comp", F.lit(1).alias("role"), "sig", "members"))
     as_seeker = (seekers.join(n_seek, "bucket").withColumn("sb", sblock).withColumn("mb", all_of("blocks"))
-                 .select("bucket", "sb", "mb", "key", "comp", F.lit(0).alias("role"), "sig"))
+                 .select("bucket", "sb", "mb", "key", "comp", F.lit(0).alias("role"), "sig", "members"))
     least = least_matches(threshold[0] / threshold[1], miss)
     found = (as_member.unionByName(as_seeker).groupBy("bucket", "sb", "mb")
-             .applyInArrow(_across(least), "a bigint, b bigint").distinct())
-    return materialize(found.join(tested, ["a", "b"], "left_anti"), "across"), here
+             .applyInArrow(_across(least, *threshold), "a bigint, b bigint").distinct())
+    return materialize(found, "across"), here
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text",
@@ -289,13 +301,14 @@ def _components(table: DataFrame, text: str, threshold: tuple[int, int], miss: f
              .where(F.col("key") != F.col("other"))
              .select(F.least("key", "other").alias("a"), F.greatest("key", "other").alias("b")).distinct())
     pairs = materialize(pairs, "pairs")
-    links = verify(pairs, reps, rows, threshold, miss)
-    comps = components(links)
-    rest, members = _leftovers(met.select("bucket", "key"), comps, reps, pairs, threshold, miss)
-    if not rest.isEmpty():
-        more = verify(rest, reps, rows, threshold, miss, tested=True)
+    # Full sets of the documents that share a bucket with another: the only texts that are shuffled.
+    texts = rows.join(met.select("key").distinct().hint("shuffle_hash"), "key", "left_semi").select("key", "text")
+    sets = materialize(arrow_map(texts, _sets, "key bigint, members binary"), "sets")
+    comps = components(verify(pairs, reps, sets, threshold, miss))
+    more, members = _leftovers(met.select("bucket", "key"), comps, reps, sets, threshold, miss)
+    if not more.isEmpty():
         comps = components(comps.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
-    discard(met, members, reps, pairs)
+    discard(met, members, reps, pairs, sets)
 
     of_class = classes.join(comps, F.col("rep") == F.col("node"), "left").select(
         "h1", "h2", F.coalesce("component", "rep").alias("comp"))
