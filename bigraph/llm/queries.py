@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bigraph.llm import compression_bands, lm_interpolation, minhash_bayes, mixing, packing, quality_nbsvm, suffix_pfp
+from bigraph.llm import compression_bands, hnsw_dedup, lm_interpolation, minhash_bayes, mixing, packing, quality_nbsvm, suffix_pfp
 from bigraph.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,3 +73,8 @@ def op8(spark, sf_dir):
 @register("op9_lm_interpolation")
 def op9(spark, sf_dir):
     return lm_interpolation.interpolated_scores(read_table(spark, sf_dir, "documents"))
+
+
+@register("op10_hnsw_dedup")
+def op10(spark, sf_dir):
+    return hnsw_dedup.near_vectors(read_table(spark, sf_dir, "embeddings"))
