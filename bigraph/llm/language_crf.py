@@ -71,7 +71,7 @@ def word_features(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray, bits
     feats, of = [], []
 
     def add(kind, s, e, w):
-        h = span_hash(prefix, s, e) + U64(kind) * U64(0x9E3779B97F4A7C15)
+        h = span_hash(prefix, s, e) + U64(kind * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)
         feats.append((mix(h) >> shift).astype(np.int32))
         of.append(w)
 

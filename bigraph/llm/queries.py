@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bigraph.llm import compression_bands, hnsw_dedup, lm_interpolation, minhash_bayes, mixing, packing, quality_nbsvm, suffix_pfp
+from bigraph.llm import compression_bands, hnsw_dedup, language_crf, lm_interpolation, minhash_bayes, mixing, packing, quality_nbsvm, suffix_pfp
 from bigraph.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -78,3 +78,9 @@ def op9(spark, sf_dir):
 @register("op10_hnsw_dedup")
 def op10(spark, sf_dir):
     return hnsw_dedup.near_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
+@register("op2_language_crf")
+def op2(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents")
+    return language_crf.languages(docs, language_crf.fit(docs))
