@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from bigraph.llm.common import arrow_map
 from bigraph.llm.kernels import CHUNK_BYTES, U64, prefix_hash, span_hash, word_spans
 
-PAGES = 300                 # pages the labeller is trained on
+PAGES = 240                 # pages the labeller is trained on
 BITS = 12                   # hashed path tokens and words
 PATH_DIM, WORD_DIM, HIDDEN = 16, 8, 16
 EPOCHS = 10
@@ -320,7 +320,7 @@ def train(pages: list[list[tuple[tuple, str, int]]], labels: list[np.ndarray], e
     model, rng = Labeller.fresh(seed), np.random.default_rng(seed)
     p = model.params
     first, second = ({k: np.zeros_like(v) for k, v in p.items()} for _ in range(2))
-    step = 0
+    step, cache = 0, {}
     for _ in range(epochs):
         order = rng.permutation(len(pages))
         for at in range(0, len(order), BATCH_PAGES):
@@ -329,7 +329,7 @@ def train(pages: list[list[tuple[tuple, str, int]]], labels: list[np.ndarray], e
             chosen = [(b, y) for b, y in chosen if b]
             if not chosen:
                 continue
-            f = featurize([b for b, _ in chosen])
+            f = featurize([b for b, _ in chosen], cache)
             y = np.concatenate([y for _, y in chosen]).astype(float)
             x = model.inputs(f)
             runs = {w: _lstm(x, f["sizes"], p["x" + w], p["h" + w], p["c" + w], w == "b") for w in "fb"}
@@ -394,27 +394,30 @@ def recaster(pool: list[str]):
     from ``pool`` (sentences of the sample's pages)."""
     kinds = sorted(BOILERPLATE)
 
+    def one(rng, options):
+        return options[int(rng.integers(len(options)))]
+
     def named(rng, tag, words):
-        mark = str(rng.choice(words))
+        mark = one(rng, words)
         return (tag, *("." + w for w in mark.split()))
 
     def filler(rng, kind):
         """A few blocks of one kind, with the path below their container."""
-        tag = str(rng.choice(NATIVE[kind])) if rng.random() < 0.5 else str(rng.choice(["div", "section", "div", "ul"]))
+        tag = one(rng, NATIVE[kind]) if rng.random() < 0.5 else one(rng, ["div", "section", "div", "ul"])
         plain = tag in NATIVE[kind] and tag not in ("section",) and rng.random() < 0.5
         box = (tag,) if plain else named(rng, tag, BOILERPLATE[kind])
         out = []
         for _ in range(int(rng.integers(1, 7))):
-            text = str(rng.choice(pool))
+            text = pool[int(rng.integers(len(pool)))]
             words = text.split()
             short = kind in ("menu", "share", "form", "header") or rng.random() < 0.4
             text = " ".join(words[:int(rng.integers(1, 5))]) if short else text
             if kind == "menu" or (kind in ("sidebar", "footer", "share") and rng.random() < 0.5):
                 inner, linked = (("ul",), ("li",), ("a",)) if rng.random() < 0.7 else (("a",),), len(text)
             elif kind == "form":
-                inner, linked = ((str(rng.choice(["label", "button", "p", "option", "legend"])),),), 0
+                inner, linked = ((one(rng, ["label", "button", "p", "option", "legend"]),),), 0
             else:
-                inner, linked = ((str(rng.choice(["p", "div", "span", "li", "h3", "p"])),),), 0
+                inner, linked = ((one(rng, ["p", "div", "span", "li", "h3", "p"]),),), 0
                 if kind == "comments" and rng.random() < 0.5:
                     inner = (named(rng, "div", BOILERPLATE[kind]), *inner)
             out.append(((box, *inner), text, linked))
@@ -424,7 +427,7 @@ def recaster(pool: list[str]):
         if rng.random() < 0.25:
             return page, label
         style = rng.random()
-        box = named(rng, str(rng.choice(["div", "section", "div", "td"])), CONTAINERS)
+        box = named(rng, one(rng, ["div", "section", "div", "td"]), CONTAINERS)
         wrap = [("div", ".wrapper"), ("div", ".container"), ("div",), ("div", ".row")]
         outer = [wrap[i] for i in rng.integers(0, len(wrap), int(rng.integers(0, 3)))]
         cased, inside = [], None
@@ -447,7 +450,7 @@ def recaster(pool: list[str]):
         if not main:
             return page, label
         for _ in range(int(rng.integers(0, 5))):
-            kind = str(rng.choice(kinds))
+            kind = one(rng, kinds)
             within = inside and kind not in ("menu", "header", "footer") and rng.random() < 0.4
             base = inside if within else body
             new = [((*base, *path), text, linked, False) for path, text, linked in filler(rng, kind)]

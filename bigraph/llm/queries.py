@@ -12,7 +12,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bigraph.llm import compression_bands, hnsw_dedup, language_crf, lm_interpolation, minhash_bayes, mixing, packing, quality_nbsvm, suffix_pfp
+from bigraph.llm import (
+    compression_bands,
+    hnsw_dedup,
+    html_bilstm,
+    language_crf,
+    lm_interpolation,
+    minhash_bayes,
+    mixing,
+    packing,
+    quality_nbsvm,
+    suffix_pfp,
+)
 from bigraph.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -84,3 +95,9 @@ def op10(spark, sf_dir):
 def op2(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents")
     return language_crf.languages(docs, language_crf.fit(docs))
+
+
+@register("op6_html_bilstm")
+def op6(spark, sf_dir):
+    pages = read_table(spark, sf_dir, "pages")
+    return html_bilstm.main_text(pages, html_bilstm.fit(pages))
