@@ -2,7 +2,7 @@
 
 from bigraph.functions.collect import (
     DEFAULT_MAX_ENTRIES,
-    hot_side,
+    hot_keys,
     n_parts,
     part_of,
     sorted_entries_text,
@@ -14,7 +14,7 @@ __all__ = [
     "DEFAULT_MAX_ENTRIES",
     "adjacent_pairs",
     "bigram_key",
-    "hot_side",
+    "hot_keys",
     "n_parts",
     "normalize_text",
     "part_of",

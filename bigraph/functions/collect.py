@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_MAX_ENTRIES = 100_000
+MAX_HOT_KEYS = 1_000_000   # rows of a broadcast table of hot keys (some 50 MB)
 
 
 def n_parts(group_size: Column, max_entries: int) -> Column:
@@ -43,17 +44,14 @@ def sorted_list_text(a: Column) -> Column:
     return F.array_join(F.transform(F.array_sort(a), lambda x: x.cast("string")), ",")
 
 
-def hot_side(df: DataFrame) -> DataFrame:
-    """The table of hot keys, as the small side of a join.
+def hot_keys(sizes: DataFrame, size: str, key: str, max_entries: int, max_keys: int = MAX_HOT_KEYS) -> DataFrame:
+    """The largest keys of a size table with more than ``max_entries`` entries,
+    at most ``max_keys`` of them, hinted for broadcast.
 
-    With adaptive execution (the default) Spark broadcasts it only when its
-    measured size is under ``spark.sql.adaptive.autoBroadcastJoinThreshold``
-    and shuffle-joins it otherwise: a size check with another way beyond it.
-    Without adaptive execution it is hinted, on its bound of
-    ``rows / max_entries`` rows.
+    The bound holds by construction, whatever the data and the session's
+    thresholds.  A key that is passed over has no more entries than each of
+    the ``max_keys`` larger ones, so under ``rows / max_keys``; it is treated
+    like any other key, nothing is dropped.
     """
-    try:
-        adaptive = df.sparkSession.conf.get("spark.sql.adaptive.enabled", "true").lower() == "true"
-    except Exception:
-        adaptive = True
-    return df if adaptive else F.broadcast(df)
+    return F.broadcast(sizes.where(F.col(size) > max_entries)
+                       .orderBy(F.desc(size), F.asc(key)).limit(max_keys))

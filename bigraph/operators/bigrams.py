@@ -15,20 +15,14 @@ Scale notes
 * Totals per word are a second partial aggregate over the counts (one row per
   word leaves each task); the same aggregate counts each word's followers.
   Words with more than ``max_entries`` followers are "hot": their totals form
-  a table of at most ``rows(counts) / max_entries`` rows, which adaptive
-  execution broadcasts after measuring it (a shuffle join beyond its
-  threshold), and their counts are divided in place.  Only the other words take the equi-join
-  on ``word`` (a broadcast join when adaptive execution finds the totals
-  small), so no word puts more than ``max_entries`` rows into one task.
-* A stripe is a collected group.  Words whose follower count is above
-  ``max_entries`` are cut into ``ceil(n_next / max_entries)`` parts by a hash
-  of the follower, and the shuffle goes on ``(word, part)``, so no task holds
-  more than about ``max_entries`` entries of one word.  The table of such hot
-  words (at most ``rows(counts) / max_entries`` rows) is broadcast on its
-  measured size.
-* Top-k per word ranks within ``(word, salt)`` first, then over at most
-  ``k * salts`` survivors per word, so a hot word never sorts in one task.
-  From counts, only the survivors meet the word totals.
+  a broadcast table that is cut at ``MAX_HOT_KEYS`` rows, and their rows are
+  salted over the join on ``word``.
+* A stripe is a collected group.  Hot words are cut into
+  ``ceil(n_next / max_entries)`` parts by a hash of the follower, and the
+  shuffle goes on ``(word, part)``, so no task holds more than about
+  ``max_entries`` entries of one word.
+* Top-k per word: every task keeps its own best ``k`` of a word before the one
+  shuffle on ``word``.  From counts, only the survivors meet the word totals.
 """
 
 from __future__ import annotations
@@ -40,14 +34,14 @@ from bigraph.functions import (
     DEFAULT_MAX_ENTRIES,
     adjacent_pairs,
     bigram_key,
-    hot_side,
+    hot_keys,
     n_parts,
     normalize_text,
     part_of,
     tokenize,
 )
 
-DEFAULT_TOP_K_SALTS = 16
+SALTS = 1 << 20   # spread of a hot word's rows over the tasks of a join
 
 
 def normalized_documents(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -84,24 +78,20 @@ def word_totals(counts: DataFrame) -> DataFrame:
 def bigram_probabilities(counts: DataFrame, max_entries: int = DEFAULT_MAX_ENTRIES) -> DataFrame:
     """``word, next_word, probability`` from pair counts.
 
-    One aggregate per word gives the total and the number of followers.  Hot
-    words (more than ``max_entries`` followers; at most
-    ``rows(counts) / max_entries`` of them) are joined with their totals as a
-    small side (broadcast on its measured size) and their rows are divided
-    where they lie; only the other words go through
-    the equi-join on ``word``, so no word sends more than ``max_entries`` rows
-    to one task.
+    One aggregate per word gives the total and the number of followers.  Rows
+    of hot words (more than ``max_entries`` followers) take their total from a
+    broadcast table of bounded size; they enter the equi-join on ``word`` with
+    a salt that no total has, so they are spread over its tasks and no word
+    sends more than about ``max_entries`` rows to one.
     """
     totals = counts.groupBy("word").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("n_next"))
-    hot = totals.where(F.col("n_next") > max_entries).select("word", F.col("total").alias("hot_total"))
-    tagged = counts.join(hot_side(hot), "word", "left")
-    hot_rows = (tagged.where(F.col("hot_total").isNotNull())
-                .select("word", "next_word", (F.col("n") / F.col("hot_total")).alias("probability")))
-    cold_totals = totals.where(F.col("n_next") <= max_entries).select("word", "total")
-    cold_rows = (tagged.where(F.col("hot_total").isNull()).select("word", "next_word", "n")
-                 .join(cold_totals, "word")
-                 .select("word", "next_word", (F.col("n") / F.col("total")).alias("probability")))
-    return hot_rows.unionByName(cold_rows)
+    hot = hot_keys(totals, "n_next", "word", max_entries).select("word", F.col("total").alias("hot_total"))
+    salt = F.when(F.col("hot_total").isNull(), F.lit(0)).otherwise(
+        1 + F.pmod(F.xxhash64("next_word"), F.lit(SALTS))).cast("int")
+    tagged = counts.join(hot, "word", "left").withColumn("salt", salt)
+    plain = totals.select("word", F.lit(0).alias("salt"), "total")
+    return (tagged.join(plain, ["word", "salt"], "left")
+            .select("word", "next_word", (F.col("n") / F.coalesce("hot_total", "total")).alias("probability")))
 
 
 def stripes(counts: DataFrame, max_entries: int = DEFAULT_MAX_ENTRIES) -> DataFrame:
@@ -110,14 +100,15 @@ def stripes(counts: DataFrame, max_entries: int = DEFAULT_MAX_ENTRIES) -> DataFr
     Words with at most ``max_entries`` followers have one stripe (part 0 of 1)
     and ``total`` is the sum of its values.  Hotter words have ``parts``
     stripes that together hold every follower; their ``total`` (the word's
-    total over all parts) comes with the hot-word table.
+    total over all parts) comes with the hot-word table.  Should there be more
+    than ``MAX_HOT_KEYS`` such words, the smaller ones stay one stripe.
     """
     sizes = counts.groupBy("word").agg(F.count(F.lit(1)).alias("n_next"), F.sum("n").alias("hot_total"))
-    hot = (sizes.where(F.col("n_next") > max_entries)
+    hot = (hot_keys(sizes, "n_next", "word", max_entries)
            .select("word", n_parts(F.col("n_next"), max_entries).alias("hot_parts"), "hot_total"))
     part = (F.when(F.col("hot_parts").isNull(), F.lit(0))
             .otherwise(part_of(F.col("next_word"), F.col("hot_parts"))))
-    tagged = (counts.join(hot_side(hot), "word", "left")
+    tagged = (counts.join(hot, "word", "left")
               .select("word", "next_word", "n", part.alias("part"),
                       F.coalesce(F.col("hot_parts"), F.lit(1)).alias("parts"), "hot_total"))
     collected = (tagged.groupBy("word", "part", "parts", "hot_total")
@@ -154,28 +145,23 @@ def next_words(probs: DataFrame, word: str) -> DataFrame:
             .orderBy(F.desc("probability"), F.asc("next_word")))
 
 
-def _top_k_per_word(df: DataFrame, k: int, order: list, salts: int) -> DataFrame:
-    """Rows with ``rank`` 1..k per ``word`` under ``order``: the best ``k``
-    within each ``(word, salt)`` group first, then the best ``k`` of those."""
-    salted = df.withColumn("salt", F.pmod(F.xxhash64("next_word"), F.lit(salts)))
-    first = (salted.repartition("word", "salt")
-             .withColumn("rank", F.row_number().over(Window.partitionBy("word", "salt").orderBy(*order)))
-             .where(F.col("rank") <= k)
-             .drop("rank", "salt"))
-    return (first.withColumn("rank", F.row_number().over(Window.partitionBy("word").orderBy(*order)))
+def _top_k_per_word(df: DataFrame, k: int, order: list) -> DataFrame:
+    """Rows with ``rank`` 1..k per ``word`` under ``order``.  Spark limits each
+    group inside every task before the shuffle on ``word``, so at most ``k``
+    rows per word and task move."""
+    return (df.withColumn("rank", F.row_number().over(Window.partitionBy("word").orderBy(*order)))
             .where(F.col("rank") <= k))
 
 
-def top_next_words(probs: DataFrame, k: int, salts: int = DEFAULT_TOP_K_SALTS) -> DataFrame:
+def top_next_words(probs: DataFrame, k: int) -> DataFrame:
     """The ``k`` most likely followers of every word, with ``rank`` 1..k.
 
-    Ties are broken by ``next_word``.  Two rounds: the best ``k`` within each
-    ``(word, salt)`` group, then the best ``k`` of those per word.
+    Ties are broken by ``next_word``.
     """
-    return _top_k_per_word(probs, k, [F.desc("probability"), F.asc("next_word")], salts)
+    return _top_k_per_word(probs, k, [F.desc("probability"), F.asc("next_word")])
 
 
-def top_next_words_from_counts(counts: DataFrame, k: int, salts: int = DEFAULT_TOP_K_SALTS) -> DataFrame:
+def top_next_words_from_counts(counts: DataFrame, k: int) -> DataFrame:
     """Same result as ``top_next_words(bigram_probabilities(counts), k)``.
 
     Within a word the probability order is the count order (one positive
@@ -184,7 +170,7 @@ def top_next_words_from_counts(counts: DataFrame, k: int, salts: int = DEFAULT_T
     most ``k`` survivors per word are joined with the word totals.  The full
     table of counts is never joined with the totals.
     """
-    best = _top_k_per_word(counts, k, [F.desc("n"), F.asc("next_word")], salts)
+    best = _top_k_per_word(counts, k, [F.desc("n"), F.asc("next_word")])
     totals = word_totals(counts)
     return (best.join(totals, "word")
             .select("word", "next_word", (F.col("n") / F.col("total")).alias("probability"), "rank"))

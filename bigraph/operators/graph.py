@@ -11,14 +11,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bigraph.functions import DEFAULT_MAX_ENTRIES, hot_side, n_parts, part_of
+from bigraph.functions import DEFAULT_MAX_ENTRIES, hot_keys, n_parts, part_of
+
+
+def node_degrees(edges: DataFrame, mult: str | None = None) -> DataFrame:
+    """``node, out_degree, links`` of every node from one pass over the edges:
+    each edge becomes a row for its source and one for its target, and a
+    map-side combined sum makes node set, degrees and dangling nodes fall out
+    of one shuffle.  ``mult`` names a column with the copies of an edge;
+    ``links`` counts edge rows."""
+    copies = F.col(mult) if mult else F.lit(1).cast("bigint")
+    ends = F.explode(F.array(F.struct(F.col("src").alias("node"), copies.alias("deg"), F.lit(1).alias("row")),
+                             F.struct(F.col("dst").alias("node"), F.lit(0).cast("bigint").alias("deg"),
+                                      F.lit(0).alias("row"))))
+    return (edges.select(ends.alias("e")).groupBy(F.col("e.node").alias("node"))
+            .agg(F.sum("e.deg").alias("out_degree"), F.sum("e.row").alias("links")))
 
 
 def node_set(edges: DataFrame) -> DataFrame:
     """``node``: sources and targets, each once."""
-    return (edges.select(F.col("src").alias("node"))
-            .union(edges.select(F.col("dst").alias("node")))
-            .distinct())
+    return edges.select(F.explode(F.array("src", "dst")).alias("node")).distinct()
 
 
 def graph_stats(edges: DataFrame) -> DataFrame:
@@ -31,15 +43,12 @@ def graph_stats(edges: DataFrame) -> DataFrame:
 def out_degrees(edges: DataFrame) -> DataFrame:
     """``node, out_degree`` for every node; dangling nodes have 0.
     Duplicate edges count twice, self-loops count."""
-    deg = edges.groupBy(F.col("src").alias("node")).agg(F.count(F.lit(1)).alias("out_degree"))
-    return (node_set(edges).join(deg, "node", "left")
-            .select("node", F.coalesce(F.col("out_degree"), F.lit(0)).cast("bigint").alias("out_degree")))
+    return node_degrees(edges).select("node", "out_degree")
 
 
 def dangling_nodes(edges: DataFrame) -> DataFrame:
-    """``node``: nodes without out-links (F3, J3 as an anti join)."""
-    sources = edges.select(F.col("src").alias("node")).distinct()  # combined map-side: no hot key
-    return node_set(edges).join(sources, "node", "left_anti")
+    """``node``: nodes without out-links."""
+    return node_degrees(edges).where(F.col("out_degree") == 0).select("node")
 
 
 def count_nodes(edges: DataFrame) -> int:
@@ -57,19 +66,19 @@ def adjacency(edges: DataFrame, n_nodes: int | None = None,
     parts, so the ranks still sum to 1.  A node with more than ``max_entries``
     out-links gets ``parts`` rows whose lists together hold every link, so no
     row or task carries a whole hub; copies of one link are spread over the
-    parts in chunks of at most ``max_entries``.  The table of hubs (at most
-    ``rows(edges) / max_entries`` rows) is broadcast on its measured size.
+    parts in chunks of at most ``max_entries``.  The table of hubs is broadcast
+    and cut at ``MAX_HOT_KEYS`` rows; smaller hubs beyond it stay one row.
     """
-    if n_nodes is None:
-        n_nodes = count_nodes(edges)
     # Copies of a link are combined map-side, then cut into chunks of at most
     # ``max_entries`` copies, so neither a hub nor a pile of copies of one link
     # makes an unbounded list.
     weighted = edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("mult"))
-    deg = weighted.groupBy("src").agg(F.sum("mult").alias("deg"))
-    hubs = (deg.where(F.col("deg") > max_entries)
-            .select("src", n_parts(F.col("deg"), max_entries).alias("hub_parts")))
-    chunks = (weighted.join(hot_side(hubs), "src", "left")
+    degrees = node_degrees(weighted, "mult")
+    n = (degrees.agg(F.greatest(F.count(F.lit(1)), F.lit(1)).alias("n")) if n_nodes is None
+         else edges.sparkSession.range(1).select(F.lit(max(n_nodes, 1)).alias("n")))
+    hubs = (hot_keys(degrees, "out_degree", "node", max_entries)
+            .select(F.col("node").alias("src"), n_parts(F.col("out_degree"), max_entries).alias("hub_parts")))
+    chunks = (weighted.join(hubs, "src", "left")
               .select("src", "dst", "mult", "hub_parts",
                       F.explode(F.sequence(F.lit(0), n_parts(F.col("mult"), max_entries) - 1)).alias("chunk")))
     copies = F.least(F.lit(max_entries).cast("bigint"), F.col("mult") - F.col("chunk") * F.lit(max_entries))
@@ -78,18 +87,17 @@ def adjacency(edges: DataFrame, n_nodes: int | None = None,
     part = F.when(F.col("hub_parts").isNull(), F.lit(0)).otherwise(part_of(key, F.col("hub_parts")))
     links = chunks.select(F.col("src").alias("node"), F.array_repeat("dst", copies.cast("int")).alias("dsts"),
                           part.alias("part"), F.coalesce(F.col("hub_parts"), F.lit(1)).alias("parts"))
-    # One header row per hub (no link) makes part 0 exist for every node, so
-    # the rank can sit on part 0.
-    headers = hubs.select(F.col("src").alias("node"), F.array().cast(links.schema["dsts"].dataType).alias("dsts"),
-                          F.lit(0).alias("part"), F.col("hub_parts").alias("parts"))
+    # A header row without links makes part 0 exist for every node, hubs and
+    # mere targets too, so the rank can sit on it.
+    headers = degrees.join(hubs, F.col("node") == F.col("src"), "left").select(
+        "node", F.array().cast(links.schema["dsts"].dataType).alias("dsts"),
+        F.lit(0).alias("part"), F.coalesce(F.col("hub_parts"), F.lit(1)).alias("parts"))
     lists = (links.unionByName(headers)
              .groupBy("node", "part", "parts")
              .agg(F.flatten(F.collect_list("dsts")).alias("out_links")))
-    only_targets = (dangling_nodes(edges)
-                    .select("node", F.lit(0).alias("part"), F.lit(1).alias("parts"),
-                            F.array().cast(lists.schema["out_links"].dataType).alias("out_links")))
-    rank = F.when(F.col("part") == 0, F.lit(1.0 / max(n_nodes, 1)))  # an empty graph has no rows
-    return lists.unionByName(only_targets).withColumn("page_rank", rank)
+    rank = F.when(F.col("part") == 0, F.lit(1.0) / F.col("n"))
+    return (lists.crossJoin(F.broadcast(n)).withColumn("page_rank", rank)   # one row: the number of nodes
+            .select("node", "part", "parts", "out_links", "page_rank"))
 
 
 def initial_ranks(edges: DataFrame, n_nodes: int | None = None) -> DataFrame:

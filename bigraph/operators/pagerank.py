@@ -22,10 +22,10 @@ Physical design of the loop
   ``[0, splits(src))`` from a hash of ``dst``, where ``splits`` grows with the
   number of distinct targets (``ceil(links / split_edges)``), and the edges are
   hash-partitioned on ``(src, salt)`` into partitions of about
-  ``edges_per_partition`` edges and cached.  A hub's edges are thus
-  spread over many tasks; the table of hubs (at most
-  ``rows(edges) / split_edges`` rows) is broadcast on its measured size
-  while laying out.
+  ``edges_per_partition`` edges, checkpointed in the shared folder and cached:
+  an executor that is lost takes cached copies with it, not the layout.  A
+  hub's edges are spread over many tasks; the table of hubs is broadcast while
+  laying out and cut at ``MAX_HOT_KEYS`` rows.
 * The state is ``node, out_degree, splits, page_rank``.  A round sends each
   node's share ``PR / outdeg`` to its ``splits`` salts (a shuffle of about
   ``n`` rows) and joins it to the cached edges in place (the edges never move
@@ -34,17 +34,19 @@ Physical design of the loop
   in-hub is no hot key): that single shuffle yields the whole new state, with
   no join back.
 * ``D`` is a one-row aggregate joined as a broadcast single row.
+* The node table comes from one pass over the edges (``node_degrees``).
 * Each round's state is written as a Parquet table under the shared folder
   named by ``spark.checkpoint.dir`` and read back, which cuts the lineage (the
   plan does not grow with the rounds) and means a lost executor only costs
-  the current round.  One pass per round writes compressed columns; the
-  previous round's table is deleted once the next one exists.  The state
+  the current round.  One pass per round writes compressed columns; a
+  round's table is deleted once the next one is written and measured.  The state
   read back is shuffled on ``node`` for the left join (about ``n`` rows); the
   edges, the big side, stay where the layout put them.
 """
 
 from __future__ import annotations
 
+import logging
 import uuid
 from dataclasses import dataclass, field
 
@@ -52,10 +54,12 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bigraph.functions import hot_side
-from bigraph.operators.graph import node_set
+from bigraph.functions import hot_keys
+from bigraph.operators.graph import node_degrees
 from bigraph.session import checkpoint_dir
 
+log = logging.getLogger(__name__)
+
 DEFAULT_SPLIT_EDGES = 100_000
 DEFAULT_EDGES_PER_PARTITION = 4_000_000   # about 100 MB of (src, salt, dst) rows
 DEFAULT_DAMPING = 0.85
@@ -83,23 +87,27 @@ def _weighted(edges: DataFrame, dedupe_edges: bool = False) -> DataFrame:
 
 
 def _degrees(weighted: DataFrame, split_edges: int) -> DataFrame:
-    """``node, out_degree, links, splits`` for nodes with out-links:
-    ``out_degree`` counts copies, ``links`` distinct targets (what salts can
-    spread)."""
-    return (weighted.groupBy(F.col("src").alias("node"))
-            .agg(F.sum("mult").alias("out_degree"), F.count(F.lit(1)).alias("links"))
-            .withColumn("splits", _splits(F.col("links"), split_edges)))
+    """``node, out_degree, links, splits`` of every node: ``out_degree``
+    counts copies, ``links`` distinct targets (what salts can spread)."""
+    return node_degrees(weighted, "mult").withColumn("splits", _splits(F.col("links"), split_edges))
+
+
+def _bounded(deg: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The node table with ``splits`` 1 for hubs that the bounded broadcast
+    table passes over, and that table (``src, hub_splits``)."""
+    hubs = hot_keys(deg.where(F.col("splits") > 1), "links", "node", 0).select(
+        F.col("node").alias("src"), F.col("splits").alias("hub_splits"))
+    nodes = (deg.drop("splits").join(hubs, F.col("node") == F.col("src"), "left")
+             .withColumn("splits", F.coalesce("hub_splits", F.lit(1))).drop("src", "hub_splits"))
+    return nodes, hubs
 
 
-def _salted(weighted: DataFrame, deg: DataFrame) -> DataFrame:
+def _salted(weighted: DataFrame, hubs: DataFrame) -> DataFrame:
     """``src, salt, dst, mult``: a hub's distinct targets spread over
-    ``splits(src)`` salts by a hash of ``dst``; the hub table (at most
-    ``rows(edges) / split_edges`` rows) is broadcast on its measured size."""
-    hubs = (deg.where(F.col("splits") > 1)
-            .select(F.col("node").alias("src"), F.col("splits").alias("hub_splits")))
+    ``splits(src)`` salts by a hash of ``dst``."""
     salt = (F.when(F.col("hub_splits").isNull(), F.lit(0))
             .otherwise(F.pmod(F.xxhash64("dst"), F.col("hub_splits").cast("bigint")).cast("int")))
-    return weighted.join(hot_side(hubs), "src", "left").select("src", salt.alias("salt"), "dst", "mult")
+    return weighted.join(hubs, "src", "left").select("src", salt.alias("salt"), "dst", "mult")
 
 
 def _shares(state: DataFrame) -> DataFrame:
@@ -124,12 +132,17 @@ def rank_contributions(edges: DataFrame, ranks: DataFrame,
     first; the edges meet the shares on ``(src, salt)``, so a hub's edges are
     spread over several tasks, and the sum per target is combined map-side.
     """
-    weighted = _weighted(edges.select("src", "dst"))
-    deg = _degrees(weighted, split_edges)
-    state = ranks.join(deg, "node")
-    return (_salted(weighted, deg).join(_shares(state), ["src", "salt"])
+    return _contributions(_weighted(edges.select("src", "dst")), ranks, split_edges)[0]
+
+
+def _contributions(weighted: DataFrame, ranks: DataFrame, split_edges: int) -> tuple[DataFrame, DataFrame]:
+    """The sums, and ``ranks`` with each node's degree."""
+    nodes, hubs = _bounded(_degrees(weighted, split_edges))
+    state = ranks.join(nodes, "node", "left").withColumn("out_degree", F.coalesce("out_degree", F.lit(0)))
+    sums = (_salted(weighted, hubs).join(_shares(state), ["src", "salt"])
             .groupBy(F.col("dst").alias("node"))
             .agg(F.sum(_flow()).alias("incoming")))
+    return sums, state
 
 
 def dangling_mass(edges: DataFrame, ranks: DataFrame) -> DataFrame:
@@ -140,6 +153,12 @@ def dangling_mass(edges: DataFrame, ranks: DataFrame) -> DataFrame:
             .agg(F.coalesce(F.sum("page_rank"), F.lit(0.0)).alias("dangling_mass")))
 
 
+def _mass(state: DataFrame) -> DataFrame:
+    """One row: the rank held by nodes without out-links."""
+    return (state.where(F.col("out_degree") == 0)
+            .agg(F.coalesce(F.sum("page_rank"), F.lit(0.0)).alias("dangling_mass")))
+
+
 def _updated_rank(incoming, dangling, node, n_nodes: int, damping: float | None,
                   node_range: tuple[int, int] | None):
     """New rank expression from the incoming sum and the dangling mass."""
@@ -163,10 +182,10 @@ def rank_step(edges: DataFrame, ranks: DataFrame, damping: float | None = DEFAUL
     if n_nodes is None:
         n_nodes = ranks.count()
     n_nodes = max(n_nodes, 1)  # an empty graph has no rows to rank
-    inc = rank_contributions(edges, ranks)
+    inc, state = _contributions(_weighted(edges.select("src", "dst")), ranks, DEFAULT_SPLIT_EDGES)
     out = ranks.join(inc, "node", "left")
     if damping is not None:
-        out = out.crossJoin(F.broadcast(dangling_mass(edges, ranks)))
+        out = out.crossJoin(F.broadcast(_mass(state)))   # one row
         dangling = F.col("dangling_mass")
     else:
         dangling = F.lit(0.0)
@@ -218,26 +237,21 @@ def prepare_graph(edges: DataFrame, dedupe_edges: bool = False,
     """
     spark = edges.sparkSession
     # Copies of an edge become one row with their number; the result feeds
-    # three branches (node set, degrees, layout), so it is kept for the
-    # preparation only.
+    # the node table and the layout, so it is kept for the preparation only.
+    folder = checkpoint_dir(spark)
     weighted = _weighted(edges.select("src", "dst"), dedupe_edges).persist(StorageLevel.MEMORY_AND_DISK)
-    with_links = _degrees(weighted, split_edges)
-    deg = (node_set(weighted).join(with_links, "node", "left")
-           .select("node", F.coalesce(F.col("out_degree"), F.lit(0)).alias("out_degree"),
-                   F.coalesce(F.col("links"), F.lit(0)).alias("links"),
-                   F.coalesce(F.col("splits"), F.lit(1)).alias("splits")))
-    nodes = deg.persist(StorageLevel.MEMORY_AND_DISK)
+    deg, hubs = _bounded(_degrees(weighted, split_edges))
+    nodes = deg.checkpoint().persist(StorageLevel.MEMORY_AND_DISK)
     # One job fills the node cache and counts nodes and layout rows.
     sizes = nodes.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("links"), F.lit(0)).alias("m")).first()
     n_nodes, n_rows = int(sizes["n"]), int(sizes["m"])
     if partitions is None:
         partitions = max(_default_parallelism(spark), -(-n_rows // edges_per_partition))
-    layout = (_salted(weighted, nodes)
-              .repartition(partitions, "src", "salt")
+    layout = (_salted(weighted, hubs).repartition(partitions, "src", "salt").checkpoint()
               .persist(StorageLevel.MEMORY_AND_DISK))
     layout.count()
     weighted.unpersist()
-    run_dir = f"{checkpoint_dir(spark).rstrip('/')}/bigraph-pagerank-{uuid.uuid4().hex}"
+    run_dir = f"{folder.rstrip('/')}/bigraph-pagerank-{uuid.uuid4().hex}"
     return RankGraph(layout=layout, nodes=nodes, n_nodes=n_nodes, partitions=partitions, run_dir=run_dir)
 
 
@@ -268,9 +282,7 @@ def _round(graph: RankGraph, state: DataFrame, n_nodes: int, damping: float | No
         aggs.append(F.max("previous").alias("previous"))
     summed = flows.unionByName(carried).groupBy("node").agg(*aggs)
     if damping is not None:
-        mass = (state.where(F.col("out_degree") == 0)
-                .agg(F.coalesce(F.sum("page_rank"), F.lit(0.0)).alias("dangling_mass")))
-        summed = summed.crossJoin(F.broadcast(mass))
+        summed = summed.crossJoin(F.broadcast(_mass(state)))   # one row
         dangling = F.col("dangling_mass")
     else:
         dangling = F.lit(0.0)
@@ -282,14 +294,11 @@ def _round(graph: RankGraph, state: DataFrame, n_nodes: int, damping: float | No
 
 
 def _delete(spark, path: str) -> None:
-    """Remove a finished round's table (Hadoop FileSystem of the path); kept
-    when the session has no local JVM context."""
-    try:
-        jvm = spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-    except Exception:
-        pass
+    """Remove a finished round's table (Hadoop FileSystem of the path)."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.delete(p, True):
+        log.warning("could not delete %s", path)
 
 
 def _cut(graph: RankGraph, state: DataFrame) -> DataFrame:
@@ -298,8 +307,8 @@ def _cut(graph: RankGraph, state: DataFrame) -> DataFrame:
     spark = state.sparkSession
     path = f"{graph.run_dir}/round-{graph.rounds_written:05d}"
     state.write.mode("overwrite").parquet(path)
-    if graph.rounds_written > 1:
-        _delete(spark, f"{graph.run_dir}/round-{graph.rounds_written - 2:05d}")
+    if graph.rounds_written:
+        _delete(spark, f"{graph.run_dir}/round-{graph.rounds_written - 1:05d}")
     graph.rounds_written += 1
     return spark.read.schema(state.schema).parquet(path)
 

@@ -9,7 +9,6 @@ DOUBLE so both engines start from bit-identical values.
 from __future__ import annotations
 
 from bigraph.functions.collect import DEFAULT_MAX_ENTRIES
-from bigraph.sources.tables import MIN_QUANTITY
 
 ROUND = 12
 
@@ -71,14 +70,13 @@ deg AS (
 ),
 stats AS (SELECT min(node) AS min_node, max(node) AS max_node, count(*) AS n_nodes FROM nodes)"""
 
-EDGES_CTE = f"""li AS (
+EDGES_CTE = """edges AS (
   SELECT l_partkey AS src,
-         lead(l_partkey) OVER (PARTITION BY l_orderkey
-                               ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity) AS dst,
-         l_quantity
+         coalesce(lead(l_partkey) OVER (PARTITION BY l_orderkey
+                                        ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity),
+                  -1 - l_orderkey) AS dst
   FROM lineitem
 ),
-edges AS (SELECT src, dst FROM li WHERE dst IS NOT NULL AND l_quantity >= {MIN_QUANTITY}),
 """ + GRAPH_CTE
 
 WORD_GRAPH_CTE = COUNTS_CTE + """,
@@ -120,3 +118,41 @@ def pagerank_ctes(rounds: int, damping: float | None, node_range: bool = False,
     FROM nodes n LEFT JOIN ({incoming}) s ON s.node = n.node{mass_join}
 )""")
     return ",\n".join(parts)
+
+
+def significant(c: str, digits: int = 9) -> str:
+    """``ranking.significant`` in SQL."""
+    e = f"CAST({digits} - (floor(log10(abs({c}))) + 1) AS DOUBLE)"
+    return f"(CASE WHEN {c} = 0 THEN 0.0 ELSE round({c} * pow(10.0, {e})) / pow(10.0, {e}) END)"
+
+
+def adjacency_sql(max_entries: int = DEFAULT_MAX_ENTRIES) -> str:
+    return "WITH " + EDGES_CTE + f""",
+lists AS (
+  SELECT n.node, e.dst,
+         CASE WHEN d.out_degree > {max_entries}
+              THEN CAST(ceil(d.out_degree / {max_entries}) AS INTEGER) ELSE 1 END AS parts,
+         (row_number() OVER (PARTITION BY n.node, e.dst) - 1) // {max_entries} AS chunk
+  FROM nodes n JOIN deg d ON d.node = n.node LEFT JOIN edges e ON e.src = n.node
+),
+keyed AS (
+  SELECT *, CASE WHEN chunk = 0 THEN CAST(dst AS VARCHAR)
+                 ELSE CAST(dst AS VARCHAR) || '#' || CAST(chunk AS VARCHAR) END AS entry FROM lists
+),
+parted AS (
+  SELECT node, dst, parts, CASE WHEN parts > 1 THEN {md5_part('entry', 'parts')} ELSE 0 END AS part FROM keyed
+  UNION ALL
+  SELECT DISTINCT node, NULL, parts, 0 FROM lists WHERE parts > 1
+)
+SELECT node, CAST(part AS INTEGER) AS part, parts,
+       coalesce(string_agg(CAST(dst AS VARCHAR), ',' ORDER BY dst), '') AS out_links,
+       CASE WHEN part = 0 THEN {dbl(1.0)} / (SELECT n_nodes FROM stats) END AS page_rank
+FROM parted GROUP BY node, part, parts"""
+
+
+def adjacency_text_sql() -> str:
+    return "WITH " + EDGES_CTE + f"""
+SELECT CAST(n.node AS VARCHAR) AS node,
+       coalesce(string_agg(CAST(e.dst AS VARCHAR), ',' ORDER BY CAST(e.dst AS VARCHAR)), '') AS out_links,
+       {dbl(1.0)} / (SELECT n_nodes FROM stats) AS page_rank
+FROM nodes n LEFT JOIN edges e ON e.src = n.node GROUP BY n.node"""

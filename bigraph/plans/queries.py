@@ -2,9 +2,11 @@
 over the driver's tables ``(spark, sf_dir) -> DataFrame`` and, where SQL can
 say it, the equivalent DuckDB SQL.
 
-Every query reads whole tables.  Ranks are rounded to 12 decimals here (not
-in the operators) because the two engines sum in different orders; bigram
-probabilities are exact count ratios in both and are not rounded.
+Every query reads whole tables.  The two engines sum in different orders, so
+ranks are shown here (not in the operators) to 12 decimals, and top-N queries
+order by nine significant digits of the unrounded rank, which tells ranks apart
+at any number of nodes.  Bigram probabilities are exact count ratios in both
+and are not rounded.
 """
 
 from __future__ import annotations
@@ -18,8 +20,10 @@ from bigraph.functions import sorted_entries_text, sorted_list_text
 from bigraph.operators import bigrams as B
 from bigraph.operators import graph as G
 from bigraph.operators import pagerank as P
-from bigraph.operators.ranking import top_n
+from bigraph.operators.ranking import significant, top_n
 from bigraph.plans import oracle as O
+from bigraph.sources import files as S
+from bigraph.sources import sinks as K
 from bigraph.sources import tables as T
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,7 +34,10 @@ DAMPING = 0.85
 PROBE_WORD = "the"           # next_words
 TOP_K = 10                   # top_next_words
 TOP_N = 20                   # top_n
-CONVERGED_ROUNDS_SF001 = 10  # rounds pagerank_converged needs at sf0.01 (SQL cannot loop)
+MAX_CONVERGED = 50           # rounds that pagerank_converged may take
+TOL = 1e-6                   # its L1 change per node
+SPLIT = 1_000                # max_entries of the queries that split hot keys
+HUB = 4                      # the same for out-links: most parts have more
 
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
@@ -49,6 +56,10 @@ def _r(c: str = "page_rank"):
     return F.round(F.col(c), O.ROUND).alias(c)
 
 
+def _top(ranks: DataFrame, n: int) -> DataFrame:
+    return top_n(ranks, n, significant("page_rank")).select("node", _r())
+
+
 def _counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return B.bigram_counts(B.bigrams(T.documents(spark, sf_dir)))
 
@@ -93,6 +104,21 @@ def q_stripes(spark, sf_dir):
                     sorted_entries_text(F.col("stripe")).alias("stripe"))
 
 
+@register("stripes_split", O.stripes_sql(SPLIT))
+def q_stripes_split(spark, sf_dir):
+    """Stripes with a small limit, so that frequent words have several parts."""
+    s = B.stripes(_counts(spark, sf_dir), SPLIT)
+    return s.select("word", "part", "parts", "total", F.size("stripe").cast("bigint").alias("n_entries"),
+                    sorted_entries_text(F.col("stripe")).alias("stripe"))
+
+
+@register("bigram_probabilities_split", "WITH " + O.PROBS_CTE + "\nSELECT word, next_word, probability FROM probs")
+def q_bigram_probabilities_split(spark, sf_dir):
+    """Probabilities with a small limit, so that frequent words take the path
+    of hot words."""
+    return B.bigram_probabilities(_counts(spark, sf_dir), SPLIT)
+
+
 @register("bigram_probabilities", "WITH " + O.PROBS_CTE + "\nSELECT word, next_word, probability FROM probs")
 def q_bigram_probabilities(spark, sf_dir):
     return _probs(spark, sf_dir)
@@ -158,33 +184,21 @@ def q_dangling_nodes(spark, sf_dir):
     return G.dangling_nodes(_edges(spark, sf_dir))
 
 
-@register("adjacency", "WITH " + O.EDGES_CTE + f""",
-lists AS (
-  SELECT n.node, e.dst,
-         CASE WHEN d.out_degree > {O.DEFAULT_MAX_ENTRIES}
-              THEN CAST(ceil(d.out_degree / {O.DEFAULT_MAX_ENTRIES}) AS INTEGER) ELSE 1 END AS parts,
-         (row_number() OVER (PARTITION BY n.node, e.dst) - 1) // {O.DEFAULT_MAX_ENTRIES} AS chunk
-  FROM nodes n JOIN deg d ON d.node = n.node LEFT JOIN edges e ON e.src = n.node
-),
-keyed AS (
-  SELECT *, CASE WHEN chunk = 0 THEN CAST(dst AS VARCHAR)
-                 ELSE CAST(dst AS VARCHAR) || '#' || CAST(chunk AS VARCHAR) END AS entry FROM lists
-),
-parted AS (
-  SELECT node, dst, parts, CASE WHEN parts > 1 THEN {O.md5_part('entry', 'parts')} ELSE 0 END AS part FROM keyed
-  UNION ALL
-  SELECT DISTINCT node, NULL, parts, 0 FROM lists WHERE parts > 1
-)
-SELECT node, CAST(part AS INTEGER) AS part, parts,
-       coalesce(string_agg(CAST(dst AS VARCHAR), ',' ORDER BY dst), '') AS out_links,
-       CASE WHEN part = 0 THEN {O.dbl(1.0)} / (SELECT n_nodes FROM stats) END AS page_rank
-FROM parted GROUP BY node, part, parts""")
+@register("adjacency", O.adjacency_sql())
 def q_adjacency(spark, sf_dir):
     adj = G.adjacency(_edges(spark, sf_dir))
     return adj.select("node", "part", "parts", sorted_list_text(F.col("out_links")).alias("out_links"),
                       "page_rank")
 
 
+@register("adjacency_split", O.adjacency_sql(HUB))
+def q_adjacency_split(spark, sf_dir):
+    """Adjacency with a small limit, so that most nodes are cut into parts."""
+    adj = G.adjacency(_edges(spark, sf_dir), max_entries=HUB)
+    return adj.select("node", "part", "parts", sorted_list_text(F.col("out_links")).alias("out_links"),
+                      "page_rank")
+
+
 @register("initial_ranks", "WITH " + O.EDGES_CTE + ",\n" + O.pagerank_ctes(0, None)
           + "\nSELECT node, page_rank FROM r0")
 def q_initial_ranks(spark, sf_dir):
@@ -213,6 +227,21 @@ def _ranks_sql(rounds: int, damping: float | None, node_range: bool = False) ->
             + f"\nSELECT node, round(page_rank, {O.ROUND}) AS page_rank FROM r{rounds}")
 
 
+@register("rank_contributions_split", "WITH " + O.EDGES_CTE + ",\n" + O.pagerank_ctes(0, None) + f"""
+SELECT e.dst AS node, round(sum(r.page_rank / d.out_degree), {O.ROUND}) AS incoming
+FROM edges e JOIN r0 r ON e.src = r.node JOIN deg d ON d.node = e.src GROUP BY e.dst""")
+def q_rank_contributions_split(spark, sf_dir):
+    """Contributions with most nodes' edges spread over several salts."""
+    e = _edges(spark, sf_dir)
+    return P.rank_contributions(e, G.initial_ranks(e), split_edges=HUB).select("node", _r("incoming"))
+
+
+@register("pagerank_complete_split", _ranks_sql(ROUNDS, DAMPING))
+def q_pagerank_complete_split(spark, sf_dir):
+    """Complete PageRank with most nodes' edges spread over several salts."""
+    return P.pagerank_complete(_edges(spark, sf_dir), ROUNDS, DAMPING, split_edges=HUB).select("node", _r())
+
+
 @register("rank_step", _ranks_sql(1, DAMPING))
 def q_rank_step(spark, sf_dir):
     e = _edges(spark, sf_dir)
@@ -239,26 +268,33 @@ def q_pagerank_complete_range(spark, sf_dir):
 
 
 def _converged_sql() -> str:
-    return ("WITH " + O.EDGES_CTE.replace(
-        "edges AS (SELECT src, dst FROM li", "edges AS (SELECT DISTINCT src, dst FROM li")
-        + ",\n" + O.pagerank_ctes(CONVERGED_ROUNDS_SF001, DAMPING)
-        + f"\nSELECT node, round(page_rank, {O.ROUND}) AS page_rank FROM r{CONVERGED_ROUNDS_SF001}")
+    """All rounds up to the most allowed, the L1 change of each, and the rows
+    of the first that changes less than the tolerance."""
+    rounds = range(1, MAX_CONVERGED + 1)
+    errors = " UNION ALL ".join(
+        f"SELECT {k} AS k, sum(abs(a.page_rank - b.page_rank)) AS err FROM r{k} a JOIN r{k - 1} b ON a.node = b.node"
+        for k in rounds)
+    rows = " UNION ALL ".join(
+        f"SELECT node, page_rank FROM r{k} WHERE (SELECT k FROM stop) = {k}" for k in rounds)
+    return ("WITH " + O.EDGES_CTE.replace("edges AS (\n  SELECT l_partkey", "edges AS (\n  SELECT DISTINCT l_partkey")
+            + ",\n" + O.pagerank_ctes(MAX_CONVERGED, DAMPING)
+            + f",\nstop AS MATERIALIZED (SELECT min(k) AS k FROM ({errors}) WHERE err < {TOL!r} * {O._n_expr()}),"
+            + f"\nranked AS ({rows})\n")
 
 
 TOP_CONVERGED = 100  # top_n_converged
 
 
-@register("pagerank_converged", _converged_sql())
+@register("pagerank_converged", _converged_sql() + f"SELECT node, round(page_rank, {O.ROUND}) AS page_rank FROM ranked")
 def q_pagerank_converged(spark, sf_dir):
     return P.pagerank_converged(_edges(spark, sf_dir), DAMPING).select("node", _r())
 
 
 @register("top_n", "WITH " + O.EDGES_CTE + ",\n" + O.pagerank_ctes(ROUNDS, DAMPING) + f"""
 SELECT node, round(page_rank, {O.ROUND}) AS page_rank FROM r{ROUNDS}
-ORDER BY round(page_rank, {O.ROUND}) DESC, node LIMIT {TOP_N}""")
+ORDER BY {O.significant('page_rank')} DESC, node LIMIT {TOP_N}""")
 def q_top_n(spark, sf_dir):
-    ranks = P.pagerank_complete(_edges(spark, sf_dir), ROUNDS, DAMPING).select("node", _r())
-    return top_n(ranks, TOP_N)
+    return _top(P.pagerank_complete(_edges(spark, sf_dir), ROUNDS, DAMPING), TOP_N)
 
 
 @register("rank_mass", "WITH " + O.EDGES_CTE + ",\n" + O.pagerank_ctes(ROUNDS, None) + f"""
@@ -276,20 +312,93 @@ def q_pagerank_word_graph(spark, sf_dir):
     return ranks.select("node", _r())
 
 
-@register("top_n_converged", _converged_sql().replace(
-    f"SELECT node, round(page_rank, {O.ROUND}) AS page_rank FROM r{CONVERGED_ROUNDS_SF001}",
-    f"SELECT node, round(page_rank, {O.ROUND}) AS page_rank FROM r{CONVERGED_ROUNDS_SF001}\n"
-    f"ORDER BY round(page_rank, {O.ROUND}) DESC, node LIMIT {TOP_CONVERGED}"))
+@register("top_n_converged", _converged_sql() + f"""
+SELECT node, round(page_rank, {O.ROUND}) AS page_rank FROM ranked
+ORDER BY {O.significant('page_rank')} DESC, node LIMIT {TOP_CONVERGED}""")
 def q_top_n_converged(spark, sf_dir):
     """The 100 highest converged ranks (T4)."""
-    ranks = P.pagerank_converged(_edges(spark, sf_dir), DAMPING).select("node", _r())
-    return top_n(ranks, TOP_CONVERGED)
+    return _top(P.pagerank_converged(_edges(spark, sf_dir), DAMPING), TOP_CONVERGED)
 
 
 @register("top_n_simple", "WITH " + O.EDGES_CTE + ",\n" + O.pagerank_ctes(ROUNDS, None) + f"""
 SELECT node, round(page_rank, {O.ROUND}) AS page_rank FROM r{ROUNDS}
-ORDER BY round(page_rank, {O.ROUND}) DESC, node LIMIT {TOP_N}""")
+ORDER BY {O.significant('page_rank')} DESC, node LIMIT {TOP_N}""")
 def q_top_n_simple(spark, sf_dir):
     """Top 20 of the simplified form (T2 with G1)."""
-    ranks = P.pagerank_simple(_edges(spark, sf_dir), ROUNDS).select("node", _r())
-    return top_n(ranks, TOP_N)
+    return _top(P.pagerank_simple(_edges(spark, sf_dir), ROUNDS), TOP_N)
+
+
+# ------------------------------------------------------- sources and sinks
+
+def _lines(df: DataFrame, value) -> DataFrame:
+    return df.select(value.alias("value"))
+
+
+@register("parse_lines", """SELECT unnest(string_split(text, chr(10))) AS text FROM documents""")
+def q_parse_lines(spark, sf_dir):
+    """Every line of the documents is a document."""
+    docs = T.documents(spark, sf_dir)
+    return S.parse_lines(_lines(docs.select(F.explode(F.split("text", "\n", -1)).alias("value")), F.col("value")))
+
+
+@register("parse_documents_csv", "SELECT doc_id, text FROM documents")
+def q_parse_documents_csv(spark, sf_dir):
+    """Documents as quoted CSV records (with line feeds, commas and
+    doubled quotes inside), read back."""
+    docs = T.documents(spark, sf_dir)
+    quoted = F.concat(F.lit('"'), F.replace(F.col("text"), F.lit('"'), F.lit('""')), F.lit('"'))
+    lines = _lines(docs, F.concat_ws(",", F.col("doc_id").cast("string"), quoted))
+    return S.parse_documents_csv(lines, "ID STRING, Joke STRING")
+
+
+@register("parse_edges", "WITH " + O.EDGES_CTE + "\nSELECT src, dst FROM edges")
+def q_parse_edges(spark, sf_dir):
+    """S3: the edges as tab-separated lines, read back."""
+    e = _edges(spark, sf_dir)
+    return S.parse_edges(_lines(e, F.concat_ws("\t", F.col("src").cast("string"), F.col("dst").cast("string"))))
+
+
+@register("parse_edges_text", "WITH " + O.COUNTS_CTE + "\nSELECT '#' || word AS src, '\"' || next_word AS dst FROM counts")
+def q_parse_edges_text(spark, sf_dir):
+    """S3 with STRING ids that start with ``#`` or a quote."""
+    c = _counts(spark, sf_dir)
+    lines = _lines(c, F.concat(F.lit("#"), F.col("word"), F.lit('\t"'), F.col("next_word")))
+    return S.parse_edges(lines, "STRING")
+
+
+@register("probability_lines", "WITH " + O.COUNTS_CTE + """
+SELECT '"' || word || '-' || next_word || '"' || chr(9) || CAST(n AS VARCHAR) AS value FROM counts""")
+def q_probability_lines(spark, sf_dir):
+    """``json(word-next) TAB json(value)`` lines (the counts, whose text is
+    the same in both engines)."""
+    c = _counts(spark, sf_dir)
+    return K.probability_lines(c.select(F.concat_ws("-", "word", "next_word").alias("bigram"), "n"), "bigram", "n")
+
+
+@register("adjacency_lines", "WITH " + O.EDGES_CTE + """
+SELECT '"' || CAST(n.node AS VARCHAR) || '"' || chr(9) || '{"out_links":['
+       || coalesce(string_agg('"' || CAST(e.dst AS VARCHAR) || '"', ',' ORDER BY CAST(e.dst AS VARCHAR)), '')
+       || '],"page_rank":0.5}' AS value
+FROM nodes n LEFT JOIN edges e ON e.src = n.node GROUP BY n.node""")
+def q_adjacency_lines(spark, sf_dir):
+    """Adjacency lines (with a fixed rank, whose text is the same in both
+    engines)."""
+    adj = G.adjacency(_edges(spark, sf_dir))
+    links = F.array_sort(F.transform("out_links", lambda x: x.cast("string")))
+    return K.adjacency_lines(adj.select("node", links.alias("out_links"), F.lit(0.5).alias("page_rank")))
+
+
+@register("parse_adjacency", O.adjacency_text_sql())
+def q_parse_adjacency(spark, sf_dir):
+    """Adjacency lines written and read back, ranks included."""
+    back = S.parse_adjacency(K.adjacency_lines(G.adjacency(_edges(spark, sf_dir))))
+    return back.select("node", F.array_join(F.array_sort("out_links"), ",").alias("out_links"), "page_rank")
+
+
+@register("parse_ranks", "WITH " + O.EDGES_CTE + ",\n" + O.pagerank_ctes(1, DAMPING) + f"""
+SELECT CAST(node AS VARCHAR) AS node, round(page_rank, {O.ROUND}) AS page_rank FROM r1""")
+def q_parse_ranks(spark, sf_dir):
+    """S6 (and S4): ranks after a step as lines, read back."""
+    e = _edges(spark, sf_dir)
+    lines = K.rank_lines(P.rank_step(e, G.initial_ranks(e), damping=DAMPING))
+    return S.parse_ranks(lines).select("node", _r())

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -31,27 +32,19 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable folder for per-round tables, setting it only when unset.
 
     The cluster names a shared folder in ``spark.checkpoint.dir``; that one is
-    used.  Only a local-mode session without any setting (tests) gets a fresh
-    folder under the system temp dir.  On a cluster without a setting this
-    raises instead of silently using a machine-local folder.
+    used.  Only a session whose master is ``local`` or ``local[...]`` (one
+    process, where every folder is shared) gets a fresh one when nothing is
+    set; anywhere else this raises.
     """
-    try:
-        sc = spark.sparkContext
-    except Exception:  # a session without a local JVM context (Spark Connect)
-        sc = None
-    if sc is not None and sc.getCheckpointDir():
+    sc = spark.sparkContext
+    if sc.getCheckpointDir():
         return sc.getCheckpointDir()
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured and sc is not None:
-        configured = sc.getConf().get("spark.checkpoint.dir", None)
+    configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        master = sc.master if sc is not None else spark.conf.get("spark.master", "")
-        if not str(master).startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
             raise RuntimeError(
                 "spark.checkpoint.dir is not set; iterative operators need a shared "
                 "folder (HDFS/S3/...) to cut lineage between rounds")
         configured = tempfile.mkdtemp(prefix="bigraph-ckpt-")
-    if sc is not None:
-        sc.setCheckpointDir(configured)
-        return sc.getCheckpointDir()
-    return configured
+    sc.setCheckpointDir(configured)
+    return sc.getCheckpointDir()

@@ -1,20 +1,41 @@
 """Sources (files, the driver's tables, derived graphs) and sinks."""
 
 from bigraph.sources.files import (
+    parse_adjacency,
+    parse_documents_csv,
+    parse_edges,
+    parse_lines,
+    parse_ranks,
     read_adjacency_kv,
     read_documents_csv,
     read_edges,
     read_lines,
     read_ranks_kv,
 )
-from bigraph.sources.sinks import json_value, write_adjacency_kv, write_kv, write_ranks_kv
+from bigraph.sources.sinks import (
+    adjacency_lines,
+    json_value,
+    probability_lines,
+    rank_lines,
+    write_adjacency_kv,
+    write_kv,
+    write_ranks_kv,
+)
 from bigraph.sources.tables import documents, edges, lineitem_edges, read_table, word_edges
 
 __all__ = [
+    "adjacency_lines",
     "documents",
     "edges",
     "json_value",
     "lineitem_edges",
+    "parse_adjacency",
+    "parse_documents_csv",
+    "parse_edges",
+    "parse_lines",
+    "parse_ranks",
+    "probability_lines",
+    "rank_lines",
     "read_adjacency_kv",
     "read_documents_csv",
     "read_edges",

@@ -1,9 +1,15 @@
-"""File sources: raw lines, CSV documents, tab-separated edge lists, and the
-key/value text outputs of earlier runs (adjacency lists, rank lists)."""
+"""Text sources: raw lines, CSV documents, tab-separated edge lists, and the
+key/value outputs of earlier runs (adjacency lists, rank lists).
+
+Each format is a function from a DataFrame with a ``value STRING`` column of
+lines to its columns (``parse_*``), and a reader that applies it to files.  A
+line that does not have the format raises when it is read, unless
+``bad_lines="null"`` asks for NULLs instead.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bigraph.sources.tables import spread
@@ -11,55 +17,110 @@ from bigraph.sources.tables import spread
 ADJACENCY_VALUE_SCHEMA = "out_links ARRAY<STRING>, page_rank DOUBLE"
 
 
+def _checked(ok: Column, value: Column, bad_lines: str, what: str) -> Column:
+    """``value`` where ``ok``, else an error (or NULL)."""
+    if bad_lines == "null":
+        return F.when(ok, value)
+    return F.when(F.coalesce(ok, F.lit(False)), value).otherwise(
+        F.raise_error(F.concat(F.lit(f"not {what}: "), F.coalesce("value", F.lit("NULL")))).cast(
+            "string"))
+
+
+def parse_lines(lines: DataFrame) -> DataFrame:
+    """Each line is one document: ``text STRING`` (S1).  A header line, if
+    any, is a document too, and quoted fields that span lines are cut apart."""
+    return lines.select(F.col("value").alias("text"))
+
+
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Each line is one document: ``text STRING``.
+    """Files of documents, one per line (S1); see :func:`read_documents_csv`
+    for CSV semantics."""
+    return parse_lines(spark.read.text(path))
 
-    A header line, if any, is a document too, and quoted fields that span lines
-    are cut apart; use :func:`read_documents_csv` for CSV semantics.
-    """
-    return spark.read.text(path).withColumnRenamed("value", "text")
 
+def parse_documents_csv(lines: DataFrame, columns: str, text_col: str = "Joke", id_col: str | None = "ID") -> DataFrame:
+    """CSV records without a header, one per ``value`` (which may hold line
+    feeds inside quotes): ``doc_id BIGINT, text STRING`` (S2).  ``columns`` is
+    the schema of the record; a record of another shape raises."""
+    record = F.from_csv("value", columns, {"quote": '"', "escape": '"', "mode": "FAILFAST", "lineSep": "\u0001"})
+    return _id_and_text(lines.select(record.alias("r")).select("r.*"), text_col, id_col)
 
-def read_documents_csv(spark: SparkSession, path: str, text_col: str = "Joke",
-                       id_col: str | None = "ID") -> DataFrame:
+
+def _id_and_text(df: DataFrame, text_col: str, id_col: str | None) -> DataFrame:
+    doc_id = F.col(id_col).cast("bigint") if id_col else F.monotonically_increasing_id()
+    return df.select(doc_id.alias("doc_id"), F.col(text_col).alias("text"))
+
+
+def read_documents_csv(spark: SparkSession, path: str, text_col: str = "Joke", id_col: str | None = "ID",
+                       schema: str | None = None, multi_line: bool = True) -> DataFrame:
     """CSV with a header row; returns ``doc_id BIGINT, text STRING``.
 
-    Quoted fields may hold commas, doubled quotes and newlines.  Columns other
-    than the id and the text are not read.  A multi-line CSV file cannot be
-    split, so it is read by one task per file; the rows are then spread when
-    there are fewer files than the default parallelism.
+    Quoted fields may hold commas, doubled quotes and, with ``multi_line``,
+    line feeds.  Such a file cannot be split and is read by one task;
+    ``multi_line=False`` reads line by line and splits.  Columns other than
+    the id and the text are not read.  A damaged record raises; without
+    ``schema`` the header names the columns, all strings.
     """
-    df = (spark.read.option("header", True).option("multiLine", True)
-          .option("quote", '"').option("escape", '"').csv(path))
-    doc_id = F.col(id_col).try_cast("bigint") if id_col else F.monotonically_increasing_id()
-    return spread(df.select(doc_id.alias("doc_id"), F.col(text_col).alias("text")))
+    reader = (spark.read.option("header", True).option("multiLine", multi_line).option("mode", "FAILFAST")
+              .option("quote", '"').option("escape", '"').option("enforceSchema", False))
+    df = (reader.schema(schema) if schema else reader).csv(path)
+    return spread(_id_and_text(df, text_col, id_col))
 
 
-def read_edges(spark: SparkSession, path: str, id_type: str = "BIGINT") -> DataFrame:
-    """Tab-separated ``src dst`` lines without header; ``#`` lines are
-    comments (S3).  Returns ``src, dst`` of ``id_type``."""
-    return (spark.read.schema(f"src {id_type}, dst {id_type}")
-            .option("sep", "\t").option("comment", "#").option("mode", "FAILFAST")
-            .csv(path))
+def parse_edges(lines: DataFrame, id_type: str = "BIGINT", comment: str | None = None,
+                bad_lines: str = "fail") -> DataFrame:
+    """``src TAB dst`` lines: ``src, dst`` of ``id_type`` (S3).
 
+    Ids are taken as they stand (no quoting, ``#`` is an ordinary
+    character); lines that start with ``comment``, if given, are skipped.  A
+    line without exactly one tab or with an empty id raises.
+    """
+    if comment:
+        lines = lines.where(~F.startswith(F.col("value"), F.lit(comment)))
+    parts = F.split(F.col("value"), "\t", -1)
+    ok = (F.size(parts) == 2) & (F.length(parts[0]) > 0) & (F.length(parts[1]) > 0)
+    if id_type.upper() != "STRING":
+        ok = ok & parts[0].try_cast(id_type).isNotNull() & parts[1].try_cast(id_type).isNotNull()
+    return lines.select(*[_checked(ok, parts[i], bad_lines, "an edge").cast(id_type).alias(name)
+                          for i, name in enumerate(("src", "dst"))])
 
-def read_adjacency_kv(spark: SparkSession, path: str) -> DataFrame:
-    """Lines ``json(node) TAB {"out_links": [...], "page_rank": x}``.
 
-    Returns ``node STRING, out_links ARRAY<STRING>, page_rank DOUBLE``.
-    """
+def read_edges(spark: SparkSession, path: str, id_type: str = "BIGINT", comment: str | None = None) -> DataFrame:
+    """Files of edges (S3); splittable."""
+    return parse_edges(spark.read.text(path), id_type, comment)
+
+
+def _json_scalar(c: Column) -> Column:
+    """The text of a JSON scalar (NULL when it is none)."""
+    return F.get_json_object(F.concat(F.lit("["), c, F.lit("]")), "$[0]")
+
+
+def parse_adjacency(lines: DataFrame, bad_lines: str = "fail") -> DataFrame:
+    """Lines ``json(node) TAB {"out_links": [...], "page_rank": x}``: ``node
+    STRING, out_links ARRAY<STRING>, page_rank DOUBLE`` (S5)."""
     parts = F.split(F.col("value"), "\t", 2)
-    node = F.get_json_object(F.concat(F.lit("["), parts[0], F.lit("]")), "$[0]")
     value = F.from_json(parts[1], ADJACENCY_VALUE_SCHEMA)
-    return (spark.read.text(path)
-            .select(node.alias("node"), value.alias("v"))
+    node = _json_scalar(parts[0])
+    ok = node.isNotNull() & value["out_links"].isNotNull()
+    return (lines.select(_checked(ok, node, bad_lines, "an adjacency line").alias("node"), value.alias("v"))
             .select("node", "v.out_links", "v.page_rank"))
 
 
-def read_ranks_kv(spark: SparkSession, path: str) -> DataFrame:
-    """Lines ``page_rank TAB json(node)`` (S6).  Returns ``node STRING,
-    page_rank DOUBLE``.  Hidden files (``.`` / ``_`` prefix) are skipped."""
+def read_adjacency_kv(spark: SparkSession, path: str) -> DataFrame:
+    """Files of adjacency lines."""
+    return parse_adjacency(spark.read.text(path))
+
+
+def parse_ranks(lines: DataFrame, bad_lines: str = "fail") -> DataFrame:
+    """Lines ``page_rank TAB json(node)``: ``node STRING, page_rank DOUBLE``
+    (S6)."""
     parts = F.split(F.col("value"), "\t", 2)
-    node = F.get_json_object(F.concat(F.lit("["), parts[1], F.lit("]")), "$[0]")
-    return (spark.read.text(path)
-            .select(node.alias("node"), parts[0].cast("double").alias("page_rank")))
+    node, rank = _json_scalar(parts[1]), parts[0].try_cast("double")
+    ok = node.isNotNull() & rank.isNotNull()
+    return lines.select(_checked(ok, node, bad_lines, "a rank line").alias("node"), rank.alias("page_rank"))
+
+
+def read_ranks_kv(spark: SparkSession, path: str) -> DataFrame:
+    """Files of rank lines (S6).  Hidden files (``.`` / ``_`` prefix) are
+    skipped."""
+    return parse_ranks(spark.read.text(path))

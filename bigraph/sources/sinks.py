@@ -1,7 +1,8 @@
 """Key/value text sinks: ``json(key) TAB json(value)`` lines in part files.
 
-Besides these line formats, every result is an ordinary DataFrame and can be
-written with ``df.write.parquet`` / ``.csv``.
+Each format is a function to a ``value STRING`` column of lines
+(``*_lines``) and a writer.  Besides, every result is an ordinary DataFrame and
+can be written with ``df.write.parquet`` / ``.csv``.
 """
 
 from __future__ import annotations
@@ -22,24 +23,47 @@ def kv_lines(df: DataFrame, key: Column | str, value: Column) -> DataFrame:
     return df.select(F.concat_ws("\t", json_value(key), value).alias("value"))
 
 
-def write_kv(df: DataFrame, path: str, key: str, value: str, mode: str = "error") -> None:
-    """Write ``json(key) TAB json(value)`` lines (bigram output:
+def probability_lines(df: DataFrame, key: str = "bigram", value: str = "probability") -> DataFrame:
+    """``json(key) TAB json(value)`` lines (bigram output:
     ``"word-next"\t0.25``)."""
-    kv_lines(df, key, json_value(value)).write.mode(mode).text(path)
+    return kv_lines(df, key, json_value(value))
+
+
+def adjacency_lines(df: DataFrame) -> DataFrame:
+    """Lines ``json(node) TAB {"out_links": [...], "page_rank": x}``; ids and
+    links as JSON strings, as the text protocol carries them.
+
+    ``page_rank`` is always written.  Of a hub that
+    :func:`bigraph.operators.graph.adjacency` has cut into parts each part is
+    a line with its ``part`` and ``parts`` and the rank ``null`` beyond part 0
+    (one line could not be bounded); every other node has one line of just the
+    two fields.
+    """
+    links = F.transform("out_links", lambda x: x.cast("string")).alias("out_links")
+    rank = F.col("page_rank").alias("page_rank")
+    keep = {"ignoreNullFields": "false"}
+    value = F.to_json(F.struct(links, rank), keep)
+    if {"part", "parts"} <= set(df.columns):
+        value = F.when(F.col("parts") > 1, F.to_json(F.struct(links, rank, "part", "parts"), keep)).otherwise(value)
+    return kv_lines(df, F.col("node").cast("string"), value)
+
+
+def rank_lines(df: DataFrame) -> DataFrame:
+    """Lines ``page_rank TAB json(node)`` (rank as the leading key)."""
+    return df.select(F.concat_ws("\t", F.col("page_rank").cast("string"),
+                                 json_value(F.col("node").cast("string"))).alias("value"))
+
+
+def write_kv(df: DataFrame, path: str, key: str, value: str, mode: str = "error") -> None:
+    """Write :func:`probability_lines`."""
+    probability_lines(df, key, value).write.mode(mode).text(path)
 
 
 def write_adjacency_kv(df: DataFrame, path: str, mode: str = "error") -> None:
-    """Write ``json(node) TAB {"out_links": [...], "page_rank": x}``; node ids
-    and links are written as JSON strings, as the reference's text protocol
-    carries them."""
-    value = F.to_json(F.struct(
-        F.transform("out_links", lambda x: x.cast("string")).alias("out_links"),
-        F.col("page_rank")))
-    kv_lines(df, F.col("node").cast("string"), value).write.mode(mode).text(path)
+    """Write :func:`adjacency_lines`."""
+    adjacency_lines(df).write.mode(mode).text(path)
 
 
 def write_ranks_kv(df: DataFrame, path: str, mode: str = "error") -> None:
-    """Write ``page_rank TAB json(node)`` lines (rank as the leading key)."""
-    line = F.concat_ws("\t", F.col("page_rank").cast("string"),
-                       json_value(F.col("node").cast("string")))
-    df.select(line.alias("value")).write.mode(mode).text(path)
+    """Write :func:`rank_lines`."""
+    rank_lines(df).write.mode(mode).text(path)

@@ -3,8 +3,9 @@
 There is no edge-list table in the test data, so two graphs are derived with
 Spark from the given tables (their work grows with the tables):
 
-* ``lineitem_edges``: an edge from the part of an order line to the part of
-  the next line of the same order, for lines with ``l_quantity >= 48``.
+* ``lineitem_edges``: every order line is an edge from its part to the part
+  of the next line of the same order; the last line of an order points at a
+  node of its own (``-1 - l_orderkey``), which has no out-links.
 * ``word_edges``: the distinct bigrams of ``documents`` as ``word -> next``
   edges with STRING ids.
 """
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 
 # Fixed values of the derived graph (the oracle SQL uses the same ones).
 LINE_ORDER = ("l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
-MIN_QUANTITY = 48
+MIN_SPLITS = 8  # a scan of fewer splits is dealt to all cores
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,17 +25,14 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that has fewer splits than the session's default
-    parallelism (a file with one row group is one task).  A scan of many
-    files already has enough splits and is returned unchanged, so this never
-    adds a shuffle at scale.  Asking for the partition count only plans the
-    scan; it runs no job."""
-    try:
-        want = df.sparkSession.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()
-    except Exception:  # no local JVM context (Spark Connect): leave the scan as it is
+    """Deal the rows of a scan of a few splits to all cores.  A file with one
+    row group cannot be split, so a small table would be tokenised by one
+    task; a scan of ``MIN_SPLITS`` splits or more (anything over about 1 GB)
+    is returned as it is, however many cores there are.  Asking for the
+    number of splits plans the scan and runs no job."""
+    if df.rdd.getNumPartitions() >= MIN_SPLITS:
         return df
-    return df.repartition(want) if have < want else df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -43,18 +41,16 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lineitem_edges(lineitem: DataFrame) -> DataFrame:
-    """``src, dst`` BIGINT part ids: each kept line points at the part of the
-    following line of its order.
+    """``src, dst`` BIGINT ids, one edge per line: to the part of the
+    following line of its order, or to the order's end node.
 
     The window needs a shuffle on ``l_orderkey`` (a handful of lines per
-    order).  The quantity filter runs after the window, since it must not
-    change which line is "next".
+    order).
     """
     w = Window.partitionBy("l_orderkey").orderBy(*LINE_ORDER)
     return (lineitem.select("l_orderkey", *LINE_ORDER)
-            .withColumn("dst", F.lead("l_partkey").over(w))
-            .where(F.col("dst").isNotNull() & (F.col("l_quantity") >= MIN_QUANTITY))
-            .select(F.col("l_partkey").alias("src"), "dst"))
+            .select(F.col("l_partkey").alias("src"),
+                    F.coalesce(F.lead("l_partkey").over(w), F.lit(-1) - F.col("l_orderkey")).alias("dst")))
 
 
 def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
