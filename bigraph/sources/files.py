@@ -78,10 +78,10 @@ def parse_edges(lines: DataFrame, id_type: str = "BIGINT", comment: str | None =
     if comment:
         lines = lines.where(~F.startswith(F.col("value"), F.lit(comment)))
     parts = F.split(F.col("value"), "\t", -1)
-    ok = (F.size(parts) == 2) & (F.length(parts[0]) > 0) & (F.length(parts[1]) > 0)
+    ok = (F.size(parts) == 2) & (F.length(F.get(parts, F.lit(0))) > 0) & (F.length(F.get(parts, F.lit(1))) > 0)
     if id_type.upper() != "STRING":
-        ok = ok & parts[0].try_cast(id_type).isNotNull() & parts[1].try_cast(id_type).isNotNull()
-    return lines.select(*[_checked(ok, parts[i], bad_lines, "an edge").cast(id_type).alias(name)
+        ok = ok & F.get(parts, F.lit(0)).try_cast(id_type).isNotNull() & F.get(parts, F.lit(1)).try_cast(id_type).isNotNull()
+    return lines.select(*[_checked(ok, F.get(parts, F.lit(i)), bad_lines, "an edge").cast(id_type).alias(name)
                           for i, name in enumerate(("src", "dst"))])
 
 
@@ -99,8 +99,8 @@ def parse_adjacency(lines: DataFrame, bad_lines: str = "fail") -> DataFrame:
     """Lines ``json(node) TAB {"out_links": [...], "page_rank": x}``: ``node
     STRING, out_links ARRAY<STRING>, page_rank DOUBLE`` (S5)."""
     parts = F.split(F.col("value"), "\t", 2)
-    value = F.from_json(parts[1], ADJACENCY_VALUE_SCHEMA)
-    node = _json_scalar(parts[0])
+    value = F.from_json(F.get(parts, F.lit(1)), ADJACENCY_VALUE_SCHEMA)
+    node = _json_scalar(F.get(parts, F.lit(0)))
     ok = node.isNotNull() & value["out_links"].isNotNull()
     return (lines.select(_checked(ok, node, bad_lines, "an adjacency line").alias("node"), value.alias("v"))
             .select("node", "v.out_links", "v.page_rank"))
@@ -115,7 +115,7 @@ def parse_ranks(lines: DataFrame, bad_lines: str = "fail") -> DataFrame:
     """Lines ``page_rank TAB json(node)``: ``node STRING, page_rank DOUBLE``
     (S6)."""
     parts = F.split(F.col("value"), "\t", 2)
-    node, rank = _json_scalar(parts[1]), parts[0].try_cast("double")
+    node, rank = _json_scalar(F.get(parts, F.lit(1))), F.get(parts, F.lit(0)).try_cast("double")
     ok = node.isNotNull() & rank.isNotNull()
     return lines.select(_checked(ok, node, bad_lines, "a rank line").alias("node"), rank.alias("page_rank"))
 

@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
+from bigraph.functions import hot_keys
 from bigraph.operators import bigrams as B
 from bigraph.operators import graph as G
 from bigraph.operators import pagerank as P
@@ -55,24 +56,59 @@ def hot_docs(spark):
     return spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(8), texts
 
 
-def test_hot_word_bypasses_the_join(spark, hot_docs):
-    """With a bound of 500 followers, "the" (4000 followers) is divided in
-    place against the broadcast hot table and the rest takes the join; the
-    result is exact either way."""
-    docs, texts = hot_docs
-    counts = B.bigram_counts(B.bigrams(docs)).cache()
-    probs = B.bigram_probabilities(counts, max_entries=500)
-    rows = probs.collect()
-    plan = probs._jdf.queryExecution().executedPlan().toString()
-    assert "Union" in plan and "BroadcastHashJoin" in plan
+def want_probabilities(texts):
     pairs = Counter(p for t in texts for p in reference_pairs(t))
     totals = defaultdict(int)
     for (w, _), n in pairs.items():
         totals[w] += n
-    want = {(w, x): n / totals[w] for (w, x), n in pairs.items()}
-    assert len(rows) == len(want)
-    assert {(r.word, r.next_word): r.probability for r in rows} == want
-    assert {(r.word, r.next_word): r.probability for r in B.bigram_probabilities(counts).collect()} == want
+    return {(w, x): n / totals[w] for (w, x), n in pairs.items()}
+
+
+def most_in_a_task(df, where):
+    """Rows of a key in the fullest task of the final stage."""
+    return (df.where(where).groupBy(F.spark_partition_id().alias("p")).count().agg(F.max("count")).first()[0])
+
+
+@pytest.mark.parametrize("threshold", ["-1", "200k"])
+def test_hot_word_is_spread_over_the_join(spark, skew_conf, hot_docs, threshold):
+    """With a limit of 500 followers, "the" (4000 followers) takes its total
+    from the bounded table and its rows are spread, whatever Spark's own
+    broadcast threshold; the result is exact."""
+    docs, texts = hot_docs
+    for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"):
+        spark.conf.set(k, threshold)
+    counts = B.bigram_counts(B.bigrams(docs)).cache()
+    probs = B.bigram_probabilities(counts, max_entries=500)
+    assert {(r.word, r.next_word): r.probability for r in probs.collect()} == want_probabilities(texts)
+    assert "BroadcastHashJoin" in probs._jdf.queryExecution().executedPlan().toString()
+    assert most_in_a_task(probs, "word = 'the'") <= 1000
+    s = B.stripes(counts, max_entries=500)
+    assert most_in_a_task(s.select("word", F.explode("stripe")), "word = 'the'") <= 2 * 1000
+    counts.unpersist()
+
+
+@pytest.mark.parametrize("threshold", ["-1", "200k"])
+def test_hub_is_spread(spark, skew_conf, threshold):
+    """A node with a third of all links: adjacency parts and PageRank salts
+    spread it at any broadcast threshold."""
+    for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"):
+        spark.conf.set(k, threshold)
+    edges = spark.range(12_000).select(
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 4000 + 1).cast("bigint").alias("src"),
+        (F.col("id") + 1).alias("dst"))
+    adj = G.adjacency(edges, max_entries=500)
+    assert most_in_a_task(adj.select("node", F.explode("out_links")), "node = 0") <= 2000
+    assert adj.where("node = 0").agg(F.sum(F.size("out_links"))).first()[0] == 4000
+    g = P.prepare_graph(edges, split_edges=500, partitions=8)
+    assert most_in_a_task(g.layout, "src = 0") <= 2000
+    g.release()
+
+
+def test_hot_key_table_is_bounded(spark):
+    """The table of hot keys keeps the largest ones, up to its bound."""
+    sizes = spark.createDataFrame([(k, k) for k in range(100)], "word bigint, n bigint")
+    kept = {r.word for r in hot_keys(sizes, "n", "word", 10, max_keys=5).collect()}
+    assert kept == {95, 96, 97, 98, 99}
 
 
 def test_exact_under_aggressive_adaptive_settings(spark, skew_conf, hot_docs):
@@ -93,7 +129,7 @@ def test_hot_word_stripes_and_top_k(spark, hot_docs):
     a = {(r.word, r.next_word): r.probability for r in B.bigram_probabilities(counts).collect()}
     b = {(r.word, r.next_word): r.probability for r in B.bigram_probabilities_from_stripes(s).collect()}
     assert a == b
-    top = B.top_next_words(B.bigram_probabilities(counts), 3, salts=4).where("word = 'the'").collect()
+    top = B.top_next_words(B.bigram_probabilities(counts), 3).where("word = 'the'").collect()
     assert [r.next_word for r in sorted(top, key=lambda r: r.rank)] == sorted(x for (w, x) in a if w == "the")[:3]
 
 
@@ -156,20 +192,17 @@ def test_adjacency_copies_are_chunked(spark):
     assert sum(r.page_rank for r in rows if r.page_rank is not None) == 1 / 12
 
 
-def test_hot_side_without_adaptive_execution(spark, hot_docs):
-    """With adaptive execution off the hot table is hinted, results unchanged."""
-    docs, texts = hot_docs
-    old = spark.conf.get("spark.sql.adaptive.enabled")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        probs = B.bigram_probabilities(B.bigram_counts(B.bigrams(docs)), max_entries=500)
-        rows = probs.collect()
-        assert "BroadcastHashJoin" in probs._jdf.queryExecution().executedPlan().toString()
-    finally:
-        spark.conf.set("spark.sql.adaptive.enabled", old)
-    pairs = Counter(p for t in texts for p in reference_pairs(t))
-    totals = defaultdict(int)
-    for (w, _), n in pairs.items():
-        totals[w] += n
-    assert {(r.word, r.next_word): r.probability for r in rows} == {
-        (w, x): n / totals[w] for (w, x), n in pairs.items()}
+def test_top_k_is_limited_before_the_shuffle(spark, hot_docs):
+    """One exchange on ``word``, with the group limit below it."""
+    docs, _ = hot_docs
+    counts = B.bigram_counts(B.bigrams(docs))
+    plan = B.top_next_words_from_counts(counts, 3)._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan and "Partial" in plan and "REPARTITION_BY_COL" not in plan
+
+
+def test_top_n_at_tiny_ranks(spark):
+    """Ranks far under any fixed number of decimals keep their order."""
+    from bigraph.operators.ranking import significant, top_n
+
+    ranks = spark.createDataFrame([(1, 1e-13), (2, 4e-13), (3, 3e-13), (4, 0.0)], "node bigint, page_rank double")
+    assert [r.node for r in top_n(ranks, 2, significant("page_rank")).collect()] == [2, 3]

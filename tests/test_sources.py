@@ -4,6 +4,8 @@ import json
 import os
 import tempfile
 
+import pytest
+
 from bigraph.operators import bigrams as B
 from bigraph.operators import graph as G
 from bigraph.operators import pagerank as P
@@ -41,7 +43,7 @@ def test_edges_source(spark):
     path = os.path.join(d, "edges.txt")
     with open(path, "w") as f:
         f.write("# comment\n0\t1\n0\t2\n1\t2\n2\t0\n2\t3\n")
-    e = read_edges(spark, path)
+    e = read_edges(spark, path, comment="#")
     assert sorted((r.src, r.dst) for r in e.collect()) == [(0, 1), (0, 2), (1, 2), (2, 0), (2, 3)]
     assert G.graph_stats(e).first()["n_nodes"] == 4
 
@@ -86,3 +88,42 @@ def test_edges_source_string_ids(spark):
     assert dict(e.dtypes) == {"src": "string", "dst": "string"}
     ranks = {r.node: round(r.page_rank, 9) for r in P.pagerank_complete(e, 1).collect()}
     assert ranks == {"a": 0.196875, "b": 0.196875, "c": 0.409375, "d": 0.196875}
+
+
+def test_edge_lines_with_any_ids(spark):
+    """STRING ids may start with ``#`` or a quote; comments only on request;
+    an empty id or a missing tab raises."""
+    from bigraph.sources import parse_edges
+
+    lines = spark.createDataFrame([('#spark\t#scala',), ('"a\tb',)], "value string")
+    assert [tuple(r) for r in parse_edges(lines, "STRING").collect()] == [("#spark", "#scala"), ('"a', "b")]
+    assert parse_edges(lines, "STRING", comment="#").count() == 1
+    for bad in ("a\t", "a", "a\tb\tc"):
+        with pytest.raises(Exception, match="not an edge"):
+            parse_edges(spark.createDataFrame([(bad,)], "value string"), "STRING").collect()
+    with pytest.raises(Exception, match="not an edge"):
+        parse_edges(spark.createDataFrame([("1\tx",)], "value string")).collect()
+    assert parse_edges(spark.createDataFrame([("1\tx",)], "value string"), bad_lines="null").first().src is None
+
+
+def test_hub_round_trip(spark):
+    """A hub's parts are lines with ``part`` and ``parts``, the rank always
+    written; reading them back gives every link."""
+    from bigraph.operators import graph as G
+    from bigraph.sources import adjacency_lines, parse_adjacency
+
+    edges = spark.createDataFrame([(0, d) for d in range(1, 41)], "src bigint, dst bigint")
+    lines = adjacency_lines(G.adjacency(edges, max_entries=10))
+    text = [r.value for r in lines.collect()]
+    assert all('"page_rank":' in t for t in text) and sum('"parts":4' in t for t in text) == 4
+    back = parse_adjacency(lines).where("node = '0'").collect()
+    assert sorted(int(x) for r in back for x in r.out_links) == list(range(1, 41))
+    assert [r.page_rank for r in back if r.page_rank is not None] == [1 / 41]
+
+
+def test_malformed_lines_raise(spark):
+    from bigraph.sources import parse_adjacency, parse_ranks
+
+    for parse in (parse_adjacency, parse_ranks):
+        with pytest.raises(Exception, match="line"):
+            parse(spark.createDataFrame([("nonsense",)], "value string")).collect()
