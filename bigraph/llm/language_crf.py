@@ -289,7 +289,7 @@ def label_words(field: Field, data: np.ndarray, offsets: np.ndarray):
         _, first, inverse = np.unique(h, return_index=True, return_inverse=True)
         emit = field.emissions(prefix, starts[first], ends[first], h[first])[inverse]
         parts.append((starts + offsets[i], ends + offsets[i], doc + i, emit.astype(np.float32)))
-    if not parts:
+    if not parts or not n:
         z = np.zeros(0, dtype=np.int64)
         return z, z, z, np.zeros((0, n))
     starts, ends, doc, emit = (np.concatenate(x) for x in zip(*parts))

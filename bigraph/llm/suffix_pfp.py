@@ -471,7 +471,7 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", le
     has parted goes with it, a NULL text stays NULL."""
     table, cuts = remove_repeats(docs, key, text, length, **settings)
     cut = cuts.where(F.col("n_removed") > 0).select(F.col("_key").alias(KEY), F.col("kept").alias("__llm_kept"))
-    place = docs.columns.index(text)
+    names, place = docs.columns, docs.columns.index(text)
 
     def decode(batch: pa.RecordBatch):
         kept = batch.column(batch.num_columns - 1)
@@ -479,7 +479,7 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", le
                  for k, t in zip(kept.to_pylist(), batch.column(place).to_pylist())]
         columns = list(batch.columns[:-1])
         columns[place] = pa.array(texts, pa.string())
-        yield pa.RecordBatch.from_arrays(columns, names=docs.columns)
+        yield pa.RecordBatch.from_arrays(columns, names=names)
 
     joined = table.join(cut, KEY, "left").select(*docs.columns, "__llm_kept")
     return arrow_map(joined, decode, docs.schema)
