@@ -8,7 +8,7 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
@@ -60,6 +60,24 @@ def fold(doc_id: Column | str, modulus: int) -> Column:
     return F.crc32(c.cast("string")) % F.lit(modulus)
 
 
+def least_hashed(rows: DataFrame, n: int, group: str) -> DataFrame:
+    """``group, id`` of the ``n`` ids with the least hash in each group;
+    ``rows`` is ``group, id, h`` and may repeat ids.
+
+    Only ids under the part of the hash range that holds about ``4 * n`` of the
+    group's ids are shuffled, so what meets in a task does not grow with the
+    table or its tasks.  One row per group is broadcast: groups are the labels
+    of a model that the driver holds.
+    """
+    share = rows.groupBy(group).agg(
+        F.least(F.lit(1.0), 4.0 * n / F.approx_count_distinct("id")).alias("share"))
+    low = (rows.join(F.broadcast(share), group)
+           .where(F.col("h").cast("double") / 2.0**64 + 0.5 <= F.col("share"))
+           .select(group, "id", "h").distinct())
+    least = Window.partitionBy(group).orderBy("h", "id")
+    return low.withColumn("r", F.row_number().over(least)).where(F.col("r") <= n).select(group, "id")
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
@@ -122,6 +140,5 @@ def with_rank(df: DataFrame, order: list[Column], name: str) -> DataFrame:
 def partition_offsets(totals: DataFrame) -> DataFrame:
     """``_pid, base``: sum of ``total`` over the partitions before ``_pid``.
     One row per partition of a table (bounded by the number of its tasks)."""
-    from pyspark.sql import Window
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     return totals.select("_pid", F.coalesce(F.sum("total").over(w), F.lit(0)).cast("bigint").alias("base"))

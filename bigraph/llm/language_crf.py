@@ -20,10 +20,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bigraph.llm.common import arrow_map, fold
+from bigraph.llm.common import arrow_map, fold, least_hashed
 from bigraph.llm.kernels import LOWER, U64, chunks, mix, prefix_hash, span_hash, text_arrays
 
 FOLDS, HELD_FOLD = 3, 1
@@ -263,9 +263,7 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "l
     """A field from the rows with a language outside the held-out fold."""
     known = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull() & (fold(key, folds) != held_fold)).select(
         F.col(lang).alias("lang"), F.xxhash64(key).alias("h"), F.col(key).cast("bigint").alias("id"))
-    # The limit acts in every task before the shuffle: at most per_lang rows of a language leave it.
-    least = Window.partitionBy("lang").orderBy("h", "id")
-    chosen = known.withColumn("r", F.row_number().over(least)).where(F.col("r") <= per_lang).select("lang", "id").distinct()
+    chosen = least_hashed(known, per_lang, "lang")
     rows = docs.where(F.col(text).isNotNull()).select(F.col(key).alias("id"), F.col(lang).alias("lang"), F.col(text).alias("text"))
     picked = (rows.join(F.broadcast(chosen), ["id", "lang"])
               .select("lang", F.pmod(F.xxhash64("id", F.lit(17)), F.lit(1 << 40)).alias("draw"), "text"))

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bigraph.llm.common import arrow_map, fold
+from bigraph.llm.common import arrow_map, fold, least_hashed
 from bigraph.llm.kernels import LOWER, U64, chunks, mix, prefix_hash, span_hash, text_arrays, word_spans
 
 FOLDS, HELD_FOLD = 5, 0
@@ -206,9 +206,8 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     known = (labels.where(F.col(label).isin(0, 1) & (fold(key, folds) != held_fold))
              .groupBy(F.col(key).alias("_id")).agg(F.min(label).alias("y")))
     # At most 2 * per_class ids by their hash: a broadcast of proven size.
-    first = lambda c: (known.where(F.col("y") == c)
-                       .orderBy(F.xxhash64("_id"), "_id").limit(per_class))
-    chosen = first(0).unionByName(first(1))
+    chosen = (least_hashed(known.select("y", F.col("_id").alias("id"), F.xxhash64("_id").alias("h")), per_class, "y")
+              .withColumnRenamed("id", "_id"))
     rows = (docs.select(F.col(key).alias("_id"), F.col(text).alias("text"))
             .join(F.broadcast(chosen), "_id").select("_id", "y", "text"))
     # One row per id, should the table repeat it.
