@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 
 from bigraph.llm import hnsw_dedup, html_bilstm, language_crf, quality_nbsvm
+from bigraph.llm.common import least_hashed
 
 from . import brute
 
@@ -184,3 +185,13 @@ def test_beam_widens_and_audits():
     assert len(a) == int((x[3000:] @ x.T >= 0.95).sum())
     beam, recall = hnsw_dedup.audited_beam(g, x, x, 0.95, 16, 0.99, 64)
     assert recall >= 0.99
+
+
+def test_sampled_ids_have_the_least_hashes(spark):
+    """Groups under and over the bound, an id that holds a third of the rows."""
+    rows = [("big", i) for i in range(5000)] + [("small", i) for i in range(7)] + [("big", 3)] * 2500
+    df = spark.createDataFrame(rows, "g string, id bigint").selectExpr("g", "id", "xxhash64(id) AS h").repartition(7)
+    found = sorted((r.g, r.id) for r in least_hashed(df, 20, "g").collect())
+    want = {g: sorted({(r.h, r.id) for r in df.collect() if r.g == g})[:20] for g in ("big", "small")}
+    assert found == sorted((g, i) for g, ids in want.items() for _, i in ids)
+    assert least_hashed(df.where("g = 'x'"), 20, "g").collect() == []
