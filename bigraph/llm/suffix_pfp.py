@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bigraph.llm.common import KEY, arrow_map, discard, keyed, materialize, shuffle_partitions
-from bigraph.llm.kernels import U64, chunks, mix, powers, prefix_hash, span_hash, text_arrays
+from bigraph.llm.kernels import CHUNK_BYTES, U64, chunks, mix, powers, prefix_hash, span_hash, text_arrays
 
 LENGTH = 100
 GRAM = 32
@@ -117,6 +117,19 @@ def parse(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, gram: int
     return {"doc": doc, "lo": lo - offsets[doc], "before": before, "width": width, "k": grams[at], "c": c}
 
 
+def _segments(data: np.ndarray, offsets: np.ndarray, length: int, most: int = CHUNK_BYTES):
+    """``(start, data, offsets)`` runs that :func:`parse` takes at once: a
+    single longer document is cut into segments of ``most`` window starts,
+    which overlap so that every window lies in one of them.  A run of windows
+    that a cut parts is resolved like any other run."""
+    if data.size <= most:
+        yield 0, data, offsets
+        return
+    for a in range(0, data.size - length + 1, most):
+        part = data[a:a + most + length - 1]
+        yield a, part, np.array([0, part.size])
+
+
 def _firsts(k, c, key, lo) -> tuple[np.ndarray, np.ndarray]:
     """Row order by (k, c, document, start) and which of them are the first
     of their (k, c)."""
@@ -151,15 +164,17 @@ def _ranges(key, lo, width, length) -> pa.RecordBatch:
     return _per_document(key, FULL, r)
 
 
-def _parse_batch(length: int, gram: int, buckets: int):
+def _parse_batch(length: int, gram: int, buckets: int, most: int = CHUNK_BYTES):
     def run(batch: pa.RecordBatch):
         keys = batch.column(0).to_numpy()
         data, offsets = text_arrays(batch.column(1))
         found = []
-        for i, _, d, o in chunks(data, offsets):
-            p = parse(d, o, length, gram)
-            p["key"] = keys[i + p.pop("doc")]
-            found.append(p)
+        for i, _, d, o in chunks(data, offsets, most):
+            for start, part, bounds in _segments(d, o, length, most):
+                p = parse(part, bounds, length, gram)
+                p["key"] = keys[i + p.pop("doc")]
+                p["lo"] = p["lo"] + start
+                found.append(p)
         if not found:
             return
         rows = {x: np.concatenate([p[x] for p in found]) for x in found[0]}
@@ -425,14 +440,15 @@ def _cut(batch: pa.RecordBatch):
 
 
 def repeated_spans(rows: DataFrame, length: int = LENGTH, gram: int = GRAM, max_rows: int = MAX_ROWS,
-                   hot_rows: int = HOT_ROWS) -> DataFrame:
+                   hot_rows: int = HOT_ROWS, segment: int = CHUNK_BYTES) -> DataFrame:
     """``_key, kept BINARY, n_bytes, n_removed, n_spans`` of the documents that
     lose bytes or may lose some; all others lose none.  ``rows`` is ``_key,
-    text`` with unique keys in document order."""
+    text`` with unique keys in document order.  Documents of more than
+    ``segment`` bytes are parsed piece by piece."""
     spark = rows.sparkSession
     parts = shuffle_partitions(spark)
     buckets = parts * BUCKETS_PER_PARTITION
-    parsed = arrow_map(rows, _parse_batch(length, gram, buckets), ROUTED)
+    parsed = arrow_map(rows, _parse_batch(length, gram, buckets, segment), ROUTED)
     known = materialize(parsed.repartition(parts, "key")
                         .mapInArrow(_dictionary(length, max_rows, hot_rows), ROUTED), "dictionary")
     blobs_of = lambda kind: F.collect_list(F.when(F.col("kind") == kind, F.col("blob")))

@@ -28,9 +28,10 @@ def made():
                    (506, "a" * 100 + "b" * 99), (507, "漢" * 200)]
 
 
-@pytest.mark.parametrize("settings", [{}, {"hot_rows": 3, "max_rows": 50}])
+@pytest.mark.parametrize("settings", [{}, {"hot_rows": 3, "max_rows": 50}, {"segment": 150}])
 def test_matches_brute_force(spark, made, settings):
-    """Also with limits so small that triggers are split and handed on."""
+    """Also with limits so small that triggers are split and handed on, and
+    that most documents are parsed in segments."""
     df = spark.createDataFrame(made, "doc_id bigint, text string").repartition(4)
     assert got(removal_digest(df, **settings)) == brute.remove_repeats(made)
 
