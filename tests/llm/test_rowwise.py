@@ -13,6 +13,8 @@ from bigraph.llm.queries import QUERIES, SQL, tokenizer_path
 from . import brute
 from .conftest import pairs
 
+CHUNK = compression_bands.CHUNK
+
 
 def base_of(text):
     text = text or ""
@@ -49,6 +51,33 @@ def test_bands(spark):
     assert got[1].kept and got[2].reason == "incompressible" and got[3].reason == "repetitive"
 
 
+def test_bands_are_learned(spark):
+    """Junk that the fixed limits pass, but whose ratio lies apart from those
+    of texts of its length, is rejected, also in a text's short last chunk."""
+    r = np.random.default_rng(2)
+    words = ["".join(r.choice(list("etaoinshrdlu"), r.integers(2, 9))) for _ in range(3000)]
+    text = lambda n: " ".join(r.choice(words, n))
+    junk = lambda n: " ".join(f"{k % 2}{k % 3}{k % 5} {r.integers(0, 9)}" for k in range(n))
+    rows = [(i, text(r.integers(300, 700))) for i in range(600)] + [(1000 + i, junk(500)) for i in range(20)]
+    tail = [(2000 + i, text(900)[:CHUNK] + junk(170)) for i in range(5)]
+    got = {x.doc_id: x for x in compression_bands.compression_verdicts(
+        spark.createDataFrame(rows + tail, "doc_id bigint, text string")).collect()}
+    assert np.mean([got[i].kept for i in range(600)]) > 0.97
+    assert not any(x.kept for i, x in got.items() if 1000 <= i < 2000)
+    for i, t in rows[600:]:
+        lo, hi = compression_bands._band(len(t), compression_bands.BANDS)
+        assert got[i].base_failed or lo <= got[i].ratio <= hi
+    assert all(got[i].bad_chunks == 0.5 for i, _ in tail)
+
+
+def test_learned_limits():
+    length, bins, n = np.array([40, 40, 40, 44, 60]), np.array([500, 510, 520, 470, 100]), np.array([50, 100, 50, 200, 3])
+    bands = compression_bands.learn_bands(length, bins, n, (2.0, 3.0), None)
+    assert len(bands) == 2 and compression_bands._band(1 << 30, bands) == compression_bands._band(2200, bands)
+    assert np.allclose(compression_bands._band(1100, bands), (0.50 - 0.02, 0.51 + 0.03))
+    assert compression_bands.learn_bands(length, bins, n, (2.0, 3.0), "few", 1000) == "few"
+
+
 def test_mixing_sql(spark, sf):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{sf}/documents.parquet')")
