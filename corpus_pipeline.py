@@ -20,6 +20,9 @@ from bigraph.llm import minhash_bayes, mixing, packing, quality_nbsvm, suffix_pf
 from bigraph.llm.common import read_table, shared_path
 from bigraph.llm.queries import tokenizer_path
 
+#: Similarity of near-duplicates in the pipeline; op1's own threshold binds its query only.
+NEAR = (4, 5)
+
 DOCUMENT = ("doc_id", "text", "lang", "source", "n_chars")
 
 
@@ -30,8 +33,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the smallest document of each group of near-duplicates."""
-    return minhash_bayes.keep_first(docs)
+    """Keep the smallest document of each group of near-duplicates: documents
+    whose sets of 5-word shingles have a similarity of 0.8 or more."""
+    return minhash_bayes.keep_first(docs, threshold=NEAR)
 
 
 def repeated_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

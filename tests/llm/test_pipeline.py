@@ -68,3 +68,20 @@ def test_stages_on_odd_rows(spark, odd, none, sf):
         assert stage(spark, odd, sf).count() >= 0
         assert stage(spark, none, sf).count() == 0
     assert minhash_bayes.keep_first(odd).columns == odd.columns
+
+
+def test_near_duplicate_stage_links_from_four_fifths(spark, sf):
+    """Copies with a similarity from 0.80 up go, also through chains."""
+    rows = []
+    for g in range(12):
+        words = [f"g{g}w{i}" for i in range(49)]        # 45 shingles
+        for k in range(4):                              # each 5 shingles from the one before: 40 / 50
+            rows.append((10 * g + k, " ".join(words)))
+            words = words[5:] + [f"g{g}k{k}n{i}" for i in range(5)]
+        rows.append((10 * g + 4, " ".join([f"g{g}w{i}" for i in range(43)] + [f"g{g}x{i}" for i in range(6)])))  # 39 / 51
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, sf).collect()}
+    sets = {d: brute.shingles(t) for d, t in rows}
+    links = [(a, b) for a in sets for b in sets if a < b and 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])]
+    assert got == {d for d, c in brute.union_find(sets, links).items() if c == d}
+    assert len(links) == 36 and len(got) == 24
