@@ -53,9 +53,13 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents laid into sequences of 2048 tokens."""
-    pieces = packing.pack(docs, tokenizer_path())
-    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    """Pieces of documents laid into sequences of 2048 tokens, with their ids.
+
+    Copies of a document share its ``doc_id``; ``copy`` tells them apart, as
+    the place of the copy's first token in the whole stream."""
+    pieces = packing.pack(docs, tokenizer_path(), packing.WINDOW)
+    copy = F.col("sequence_id") * packing.WINDOW + F.col("offset") - F.col("start")
+    return pieces.withColumn("ids_crc32", F.crc32("ids")).withColumn("copy", copy)
 
 
 STAGES = [

@@ -4,9 +4,11 @@ import os
 import subprocess
 import sys
 
+import numpy as np
+
 import corpus_pipeline
-from bigraph.llm import minhash_bayes, mixing, quality_nbsvm
-from bigraph.llm.queries import QUERIES, SQL
+from bigraph.llm import minhash_bayes, mixing, packing, quality_nbsvm
+from bigraph.llm.queries import QUERIES, SQL, tokenizer_path
 
 from . import brute
 from .conftest import pairs
@@ -85,3 +87,22 @@ def test_near_duplicate_stage_links_from_four_fifths(spark, sf):
     links = [(a, b) for a in sets for b in sets if a < b and 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])]
     assert got == {d for d, c in brute.union_find(sets, links).items() if c == d}
     assert len(links) == 36 and len(got) == 24
+
+
+def test_packing_stage_rebuilds_every_copy(spark, documents, odd, sf):
+    """The last stage's rows hold the packed ids, and tell copies apart."""
+    import zlib
+    from collections import defaultdict
+
+    for df in (odd, documents.limit(30).unionByName(documents.limit(30))):
+        df = spark.createDataFrame(df.collect(), df.schema)
+        out = defaultdict(list)
+        for r in corpus_pipeline.pack(spark, df, sf).collect():
+            assert zlib.crc32(r.ids) == r.ids_crc32
+            out[r.doc_id, r["copy"]].append((r.start, bytes(r.ids)))
+        enc = packing.Encoder(tokenizer_path())
+        want = sorted((-1 if d is None else d, enc.tok.encode(t or "", add_special_tokens=False).ids + [packing.END_ID])
+                      for d, t in pairs(df))
+        got = sorted((-1 if d is None else d, np.frombuffer(b"".join(b for _, b in sorted(p)), "<u4").tolist())
+                     for (d, _), p in out.items())
+        assert got == want
