@@ -30,7 +30,7 @@ from bigraph.llm.kernels import LOWER, U64, chunks, mix, prefix_hash, span_hash,
 
 FOLDS, HELD_FOLD = 7, 2
 TUNE_PART = 16              # one in so many training documents is held out for the weights
-ORDER = 2
+ORDER = 3
 BUCKETS_PER_PARTITION = 4
 BATCH_BYTES = 1 << 23       # text of a batch: bounds the memory of a task
 CONTEXT_BUCKETS = 32        # by the bit length of the context's count

@@ -177,6 +177,17 @@ def test_lm_base_and_model(documents, order):
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
 
 
+def test_lm_default_uses_trigrams(spark):
+    """Two words before decide the third: the default model knows it."""
+    rows = [(i, " ".join(["a x c", "b x d"][(i + k) % 2] for k in range(20))) for i in range(400)]
+    rows += [(1000 + i, "a x d " * 20) for i in range(60)]
+    got = {r.doc_id: r.score / r.n_tokens for r in lm_interpolation.interpolated_scores(
+        spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    want = {r.doc_id: r.score / r.n_tokens for r in lm_interpolation.interpolated_scores(
+        spark.createDataFrame(rows, "doc_id bigint, text string"), order=3).collect()}
+    assert lm_interpolation.ORDER == 3 and all(abs(got[i] - want[i]) < 1e-9 for i in want)
+
+
 def test_lm_probabilities(spark):
     """Scores against the mixture written out, with the weights taken as
     found; probabilities of all continuations sum to one."""
