@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from bigraph.llm import (
     compression_bands,
+    fill_in_middle,
     hnsw_dedup,
     html_bilstm,
     language_crf,
@@ -101,3 +102,8 @@ def op2(spark, sf_dir):
 def op6(spark, sf_dir):
     pages = read_table(spark, sf_dir, "pages")
     return html_bilstm.main_text(pages, html_bilstm.fit(pages))
+
+
+@register("op13_fill_in_middle")
+def op13(spark, sf_dir):
+    return fill_in_middle.digests(fill_in_middle.output_pieces(read_table(spark, sf_dir, "documents")))
