@@ -17,6 +17,7 @@ from bigraph.llm import (
     fill_in_middle,
     hnsw_dedup,
     html_bilstm,
+    importance_bitslice,
     language_crf,
     lm_interpolation,
     minhash_bayes,
@@ -107,3 +108,8 @@ def op6(spark, sf_dir):
 @register("op13_fill_in_middle")
 def op13(spark, sf_dir):
     return fill_in_middle.digests(fill_in_middle.output_pieces(read_table(spark, sf_dir, "documents")))
+
+
+@register("op12_importance_bitslice")
+def op12(spark, sf_dir):
+    return importance_bitslice.resampled(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
