@@ -25,6 +25,7 @@ from bigraph.llm import (
     packing,
     quality_nbsvm,
     suffix_pfp,
+    toxicity_neighbours,
 )
 from bigraph.llm.common import read_table
 
@@ -113,3 +114,9 @@ def op13(spark, sf_dir):
 @register("op12_importance_bitslice")
 def op12(spark, sf_dir):
     return importance_bitslice.resampled(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+@register("op11_toxicity_neighbours")
+def op11(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents")
+    return toxicity_neighbours.toxicity_scores(docs, toxicity_neighbours.fit(docs, read_table(spark, sf_dir, "labels")))
