@@ -3,7 +3,7 @@
 Documents are TF-IDF vectors over words and word beginnings (4 to 7 bytes, so
 that an inflected or compounded form meets its stem).  The vocabulary holds
 the terms whose presence goes with the label in the examples (likelihood-ratio
-test, at most ``TERMS``).  A document's nearest examples by cosine are found
+test, at most ``TERMS``; no stop words).  A document's nearest examples by cosine are found
 exactly in an inverted index whose postings are cut into blocks of examples
 with their largest weight: blocks are opened by falling upper bound until no
 unopened one can hold a nearer example.  The neighbours vote with weights that
@@ -34,6 +34,7 @@ FOLDS, HELD_FOLD = 4, 2
 PER_CLASS = 3000            # labelled rows of each class that serve as examples
 TERMS = 4096                # of the vocabulary at most
 LEAST_G = 20.0              # likelihood-ratio statistic that lets a term in
+COMMON = 0.25               # share of the clean examples above which a term is a stop word
 PREFIXES = (4, 5, 6, 7)     # bytes of a word's beginning that are terms
 NEIGHBOURS = 9
 BLOCK = 64                  # examples of a block
@@ -42,12 +43,13 @@ THRESHOLD = 0.3
 
 _LETTER = np.zeros(256, dtype=bool)
 _LETTER[97:123] = _LETTER[128:] = True
-_SALT = mix(np.arange(1, 9, dtype=U64) * U64(0xD1B54A32D192ED03))
 
 
 def terms(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Document and 64-bit hash of every word (run of ASCII letters, case
-    folded, and bytes beyond ASCII) and of its proper beginnings."""
+    folded, and bytes beyond ASCII) and of its proper beginnings.  The lowest
+    bits of a hash tell the kind: 1 to 4 a beginning, the shortest first, 7 a
+    word."""
     low = LOWER[data]
     letter = _LETTER[low]
     edge = np.zeros(low.size + 1, dtype=bool)
@@ -58,11 +60,11 @@ def terms(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
         return np.zeros(0, np.int64), np.zeros(0, U64)
     doc = np.searchsorted(offsets, s, side="right") - 1
     p = prefix_hash(low)
-    docs, hashes = [doc], [span_hash(p, s, e)]
+    docs, hashes = [doc], [span_hash(p, s, e) | U64(7)]
     for i, size in enumerate(PREFIXES):
         longer = np.flatnonzero(e - s > size)
         docs.append(doc[longer])
-        hashes.append(mix(span_hash(p, s[longer], s[longer] + size) ^ _SALT[i]))
+        hashes.append(span_hash(p, s[longer], s[longer] + size) & ~U64(7) | U64(i + 1))
     return np.concatenate(docs), np.concatenate(hashes)
 
 
@@ -74,14 +76,14 @@ class Vocabulary:
         self.hashes = hashes[order]
         self.idf = np.log((1 + n) / (1 + df[order])) + 1
         self.maybe = np.zeros(1 << 16, dtype=bool)          # most terms are told apart by 16 bits
-        self.maybe[(self.hashes & U64(0xFFFF)).astype(np.int64)] = True
+        self.maybe[(self.hashes >> U64(48)).astype(np.int64)] = True
 
     def vectors(self, doc: np.ndarray, hashes: np.ndarray, n_docs: int):
         """Unit TF-IDF vectors of ``n_docs`` documents: ``offsets, term, weight``."""
         size = len(self.hashes)
         if not size:
             return np.zeros(n_docs + 1, np.int64), np.zeros(0, np.int64), np.zeros(0)
-        keep = np.flatnonzero(self.maybe[(hashes & U64(0xFFFF)).astype(np.int64)])
+        keep = np.flatnonzero(self.maybe[(hashes >> U64(48)).astype(np.int64)])
         at = np.minimum(np.searchsorted(self.hashes, hashes[keep]), size - 1)
         known = self.hashes[at] == hashes[keep]
         cell, tf = np.unique(doc[keep][known] * size + at[known], return_counts=True)
@@ -121,26 +123,34 @@ class BlockMaxIndex:
         lo = self.of_term[term]
         pieces = self.of_term[term + 1] - lo
         piece = _ranges(lo, pieces)
-        w = np.repeat(weight, pieces)
-        bound = np.bincount(self.block[piece], w * self.most[piece], -(-self.n // BLOCK))
-        waiting = np.flatnonzero(bound > 0)
+        w, block = np.repeat(weight, pieces), self.block[piece]
+        bound = np.bincount(block, w * self.most[piece], -(-self.n // BLOCK))
+        waiting = np.flatnonzero(bound)
         waiting = waiting[np.argsort(-bound[waiting], kind="stable")]
-        best_e, best_c, step = np.zeros(0, np.int64), np.zeros(0), 2
+        best_e, best_c, least, step = np.zeros(0, np.int64), np.zeros(0), 0.0, 4
         while waiting.size:
             chosen, waiting = waiting[:step], waiting[step:]
             self.opened += chosen.size
-            mine = np.flatnonzero(np.isin(self.block[piece], chosen))
+            now = np.zeros(bound.size, dtype=bool)
+            now[chosen] = True
+            mine = np.flatnonzero(now[block])
             p = piece[mine]
             at = _ranges(self.start[p], self.size[p])
-            e, inv = np.unique(self.example[at], return_inverse=True)
-            c = np.bincount(inv, np.repeat(w[mine], self.size[p]) * self.weight[at], e.size)
-            best_e, best_c = np.concatenate((best_e, e[e != without])), np.concatenate((best_c, c[e != without]))
-            order = np.lexsort((best_e, -best_c))[:k]
-            best_e, best_c = best_e[order], best_c[order]
+            c = np.bincount(self.example[at], np.repeat(w[mine], self.size[p]) * self.weight[at], self.n)
+            if without >= 0:
+                c[without] = 0
+            e = np.flatnonzero(c > least)
+            best_e, best_c = np.concatenate((best_e, e)), np.concatenate((best_c, c[e]))
+            if best_e.size > k:
+                near = np.flatnonzero(best_c >= np.partition(best_c, -k)[-k])
+                near = near[np.lexsort((best_e[near], -best_c[near]))[:k]]
+                best_e, best_c = best_e[near], best_c[near]
             if best_e.size == k:
-                waiting = waiting[bound[waiting] >= best_c[-1] - 1e-9]
+                least = best_c.min() - 1e-9
+                waiting = waiting[bound[waiting] >= least]
             step *= 2
-        return best_e, best_c
+        order = np.lexsort((best_e, -best_c))
+        return best_e[order], best_c[order]
 
 
 def heaviest(offsets: np.ndarray, term: np.ndarray, weight: np.ndarray) -> np.ndarray:
@@ -192,8 +202,9 @@ def train(ids: np.ndarray, toxic: np.ndarray, vocabulary: Vocabulary, offsets: n
           weight: np.ndarray, class_sizes: tuple[int, int], neighbours: int = NEIGHBOURS) -> Model:
     """Index and calibration from examples; ``class_sizes`` counts all
     labelled rows of class 0 and 1, of which the examples are a sample."""
-    # Examples that share their heaviest term lie together, so blocks differ.
-    order = np.lexsort((ids, toxic, heaviest(offsets, term, weight)))
+    # Examples that share their heaviest term lie together, so blocks differ;
+    # among these a hash of the id decides, also on ties between neighbours.
+    order = np.lexsort((ids, mix(ids.astype(U64)), heaviest(offsets, term, weight)))
     sizes = np.diff(offsets)[order]
     at = _ranges(offsets[order], sizes)
     offsets, term, weight = np.concatenate(([0], np.cumsum(sizes))), term[at], weight[at]
@@ -241,7 +252,8 @@ def _listed(batch: pa.RecordBatch):
         yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(np.full(h.size, toxic, np.int32))], names=["term", "toxic"])
 
 
-def _term_table(examples: DataFrame, sizes: tuple[int, int], most: int, least_g: float) -> tuple[np.ndarray, np.ndarray]:
+def _term_table(examples: DataFrame, sizes: tuple[int, int], most: int, least_g: float,
+                common: float) -> tuple[np.ndarray, np.ndarray]:
     """Hashes and document frequencies of the terms whose presence depends
     most on the label; ``2 * sum of O * ln(O / E)`` over the four cells."""
     n0, n1 = (F.lit(float(s)) for s in sizes)
@@ -254,7 +266,7 @@ def _term_table(examples: DataFrame, sizes: tuple[int, int], most: int, least_g:
     g = 2 * (cell(pos, df * n1 / n) + cell(df - pos, df * n0 / n)
              + cell(n1 - pos, (n - df) * n1 / n) + cell(n0 - df + pos, (n - df) * n0 / n))
     counted = (arrow_map(examples.select("toxic", "terms"), _listed, "term bigint, toxic int").groupBy("term")
-               .agg(F.sum("toxic").alias("pos"), F.count(F.lit(1)).alias("df")).where(F.col("df") > 1))
+               .agg(F.sum("toxic").alias("pos"), F.count(F.lit(1)).alias("df")).where((F.col("df") > 1) & (F.col("df") - F.col("pos") <= common * n0)))
     best = (counted.withColumn("g", g).where(F.col("g") >= least_g).orderBy(F.desc("g"), "term").limit(most)
             .select("term", "df").toPandas())
     return best["term"].to_numpy(np.int64).view(U64), best["df"].to_numpy(np.int64)
@@ -262,7 +274,7 @@ def _term_table(examples: DataFrame, sizes: tuple[int, int], most: int, least_g:
 
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic",
         folds: int = FOLDS, held_fold: int = HELD_FOLD, per_class: int = PER_CLASS, most_terms: int = TERMS,
-        least_g: float = LEAST_G, neighbours: int = NEIGHBOURS) -> Model:
+        least_g: float = LEAST_G, common: float = COMMON, neighbours: int = NEIGHBOURS) -> Model:
     """A model from ``docs`` and ``labels`` (``key, label`` 0 or 1) outside
     the held-out fold.  A document with several labels counts as the greatest;
     labels that are NULL or of documents not in ``docs`` are ignored."""
@@ -278,9 +290,9 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     of = {r["toxic"]: r["n"] for r in examples.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     sampled = (of.get(0, 0), of.get(1, 0))
     all_of = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
-    hashes, df = _term_table(examples, sampled, most_terms, least_g) if min(sampled) else (np.zeros(0, U64), np.zeros(0))
-    vocabulary = Vocabulary(hashes, df, sum(sampled))
-
+    hashes, df = np.zeros(0, U64), np.zeros(0, np.int64)
+    if min(sampled):
+        hashes, df = _term_table(examples, sampled, most_terms, least_g, common)
     def project(batch: pa.RecordBatch):
         """Examples with the selected terms only."""
         terms_, counts = [], []
@@ -299,6 +311,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     tf = [np.frombuffer(x, np.uint32) for x in got.column("counts").to_pylist()]
     doc = np.repeat(np.arange(len(ids)), [int(x.sum()) for x in tf])
     h = np.concatenate([np.repeat(a, b) for a, b in zip(h, tf)]) if h else np.zeros(0, U64)
+    vocabulary = Vocabulary(hashes, df, sum(sampled))
     return train(ids, toxic, vocabulary, *vocabulary.vectors(doc, h, len(ids)), (all_of.get(0, 0), all_of.get(1, 0)),
                  neighbours)
 
