@@ -7,6 +7,7 @@ from bigraph.functions.collect import (
     part_of,
     sorted_entries_text,
     sorted_list_text,
+    with_group_totals,
 )
 from bigraph.functions.text import adjacent_pairs, bigram_key, normalize_text, tokenize
 
@@ -21,4 +22,5 @@ __all__ = [
     "sorted_entries_text",
     "sorted_list_text",
     "tokenize",
+    "with_group_totals",
 ]

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 DEFAULT_MAX_ENTRIES = 100_000
 MAX_HOT_KEYS = 1_000_000   # rows of a broadcast table of hot keys (some 50 MB)
+SALTS = 1 << 20            # spread of a hot key's rows over the tasks of a join
 
 
 def n_parts(group_size: Column, max_entries: int) -> Column:
@@ -50,8 +51,31 @@ def hot_keys(sizes: DataFrame, size: str, key: str, max_entries: int, max_keys:
 
     The bound holds by construction, whatever the data and the session's
     thresholds.  A key that is passed over has no more entries than each of
-    the ``max_keys`` larger ones, so under ``rows / max_keys``; it is treated
-    like any other key, nothing is dropped.
+    the ``max_keys`` larger ones, so under ``rows / max_keys``.
     """
     return F.broadcast(sizes.where(F.col(size) > max_entries)
                        .orderBy(F.desc(size), F.asc(key)).limit(max_keys))
+
+
+def with_group_totals(rows: DataFrame, totals: DataFrame, key: str, entry: str, size: str, max_entries: int,
+                      max_keys: int = MAX_HOT_KEYS) -> DataFrame:
+    """``rows`` with the columns of its key's row in ``totals`` (``key``,
+    ``size`` and more; at most one row per key), NULLs where there is none.
+
+    An equi-join on the key that no hot key can overload: the largest keys
+    (:func:`hot_keys`) take their totals from the broadcast table, and their
+    rows enter the join with a salt from ``entry`` that no total has, so they
+    spread over its tasks.  Every other key, also one with more than
+    ``max_entries`` entries that the bound passes over, meets its total in the
+    join; the result does not depend on ``max_keys``.
+    """
+    values = [c for c in totals.columns if c != key]
+    hot = hot_keys(totals, size, key, max_entries, max_keys).select(key, *[F.col(c).alias(f"_hot_{c}") for c in values])
+    salt = F.when(F.col(f"_hot_{size}").isNull(), F.lit(0)).otherwise(
+        1 + F.pmod(F.xxhash64(entry), F.lit(SALTS))).cast("int")
+    # Always 0, but not a literal: Spark would take a constant out of the join's
+    # keys and shuffle on ``key`` alone.
+    zero = F.when(F.col(size) < 0, F.lit(-1)).otherwise(F.lit(0))
+    plain = totals.select(key, zero.alias("_salt"), *[F.col(c).alias(f"_plain_{c}") for c in values])
+    return (rows.join(hot, key, "left").withColumn("_salt", salt).join(plain, [key, "_salt"], "left")
+            .select(*rows.columns, *[F.coalesce(f"_hot_{c}", f"_plain_{c}").alias(c) for c in values]))

@@ -14,13 +14,16 @@ Scale notes
   spread over all reducers.
 * Totals per word are a second partial aggregate over the counts (one row per
   word leaves each task); the same aggregate counts each word's followers.
-  Words with more than ``max_entries`` followers are "hot": their totals form
-  a broadcast table that is cut at ``MAX_HOT_KEYS`` rows, and their rows are
-  salted over the join on ``word``.
-* A stripe is a collected group.  Hot words are cut into
-  ``ceil(n_next / max_entries)`` parts by a hash of the follower, and the
-  shuffle goes on ``(word, part)``, so no task holds more than about
-  ``max_entries`` entries of one word.
+  Rows meet them in an equi-join on ``word`` that hot words cannot overload
+  (:func:`bigraph.functions.with_group_totals`).
+* The corpus is tokenised and its counts are shuffled once per query: both
+  sides of that join read one exchange.  Spark takes an exchange twice only if
+  the plans below are equal, so ``bigram_counts`` says itself that its keys are
+  not NULL (else the join would say so below one of its sides).
+* A stripe is a collected group.  Words with more than ``max_entries``
+  followers are cut into ``ceil(n_next / max_entries)`` parts by a hash of the
+  follower, and the shuffle goes on ``(word, part)``, so no task holds more
+  than about ``max_entries`` entries of one word.
 * Top-k per word: every task keeps its own best ``k`` of a word before the one
   shuffle on ``word``.  From counts, only the survivors meet the word totals.
 """
@@ -34,14 +37,13 @@ from bigraph.functions import (
     DEFAULT_MAX_ENTRIES,
     adjacent_pairs,
     bigram_key,
-    hot_keys,
     n_parts,
     normalize_text,
     part_of,
     tokenize,
+    with_group_totals,
 )
-
-SALTS = 1 << 20   # spread of a hot word's rows over the tasks of a join
+from bigraph.functions.collect import MAX_HOT_KEYS
 
 
 def normalized_documents(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -66,7 +68,9 @@ def bigrams(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ()) ->
 
 
 def bigram_counts(pairs: DataFrame) -> DataFrame:
-    """``word, next_word, n``: occurrences of each bigram (A1)."""
+    """``word, next_word, n``: occurrences of each bigram (A1).  A pair with a
+    NULL word (:func:`bigrams` gives none) is no bigram."""
+    pairs = pairs.where(F.col("word").isNotNull() & F.col("next_word").isNotNull())
     return pairs.groupBy("word", "next_word").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -75,46 +79,42 @@ def word_totals(counts: DataFrame) -> DataFrame:
     return counts.groupBy("word").agg(F.sum("n").alias("total"))
 
 
-def bigram_probabilities(counts: DataFrame, max_entries: int = DEFAULT_MAX_ENTRIES) -> DataFrame:
-    """``word, next_word, probability`` from pair counts.
+def _word_sizes(counts: DataFrame) -> DataFrame:
+    """``word, total, n_next``: occurrences and followers of every word."""
+    sizes = counts.groupBy("word").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("n_next"))
+    # Always true; it keeps both columns in every use of the table, so that
+    # all uses share one exchange.
+    return sizes.where(F.col("n_next") > 0)
 
-    One aggregate per word gives the total and the number of followers.  Rows
-    of hot words (more than ``max_entries`` followers) take their total from a
-    broadcast table of bounded size; they enter the equi-join on ``word`` with
-    a salt that no total has, so they are spread over its tasks and no word
-    sends more than about ``max_entries`` rows to one.
-    """
-    totals = counts.groupBy("word").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("n_next"))
-    hot = hot_keys(totals, "n_next", "word", max_entries).select("word", F.col("total").alias("hot_total"))
-    salt = F.when(F.col("hot_total").isNull(), F.lit(0)).otherwise(
-        1 + F.pmod(F.xxhash64("next_word"), F.lit(SALTS))).cast("int")
-    tagged = counts.join(hot, "word", "left").withColumn("salt", salt)
-    plain = totals.select("word", F.lit(0).alias("salt"), "total")
-    return (tagged.join(plain, ["word", "salt"], "left")
-            .select("word", "next_word", (F.col("n") / F.coalesce("hot_total", "total")).alias("probability")))
+
+def bigram_probabilities(counts: DataFrame, max_entries: int = DEFAULT_MAX_ENTRIES,
+                         max_keys: int = MAX_HOT_KEYS) -> DataFrame:
+    """``word, next_word, probability`` from pair counts (A4, J5).  Words with
+    more than ``max_entries`` followers are spread over the tasks of the join
+    (``max_keys`` of them; the others have few rows)."""
+    sized = with_group_totals(counts, _word_sizes(counts), "word", "next_word", "n_next", max_entries, max_keys)
+    return sized.select("word", "next_word", (F.col("n") / F.col("total")).alias("probability"))
 
 
-def stripes(counts: DataFrame, max_entries: int = DEFAULT_MAX_ENTRIES) -> DataFrame:
+def stripes(counts: DataFrame, max_entries: int = DEFAULT_MAX_ENTRIES, max_keys: int = MAX_HOT_KEYS) -> DataFrame:
     """``word, part, parts, total, stripe MAP<next_word, n>`` (A3).
 
     Words with at most ``max_entries`` followers have one stripe (part 0 of 1)
-    and ``total`` is the sum of its values.  Hotter words have ``parts``
-    stripes that together hold every follower; their ``total`` (the word's
-    total over all parts) comes with the hot-word table.  Should there be more
-    than ``MAX_HOT_KEYS`` such words, the smaller ones stay one stripe.
+    and ``total`` is the sum of its values.  Every other word has ``parts``
+    stripes that together hold all its followers, each with the word's total
+    over all parts; only these words are looked up, a table of at most
+    ``rows / max_entries`` words.  The result does not depend on ``max_keys``,
+    which bounds a broadcast.
     """
-    sizes = counts.groupBy("word").agg(F.count(F.lit(1)).alias("n_next"), F.sum("n").alias("hot_total"))
-    hot = (hot_keys(sizes, "n_next", "word", max_entries)
-           .select("word", n_parts(F.col("n_next"), max_entries).alias("hot_parts"), "hot_total"))
-    part = (F.when(F.col("hot_parts").isNull(), F.lit(0))
-            .otherwise(part_of(F.col("next_word"), F.col("hot_parts"))))
-    tagged = (counts.join(hot, "word", "left")
-              .select("word", "next_word", "n", part.alias("part"),
-                      F.coalesce(F.col("hot_parts"), F.lit(1)).alias("parts"), "hot_total"))
-    collected = (tagged.groupBy("word", "part", "parts", "hot_total")
+    long = _word_sizes(counts).where(F.col("n_next") > max_entries)
+    part = F.when(F.col("parts") > 1, part_of(F.col("next_word"), F.col("parts"))).otherwise(F.lit(0))
+    tagged = (with_group_totals(counts, long, "word", "next_word", "n_next", max_entries, max_keys)
+              .withColumn("parts", n_parts(F.col("n_next"), max_entries))    # 1 for words that are not long
+              .select("word", "next_word", "n", part.alias("part"), "parts", "total"))
+    collected = (tagged.groupBy("word", "part", "parts", "total")
                  .agg(F.map_from_entries(F.collect_list(F.struct("next_word", "n"))).alias("stripe")))
-    total = F.coalesce(F.col("hot_total"), stripe_total("stripe"))
-    return collected.select("word", "part", "parts", total.alias("total"), "stripe")
+    return collected.select("word", "part", "parts", F.coalesce(F.col("total"), stripe_total("stripe")).alias("total"),
+                            "stripe")
 
 
 def stripe_total(stripe: str = "stripe"):

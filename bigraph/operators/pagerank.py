@@ -54,8 +54,8 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bigraph.functions import hot_keys
-from bigraph.operators.graph import node_degrees
+from bigraph.functions import hot_keys, with_group_totals
+from bigraph.operators.graph import node_degrees, weighted_edges
 from bigraph.session import checkpoint_dir
 
 log = logging.getLogger(__name__)
@@ -77,19 +77,10 @@ def _splits(links, split_edges: int):
     return F.greatest(F.lit(1), F.ceil(links / F.lit(split_edges))).cast("int")
 
 
-def _weighted(edges: DataFrame, dedupe_edges: bool = False) -> DataFrame:
-    """``src, dst, mult``: copies of an edge combined map-side into one row
-    that carries their number (1 for every edge with ``dedupe_edges``).  A
-    group of copies is thus one row, never a hot key."""
-    if dedupe_edges:
-        return edges.distinct().withColumn("mult", F.lit(1).cast("bigint"))
-    return edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("mult"))
-
-
 def _degrees(weighted: DataFrame, split_edges: int) -> DataFrame:
     """``node, out_degree, links, splits`` of every node: ``out_degree``
     counts copies, ``links`` distinct targets (what salts can spread)."""
-    return node_degrees(weighted, "mult").withColumn("splits", _splits(F.col("links"), split_edges))
+    return node_degrees(weighted).withColumn("splits", _splits(F.col("links"), split_edges))
 
 
 def _bounded(deg: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -124,25 +115,40 @@ def _flow():
     return F.col("share") * F.col("mult")
 
 
+def _state(weighted: DataFrame, ranks: DataFrame) -> DataFrame:
+    """``node, page_rank, out_degree, links`` of the nodes that ``ranks``
+    holds: rank rows and degree rows meet in one aggregate on the node.  The
+    conditions keep all columns in every use, so that these share it."""
+    none = F.lit(0).cast("bigint")
+    have = ranks.select("node", "page_rank", none.alias("out_degree"), none.alias("links"))
+    degrees = node_degrees(weighted).select("node", F.lit(None).cast("double").alias("page_rank"), "out_degree", "links")
+    return (have.unionByName(degrees).groupBy("node")
+            .agg(F.max("page_rank").alias("page_rank"), F.sum("out_degree").alias("out_degree"),
+                 F.sum("links").alias("links"))
+            .where(F.col("page_rank").isNotNull() & (F.col("out_degree") >= F.col("links"))))
+
+
+def _flows(weighted: DataFrame, state: DataFrame, split_edges: int) -> DataFrame:
+    """``node, share``: what each edge row brings to its target.  Edges meet
+    the share of their source, a hub's edges in several tasks."""
+    shares = state.where(F.col("out_degree") > 0).select(
+        F.col("node").alias("src"), (F.col("page_rank") / F.col("out_degree")).alias("share"), "links")
+    return (with_group_totals(weighted, shares, "src", "dst", "links", split_edges)
+            .where(F.col("share").isNotNull()).select(F.col("dst").alias("node"), _flow().alias("share")))
+
+
 def rank_contributions(edges: DataFrame, ranks: DataFrame,
                        split_edges: int = DEFAULT_SPLIT_EDGES) -> DataFrame:
     """``node, incoming``: sum of ``PR(u) / outdeg(u)`` over in-edges.
 
-    Nodes without in-links have no row.  Copies of an edge are combined
-    first; the edges meet the shares on ``(src, salt)``, so a hub's edges are
-    spread over several tasks, and the sum per target is combined map-side.
+    Nodes without in-links have no row.  Copies of an edge are combined first;
+    the edges meet the shares on ``src``, those of hubs (more than
+    ``split_edges`` targets) spread over several tasks, and the sum per target
+    is combined map-side.
     """
-    return _contributions(_weighted(edges.select("src", "dst")), ranks, split_edges)[0]
-
-
-def _contributions(weighted: DataFrame, ranks: DataFrame, split_edges: int) -> tuple[DataFrame, DataFrame]:
-    """The sums, and ``ranks`` with each node's degree."""
-    nodes, hubs = _bounded(_degrees(weighted, split_edges))
-    state = ranks.join(nodes, "node", "left").withColumn("out_degree", F.coalesce("out_degree", F.lit(0)))
-    sums = (_salted(weighted, hubs).join(_shares(state), ["src", "salt"])
-            .groupBy(F.col("dst").alias("node"))
-            .agg(F.sum(_flow()).alias("incoming")))
-    return sums, state
+    weighted = weighted_edges(edges)
+    flows = _flows(weighted, _state(weighted, ranks), split_edges)
+    return flows.groupBy("node").agg(F.sum("share").alias("incoming"))
 
 
 def dangling_mass(edges: DataFrame, ranks: DataFrame) -> DataFrame:
@@ -159,37 +165,39 @@ def _mass(state: DataFrame) -> DataFrame:
             .agg(F.coalesce(F.sum("page_rank"), F.lit(0.0)).alias("dangling_mass")))
 
 
-def _updated_rank(incoming, dangling, node, n_nodes: int, damping: float | None,
+def _updated_rank(incoming, dangling, node, n, damping: float | None,
                   node_range: tuple[int, int] | None):
-    """New rank expression from the incoming sum and the dangling mass."""
+    """New rank expression from the incoming sum, the dangling mass and the
+    number of nodes (columns)."""
     s = F.coalesce(incoming, F.lit(0.0))
     if damping is None:
         return s
-    share = dangling / F.lit(n_nodes)
+    share = dangling / n
     if node_range is not None:
         lo, hi = node_range
         share = F.when((node >= F.lit(lo)) & (node < F.lit(hi)), share).otherwise(F.lit(0.0))
-    base = (1.0 - damping) / n_nodes
-    return F.lit(base) + F.lit(damping) * (share + s)
+    return F.lit(1.0 - damping) / n + F.lit(damping) * (share + s)
 
 
 def rank_step(edges: DataFrame, ranks: DataFrame, damping: float | None = DEFAULT_DAMPING,
-              n_nodes: int | None = None, node_range: tuple[int, int] | None = None) -> DataFrame:
-    """``node, page_rank`` after one step.
+              n_nodes: int | None = None, node_range: tuple[int, int] | None = None,
+              split_edges: int = DEFAULT_SPLIT_EDGES) -> DataFrame:
+    """``node, page_rank`` after one step (J1, J4, P9), all in one plan.
 
-    ``damping=None`` is the simplified step.  ``ranks`` must hold every node.
+    ``damping=None`` is the simplified step.  ``ranks`` must hold every node;
+    their number is counted unless given.  The edges are read once.
     """
-    if n_nodes is None:
-        n_nodes = ranks.count()
-    n_nodes = max(n_nodes, 1)  # an empty graph has no rows to rank
-    inc, state = _contributions(_weighted(edges.select("src", "dst")), ranks, DEFAULT_SPLIT_EDGES)
-    out = ranks.join(inc, "node", "left")
-    if damping is not None:
-        out = out.crossJoin(F.broadcast(_mass(state)))   # one row
-        dangling = F.col("dangling_mass")
-    else:
-        dangling = F.lit(0.0)
-    return out.select("node", _updated_rank(F.col("incoming"), dangling, F.col("node"), n_nodes,
+    weighted = weighted_edges(edges)
+    state = _state(weighted, ranks)
+    # Every node's own row (without a share) makes it appear in the sums.
+    carried = state.select("node", F.lit(None).cast("double").alias("share"))
+    sums = (_flows(weighted, state, split_edges).unionByName(carried)
+            .groupBy("node").agg(F.sum("share").alias("incoming")))
+    whole = state.agg(F.greatest(F.count(F.lit(1)), F.lit(1)).alias("counted"),
+                      F.coalesce(F.sum(F.when(F.col("out_degree") == 0, F.col("page_rank"))), F.lit(0.0)).alias("dangling_mass"))
+    n = F.col("counted") if n_nodes is None else F.lit(max(n_nodes, 1))
+    out = sums.crossJoin(F.broadcast(whole))        # one row
+    return out.select("node", _updated_rank(F.col("incoming"), F.col("dangling_mass"), F.col("node"), n,
                                             damping, node_range).alias("page_rank"))
 
 
@@ -239,7 +247,7 @@ def prepare_graph(edges: DataFrame, dedupe_edges: bool = False,
     # Copies of an edge become one row with their number; the result feeds
     # the node table and the layout, so it is kept for the preparation only.
     folder = checkpoint_dir(spark)
-    weighted = _weighted(edges.select("src", "dst"), dedupe_edges).persist(StorageLevel.MEMORY_AND_DISK)
+    weighted = weighted_edges(edges, dedupe_edges).persist(StorageLevel.MEMORY_AND_DISK)
     deg, hubs = _bounded(_degrees(weighted, split_edges))
     nodes = deg.checkpoint().persist(StorageLevel.MEMORY_AND_DISK)
     # One job fills the node cache and counts nodes and layout rows.
@@ -286,7 +294,7 @@ def _round(graph: RankGraph, state: DataFrame, n_nodes: int, damping: float | No
         dangling = F.col("dangling_mass")
     else:
         dangling = F.lit(0.0)
-    rank = _updated_rank(F.col("incoming"), dangling, F.col("node"), n_nodes, damping, node_range)
+    rank = _updated_rank(F.col("incoming"), dangling, F.col("node"), F.lit(n_nodes), damping, node_range)
     cols = ["node", "out_degree", "splits", rank.alias("page_rank")]
     if keep_previous:
         cols.append("previous")

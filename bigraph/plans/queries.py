@@ -164,6 +164,11 @@ def _edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return T.edges(spark, sf_dir)
 
 
+def _weighted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The edges with their copies counted, for plans that use them twice."""
+    return G.weighted_edges(_edges(spark, sf_dir))
+
+
 @register("node_set", "WITH " + O.EDGES_CTE + "\nSELECT node FROM nodes")
 def q_node_set(spark, sf_dir):
     return G.node_set(_edges(spark, sf_dir))
@@ -209,7 +214,7 @@ def q_initial_ranks(spark, sf_dir):
 SELECT e.dst AS node, round(sum(r.page_rank / d.out_degree), {O.ROUND}) AS incoming
 FROM edges e JOIN r0 r ON e.src = r.node JOIN deg d ON d.node = e.src GROUP BY e.dst""")
 def q_rank_contributions(spark, sf_dir):
-    e = _edges(spark, sf_dir)
+    e = _weighted(spark, sf_dir)
     c = P.rank_contributions(e, G.initial_ranks(e))
     return c.select("node", _r("incoming"))
 
@@ -218,7 +223,7 @@ def q_rank_contributions(spark, sf_dir):
 SELECT round(coalesce(sum(r.page_rank), 0.0), {O.ROUND}) AS dangling_mass
 FROM r0 r JOIN deg d ON d.node = r.node WHERE d.out_degree = 0""")
 def q_dangling_mass(spark, sf_dir):
-    e = _edges(spark, sf_dir)
+    e = _weighted(spark, sf_dir)
     return P.dangling_mass(e, G.initial_ranks(e)).select(_r("dangling_mass"))
 
 
@@ -232,7 +237,7 @@ SELECT e.dst AS node, round(sum(r.page_rank / d.out_degree), {O.ROUND}) AS incom
 FROM edges e JOIN r0 r ON e.src = r.node JOIN deg d ON d.node = e.src GROUP BY e.dst""")
 def q_rank_contributions_split(spark, sf_dir):
     """Contributions with most nodes' edges spread over several salts."""
-    e = _edges(spark, sf_dir)
+    e = _weighted(spark, sf_dir)
     return P.rank_contributions(e, G.initial_ranks(e), split_edges=HUB).select("node", _r("incoming"))
 
 
@@ -244,7 +249,7 @@ def q_pagerank_complete_split(spark, sf_dir):
 
 @register("rank_step", _ranks_sql(1, DAMPING))
 def q_rank_step(spark, sf_dir):
-    e = _edges(spark, sf_dir)
+    e = _weighted(spark, sf_dir)
     return P.rank_step(e, G.initial_ranks(e), damping=DAMPING).select("node", _r())
 
 
@@ -399,6 +404,6 @@ def q_parse_adjacency(spark, sf_dir):
 SELECT CAST(node AS VARCHAR) AS node, round(page_rank, {O.ROUND}) AS page_rank FROM r1""")
 def q_parse_ranks(spark, sf_dir):
     """S6 (and S4): ranks after a step as lines, read back."""
-    e = _edges(spark, sf_dir)
+    e = _weighted(spark, sf_dir)
     lines = K.rank_lines(P.rank_step(e, G.initial_ranks(e), damping=DAMPING))
     return S.parse_ranks(lines).select("node", _r())
