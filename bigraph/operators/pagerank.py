@@ -42,21 +42,26 @@ Physical design of the loop
   round's table is deleted once the next one is written and measured.  The state
   read back is shuffled on ``node`` for the left join (about ``n`` rows); the
   edges, the big side, stay where the layout put them.
+* What the next round and the stopping rule need to know of a round (rank of
+  dangling nodes, L1 change, sum of ranks, rows) is observed while its table
+  is written: one job a round.
+* After each round a manifest beside the tables says which round is whole, so
+  a run that has lost its driver goes on from there (``run_dir=``).
 """
 
 from __future__ import annotations
 
+import json
 import logging
-import uuid
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from bigraph.functions import hot_keys, with_group_totals
 from bigraph.operators.graph import node_degrees, weighted_edges
-from bigraph.session import checkpoint_dir
+from bigraph.session import checkpoint_dir, checkpointed, delete_folder, new_folder
 
 log = logging.getLogger(__name__)
 
@@ -159,12 +164,6 @@ def dangling_mass(edges: DataFrame, ranks: DataFrame) -> DataFrame:
             .agg(F.coalesce(F.sum("page_rank"), F.lit(0.0)).alias("dangling_mass")))
 
 
-def _mass(state: DataFrame) -> DataFrame:
-    """One row: the rank held by nodes without out-links."""
-    return (state.where(F.col("out_degree") == 0)
-            .agg(F.coalesce(F.sum("page_rank"), F.lit(0.0)).alias("dangling_mass")))
-
-
 def _updated_rank(incoming, dangling, node, n, damping: float | None,
                   node_range: tuple[int, int] | None):
     """New rank expression from the incoming sum, the dangling mass and the
@@ -217,9 +216,12 @@ class RankGraph:
     layout: DataFrame      # src, salt, dst, mult   partitioned by (src, salt), cached
     nodes: DataFrame       # node, out_degree, links, splits   cached
     n_nodes: int
+    n_links: int
+    n_dangling: int
     partitions: int
-    run_dir: str = field(default="")
-    rounds_written: int = 0
+    run_dir: str
+    setting: dict = field(default_factory=dict)     # what a manifest must agree on
+    rounds: list[dict] = field(default_factory=list)  # metrics of the rounds of this run
 
     def release(self) -> None:
         self.layout.unpersist()
@@ -235,32 +237,35 @@ def _default_parallelism(spark) -> int:
 
 def prepare_graph(edges: DataFrame, dedupe_edges: bool = False,
                   split_edges: int = DEFAULT_SPLIT_EDGES, partitions: int | None = None,
-                  edges_per_partition: int = DEFAULT_EDGES_PER_PARTITION) -> RankGraph:
+                  edges_per_partition: int = DEFAULT_EDGES_PER_PARTITION, run_dir: str | None = None) -> RankGraph:
     """Lay out ``edges`` for the iteration and count the nodes.
 
     The layout gets ``partitions`` partitions; by default as many as hold
     about ``edges_per_partition`` edges each (at least the default
     parallelism), so it follows the data and not the session's shuffle
-    setting: every round runs one task per layout partition.
+    setting: every round runs one task per layout partition.  The rounds are
+    written to ``run_dir`` (by default a fresh folder under the shared one).
     """
     spark = edges.sparkSession
     # Copies of an edge become one row with their number; the result feeds
     # the node table and the layout, so it is kept for the preparation only.
-    folder = checkpoint_dir(spark)
+    checkpoint_dir(spark)
     weighted = weighted_edges(edges, dedupe_edges).persist(StorageLevel.MEMORY_AND_DISK)
     deg, hubs = _bounded(_degrees(weighted, split_edges))
-    nodes = deg.checkpoint().persist(StorageLevel.MEMORY_AND_DISK)
+    nodes = checkpointed(deg).persist(StorageLevel.MEMORY_AND_DISK)
     # One job fills the node cache and counts nodes and layout rows.
-    sizes = nodes.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("links"), F.lit(0)).alias("m")).first()
+    sizes = nodes.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("links"), F.lit(0)).alias("m"),
+                      F.count(F.when(F.col("out_degree") == 0, 1)).alias("dangling")).first()
     n_nodes, n_rows = int(sizes["n"]), int(sizes["m"])
     if partitions is None:
         partitions = max(_default_parallelism(spark), -(-n_rows // edges_per_partition))
-    layout = (_salted(weighted, hubs).repartition(partitions, "src", "salt").checkpoint()
-              .persist(StorageLevel.MEMORY_AND_DISK))
+    layout = checkpointed(_salted(weighted, hubs).repartition(partitions, "src", "salt")).persist(
+        StorageLevel.MEMORY_AND_DISK)
     layout.count()
     weighted.unpersist()
-    run_dir = f"{folder.rstrip('/')}/bigraph-pagerank-{uuid.uuid4().hex}"
-    return RankGraph(layout=layout, nodes=nodes, n_nodes=n_nodes, partitions=partitions, run_dir=run_dir)
+    return RankGraph(layout=layout, nodes=nodes, n_nodes=n_nodes, n_links=n_rows, n_dangling=int(sizes["dangling"]),
+                     partitions=partitions, run_dir=run_dir or new_folder(spark, "pagerank"),
+                     setting={"split_edges": split_edges, "dedupe_edges": dedupe_edges})
 
 
 def _initial_state(graph: RankGraph, n_nodes: int) -> DataFrame:
@@ -271,9 +276,9 @@ def _initial_state(graph: RankGraph, n_nodes: int) -> DataFrame:
 
 
 def _round(graph: RankGraph, state: DataFrame, n_nodes: int, damping: float | None,
-           node_range: tuple[int, int] | None, keep_previous: bool = False) -> DataFrame:
+           node_range: tuple[int, int] | None, dangling_mass: float, keep_previous: bool = False) -> DataFrame:
     """One round.  With ``keep_previous`` the new state also holds the old
-    rank as ``previous``, so the change of the round is a plain scan of it."""
+    rank as ``previous``, so the change of the round is known from its rows."""
     shares = _shares(state)
     null_double = F.lit(None).cast("double")
     flows = (graph.layout.join(shares, ["src", "salt"])
@@ -289,59 +294,105 @@ def _round(graph: RankGraph, state: DataFrame, n_nodes: int, damping: float | No
     if keep_previous:
         aggs.append(F.max("previous").alias("previous"))
     summed = flows.unionByName(carried).groupBy("node").agg(*aggs)
-    if damping is not None:
-        summed = summed.crossJoin(F.broadcast(_mass(state)))   # one row
-        dangling = F.col("dangling_mass")
-    else:
-        dangling = F.lit(0.0)
-    rank = _updated_rank(F.col("incoming"), dangling, F.col("node"), F.lit(n_nodes), damping, node_range)
+    rank = _updated_rank(F.col("incoming"), F.lit(dangling_mass), F.col("node"), F.lit(n_nodes), damping, node_range)
     cols = ["node", "out_degree", "splits", rank.alias("page_rank")]
     if keep_previous:
         cols.append("previous")
     return summed.select(*cols)
 
 
-def _delete(spark, path: str) -> None:
-    """Remove a finished round's table (Hadoop FileSystem of the path)."""
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.delete(p, True):
-        log.warning("could not delete %s", path)
-
-
-def _cut(graph: RankGraph, state: DataFrame) -> DataFrame:
-    """Write a round as a table in the shared checkpoint folder and read it
-    back: one pass, and the lineage ends here."""
+def _cut(graph: RankGraph, state: DataFrame, number: int) -> tuple[DataFrame, dict]:
+    """Write round ``number`` as a table in the run's folder and read it back:
+    one job, in which the round's metrics are observed, and the lineage ends
+    here.  The observed columns are summed by the tasks that write, so what is
+    run again after a loss is not counted twice."""
     spark = state.sparkSession
-    path = f"{graph.run_dir}/round-{graph.rounds_written:05d}"
-    state.write.mode("overwrite").parquet(path)
-    if graph.rounds_written:
-        _delete(spark, f"{graph.run_dir}/round-{graph.rounds_written - 1:05d}")
-    graph.rounds_written += 1
-    return spark.read.schema(state.schema).parquet(path)
-
-
-def _l1_change(state: DataFrame) -> float:
-    """Sum of ``|page_rank - previous|`` over a written round (one scan, no
-    shuffle beyond a one-row total)."""
-    err = state.agg(F.sum(F.abs(F.col("page_rank") - F.col("previous"))).alias("err")).first()["err"]
-    return float(err or 0.0)
+    seen = Observation()
+    metrics = [F.count(F.lit(1)).alias("rows"), F.sum("page_rank").alias("rank_mass"),
+               F.sum(F.when(F.col("out_degree") == 0, F.col("page_rank"))).alias("dangling_mass")]
+    if "previous" in state.columns:
+        metrics.append(F.sum(F.abs(F.col("page_rank") - F.col("previous"))).alias("l1_change"))
+    path = f"{graph.run_dir}/round-{number:05d}"
+    state.observe(seen, *metrics).write.mode("overwrite").parquet(path)
+    got = {k: float(v or 0.0) for k, v in seen.get.items()}
+    return spark.read.schema(state.schema).parquet(path), got
+
+
+def _file(spark, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _save_manifest(spark, run_dir: str, manifest: dict) -> None:
+    """Written under another name first, then renamed: always whole."""
+    for name in ("manifest.new", "manifest.json"):
+        path, fs = _file(spark, f"{run_dir}/{name}")
+        if name == "manifest.new":
+            out = fs.create(path, True)
+            out.write(bytearray(json.dumps(manifest).encode()))
+            out.close()
+            new = path
+        else:
+            fs.delete(path, False)
+            if not fs.rename(new, path):
+                raise OSError(f"could not write {run_dir}/{name}")
+
+
+def _load_manifest(spark, run_dir: str) -> dict | None:
+    """The manifest; a loss between deleting and renaming leaves the new one."""
+    for name in ("manifest.json", "manifest.new"):
+        path, fs = _file(spark, f"{run_dir}/{name}")
+        if fs.exists(path):
+            source = fs.open(path)
+            try:
+                return json.loads(bytes(source.readAllBytes()).decode())
+            finally:
+                source.close()
+    return None
 
 
 def iterate_ranks(graph: RankGraph, n_iterations: int, damping: float | None,
                   n_nodes: int | None = None, node_range: tuple[int, int] | None = None,
                   tol: float | None = None) -> tuple[DataFrame, int]:
     """Run up to ``n_iterations`` rounds; with ``tol`` stop once the L1 change
-    is below ``n * tol``.  Returns the state and the rounds run."""
+    is below ``n * tol``.  Returns the state and the rounds run.
+
+    Rounds that the manifest of the graph's ``run_dir`` records as whole are
+    not run again; it must stem from the same graph and settings.
+    """
     n = graph.n_nodes if n_nodes is None else n_nodes
     state = _initial_state(graph, n)
     if n == 0:  # empty graph: nothing to rank
         return state, 0
-    for i in range(n_iterations):
-        new = _cut(graph, _round(graph, state, n, damping, node_range, keep_previous=tol is not None))
-        if tol is not None and _l1_change(new) < n * tol:
-            return new, i + 1
-        state = new
+    spark = state.sparkSession
+    setting = {**graph.setting, "damping": damping, "n_nodes": n, "nodes": graph.n_nodes, "links": graph.n_links,
+               "dangling": graph.n_dangling, "node_range": list(node_range) if node_range else None,
+               "keeps_previous": tol is not None}
+    metrics = {"dangling_mass": graph.n_dangling * (1.0 / n)}
+    done, found = 0, _load_manifest(spark, graph.run_dir)
+    if found is not None:
+        if found["setting"] != setting:
+            raise ValueError(f"{graph.run_dir} holds a run of another graph or other settings: {found['setting']}")
+        graph.rounds = found["rounds"]
+        done = len(graph.rounds)
+        if done > n_iterations:
+            raise ValueError(f"{graph.run_dir} is already at round {done}")
+        if done:
+            metrics = graph.rounds[-1]
+            schema = "node " + state.schema["node"].dataType.simpleString() + (
+                ", out_degree bigint, splits int, page_rank double" + (", previous double" if tol is not None else ""))
+            state = spark.read.schema(schema).parquet(f"{graph.run_dir}/round-{done - 1:05d}")
+            if tol is not None and metrics["l1_change"] < n * tol:
+                return state, done
+    for i in range(done, n_iterations):
+        new = _round(graph, state, n, damping, node_range, metrics["dangling_mass"], keep_previous=tol is not None)
+        state, metrics = _cut(graph, new, i)
+        graph.rounds.append(metrics)
+        _save_manifest(spark, graph.run_dir, {"setting": setting, "rounds": graph.rounds})
+        if i:
+            delete_folder(spark, f"{graph.run_dir}/round-{i - 1:05d}")
+        if tol is not None and metrics["l1_change"] < n * tol:
+            return state, i + 1
     if tol is not None:
         raise PageRankNotConverged(f"no convergence within {n_iterations} rounds")
     return state, n_iterations
@@ -353,7 +404,13 @@ def _ranks(state: DataFrame) -> DataFrame:
 
 def pagerank_simple(edges: DataFrame, n_iterations: int = 10, n_nodes: int | None = None,
                     **layout) -> DataFrame:
-    """``node, page_rank`` after ``n_iterations`` simplified rounds (G1)."""
+    """``node, page_rank`` after ``n_iterations`` simplified rounds (G1).
+
+    ``run_dir`` names a folder on shared storage for the rounds; a run that was
+    cut short goes on from its last whole round when called again with the same
+    folder, edges and settings (also for more rounds).  Other ``layout``
+    settings are those of :func:`prepare_graph`.
+    """
     graph = prepare_graph(edges, **layout)
     try:
         state, _ = iterate_ranks(graph, n_iterations, None, n_nodes)
@@ -365,7 +422,8 @@ def pagerank_simple(edges: DataFrame, n_iterations: int = 10, n_nodes: int | Non
 def pagerank_complete(edges: DataFrame, n_iterations: int = 10, damping: float = DEFAULT_DAMPING,
                       n_nodes: int | None = None, node_range: tuple[int, int] | None = None,
                       **layout) -> DataFrame:
-    """``node, page_rank`` after ``n_iterations`` complete rounds."""
+    """``node, page_rank`` after ``n_iterations`` complete rounds (G2, G3);
+    ``run_dir`` as in :func:`pagerank_simple`."""
     graph = prepare_graph(edges, **layout)
     try:
         state, _ = iterate_ranks(graph, n_iterations, damping, n_nodes, node_range)
@@ -378,7 +436,8 @@ def pagerank_converged(edges: DataFrame, damping: float = DEFAULT_DAMPING, max_i
                        tol: float = 1e-6, dedupe_edges: bool = True, **layout) -> DataFrame:
     """``node, page_rank`` of complete rounds until the L1 change of a round is
     below ``n * tol`` (G4).  Duplicate edges are dropped by default.  Raises
-    :class:`PageRankNotConverged` after ``max_iter`` rounds."""
+    :class:`PageRankNotConverged` after ``max_iter`` rounds; with ``run_dir``
+    (as in :func:`pagerank_simple`) it can be called again with more."""
     graph = prepare_graph(edges, dedupe_edges=dedupe_edges, **layout)
     try:
         state, _ = iterate_ranks(graph, max_iter, damping, tol=tol)

@@ -126,7 +126,9 @@ def significant(c: str, digits: int = 9) -> str:
     return f"(CASE WHEN {c} = 0 THEN 0.0 ELSE round({c} * pow(10.0, {e})) / pow(10.0, {e}) END)"
 
 
-def adjacency_sql(max_entries: int = DEFAULT_MAX_ENTRIES) -> str:
+def adjacency_sql(max_entries: int = DEFAULT_MAX_ENTRIES, ids: str = "") -> str:
+    """``ids='text'`` gives ids as text, links in the order of their texts."""
+    node, link = ("CAST(node AS VARCHAR) AS node", "CAST(dst AS VARCHAR)") if ids == "text" else ("node", "dst")
     return "WITH " + EDGES_CTE + f""",
 lists AS (
   SELECT n.node, e.dst,
@@ -144,10 +146,10 @@ parted AS (
   UNION ALL
   SELECT DISTINCT node, NULL, parts, 0 FROM lists WHERE parts > 1
 )
-SELECT node, CAST(part AS INTEGER) AS part, parts,
-       coalesce(string_agg(CAST(dst AS VARCHAR), ',' ORDER BY dst), '') AS out_links,
+SELECT {node}, CAST(part AS INTEGER) AS part, parts,
+       coalesce(string_agg(CAST(dst AS VARCHAR), ',' ORDER BY {link}), '') AS out_links,
        CASE WHEN part = 0 THEN {dbl(1.0)} / (SELECT n_nodes FROM stats) END AS page_rank
-FROM parted GROUP BY node, part, parts"""
+FROM parted GROUP BY parted.node, part, parts"""
 
 
 def adjacency_text_sql() -> str:

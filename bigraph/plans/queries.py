@@ -371,35 +371,55 @@ def q_parse_edges_text(spark, sf_dir):
     return S.parse_edges(lines, "STRING")
 
 
-@register("probability_lines", "WITH " + O.COUNTS_CTE + """
-SELECT '"' || word || '-' || next_word || '"' || chr(9) || CAST(n AS VARCHAR) AS value FROM counts""")
+@register("probability_lines", "WITH " + O.PROBS_CTE + """
+SELECT '"' || word || '-' || next_word || '"' || chr(9) || CAST(probability AS VARCHAR) AS value FROM probs""")
 def q_probability_lines(spark, sf_dir):
-    """``json(word-next) TAB json(value)`` lines (the counts, whose text is
-    the same in both engines)."""
-    c = _counts(spark, sf_dir)
-    return K.probability_lines(c.select(F.concat_ws("-", "word", "next_word").alias("bigram"), "n"), "bigram", "n")
+    """``json(word-next) TAB json(probability)`` lines."""
+    return K.probability_lines(B.keyed_probabilities(_probs(spark, sf_dir)))
 
 
-@register("adjacency_lines", "WITH " + O.EDGES_CTE + """
-SELECT '"' || CAST(n.node AS VARCHAR) || '"' || chr(9) || '{"out_links":['
+@register("adjacency_lines", "WITH " + O.EDGES_CTE + f"""
+SELECT '"' || CAST(n.node AS VARCHAR) || '"' || chr(9) || '{{"out_links":['
        || coalesce(string_agg('"' || CAST(e.dst AS VARCHAR) || '"', ',' ORDER BY CAST(e.dst AS VARCHAR)), '')
-       || '],"page_rank":0.5}' AS value
+       || '],"page_rank":' || CAST({O.dbl(1.0)} / (SELECT n_nodes FROM stats) AS VARCHAR) || '}}' AS value
 FROM nodes n LEFT JOIN edges e ON e.src = n.node GROUP BY n.node""")
 def q_adjacency_lines(spark, sf_dir):
-    """Adjacency lines (with a fixed rank, whose text is the same in both
-    engines)."""
+    """Adjacency lines with the initial ranks (links sorted, as SQL has to
+    put them in some order)."""
     adj = G.adjacency(_edges(spark, sf_dir))
-    links = F.array_sort(F.transform("out_links", lambda x: x.cast("string")))
-    return K.adjacency_lines(adj.select("node", links.alias("out_links"), F.lit(0.5).alias("page_rank")))
+    return K.adjacency_lines(adj.withColumn("out_links", F.array_sort(F.transform("out_links", lambda x: x.cast("string")))))
 
 
 @register("parse_adjacency", O.adjacency_text_sql())
 def q_parse_adjacency(spark, sf_dir):
     """Adjacency lines written and read back, ranks included."""
-    back = S.parse_adjacency(K.adjacency_lines(G.adjacency(_edges(spark, sf_dir))))
+    back = S.merge_parts(S.parse_adjacency(K.adjacency_lines(G.adjacency(_edges(spark, sf_dir)))))
+    return back.select("node", F.array_join(F.array_sort("out_links"), ",").alias("out_links"), "page_rank")
+
+
+@register("parse_adjacency_split", O.adjacency_sql(HUB, "text"))
+def q_parse_adjacency_split(spark, sf_dir):
+    """S5 with hubs in parts: the parts survive the lines."""
+    back = S.parse_adjacency(K.adjacency_lines(G.adjacency(_edges(spark, sf_dir), max_entries=HUB)))
+    return back.select("node", "part", "parts", sorted_list_text(F.col("out_links")).alias("out_links"), "page_rank")
+
+
+@register("parse_adjacency_merged", O.adjacency_text_sql())
+def q_parse_adjacency_merged(spark, sf_dir):
+    """Hubs written in parts and put together again."""
+    adj = G.adjacency(_edges(spark, sf_dir), max_entries=HUB)
+    back = S.merge_parts(S.parse_adjacency(K.adjacency_lines(adj)))
     return back.select("node", F.array_join(F.array_sort("out_links"), ",").alias("out_links"), "page_rank")
 
 
+@register("parse_adjacency_edges", "WITH " + O.EDGES_CTE + """
+SELECT CAST(src AS VARCHAR) AS src, CAST(dst AS VARCHAR) AS dst FROM edges""")
+def q_parse_adjacency_edges(spark, sf_dir):
+    """S5 back to edges: no link is lost on the way."""
+    adj = G.adjacency(_edges(spark, sf_dir), max_entries=HUB)
+    return S.adjacency_edges(S.parse_adjacency(K.adjacency_lines(adj)))
+
+
 @register("parse_ranks", "WITH " + O.EDGES_CTE + ",\n" + O.pagerank_ctes(1, DAMPING) + f"""
 SELECT CAST(node AS VARCHAR) AS node, round(page_rank, {O.ROUND}) AS page_rank FROM r1""")
 def q_parse_ranks(spark, sf_dir):

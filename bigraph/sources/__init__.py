@@ -1,6 +1,8 @@
 """Sources (files, the driver's tables, derived graphs) and sinks."""
 
 from bigraph.sources.files import (
+    adjacency_edges,
+    merge_parts,
     parse_adjacency,
     parse_documents_csv,
     parse_edges,
@@ -14,6 +16,7 @@ from bigraph.sources.files import (
 )
 from bigraph.sources.sinks import (
     adjacency_lines,
+    double_text,
     json_value,
     probability_lines,
     rank_lines,
@@ -24,11 +27,14 @@ from bigraph.sources.sinks import (
 from bigraph.sources.tables import documents, edges, lineitem_edges, read_table, word_edges
 
 __all__ = [
+    "adjacency_edges",
     "adjacency_lines",
     "documents",
+    "double_text",
     "edges",
     "json_value",
     "lineitem_edges",
+    "merge_parts",
     "parse_adjacency",
     "parse_documents_csv",
     "parse_edges",

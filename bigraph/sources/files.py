@@ -12,9 +12,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from bigraph.functions import DEFAULT_MAX_ENTRIES
 from bigraph.sources.tables import spread
 
-ADJACENCY_VALUE_SCHEMA = "out_links ARRAY<STRING>, page_rank DOUBLE"
+ADJACENCY_VALUE_SCHEMA = "out_links ARRAY<STRING>, page_rank DOUBLE, part INT, parts INT"
 
 
 def _checked(ok: Column, value: Column, bad_lines: str, what: str) -> Column:
@@ -97,13 +98,36 @@ def _json_scalar(c: Column) -> Column:
 
 def parse_adjacency(lines: DataFrame, bad_lines: str = "fail") -> DataFrame:
     """Lines ``json(node) TAB {"out_links": [...], "page_rank": x}``: ``node
-    STRING, out_links ARRAY<STRING>, page_rank DOUBLE`` (S5)."""
+    STRING, part, parts, out_links ARRAY<STRING>, page_rank DOUBLE`` (S5).  A
+    line without ``part`` and ``parts`` is the whole node, part 0 of 1; see
+    :func:`merge_parts` and :func:`adjacency_edges` for hubs in parts."""
     parts = F.split(F.col("value"), "\t", 2)
     value = F.from_json(F.get(parts, F.lit(1)), ADJACENCY_VALUE_SCHEMA)
     node = _json_scalar(F.get(parts, F.lit(0)))
     ok = node.isNotNull() & value["out_links"].isNotNull()
     return (lines.select(_checked(ok, node, bad_lines, "an adjacency line").alias("node"), value.alias("v"))
-            .select("node", "v.out_links", "v.page_rank"))
+            .select("node", F.coalesce("v.part", F.lit(0)).alias("part"), F.coalesce("v.parts", F.lit(1)).alias("parts"),
+                    "v.out_links", "v.page_rank"))
+
+
+def adjacency_edges(adjacency: DataFrame) -> DataFrame:
+    """``src, dst``: every link of every part (S5 back to S3)."""
+    return adjacency.select(F.col("node").alias("src"), F.explode("out_links").alias("dst"))
+
+
+def merge_parts(adjacency: DataFrame, max_entries: int = DEFAULT_MAX_ENTRIES) -> DataFrame:
+    """Adjacency with the parts of a node put together again where the whole
+    list has at most ``max_entries`` links; longer lists stay in parts, as no
+    row could be bounded.  The rank of a merged node is that of its part 0."""
+    cut = adjacency.where(F.col("parts") > 1)
+    sizes = cut.groupBy("node").agg(F.sum(F.size("out_links")).alias("_links"))
+    short = sizes.where(F.col("_links") <= max_entries).select("node", F.lit(True).alias("_short"))
+    rows = adjacency.join(short, "node", "left")
+    whole = (rows.where("_short").groupBy("node")       # at most max_entries links each
+             .agg(F.lit(0).alias("part"), F.lit(1).alias("parts"),
+                  F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("part", "out_links"))), lambda x: x["out_links"]))
+                  .alias("out_links"), F.max("page_rank").alias("page_rank")))
+    return rows.where(F.col("_short").isNull()).select(*whole.columns).unionByName(whole)
 
 
 def read_adjacency_kv(spark: SparkSession, path: str) -> DataFrame:

@@ -9,6 +9,28 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
+
+
+def double_text(c: Column | str) -> Column:
+    """The canonical text of a double: its shortest digits, as decimals for
+    exponents from -4 to 15 (``0.0001``, ``123456789.0``), else with an
+    exponent of two digits or more (``1e-05``, ``1.5e+16``).  This is how
+    Python's ``json`` and SQL engines write it; the JVM's own text differs only
+    in layout."""
+    c = F.col(c) if isinstance(c, str) else c
+    java = c.cast("string")
+    sign = F.when(F.startswith(java, F.lit("-")), F.lit("-")).otherwise(F.lit(""))
+    mantissa = F.regexp_extract(java, r"^-?([0-9.]+)E", 1)
+    exponent = F.regexp_extract(java, r"E(-?[0-9]+)$", 1).cast("int")
+    digits = F.regexp_replace(F.regexp_replace(mantissa, r"\.0$", ""), r"\.", "")
+    small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -exponent - 1), digits)
+    padded = F.rpad(digits, F.greatest(exponent + 2, F.length(digits)), "0")
+    large = F.concat(F.substring(padded, F.lit(1), exponent + 1), F.lit("."), F.substring(padded, exponent + 2, F.length(padded)))
+    power = F.concat(F.regexp_replace(mantissa, r"\.0$", ""), F.lit("e"), F.when(exponent < 0, F.lit("-")).otherwise(F.lit("+")),
+                     F.lpad(F.abs(exponent).cast("string"), F.greatest(F.lit(2), F.length(F.abs(exponent).cast("string"))), "0"))
+    moved = F.when((exponent >= -4) & (exponent < 0), small).when((exponent >= 0) & (exponent < 16), large).otherwise(power)
+    return F.when(F.contains(java, F.lit("E")), F.concat(sign, moved)).otherwise(java)
 
 
 def json_value(c: Column | str) -> Column:
@@ -26,7 +48,8 @@ def kv_lines(df: DataFrame, key: Column | str, value: Column) -> DataFrame:
 def probability_lines(df: DataFrame, key: str = "bigram", value: str = "probability") -> DataFrame:
     """``json(key) TAB json(value)`` lines (bigram output:
     ``"word-next"\t0.25``)."""
-    return kv_lines(df, key, json_value(value))
+    double = isinstance(df.schema[value].dataType, DoubleType)
+    return kv_lines(df, key, double_text(value) if double else json_value(value))
 
 
 def adjacency_lines(df: DataFrame) -> DataFrame:
@@ -39,18 +62,17 @@ def adjacency_lines(df: DataFrame) -> DataFrame:
     (one line could not be bounded); every other node has one line of just the
     two fields.
     """
-    links = F.transform("out_links", lambda x: x.cast("string")).alias("out_links")
-    rank = F.col("page_rank").alias("page_rank")
-    keep = {"ignoreNullFields": "false"}
-    value = F.to_json(F.struct(links, rank), keep)
+    links = F.to_json(F.transform("out_links", lambda x: x.cast("string")))
+    fields = [F.lit('{"out_links":'), links, F.lit(',"page_rank":'), F.coalesce(double_text("page_rank"), F.lit("null"))]
     if {"part", "parts"} <= set(df.columns):
-        value = F.when(F.col("parts") > 1, F.to_json(F.struct(links, rank, "part", "parts"), keep)).otherwise(value)
-    return kv_lines(df, F.col("node").cast("string"), value)
+        place = F.concat(F.lit(',"part":'), F.col("part").cast("string"), F.lit(',"parts":'), F.col("parts").cast("string"))
+        fields.append(F.when(F.col("parts") > 1, place).otherwise(F.lit("")))
+    return kv_lines(df, F.col("node").cast("string"), F.concat(*fields, F.lit("}")))
 
 
 def rank_lines(df: DataFrame) -> DataFrame:
     """Lines ``page_rank TAB json(node)`` (rank as the leading key)."""
-    return df.select(F.concat_ws("\t", F.col("page_rank").cast("string"),
+    return df.select(F.concat_ws("\t", double_text("page_rank"),
                                  json_value(F.col("node").cast("string"))).alias("value"))
 
 

@@ -209,3 +209,82 @@ def test_empty_graph(spark):
     assert G.adjacency(e).count() == 0 and G.initial_ranks(e).count() == 0
     assert P.rank_step(e, G.initial_ranks(e)).count() == 0
     assert G.graph_stats(e).first()["n_nodes"] == 0
+
+
+# ------------------------------------------------- one job a round, restart, folders
+
+def ring(spark, n=60):
+    rows = [(i, (i * 7 + 1) % n) for i in range(n - 5)] + [(i, (i * 3 + 2) % n) for i in range(0, n - 5, 2)]
+    return spark.createDataFrame(rows, "src bigint, dst bigint")
+
+
+def test_metrics_come_with_the_round(spark):
+    """Dangling mass, L1 change, rank sum and rows of each round, observed."""
+    edges = ring(spark)
+    g = P.prepare_graph(edges)
+    state, n = P.iterate_ranks(g, 50, 0.85, tol=1e-6)
+    ranks = state.select("node", "page_rank")
+    assert n == len(g.rounds) > 3 and all(r["rows"] == g.n_nodes for r in g.rounds)
+    assert abs(g.rounds[-1]["dangling_mass"] - P.dangling_mass(edges, ranks).first()[0]) < 1e-14
+    assert abs(g.rounds[-1]["rank_mass"] - P.rank_mass(ranks).first()[0]) < 1e-14
+    change = state.selectExpr("sum(abs(page_rank - previous))").first()[0]
+    assert abs(g.rounds[-1]["l1_change"] - change) < 1e-14
+    assert g.rounds[-2]["l1_change"] >= g.n_nodes * 1e-6 > change
+    g.release()
+
+
+def test_a_round_is_one_write(spark, monkeypatch):
+    """No other action than the write runs in a round."""
+    from pyspark.sql import DataFrame
+
+    g = P.prepare_graph(ring(spark))
+    def refuse(*_, **__):
+        raise AssertionError("an action beside the write")
+    for name in ("first", "collect", "count", "head", "take", "toPandas"):
+        monkeypatch.setattr(type(g.layout), name, refuse)
+    assert issubclass(type(g.layout), DataFrame)
+    _, n = P.iterate_ranks(g, 50, 0.85, tol=1e-6)
+    assert n > 3
+    monkeypatch.undo()
+    g.release()
+
+
+@pytest.mark.parametrize("form", ["simple", "complete", "converged"])
+def test_resume_equals_the_straight_run(spark, tmp_path, monkeypatch, form):
+    """The driver stops after round 3; a second call with the folder goes on."""
+    edges, path = ring(spark), f"file://{tmp_path}/run"
+    run = {"simple": lambda **k: P.pagerank_simple(edges, 6, **k), "complete": lambda **k: P.pagerank_complete(edges, 6, **k),
+           "converged": lambda **k: P.pagerank_converged(edges, **k)}[form]
+    want = {r.node: r.page_rank for r in run().collect()}
+    whole, calls = P._round, []
+
+    def dies(*args, **kw):
+        calls.append(1)
+        if len(calls) == 4:
+            raise KeyboardInterrupt
+        return whole(*args, **kw)
+
+    monkeypatch.setattr(P, "_round", dies)
+    with pytest.raises(KeyboardInterrupt):
+        run(run_dir=path)
+    got = {r.node: r.page_rank for r in run(run_dir=path).collect()}
+    assert max(abs(got[v] - want[v]) for v in want) < 1e-15 and got.keys() == want.keys()
+    monkeypatch.setattr(P, "_round", None)           # all rounds are there: none is run
+    again = {r.node: r.page_rank for r in run(run_dir=path).collect()}
+    assert again == got
+    with pytest.raises(ValueError, match="other settings"):
+        P.pagerank_complete(edges, 9, damping=0.5, run_dir=path)
+
+
+def test_close_removes_what_operators_wrote(spark):
+    import os
+
+    from bigraph import session
+
+    folder = session.checkpoint_dir(spark).removeprefix("file:")
+    session.close(spark)
+    before = set(os.listdir(folder))
+    ranks = P.pagerank_complete(ring(spark), 4)
+    assert ranks.count() == 60 and set(os.listdir(folder)) > before
+    assert session.close(spark) >= 3        # the run, and the checkpoints of layout and nodes
+    assert set(os.listdir(folder)) == before and session.close(spark) == 0
