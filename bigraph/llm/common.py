@@ -3,8 +3,6 @@ hash folds, unique row keys, chunked Arrow maps."""
 
 from __future__ import annotations
 
-import logging
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -12,9 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
-from bigraph.session import checkpoint_dir
-
-log = logging.getLogger(__name__)
+from bigraph.session import delete_folder, new_folder
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -24,8 +20,17 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_path(spark: SparkSession, tag: str) -> str:
-    """A fresh folder name under the cluster's shared folder."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/llm-{tag}-{uuid.uuid4().hex}"
+    """A fresh folder name under the cluster's shared folder
+    (``bigraph.session.close`` removes it)."""
+    return new_folder(spark, f"llm-{tag}")
+
+
+def fresh(name: str, columns: list[str]) -> str:
+    """``name``, changed if one of ``columns`` has it (in any letter case)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def materialize(df: DataFrame, tag: str, partition_by: str | None = None) -> DataFrame:
@@ -46,12 +51,8 @@ def discard(*tables: DataFrame) -> None:
     """Delete tables of :func:`materialize` that nothing reads any more."""
     for t in tables:
         path = getattr(t, "_llm_path", None)
-        if path is None:
-            continue
-        sc = t.sparkSession.sparkContext
-        p = sc._jvm.org.apache.hadoop.fs.Path(path)
-        if not p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True):
-            log.warning("could not delete %s", path)
+        if path is not None:
+            delete_folder(t.sparkSession, path)
 
 
 def fold(doc_id: Column | str, modulus: int) -> Column:
@@ -90,33 +91,37 @@ def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[pa.RecordBa
     return df.mapInArrow(run, schema)
 
 
-KEY = "__llm_key"           # no column of a caller's table is expected to have this name
+KEY = "__llm_key"
 
 
-def keyed(docs: DataFrame, key: str, payload: str) -> tuple[DataFrame, bool]:
-    """``docs`` with a unique, non-null BIGINT ``KEY`` in document order, and
-    whether it is the id itself.
+def keyed(docs: DataFrame, key: str, payload: str, name: str = KEY) -> tuple[DataFrame, bool]:
+    """``docs`` with a unique, non-null BIGINT column ``name`` in document
+    order, and whether it is the id itself.
 
     Usually the ids are unique and the key is the id.  A table with NULL or
     repeated ids gets ranks instead: rows ordered by id (NULL last), then by
     payload.  The rank is two passes of prefix sums over range partitions,
-    not one task.
+    not one task.  ``name`` must not be a column of ``docs`` (see
+    :func:`fresh`).
     """
     # Copies of an id are combined map-side, so a hot id is one row per task.
     seen = docs.groupBy(F.col(key).alias("id")).agg(F.count(F.lit(1)).alias("n"))
     if seen.where(F.col("id").isNull() | (F.col("n") > 1)).isEmpty():
-        return docs.withColumn(KEY, F.col(key).cast("bigint")), True
+        return docs.withColumn(name, F.col(key).cast("bigint")), True
     order = [F.col(key).asc_nulls_last(), F.col(payload).asc_nulls_first()]
-    return materialize(with_rank(docs, order, KEY), "keyed"), False
+    return materialize(with_rank(docs, order, name), "keyed"), False
 
 
 def with_rank(df: DataFrame, order: list[Column], name: str) -> DataFrame:
     """``df`` with its 0-based rank in ``order``: range partitions, numbered
     inside by one pass, shifted by the prefix sums of the partition totals
-    (one row per partition)."""
+    (one row per partition).  Rows equal in ``order`` are spread over
+    partitions by a hash of their place in the input, so many copies of a row
+    are no hot range; their order among each other is arbitrary."""
     spark = df.sparkSession
     parts = shuffle_partitions(spark)
     cols = df.columns
+    pid_name, local_name, base_name, tie = (fresh(n, [*cols, name]) for n in ("_pid", "_local", "_base", "_tie"))
 
     def number(batches):
         from pyspark import TaskContext
@@ -124,17 +129,22 @@ def with_rank(df: DataFrame, order: list[Column], name: str) -> DataFrame:
         for b in batches:
             yield pa.RecordBatch.from_arrays(
                 [*b.columns, pa.array([pid] * b.num_rows, pa.int32()),
-                 pa.array(range(n, n + b.num_rows), pa.int64())], names=[*cols, "__pid", "__local"])
+                 pa.array(range(n, n + b.num_rows), pa.int64())], names=[*cols, pid_name, local_name])
             n += b.num_rows
 
-    ordered = df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
-    schema = StructType([*df.schema, StructField("__pid", IntegerType()), StructField("__local", LongType())])
+    # The place is written before it is sorted by, so a task that runs again
+    # finds it unchanged.
+    placed = materialize(df.withColumn(tie, F.xxhash64(F.monotonically_increasing_id())), "placed")
+    by = [*order, F.col(tie)]
+    ordered = placed.repartitionByRange(parts, *by).sortWithinPartitions(*by).drop(tie)
+    schema = StructType([*df.schema, StructField(pid_name, IntegerType()), StructField(local_name, LongType())])
     local = materialize(ordered.mapInArrow(number, schema), "rank")
-    base = partition_offsets(local.groupBy(F.col("__pid").alias("_pid")).agg(F.count(F.lit(1)).alias("total")))
-    base = base.select(F.col("_pid").alias("__pid"), F.col("base").alias("__base"))
-    return (local.join(F.broadcast(base), "__pid")
-            .withColumn(name, F.col("__local") + F.col("__base"))
-            .drop("__pid", "__local", "__base"))
+    discard(placed)
+    base = partition_offsets(local.groupBy(F.col(pid_name).alias("_pid")).agg(F.count(F.lit(1)).alias("total")))
+    base = base.select(F.col("_pid").alias(pid_name), F.col("base").alias(base_name))
+    return (local.join(F.broadcast(base), pid_name)
+            .withColumn(name, F.col(local_name) + F.col(base_name))
+            .select(*cols, name))
 
 
 def partition_offsets(totals: DataFrame) -> DataFrame:

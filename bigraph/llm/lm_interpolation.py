@@ -11,10 +11,14 @@ table in the shared folder, so no text is read or moved again).  Each batch
 asks for the counts of its distinct n-grams: one blob per count bucket, the
 n-grams counted within the batch before they are shuffled, so the most frequent
 word is one entry per batch.  A bucket adds the counts of all batches and
-answers each one in the order it asked.  Joined with its answers a batch can
+answers each one in the order it asked.  With its answers a batch can
 score all its documents.  Counts cover all training documents and are never
-gathered in one place; the driver sees totals and, for the weights, a histogram
-of quantised estimates whose size does not grow with the corpus.
+gathered in one place: there are as many buckets as the tokens need, so a task
+holds a bounded number of n-grams at any size.  The weights are learned from
+tuning documents, whose own counts are left out of the estimates for that
+purpose only; scores count them like all others.  The driver sees totals and a
+histogram of at most ``CONTEXT_BUCKETS * (BINS + 1) ** order`` cells (order 3:
+500,000, 8 MB) of tuning tokens by quantised estimates.
 """
 
 from __future__ import annotations
@@ -31,14 +35,13 @@ from bigraph.llm.kernels import LOWER, U64, chunks, mix, prefix_hash, span_hash,
 FOLDS, HELD_FOLD = 7, 2
 TUNE_PART = 16              # one in so many training documents is held out for the weights
 ORDER = 3
-BUCKETS_PER_PARTITION = 4
+BUCKET_NGRAMS = 1 << 22     # requests of a count bucket, about: bounds the memory of a task
 BATCH_BYTES = 1 << 23       # text of a batch: bounds the memory of a task
 CONTEXT_BUCKETS = 32        # by the bit length of the context's count
-STEP = 4                    # histogram bins per factor of two
+BINS = 24                   # of an estimate in the histogram, one per factor of two
 EM_ROUNDS = 60
 BEGIN, END = U64(0x2545F4914F6CDD1D), U64(0x9FB21C651E98DF25)
 _FOLD = U64(0xE7037ED1A0B428DB)
-_ZERO_BIN = 255
 
 
 def _squeeze(*columns: np.ndarray) -> bytes:
@@ -141,12 +144,15 @@ def _bucket(code: np.ndarray, order: int, buckets: int) -> np.ndarray:
 
 def _ask(order_max: int, buckets: int):
     """Batch rows to count requests: distinct n-grams in code order, with
-    their counts in this batch's counted (and, for words, tuning) documents."""
+    their counts in this batch's counted and tuning documents.  A batch whose
+    texts are all empty asks for no n-grams beyond single tokens."""
     def run(batch: pa.RecordBatch):
         for row in batch.to_pylist():
             b = _Batch(row)
             for order in range(1, order_max + 1):
                 has, code = b.codes(order)
+                if not has.size:
+                    continue
                 by = np.argsort(code, kind="stable")
                 s = code[by]
                 first = np.flatnonzero(np.append(True, s[1:] != s[:-1]))
@@ -168,6 +174,7 @@ def _ask(order_max: int, buckets: int):
     return run
 
 
+_KIND = ("i8", "u4")        # counts of words, of longer n-grams
 ANSWER = "slot bigint, batch bigint, tune boolean, n bigint, blob binary, built bigint, tuned bigint, distinct bigint"
 
 
@@ -184,16 +191,16 @@ def _answer(batches):
                 g[0] = code.view(U64).ravel()
         code = np.concatenate([g[0] for g in got])
         u, inv = np.unique(code, return_inverse=True)
-        built = np.bincount(inv, np.concatenate([g[1] for g in got]), len(u)).astype(np.int64)
-        tuned = np.bincount(inv, np.concatenate([g[2] for g in got]), len(u)).astype(np.int64) if order == 1 else None
+        built, tuned = (np.bincount(inv, np.concatenate([g[k] for g in got]), len(u)).astype(np.int64) for k in (1, 2))
+        both, kind = built + tuned, _KIND[order > 1]
         out, at = [], 0
         for r in rows:
             i = inv[at:at + r[2]]
             at += r[2]
-            blob = _squeeze(built[i], tuned[i]) if order == 1 else _squeeze(built[i].astype(np.uint32))
-            out.append((slot, r[0], r[1], r[2], blob, None, None, None))
+            # Only tuning batches need to know the counts without them.
+            mine = [x[i].astype(kind) for x in ((both, built) if r[1] else (both,))]
+            out.append((slot, r[0], r[1], r[2], _squeeze(*mine), None, None, None))
         if order == 1:
-            both = built + tuned
             out.append((slot, -1, None, 0, None, int(built.sum()), int(tuned.sum()), int((both > 0).sum())))
         cols = list(zip(*out))
         kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
@@ -214,19 +221,21 @@ def _answer(batches):
 
 
 class Totals:
-    """Corpus totals: counted and training tokens, distinct training words,
-    counted documents."""
+    """Corpus totals: tokens and documents of the counted part and of all
+    training documents, distinct training words."""
 
-    def __init__(self, built: int, tuned: int, distinct: int, built_docs: int):
-        self.built, self.train = built, built + tuned
-        self.distinct, self.built_docs = distinct, built_docs
+    def __init__(self, built: int, tuned: int, distinct: int, built_docs: int, tuned_docs: int):
+        self.built, self.train, self.distinct = built, built + tuned, distinct
+        self.built_docs, self.train_docs = built_docs, built_docs + tuned_docs
 
 
-def _estimates(b: _Batch, answers: list, order_max: int, t: Totals):
+def _estimates(b: _Batch, answers: list, order_max: int, t: Totals, tuning: bool):
     """Per token: training count of the word, the estimates of order
-    ``0..order_max`` and the bucket of the longest context's count."""
+    ``0..order_max`` and the bucket of the longest context's count.  While
+    ``tuning`` the estimates leave the tuning documents out."""
     n = b.doc.size
-    mine = {k: sorted((a["slot"], a["n"], a["blob"]) for a in answers if a["slot"] % 16 == k)
+    n_tokens, n_docs = (t.built, t.built_docs) if tuning else (t.train, t.train_docs)
+    mine = {k: sorted((a["slot"], a["n"], a["tune"], a["blob"]) for a in answers if a["slot"] % 16 == k)
             for k in range(1, order_max + 1)}
     probs = np.zeros((order_max + 1, n))
     probs[0] = 1.0 / (t.distinct + 1)
@@ -235,49 +244,76 @@ def _estimates(b: _Batch, answers: list, order_max: int, t: Totals):
     train = None
     for order in range(1, order_max + 1):
         has, code = b.codes(order)
+        got = [_unsqueeze(blob, m, *[_KIND[order > 1]] * (2 if tune else 1)) for _, m, tune, blob in mine[order]]
         _, inv = np.unique(code, return_inverse=True)
+        counts = [np.concatenate([g[k] for g in got]).astype(np.int64)[inv] if got else np.zeros(0, np.int64)
+                  for k in ((0, -1) if tuning else (0, 0))]
+        seen = counts[1]
         if order == 1:
-            got = [_unsqueeze(blob, m, "i8", "i8") for _, m, blob in mine[order]]
-            built = np.concatenate([g[0] for g in got])[inv]
-            train = built + np.concatenate([g[1] for g in got])[inv]
-            probs[1] = built / t.built if t.built else 0.0
-            context = np.full(n, t.built)
+            train = counts[0]
+            probs[1] = seen / n_tokens if n_tokens else 0.0
+            context = np.full(n, n_tokens)
         else:
-            built = np.concatenate([_unsqueeze(blob, m, "u4")[0] for _, m, blob in mine[order]]).astype(np.int64)[inv]
             context = np.zeros(n, dtype=np.int64)
             context[has] = ends[b.at[has] - 1]
             with np.errstate(divide="ignore", invalid="ignore"):
-                probs[order, has] = np.where(context[has] > 0, built / context[has], 0.0)
+                probs[order, has] = np.where(context[has] > 0, seen / context[has], 0.0)
         # What this order counts is the next order's context.
         ends = np.zeros(b.hash.size, dtype=np.int64)
-        ends[b.at[has]] = built
+        ends[b.at[has]] = seen
         if order == 1:
-            ends[b.at[b.place == 1] - 1] = t.built_docs
+            ends[b.at[b.place == 1] - 1] = n_docs
     bucket = np.minimum(np.frexp(context.astype(float))[1], CONTEXT_BUCKETS - 1)
     return train, probs, bucket
 
 
-def _joined(batches: DataFrame, answers: DataFrame) -> DataFrame:
-    by_batch = (answers.where(F.col("batch") >= 0).groupBy("batch")
-                .agg(F.collect_list(F.struct("slot", "n", "blob")).alias("answers")))
-    return batches.join(by_batch, "batch")
+def _meet(batches: DataFrame, answers: DataFrame, fn, schema: str) -> DataFrame:
+    """``fn(batch, answers)`` for every batch with all its answers: both are
+    dealt by the batch's number and sorted, so a task holds one batch."""
+    spark = batches.sparkSession
+    null = lambda name, kind: F.lit(None).cast(kind).alias(name)
+    answer = [("slot", "bigint"), ("n", "bigint"), ("blob", "binary")]
+    batch = [c.split() for c in BATCH.split(", ") if not c.startswith(("batch ", "tune "))]
+    rows = batches.select("batch", F.lit(0).alias("part"), "tune", *[null(*c) for c in answer], *[c for c, _ in batch])
+    rows = rows.unionByName(answers.where(F.col("batch") >= 0).select(
+        "batch", F.lit(1).alias("part"), "tune", *[c for c, _ in answer], *[null(*c) for c in batch]))
+    parts = shuffle_partitions(spark)
+    # Batches of a task are numbered in a row: deal them like cards.
+    place = F.pmod(F.shiftrightunsigned("batch", 24) + (F.col("batch").bitwiseAND(F.lit((1 << 24) - 1))) * 7919, F.lit(parts))
+    dealt = rows.repartitionById(parts, place.cast("int")).sortWithinPartitions("batch", "part")
+
+    def run(found):
+        head, held = None, []
+        for b in found:
+            names = b.schema.names
+            for i in range(b.num_rows):
+                row = {name: b.column(k)[i].as_py() for k, name in enumerate(names)}
+                if row["part"] == 0:
+                    if head is not None:
+                        yield fn(_Batch(head), held)
+                    head, held = row, []
+                else:
+                    held.append({k: row[k] for k in ("slot", "n", "tune", "blob")})
+        if head is not None:
+            yield fn(_Batch(head), held)
+
+    return dealt.mapInArrow(run, schema)
 
 
 def _histogram(order: int, totals: Totals):
-    """Tuning tokens by bucket and quantised estimates."""
-    def run(batch: pa.RecordBatch):
-        for row in batch.to_pylist():
-            _, probs, bucket = _estimates(_Batch(row), row["answers"], order, totals)
-            cell = bucket.astype(np.int64)
-            for k in range(1, order + 1):
-                p = probs[k]
-                bin_ = np.full(p.size, _ZERO_BIN)
-                ok = p > 0
-                bin_[ok] = np.minimum(np.rint(-np.log2(p[ok]) * STEP), _ZERO_BIN - 1)
-                cell = cell * 256 + bin_
-            u, n = np.unique(cell, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(n.astype(np.int64))], names=["cell", "n"])
-    return run
+    """Tuning tokens by bucket and quantised estimates (bin ``BINS``: zero)."""
+    def one(b: _Batch, answers: list):
+        _, probs, bucket = _estimates(b, answers, order, totals, tuning=True)
+        cell = bucket.astype(np.int64)
+        for k in range(1, order + 1):
+            p = probs[k]
+            bin_ = np.full(p.size, BINS)
+            ok = p > 0
+            bin_[ok] = np.minimum(np.rint(-np.log2(p[ok])), BINS - 1)
+            cell = cell * (BINS + 1) + bin_
+        u, n = np.unique(cell, return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(u), pa.array(n.astype(np.int64))], names=["cell", "n"])
+    return one
 
 
 def learn_weights(cells: np.ndarray, counts: np.ndarray, order: int, uniform: float,
@@ -285,10 +321,9 @@ def learn_weights(cells: np.ndarray, counts: np.ndarray, order: int, uniform: fl
     """Mixture weights (context buckets x orders) by expectation-maximisation
     over a histogram of held-out tokens; buckets without any take the weights
     of the nearest bucket below that has some (or a flat mixture)."""
-    bins = [(cells >> 8 * (order - k)) & 255 for k in range(1, order + 1)]
-    bucket = cells >> 8 * order
-    p = np.vstack([np.full(len(cells), uniform),
-                   *[np.where(b == _ZERO_BIN, 0.0, 2.0 ** (-b / STEP)) for b in bins]])
+    bins = [cells // (BINS + 1) ** (order - k) % (BINS + 1) for k in range(1, order + 1)]
+    bucket = cells // (BINS + 1) ** order
+    p = np.vstack([np.full(len(cells), uniform), *[np.where(b == BINS, 0.0, 2.0 ** -b) for b in bins]])
     weights = np.full((CONTEXT_BUCKETS, order + 1), 1.0 / (order + 1))
     seen = np.zeros(CONTEXT_BUCKETS, dtype=bool)
     seen[np.unique(bucket)] = True
@@ -309,20 +344,18 @@ def learn_weights(cells: np.ndarray, counts: np.ndarray, order: int, uniform: fl
 
 
 def _score(order: int, totals: Totals, weights: np.ndarray):
-    def run(batch: pa.RecordBatch):
-        for row in batch.to_pylist():
-            b = _Batch(row)
-            train, probs, bucket = _estimates(b, row["answers"], order, totals)
-            starts = np.cumsum(b.sizes) - b.sizes
-            mixed = (weights[bucket].T * probs).sum(axis=0)
-            base = np.log10((train + 1) / (totals.train + (totals.distinct + 1)))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(b.ids, mask=~b.known), pa.array(b.roles == HELD), pa.array(b.sizes),
-                 pa.array(np.add.reduceat((train > 0).astype(np.int64), starts)),
-                 pa.array(np.full(len(starts), totals.train)),
-                 pa.array(np.add.reduceat(base, starts)), pa.array(np.add.reduceat(np.log10(mixed), starts))],
-                names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
-    return run
+    def one(b: _Batch, answers: list):
+        train, probs, bucket = _estimates(b, answers, order, totals, tuning=False)
+        starts = np.cumsum(b.sizes) - b.sizes
+        mixed = (weights[bucket].T * probs).sum(axis=0)
+        base = np.log10((train + 1) / (totals.train + (totals.distinct + 1)))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(b.ids, mask=~b.known), pa.array(b.roles == HELD), pa.array(b.sizes),
+             pa.array(np.add.reduceat((train > 0).astype(np.int64), starts)),
+             pa.array(np.full(len(starts), totals.train)),
+             pa.array(np.add.reduceat(base, starts)), pa.array(np.add.reduceat(np.log10(mixed), starts))],
+            names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+    return one
 
 
 SCORES = ("doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, "
@@ -336,34 +369,43 @@ def interpolated_scores(docs: DataFrame, key: str = "doc_id", text: str = "text"
     the whole text, learned from the rows whose fold is not ``held_fold``.
 
     Tokens: words ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased, then one end
-    token.  One training document in ``tune_part`` (by its fold hash) is left
-    out of the model's counts and used for the weights; all training documents
-    count for the base score.
+    token.  The mixture weights are learned from one training document in
+    ``tune_part`` (by its fold hash) against counts without these; scores
+    count all training documents.
 
     Edge cases: a NULL or wordless text is its end token.  A NULL id is not
     learned from (``held_out`` true).  Repeated rows count and score each.
     Without training text every word has count 0 and the uniform estimate is
-    1.  Other columns are ignored; an empty table gives no rows.
+    1; without tuning documents the mixture is flat.  Other columns are
+    ignored; an empty table gives no rows.
     """
+    return _scores(docs, key, text, order, folds, held_fold, tune_part).withColumnRenamed("doc_id", key)
+
+
+def _scores(docs: DataFrame, key: str, text: str, order: int, folds: int, held_fold: int, tune_part: int,
+            weights: np.ndarray | None = None) -> DataFrame:
+    """The scores, with ``weights`` learned unless given."""
     spark = docs.sparkSession
-    buckets = shuffle_partitions(spark) * BUCKETS_PER_PARTITION
     crc = F.crc32(F.col(key).cast("string"))
     role = (F.when(F.col(key).isNull() | (fold(key, folds) == held_fold), HELD)
             .when(F.floor(crc / folds) % tune_part == 0, TUNE).otherwise(BUILD).cast("int"))
     rows = docs.select(F.col(key).cast("bigint").alias("doc_id"), role.alias("role"), F.col(text).alias("text"))
     batches = materialize(rows.mapInArrow(_batches, BATCH), "batches")
+    tokens = batches.agg(F.sum("n_tokens")).first()[0] or 0
+    parts = shuffle_partitions(spark)
+    per_task = max(1, -(-tokens * order // (BUCKET_NGRAMS * parts)))
+    buckets = parts * per_task          # as many for each task, in a row
     asked = arrow_map(batches, _ask(order, buckets), "slot bigint, batch bigint, tune boolean, n bigint, blob binary")
     answers = materialize(
-        asked.repartition(shuffle_partitions(spark), F.floor(F.col("slot") / 16)).sortWithinPartitions("slot")
+        asked.repartitionById(parts, F.floor(F.col("slot") / (16 * per_task)).cast("int")).sortWithinPartitions("slot")
         .mapInArrow(_answer, ANSWER), "answers")
 
     t = answers.where(F.col("batch") < 0).agg(F.sum("built"), F.sum("tuned"), F.sum("distinct")).first()
-    n_docs = rows.where(F.col("role") == BUILD).count()
-    totals = Totals(int(t[0] or 0), int(t[1] or 0), int(t[2] or 0), n_docs)
-    tuning = _joined(batches.where("tune"), answers.where("tune"))
-    cells = (arrow_map(tuning, _histogram(order, totals), "cell bigint, n bigint")
-             .groupBy("cell").agg(F.sum("n").alias("n")).toPandas())
-    weights = learn_weights(cells["cell"].to_numpy(np.int64), cells["n"].to_numpy(float), order,
-                            1.0 / (totals.distinct + 1))
-    out = arrow_map(_joined(batches, answers), _score(order, totals, weights), SCORES)
-    return out.withColumnRenamed("doc_id", key)
+    docs_of = {r["role"]: r["n"] for r in rows.groupBy("role").agg(F.count(F.lit(1)).alias("n")).collect()}
+    totals = Totals(int(t[0] or 0), int(t[1] or 0), int(t[2] or 0), docs_of.get(BUILD, 0), docs_of.get(TUNE, 0))
+    if weights is None:
+        cells = (_meet(batches.where("tune"), answers.where("tune"), _histogram(order, totals), "cell bigint, n bigint")
+                 .groupBy("cell").agg(F.sum("n").alias("n")).toPandas())
+        weights = learn_weights(cells["cell"].to_numpy(np.int64), cells["n"].to_numpy(float), order,
+                                1.0 / (totals.distinct + 1))
+    return _meet(batches, answers, _score(order, totals, weights), SCORES)

@@ -31,8 +31,10 @@ def shingles(text):
     return {tuple(w[i:i + 5]) for i in range(len(w) - 4)}
 
 
-def near_duplicates(rows):
-    """``{id: (n_shingles, component)}`` of ``(id, text)`` rows."""
+def near_duplicates(rows, threshold=(85, 100)):
+    """``{id: (n_shingles, component)}`` of ``(id, text)`` rows, linked from
+    a similarity of ``threshold`` up."""
+    num, den = threshold
     sets = {d: shingles(t) for d, t in rows}
     holders = defaultdict(list)
     for d, s in sets.items():
@@ -45,7 +47,7 @@ def near_duplicates(rows):
             for e in holders[x]:
                 if e < d:
                     common[e] += 1
-        links += [(e, d) for e, i in common.items() if 100 * i >= 85 * (len(s) + len(sets[e]) - i)]
+        links += [(e, d) for e, i in common.items() if den * i >= num * (len(s) + len(sets[e]) - i)]
     comp = union_find(sets, links)
     return {d: (len(sets[d]), comp[d]) for d in sets}
 

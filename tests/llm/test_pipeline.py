@@ -24,7 +24,7 @@ def test_stages(spark, documents, sf):
         out = spark.createDataFrame(out.collect(), documents.schema)
         rows = {r.doc_id: r for r in out.collect()}
         if name == "near-duplicates":
-            want = brute.near_duplicates(pairs(before))
+            want = brute.near_duplicates(pairs(before), corpus_pipeline.NEAR)
             assert set(rows) == {d for d, (_, c) in want.items() if c == d}
         if name == "repeated substrings":
             want = brute.remove_repeats(pairs(before))
