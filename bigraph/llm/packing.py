@@ -11,29 +11,34 @@ no sort.  Every sequence but the last is full.
 from __future__ import annotations
 
 import os
-import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bigraph.llm.common import arrow_map, materialize, partition_offsets
+from bigraph.llm.kernels import chunks, text_arrays
 
 WINDOW = 2048
 END_ID = 1
 CACHE_UNITS = 600_000       # encoded units kept by a worker (about 130 MB)
-_RUN = re.compile(r"\s\s")
+BATCH_BYTES = 1 << 22       # text encoded at once
+# Two white-space characters in a row, or one that is neither space nor line feed.
+_RUN = r"[\t-\r\x{1c}-\x{20}\x{85}\p{Z}]{2}|[\t\x{0b}-\r\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 
 
 class Encoder:
-    """Token ids of texts, as unsigned 32- or 16-bit little-endian bytes.
+    """Token ids of texts, as unsigned 32- or 16-bit little-endian numbers.
 
     The byte-level vocabulary never joins across a space that is followed by
     a visible character, so a text whose white space stands alone can be
-    encoded unit by unit (a space and the run after it; a line feed), and
-    units repeat: most are found in a dictionary.  Any other text is encoded
-    whole.  All ids come from the tokenizer.
+    encoded unit by unit (a space and the run after it; a line feed).  The
+    units of a batch are the entries of one Arrow array over the texts' bytes;
+    only its distinct ones are looked up, in a table kept between batches, and
+    the ids of all are gathered at once.  Any other text is encoded whole.
+    All ids come from the tokenizer.
     """
 
     def __init__(self, path: str, cache_units: int = CACHE_UNITS):
@@ -41,49 +46,106 @@ class Encoder:
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
         self.kind = np.dtype("<u2") if self.tok.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
-        self.plain = self.Units(self, "", cache_units // 4)
-        self.spaced = self.Units(self, " ", cache_units)
-        self.line = self.ids("\n")
+        self.units, self.limit = {}, cache_units        # unit (bytes, with the space before it) to the bytes of its ids
+        # Tokens that begin with a space (byte-level vocabularies write it so).
+        self.lead = np.zeros(self.tok.get_vocab_size(), dtype=bool)
+        self.lead[[i for token, i in self.tok.get_vocab().items() if token.startswith("\u0120")]] = True
+        feed = self.numbers(b"\n")
+        self.feed = int(feed[0]) if feed.size == 1 else None
         # The shortcut holds for byte-level vocabularies without a normaliser
         # whose white space splits as above; check it, else encode whole.
-        self.split = all(self.by_units(t) == self.ids(t) for t in (
-            "a b", "It's 3 o'clock,\nnot 12 é!\nx", "x. 中文 ***y|\n", " a", "a ", "\na", "a\n", "don't 's"))
-
-    class Units(dict):
-        """Unit (without its space) to ids."""
-
-        def __init__(self, encoder, lead, limit):
-            super().__init__()
-            self.encoder, self.lead, self.limit = encoder, lead, limit
-
-        def __missing__(self, unit: str) -> bytes:
-            stem = unit[:-1]
-            if stem and unit[-1] in ".," and stem[-1].isalpha():  # letters and marks never join
-                ids = self[stem] + self.encoder.plain[unit[-1]]
-            else:
-                ids = self.encoder.ids(self.lead + unit)
-            if len(self) < self.limit:
-                self[unit] = ids
-            return ids
+        self.split = True
+        probes = ["a b", "a b c. d, e,. x", "It's 3 o'clock,\nnot 12 é!\nx", "x. 中文 ***y|\n", " a", "a ", "\na", "a\n", "don't 's", ""]
+        ids, sizes = self.encode_all(pa.array(probes))
+        self.split = (ids.tobytes() == b"".join(map(self.ids, probes))
+                      and [n * self.kind.itemsize for n in sizes] == [len(self.ids(t)) for t in probes])
+
+    def look_up(self, distinct: list[bytes]) -> list[bytes]:
+        """Ids of distinct units.  Those not known yet are encoded in two
+        texts, cut apart where a token begins with a space and at line feeds."""
+        known, new, parts, marked = self.units, {}, {}, []
+        for u in distinct:
+            if u not in known:
+                if u.endswith((b".", b",")) and u[-2:-1].isalpha():     # letters and marks never join
+                    stem = u[:-1]
+                    marked.append((u, stem))
+                    if stem not in known:
+                        parts[stem] = None
+                else:
+                    parts[u] = None
+        spaced = [p for p in parts if p[:1] == b" " and len(p) > 1]
+        if spaced:
+            ids = self.numbers(b"".join(spaced))
+            new.update(self.pieces(spaced, ids, np.flatnonzero(self.lead[ids]), 0))
+        plain = [p for p in parts if p[:1] not in (b" ", b"\n")]
+        if plain and self.feed is not None:
+            ids = self.numbers(b"\n" + b"\n".join(plain))
+            new.update(self.pieces(plain, ids, np.flatnonzero(ids == self.feed), 1))
+        if len(new) < len(parts):
+            new.update({p: self.ids(p.decode()) for p in parts if p not in new})
+        mark = {m: self.ids(m.decode()) for m in (b".", b",")} if marked else {}
+        new.update([(u, (new[p] if p in new else known[p]) + mark[u[-1:]]) for u, p in marked])
+        if len(known) < self.limit:
+            known.update(new)
+        return [new[u] if u in new else known[u] for u in distinct]
+
+    def pieces(self, units: list[bytes], ids: np.ndarray, starts: np.ndarray, skip: int) -> dict[bytes, bytes]:
+        """The ids of each unit, the first ``skip`` left out; none if the
+        tokens do not start where the units do."""
+        if len(starts) != len(units) or starts[0] != 0:
+            return {}
+        w, raw = self.kind.itemsize, ids.tobytes()
+        ends = np.append(starts[1:], ids.size) * w
+        return {u: raw[x:y] for u, x, y in zip(units, ((starts + skip) * w).tolist(), ends.tolist())}
+
+    def numbers(self, text: bytes) -> np.ndarray:
+        return np.array(self.tok.encode(text.decode(), add_special_tokens=False).ids, dtype=self.kind)
 
     def ids(self, text: str) -> bytes:
-        return np.array(self.tok.encode(text, add_special_tokens=False).ids, dtype=self.kind).tobytes()
-
-    def by_units(self, text: str) -> bytes:
-        out, spaced = [], self.spaced.__getitem__
-        for line in text.split("\n"):
-            units = line.split(" ")
-            if units[0]:
-                out.append(self.plain[units[0]])
-            out.extend(map(spaced, units[1:]))
-            out.append(self.line)
-        out.pop()
-        return b"".join(out)
+        return self.numbers(text.encode()).tobytes()
 
     def encode(self, text: str) -> bytes:
-        if self.split and not _RUN.search(text):
-            return self.by_units(text)
-        return self.ids(text)
+        return self.encode_all(pa.array([text], pa.string()))[0].tobytes()
+
+    def encode_all(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, end to end, and their number per text (NULL is
+        an empty text)."""
+        whole = np.ones(len(texts), dtype=bool)
+        if self.split:
+            whole = np.array(pc.fill_null(pc.match_substring_regex(texts, _RUN), False))
+        data, offsets = text_arrays(texts)
+        # Units tile the bytes: one starts at every space and line feed, after
+        # every line feed, and with every text.  A text to be encoded whole is
+        # one unit.
+        start = np.zeros(data.size + 1, dtype=bool)
+        gap = (data == 32) | (data == 10)
+        start[:-1] |= gap
+        start[1:] |= data == 10
+        if whole.any():
+            start[:-1] &= ~np.repeat(whole, np.diff(offsets))
+        start[offsets] = True
+        at = np.flatnonzero(start[:-1])
+        bounds = np.append(at, data.size)
+        values = pa.Array.from_buffers(pa.large_binary(), len(at), [None, pa.py_buffer(bounds.astype(np.int64).tobytes()),
+                                                                    pa.py_buffer(data)])
+        coded = values.dictionary_encode()
+        code, distinct = coded.indices.to_numpy(), coded.dictionary.to_pylist()
+        unit = np.searchsorted(at, offsets)                 # the first of each text
+        odd = np.unique(code[unit[:-1][whole & (np.diff(offsets) > 0)]])
+        if odd.size:
+            usual = np.ones(len(distinct), dtype=bool)
+            usual[odd] = False
+            ids = np.empty(len(distinct), dtype=object)
+            ids[usual] = self.look_up([distinct[k] for k in np.flatnonzero(usual)])
+            ids[odd] = [self.ids(distinct[k].decode()) for k in odd]
+        else:
+            ids = self.look_up(distinct)
+        flat = np.frombuffer(b"".join(ids), self.kind)
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // self.kind.itemsize
+        first = np.cumsum(size) - size
+        n = size[code]
+        gather = np.repeat(first[code] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+        return flat[gather], np.diff(np.append(0, np.cumsum(n))[unit])
 
 
 _encoders: dict[str, Encoder] = {}
@@ -99,21 +161,23 @@ def _tokenize(path: str, end_id: int):
     def run(batches):
         from pyspark import TaskContext
         enc, pid, offset = encoder(path), TaskContext.get().partitionId(), 0
-        end = np.array([end_id], dtype=enc.kind).tobytes()
         for batch in batches:
             texts = batch.column(1)
-            at = 0
-            while at < batch.num_rows:          # bounded output batches
-                blobs, size, first = [], 0, at
-                while at < batch.num_rows and size < 1 << 23:
-                    blobs.append(enc.encode(texts[at].as_py() or "") + end)
-                    size += len(blobs[-1])
-                    at += 1
-                n = np.array([len(b) for b in blobs], dtype=np.int64) // enc.kind.itemsize
+            for i, j, _, _ in chunks(*text_arrays(texts), BATCH_BYTES):
+                ids, n = enc.encode_all(texts.slice(i, j - i))
+                # The end id after each document's own.
+                full = np.full(ids.size + j - i, end_id, dtype=enc.kind)
+                n += 1
+                ends = np.cumsum(n)
+                mine = np.ones(full.size, dtype=bool)
+                mine[ends - 1] = False
+                full[mine] = ids
+                blobs = pa.Array.from_buffers(
+                    pa.large_binary(), j - i,
+                    [None, pa.py_buffer(np.append(0, ends * enc.kind.itemsize).tobytes()), pa.py_buffer(full.tobytes())])
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(first, at - first), pa.array([pid] * len(n), pa.int32()),
-                     pa.array(offset + np.cumsum(n) - n), pa.array(n), pa.array(blobs, pa.binary()),
-                     pa.array([enc.kind.itemsize] * len(n), pa.int32())],
+                    [batch.column(0).slice(i, j - i), pa.array([pid] * (j - i), pa.int32()), pa.array(offset + ends - n),
+                     pa.array(n), blobs.cast(pa.binary()), pa.array([enc.kind.itemsize] * (j - i), pa.int32())],
                     names=["doc_id", "_pid", "_local", "n", "ids", "width"])
                 offset += int(n.sum())
     return run
