@@ -9,12 +9,17 @@ line that does not have the format raises when it is read, unless
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from bigraph.functions import DEFAULT_MAX_ENTRIES
 from bigraph.sources.tables import spread
 
+_RECORD = {"quote": '"', "escape": '"', "mode": "FAILFAST", "lineSep": "\u0001"}
 ADJACENCY_VALUE_SCHEMA = "out_links ARRAY<STRING>, page_rank DOUBLE, part INT, parts INT"
 
 
@@ -43,7 +48,7 @@ def parse_documents_csv(lines: DataFrame, columns: str, text_col: str = "Joke",
     """CSV records without a header, one per ``value`` (which may hold line
     feeds inside quotes): ``doc_id BIGINT, text STRING`` (S2).  ``columns`` is
     the schema of the record; a record of another shape raises."""
-    record = F.from_csv("value", columns, {"quote": '"', "escape": '"', "mode": "FAILFAST", "lineSep": "\u0001"})
+    record = F.from_csv("value", columns, _RECORD)
     return _id_and_text(lines.select(record.alias("r")).select("r.*"), text_col, id_col)
 
 
@@ -57,15 +62,164 @@ def read_documents_csv(spark: SparkSession, path: str, text_col: str = "Joke", i
     """CSV with a header row; returns ``doc_id BIGINT, text STRING``.
 
     Quoted fields may hold commas, doubled quotes and, with ``multi_line``,
-    line feeds.  Such a file cannot be split and is read by one task;
-    ``multi_line=False`` reads line by line and splits.  Columns other than
-    the id and the text are not read.  A damaged record raises; without
-    ``schema`` the header names the columns, all strings.
+    line feeds.  Either way a file is read by as many tasks as it has splits
+    (:func:`csv_records`).  A damaged record raises; without ``schema`` the
+    header names the columns, all strings.
     """
     reader = (spark.read.option("header", True).option("multiLine", multi_line).option("mode", "FAILFAST")
               .option("quote", '"').option("escape", '"').option("enforceSchema", False))
-    df = (reader.schema(schema) if schema else reader).csv(path)
-    return spread(_id_and_text(df, text_col, id_col))
+    if not multi_line:
+        df = (reader.schema(schema) if schema else reader).csv(path)
+        return spread(_id_and_text(df, text_col, id_col))
+    names = reader.csv(path).schema        # reads the first record
+    kinds = StructType.fromDDL(schema) if schema else names
+    same = [f.name.lower() for f in kinds] == [f.name.lower() for f in names]
+    if not same:
+        raise ValueError(f"the header has the columns {names.fieldNames()}, the schema {kinds.fieldNames()}")
+    records, head = csv_records(spark, path), F.from_csv("value", _ddl(names), _RECORD)
+    # Every file starts with a header of the same names.
+    right = F.array(*[F.lower(head[f.name]) for f in names]) == F.array(*[F.lit(f.name.lower()) for f in names])
+    checked = F.when(F.col("first") & ~F.coalesce(right, F.lit(False)),
+                     F.raise_error(F.concat(F.lit("another header: "), "value")).cast("boolean")).otherwise(F.col("first"))
+    rows = records.where(~checked).where(F.col("value") != "")
+    return parse_documents_csv(rows.select("value"), _ddl(kinds), text_col, id_col)
+
+
+def _ddl(schema: StructType) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+
+
+def csv_records(spark: SparkSession, path: str) -> DataFrame:
+    """``value STRING, first BOOLEAN``: the records of CSV files, quoted line
+    feeds included; ``first`` marks the first record of a file.
+
+    A line feed ends a record if an even number of quotes lies before it in
+    the file.  Each split counts its quotes by itself; prefix sums over the
+    splits of a file (one row each) say whether a split starts inside quotes,
+    and then each split cuts its own lines into records.  The pieces of a
+    record that reaches over the ends of splits meet by the split it starts
+    in.  A carriage return before the line feed that ends a record goes.  A
+    file that ends inside quotes raises; a field that holds a quote must be
+    quoted, with its quotes doubled.
+    """
+    lines = (spark.read.option("lineSep", "\n").text(path)
+             .select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at")))
+    splits = lines.mapInArrow(_count_quotes, "file string, at bigint, odd int, ends0 boolean, ends1 boolean")
+    before = Window.partitionBy("file").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    upto = Window.partitionBy("file").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
+    # Whether a split starts inside quotes, whether a record ends in it, and
+    # the split in which the record that is open at its start has begun.
+    inside = F.coalesce(F.sum("odd").over(before), F.lit(0)) % 2
+    known = (splits.withColumn("inside", inside.cast("int"))
+             .withColumn("ends", F.when(F.col("inside") == 0, F.col("ends0")).otherwise(F.col("ends1")))
+             .withColumn("opens", (F.col("inside") + F.col("odd")) % 2 == 1)
+             .withColumn("begins", F.when(F.col("opens") & (F.col("ends") | (F.col("inside") == 0)), F.col("at")))
+             .withColumn("origin", F.last("begins", ignorenulls=True).over(before))
+             .withColumn("final", F.sum("odd").over(upto) % 2))
+    last = Window.partitionBy("file").orderBy(F.desc("at"))
+    known = known.withColumn("open_end", (F.row_number().over(last) == 1) & (F.col("final") == 1))
+    # One row per split of the input, as the driver's own list of them.
+    state = {(r["file"], r["at"]): (r["inside"], r["origin"], r["open_end"])
+             for r in known.select("file", "at", "inside", "origin", "open_end").collect()}
+    shared = spark.sparkContext.broadcast(state)
+
+    def cut(batches):
+        return _cut_records(batches, shared.value)
+
+    pieces = lines.mapInArrow(cut, "value string, first boolean, file string, origin bigint, at bigint")
+    whole = pieces.where(F.col("file").isNull()).select("value", "first")
+    joined = (pieces.where(F.col("file").isNotNull()).groupBy("file", "origin")
+              .agg(F.sort_array(F.collect_list(F.struct("at", "value"))).alias("p"), F.max("first").alias("first"))
+              .select(F.regexp_replace(F.array_join(F.transform("p", lambda x: x["value"]), "\n"), "\r\\z", "").alias("value"),
+                      "first"))
+    return whole.unionByName(joined)
+
+
+def _split_runs(batches):
+    """``(file, at, values)`` runs of lines of one split, in order."""
+    for b in batches:
+        n = b.num_rows
+        if not n:
+            continue
+        at = b.column(2).to_numpy()
+        files = b.column(1).dictionary_encode().indices.to_numpy()
+        edges = [0, *(np.flatnonzero((at[1:] != at[:-1]) | (files[1:] != files[:-1])) + 1).tolist(), n]
+        for x, y in zip(edges[:-1], edges[1:]):
+            yield b.column(1)[x].as_py(), int(at[x]), b.column(0).slice(x, y - x)
+
+
+def _parities(values: pa.Array, start: int) -> np.ndarray:
+    """The parity of the quotes up to the end of each line."""
+    return (start + np.cumsum(pc.count_substring(values, '"').to_numpy())) % 2
+
+
+def _count_quotes(batches):
+    """One row per split: the parity of its quotes, and whether a line ends
+    at parity 0 and at parity 1, counted from its start."""
+    seen: dict[tuple, list] = {}
+    for file, at, values in _split_runs(batches):
+        s = seen.setdefault((file, at), [0, False, False])
+        p = _parities(values, s[0])
+        s[:] = [int(p[-1]), s[1] or bool((p == 0).any()), s[2] or bool((p == 1).any())]
+    if seen:
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([k[0] for k in seen]), pa.array([k[1] for k in seen], pa.int64()),
+             pa.array([s[0] for s in seen.values()], pa.int32()), pa.array([s[1] for s in seen.values()]),
+             pa.array([s[2] for s in seen.values()])], names=["file", "at", "odd", "ends0", "ends1"])
+
+
+def _cut_records(batches, state: dict):
+    """Lines to whole records, and to pieces (with ``file``) of records that
+    cross the ends of a split."""
+    schema = pa.schema([("value", pa.string()), ("first", pa.bool_()), ("file", pa.string()), ("origin", pa.int64()),
+                        ("at", pa.int64())])
+
+    def piece(file, origin, at, text, first):
+        return pa.RecordBatch.from_pylist([{"value": text, "first": first, "file": file, "origin": origin, "at": at}], schema)
+
+    now, held, parity, head, first = None, [], 0, False, False
+
+    def close():
+        """What is left at the end of a split: an open record, or its middle."""
+        file, at = now
+        inside, origin, open_end = state[now]
+        if held:
+            if open_end:
+                raise ValueError(f"{file} ends inside quotes")
+            yield piece(file, origin if head else at, at, "\n".join(held), first)
+
+    for file, at, values in _split_runs(batches):
+        if now != (file, at):
+            if now is not None:
+                yield from close()
+            now, held, first = (file, at), [], at == 0
+            parity = state[now][0]
+            head = parity == 1                  # the first lines belong to a record that began before
+        p = _parities(values, parity)
+        parity = int(p[-1])
+        ends = np.flatnonzero(p == 0)           # lines that end a record
+        if not ends.size:
+            held.extend(values.to_pylist())
+            continue
+        cut = int(ends[0]) + 1
+        begun = "\n".join([*held, *values.slice(0, cut).to_pylist()])
+        if head:
+            yield piece(file, state[now][1], at, begun, first)
+        else:
+            yield pa.RecordBatch.from_pylist([{"value": begun.removesuffix("\r"), "first": first}], schema)
+        head, first = False, False
+        if ends.size > 1:
+            bounds = pa.array(ends + 1 - cut, pa.int32())
+            some = values.slice(cut, int(ends[-1]) + 1 - cut)
+            records = pc.binary_join(pa.ListArray.from_arrays(bounds, some), "\n")
+            records = pc.replace_substring_regex(records, "\r$", "")
+            n = len(records)
+            yield pa.RecordBatch.from_arrays(
+                [records, pa.array(np.zeros(n, bool)), pa.nulls(n, pa.string()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64())],
+                schema=schema)
+        held = values.slice(int(ends[-1]) + 1).to_pylist()
+    if now is not None:
+        yield from close()
 
 
 def parse_edges(lines: DataFrame, id_type: str = "BIGINT", comment: str | None = None,

@@ -5,6 +5,7 @@ import os
 import tempfile
 
 import pytest
+from pyspark.sql import functions as F
 
 from bigraph.operators import bigrams as B
 from bigraph.operators import graph as G
@@ -164,3 +165,61 @@ def test_parts_survive_the_lines(spark):
         assert len([k for k in rows if k[0] == "0"]) == (1 if most >= 80 else back.where("node = '0'").count())
         assert sum(len(r.out_links) for r in rows.values()) == 83
         assert rows["0", 0].page_rank == 1 / 41 and rows["1", 0].parts == 1
+
+
+def csv_rows(n, seed=3):
+    """Records with commas, quotes, line feeds, empty lines and long texts."""
+    import random
+
+    rng = random.Random(seed)
+    bits = ["plain words", "a, b", 'say "hi"', "two\nlines", "\n\n", '""', '"\n"', "x" * 400, "", "é\r", ",\n,", '"']
+    return [(i, "".join(rng.choice(bits) for _ in range(rng.randint(0, 12)))) for i in range(n)]
+
+
+def write_csv(path, rows, header="ID,Joke"):
+    with open(path, "w", newline="") as f:
+        f.write(header + "\n")
+        for i, t in rows:
+            f.write(f'{i},"' + t.replace('"', '""') + '"\n')
+
+
+@pytest.mark.parametrize("split", [97, 1000, 1 << 20])
+def test_quoted_csv_is_read_by_many_tasks(spark, tmp_path, split):
+    """Split ends inside quotes, between doubled quotes and at line feeds;
+    records longer than a split; several files."""
+    from bigraph.sources.files import csv_records
+
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    rows = csv_rows(300) + [(1000, "long\n" * 500), (1001, 'many "" quotes\n' * 300)]
+    write_csv(tmp_path / "a.csv", rows)
+    write_csv(tmp_path / "b.csv", [(2000 + i, t) for i, t in csv_rows(40, 5)])
+    write_csv(tmp_path / "c.csv", [])
+    want = sorted(rows + [(2000 + i, t) for i, t in csv_rows(40, 5)])
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(split))
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        path = f"file://{tmp_path}"
+        records = csv_records(spark, path)
+        assert records.where("first").count() == 3
+        got = read_documents_csv(spark, path)
+        assert sorted((r.doc_id, r.text or "") for r in got.collect()) == want
+        if split < 1000:
+            tasks = got.select(F.spark_partition_id().alias("p")).distinct().count()
+            assert tasks > 8
+        one = spark.read.csv(path, header=True, multiLine=True, quote='"', escape='"')
+        assert sorted((int(r.ID), r.Joke or "") for r in one.collect()) == want
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_damaged_csv_raises(spark, tmp_path):
+    write_csv(tmp_path / "a.csv", [(1, "fine")])
+    with open(tmp_path / "a.csv", "a") as f:
+        f.write('2,"never closed\n3,x\n')
+    with pytest.raises(Exception, match="inside quotes"):
+        read_documents_csv(spark, f"file://{tmp_path}/a.csv").collect()
+    write_csv(tmp_path / "b.csv", [(1, "fine")], header="ID,Text")
+    write_csv(tmp_path / "c.csv", [(1, "fine")])
+    with pytest.raises(Exception, match="header|Text"):
+        read_documents_csv(spark, f"file://{tmp_path}/[bc].csv").collect()
