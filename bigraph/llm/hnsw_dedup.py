@@ -24,7 +24,8 @@ from bigraph.llm.common import KEY, arrow_map, discard, keyed, materialize
 from bigraph.llm.components import components
 
 THRESHOLD = 0.95
-SHARD_ROWS = 50_000         # classes of a shard (bounds a task's memory)
+SHARD_ROWS = 50_000         # classes of a shard at most
+SHARD_BYTES = 1 << 26       # of the vectors of a shard (with SHARD_ROWS it bounds a task's memory)
 MIN_SHARDS = 4
 LINKS = 16                  # neighbours per node above the ground layer, twice as many on it
 BUILD_BEAM = 64
@@ -32,7 +33,8 @@ BEAM = 64
 MAX_BEAM = 1024
 EXPAND = 4                  # beam nodes expanded per step
 QUERY_BLOCK = 512
-AUDIT = 96                  # audited queries per shard pair
+AUDIT = 96                  # audited queries with a link per shard pair
+DRAWS = 4096                # queries drawn at most to find these
 RECALL_GOAL = 0.995
 _SLACK = 1e-4               # single-precision search keeps what may reach the threshold
 
@@ -242,21 +244,43 @@ def neighbours(graph: Graph, exact: np.ndarray, q: np.ndarray, threshold: float,
     return np.concatenate(out_q), np.concatenate(out_n)
 
 
+def drawn_links(exact: np.ndarray, q: np.ndarray, threshold: float, audit: int, same: bool, seed: int = 7):
+    """Queries drawn uniformly, in blocks, until ``audit`` of them have a true
+    link (found by all cosines; a vector's link with itself is none) or
+    ``DRAWS`` have been looked at: ``query, its links``."""
+    order, out = np.random.default_rng(seed).permutation(len(q))[:DRAWS], []
+    step = max(1, min(256, (1 << 24) // max(1, len(exact))))
+    for i in range(0, len(order), step):
+        rows = order[i:i + step]
+        a, b = np.nonzero(q[rows] @ exact.T >= threshold)
+        if same:
+            a, b = a[rows[a] != b], b[rows[a] != b]
+        for k in np.unique(a):
+            out.append((int(rows[k]), b[a == k]))
+        if len(out) >= audit:
+            break
+    return out
+
+
 def audited_beam(graph: Graph, exact: np.ndarray, q: np.ndarray, threshold: float, beam: int, goal: float,
-                 audit: int) -> tuple[int, float]:
-    """The beam at which audited queries (spread evenly, plus some that have
-    links) reach the recall goal, and that recall."""
-    pick = np.unique(np.linspace(0, len(q) - 1, min(audit, len(q))).astype(int))
-    few, linked = q[::max(1, len(q) // 2048)], np.zeros(0, int)
-    if len(few):
-        a, _ = neighbours(graph, exact, few, threshold, beam)
-        linked = np.unique(a)[:audit] * max(1, len(q) // 2048)
-    pick = np.union1d(pick, linked)
-    true = [set(np.flatnonzero(exact @ q[p] >= threshold)) for p in pick]
-    total = sum(map(len, true))
+                 audit: int, same: bool = False) -> tuple[int, float]:
+    """The beam at which the audited queries' mean recall reaches the goal,
+    and that recall.
+
+    Each query counts alike, so a hot group's many links do not hide the few
+    of others.  A beam that would not do at ``MAX_BEAM`` becomes ``MAX_BEAM``,
+    where queries are answered by all cosines.  ``same``: ``q`` is ``exact``.
+    """
+    drawn = drawn_links(exact, q, threshold, audit, same)
+    if not drawn:
+        return beam, 1.0
+    pick = np.array([k for k, _ in drawn])
     while True:
         a, b = neighbours(graph, exact, q[pick], threshold, beam)
-        recall = sum(n in true[i] for i, n in zip(a, b)) / total if total else 1.0
+        found: list[set] = [set() for _ in drawn]
+        for i, n in zip(a.tolist(), b.tolist()):
+            found[i].add(n)
+        recall = float(np.mean([len(found[i].intersection(links.tolist())) / len(links) for i, (_, links) in enumerate(drawn)]))
         if recall >= goal or beam >= min(MAX_BEAM, len(graph.x)):
             return beam, recall
         beam *= 2
@@ -289,7 +313,7 @@ def _match(threshold: float, goal: float, audit: int, beam: int):
         if not same:
             q_ids, q_mult = np.frombuffer(row["q_ids"], np.int64), np.frombuffer(row["q_mult"], np.int64)
             q = unit(np.frombuffer(row["q_raw"], np.float64).reshape(-1, dim))
-        wide, recall = audited_beam(graph, exact, q, threshold, beam, goal, audit)
+        wide, recall = audited_beam(graph, exact, q, threshold, beam, goal, audit, same)
         count, q_count = np.zeros(len(ids), np.int64), np.zeros(len(q_ids), np.int64)
         root = np.arange(len(ids) + (0 if same else len(q_ids)))
         shift = 0 if same else len(ids)
@@ -351,7 +375,7 @@ def _valid(batch: pa.RecordBatch):
 
 
 def near_vectors(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", threshold: float = THRESHOLD,
-                 shard_rows: int = SHARD_ROWS, min_shards: int = MIN_SHARDS, goal: float = RECALL_GOAL,
+                 shard_rows: int = SHARD_ROWS, shard_bytes: int = SHARD_BYTES, min_shards: int = MIN_SHARDS, goal: float = RECALL_GOAL,
                  audit: int = AUDIT, beam: int = BEAM) -> DataFrame:
     """Per row ``key, n_links, component_id, kept``: vectors linked with
     cosine at least ``threshold``, the smallest id of the component.
@@ -363,12 +387,13 @@ def near_vectors(vectors: DataFrame, key: str = "vec_id", vector: str = "embeddi
     that tie only the first of the component is ``kept``.  Empty tables give
     no rows.  Other columns are ignored.
     """
-    table, plain = keyed(vectors.select(key, vector), key, vector)
-    rows = table.select(F.col(KEY).alias("key"), F.col(vector).alias("v"))
+    table, plain = keyed(vectors.select(F.col(key).alias("_id"), F.col(vector).alias("_vector")), "_id", "_vector")
+    rows = table.select(F.col(KEY).alias("key"), F.col("_vector").alias("v"))
     valid = materialize(arrow_map(rows, _valid, "key bigint, raw binary").withColumn("same", F.md5("raw")), "valid")
     classes = materialize(valid.groupBy("same").agg(F.min("key").alias("rep"), F.count(F.lit(1)).alias("mult"),
                                                     F.any_value("raw").alias("raw")), "classes")
-    shards = max(min_shards, -(-classes.count() // shard_rows))
+    size = classes.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("raw")).alias("bytes")).first()
+    shards = max(min_shards, -(-size["n"] // shard_rows), -(-(size["bytes"] or 0) // shard_bytes))
     dealt = (classes.withColumn("dim", (F.octet_length("raw") / 8).cast("int"))
              .withColumn("shard", F.pmod(F.xxhash64("rep"), F.lit(shards))))
     graphs = materialize(dealt.groupBy("shard", "dim").applyInArrow(_build, SHARD), "graphs")
@@ -380,7 +405,9 @@ def near_vectors(vectors: DataFrame, key: str = "vec_id", vector: str = "embeddi
                         F.col("mult").alias("q_mult"), F.col("raw").alias("q_raw")))
     pairs = (as_graph.join(as_query.hint("shuffle_hash"), ["dim", "shard", "by"], "left")
              .where((F.col("shard") == F.col("by")) | F.col("q_ids").isNotNull())
-             .repartition(shards * (shards + 1) // 2, "shard", "by"))
+             # One task for each pair, by its number: hashes would collide.
+             .withColumn("pair", (F.col("by") * (F.col("by") + 1) / 2 + F.col("shard")).cast("int"))
+             .repartitionById(shards * (shards + 1) // 2, "pair").drop("pair"))
     found = materialize(arrow_map(pairs, _match(threshold, goal, audit, beam),
                                   "node bigint, n bigint, other bigint, beam int, recall double"), "found")
     counts = found.where(F.col("other").isNull()).groupBy("node").agg(F.sum("n").alias("n"))
@@ -398,7 +425,7 @@ def near_vectors(vectors: DataFrame, key: str = "vec_id", vector: str = "embeddi
     kept = (F.col("key") == F.col("comp")).alias("kept")
     if plain:
         return out.select(F.col("key").alias(key), "n_links", F.col("comp").alias("component_id"), kept)
-    a = table.select(F.col(KEY).alias("key"), F.col(key).cast("bigint").alias("own"))
-    b = table.select(F.col(KEY).alias("comp"), F.col(key).cast("bigint").alias("first"))
+    a = table.select(F.col(KEY).alias("key"), F.col("_id").cast("bigint").alias("own"))
+    b = table.select(F.col(KEY).alias("comp"), F.col("_id").cast("bigint").alias("first"))
     return (out.join(a, "key").join(b, "comp")
             .select(F.col("own").alias(key), "n_links", F.col("first").alias("component_id"), kept))

@@ -195,3 +195,43 @@ def test_sampled_ids_have_the_least_hashes(spark):
     want = {g: sorted({(r.h, r.id) for r in df.collect() if r.g == g})[:20] for g in ("big", "small")}
     assert found == sorted((g, i) for g, ids in want.items() for _, i in ids)
     assert least_hashed(df.where("g = 'x'"), 20, "g").collect() == []
+
+
+def test_audit_fails_a_graph_that_finds_no_pairs():
+    """10,000 vectors with a hot group of 3,000 and 3,500 pairs, and a graph
+    that finds the group only: the hot links do not hide the pairs."""
+    r = np.random.default_rng(9)
+    hot = r.normal(size=32) + r.normal(size=(3000, 32)) * 0.05
+    one = r.normal(size=(3500, 32))
+    x = hnsw_dedup.unit(np.concatenate([hot, one, one + r.normal(size=one.shape) * 0.02]))
+
+    class Blind:
+        def __init__(self):
+            self.x = x
+
+        def query(self, q, beam):
+            ids = np.full((len(q), beam), -1)
+            near = q @ x[0] > 0.9
+            ids[near] = np.arange(beam)
+            sims = np.where(ids >= 0, np.einsum("qd,qbd->qb", q, x[np.maximum(ids, 0)]), -2)
+            return ids, sims
+
+    beam, recall = hnsw_dedup.audited_beam(Blind(), x, x, 0.95, 64, 0.995, 96, same=True)
+    assert beam >= hnsw_dedup.MAX_BEAM and recall == 1.0        # answered by all cosines from there on
+    q = x[3000:3500]
+    a, b = hnsw_dedup.neighbours(Blind(), x, q, 0.95, beam)
+    assert all(n in set(b[a == i].tolist()) for i, n in enumerate(range(6500, 7000)))
+    # Its narrow beams would have failed: links with oneself do not count.
+    drawn = hnsw_dedup.drawn_links(x, x, 0.95, 96, True)
+    assert len(drawn) >= 96 and all(k not in links for k, links in drawn)
+    pairs_drawn = [k for k, links in drawn if len(links) == 1]
+    assert len(pairs_drawn) > 40 and not np.intersect1d(
+        hnsw_dedup.neighbours(Blind(), x, x[pairs_drawn], 0.95, 64)[0], np.arange(len(pairs_drawn))).size
+
+
+def test_wide_vectors_make_more_shards(spark, monkeypatch):
+    """Shards are bounded in bytes, too, and results do not change."""
+    rows = [(i, [float((i * 7 + k * k) % 11) for k in range(64)]) for i in range(300)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    want = sorted(map(tuple, hnsw_dedup.near_vectors(df).collect()))
+    assert sorted(map(tuple, hnsw_dedup.near_vectors(df, shard_bytes=1 << 13).collect())) == want
