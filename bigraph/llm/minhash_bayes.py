@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bigraph.llm.common import KEY, arrow_map, discard, keyed, materialize
+from bigraph.llm.common import KEY, arrow_map, discard, fresh, keyed, materialize
 from bigraph.llm.components import components
 from bigraph.llm.kernels import SHINGLE_BITS, U64, chunks, mix, pack, shingle_sets, split_bytes, text_arrays
 
@@ -180,9 +180,35 @@ def verify(pairs: DataFrame, signatures: DataFrame, sets: DataFrame, threshold:
     return materialize(arrow_map(joined, _exact(*threshold), "a bigint, b bigint"), "verified")
 
 
+def _first_shared(bands: np.ndarray, m: np.ndarray, s: int, bucket: int) -> np.ndarray:
+    """Of members ``m``, those whose first band shared with ``s`` is this
+    bucket's, so that a pair is looked at once."""
+    shared = bands[m] == bands[s]
+    return m[bands[m, shared.argmax(axis=1)] == bucket] if m.size else m
+
+
+def _promising(least: np.ndarray):
+    """Members of a block that pass the signature tests with some member of
+    another component (rows ``bucket, sb, mb, key, comp, role, sig``): the
+    only ones whose full sets are fetched."""
+    def run(_, frame):
+        role, comp = frame.column("role").to_numpy(), frame.column("comp").to_numpy()
+        sig = np.frombuffer(b"".join(frame.column("sig").to_pylist()), np.uint32).reshape(len(comp), -1)
+        bands, bucket = band_keys(sig), frame.column("bucket")[0].as_py()
+        members, keep = np.flatnonzero(role == 1), np.zeros(len(comp), dtype=bool)
+        for s in np.flatnonzero(role == 0):
+            m = members[comp[members] != comp[s]]
+            m = m[_sequential(least, np.broadcast_to(sig[s], (len(m), sig.shape[1])), sig[m])]
+            m = _first_shared(bands, m, s, bucket)
+            keep[m] = True
+            keep[s] |= m.size > 0
+        return frame.filter(pa.array(keep)).drop(["sig"])
+    return run
+
+
 def _across(least: np.ndarray, num: int, den: int):
-    """Verified links between members of a bucket that lie in different
-    components, as many as join them; rows ``bucket, block, key, comp, role,
+    """Verified links between members of a block that lie in different
+    components, as many as join them; rows ``bucket, sb, mb, key, comp, role,
     sig, members``.  A pair is looked at in the first band that it shares."""
     def run(_, frame):
         role = frame.column("role").to_numpy()
@@ -200,8 +226,7 @@ def _across(least: np.ndarray, num: int, den: int):
         for s in seekers:
             m = members[root[group[members]] != root[group[s]]]
             m = m[_sequential(least, np.broadcast_to(sig[s], (len(m), sig.shape[1])), sig[m])]
-            shared = bands[m] == bands[s]
-            m = m[bands[m, shared.argmax(axis=1)] == bucket] if m.size else m
+            m = _first_shared(bands, m, s, bucket)
             if not m.size:
                 continue
             mine = values[off[s]:off[s + 1]]
@@ -220,8 +245,17 @@ def _across(least: np.ndarray, num: int, den: int):
     return run
 
 
-def _leftovers(multi: DataFrame, comps: DataFrame, signatures: DataFrame, sets: DataFrame, threshold, miss):
-    """Verified links that join components which share a bucket."""
+_BLOCK_KEY = ["bucket", "sb", "mb"]
+
+
+def _blocks(multi: DataFrame, comps: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Members of the buckets that hold several components, dealt to blocks:
+    ``bucket, sb, mb, key, comp, role``.
+
+    Members (role 1) stand in one row group per seeker block; seekers (role 0)
+    are those outside the bucket's largest component and stand in one per
+    member block, so each seeker meets each member in one group of at most
+    about two ``BLOCK`` rows."""
     here = (multi.join(comps.withColumnRenamed("node", "key"), "key", "left")
             .select("bucket", "key", F.coalesce("component", "key").alias("comp")))
     here = materialize(here, "members")
@@ -231,23 +265,36 @@ def _leftovers(multi: DataFrame, comps: DataFrame, signatures: DataFrame, sets:
              .agg(F.max_by("comp", "n").alias("major"), F.sum("n").alias("size"), F.count(F.lit(1)).alias("comps"))
              .where((F.col("comps") > 1) & (F.col("size") > 3))
              .select("bucket", "major", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")))
-    held = here.join(mixed, "bucket").join(signatures, "key").join(sets, "key")
-    block = F.pmod(F.xxhash64("key"), F.col("blocks").cast("bigint")).cast("int")
-    # Members stand in one (seeker block, member block) row group per seeker
-    # block; seekers are those outside the bucket's largest component.
-    seekers = held.where(F.col("comp") != F.col("major"))
     n_seek = (counts.join(mixed, "bucket").where(F.col("comp") != F.col("major"))
               .groupBy("bucket").agg(F.ceil(F.sum("n") / BLOCK).cast("int").alias("seek_blocks")))
-    sblock = F.pmod(F.xxhash64("key"), F.col("seek_blocks").cast("bigint")).cast("int")
+    held = here.join(mixed, "bucket").join(n_seek, "bucket")
+    dealt = lambda c: F.pmod(F.xxhash64("key"), F.col(c).cast("bigint")).cast("int")
     all_of = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
-    as_member = (held.join(n_seek, "bucket").withColumn("mb", block).withColumn("sb", all_of("seek_blocks"))
-                 .select("bucket", "sb", "mb", "key", "comp", F.lit(1).alias("role"), "sig", "members"))
-    as_seeker = (seekers.join(n_seek, "bucket").withColumn("sb", sblock).withColumn("mb", all_of("blocks"))
-                 .select("bucket", "sb", "mb", "key", "comp", F.lit(0).alias("role"), "sig", "members"))
+    as_member = (held.withColumn("mb", dealt("blocks")).withColumn("sb", all_of("seek_blocks"))
+                 .select(*_BLOCK_KEY, "key", "comp", F.lit(1).alias("role")))
+    as_seeker = (held.where(F.col("comp") != F.col("major")).withColumn("sb", dealt("seek_blocks"))
+                 .withColumn("mb", all_of("blocks")).select(*_BLOCK_KEY, "key", "comp", F.lit(0).alias("role")))
+    return as_member.unionByName(as_seeker), here
+
+
+def _leftovers(multi: DataFrame, comps: DataFrame, signatures: DataFrame, sets: DataFrame, threshold, miss):
+    """Verified links that join components which share a bucket.
+
+    Signatures travel to the blocks first; full sets only for members that
+    have passed the signature tests there.  The blocks are dealt explicitly:
+    rows that lie by ``bucket`` already would count as grouped, and all blocks
+    of a hot bucket would run in one task."""
+    rows, here = _blocks(multi, comps)
     least = least_matches(threshold[0] / threshold[1], miss)
-    found = (as_member.unionByName(as_seeker).groupBy("bucket", "sb", "mb")
+    kind = "bucket bigint, sb int, mb int, key bigint, comp bigint, role int"
+    passed = materialize(rows.join(signatures, "key").select(*_BLOCK_KEY, "key", "comp", "role", "sig")
+                         .repartition(*_BLOCK_KEY).groupBy(*_BLOCK_KEY).applyInArrow(_promising(least), kind), "passed")
+    full = passed.join(signatures, "key").join(sets, "key").select(*_BLOCK_KEY, "key", "comp", "role", "sig", "members")
+    found = (full.repartition(*_BLOCK_KEY).groupBy(*_BLOCK_KEY)
              .applyInArrow(_across(least, *threshold), "a bigint, b bigint").distinct())
-    return materialize(found, "across"), here
+    found = materialize(found, "across")
+    discard(passed)
+    return found, here
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text",
@@ -265,30 +312,32 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text",
     the first of the component is ``kept``.  Empty tables give no rows.
     Other columns are ignored.
     """
-    table, plain = keyed(docs.select(key, text), key, text)
-    out = _components(table, text, threshold, miss)
+    docs = docs.select(F.col(key).alias("_id"), F.col(text).alias("_text"))
+    table, plain = keyed(docs, "_id", "_text")
+    out = _components(table, "_text", KEY, threshold, miss)
     kept = (F.col("key") == F.col("comp")).alias("kept")
     if plain:
         return out.select(F.col("key").alias(key), "n_shingles", F.col("comp").alias("component_id"), kept)
-    a = table.select(F.col(KEY).alias("key"), F.col(key).cast("bigint").alias("own"))
-    b = table.select(F.col(KEY).alias("comp"), F.col(key).cast("bigint").alias("first"))
+    a = table.select(F.col(KEY).alias("key"), F.col("_id").cast("bigint").alias("own"))
+    b = table.select(F.col(KEY).alias("comp"), F.col("_id").cast("bigint").alias("first"))
     return (out.join(a, "key").join(b, "comp")
             .select(F.col("own").alias(key), "n_shingles", F.col("first").alias("component_id"), kept))
 
 
 def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: tuple[int, int] = THRESHOLD,
                miss: float = MISS) -> DataFrame:
-    """The rows of ``docs`` (all columns) that are the first of their
-    component; the ids that go travel alone."""
-    table, _ = keyed(docs, key, text)
-    gone = (_components(table, text, threshold, miss).where(F.col("key") != F.col("comp"))
-            .select(F.col("key").alias(KEY)))
-    return table.join(gone, KEY, "left_anti").select(*docs.columns)
-
-
-def _components(table: DataFrame, text: str, threshold: tuple[int, int], miss: float) -> DataFrame:
-    """``key, n_shingles, comp`` of rows with a unique ``KEY``."""
-    rows = table.select(F.col(KEY).alias("key"), F.col(text).alias("text"))
+    """The rows of ``docs`` (all columns, whatever their names) that are the
+    first of their component; the ids that go travel alone."""
+    own = fresh(KEY, docs.columns)
+    table, _ = keyed(docs, key, text, own)
+    gone = (_components(table, text, own, threshold, miss).where(F.col("key") != F.col("comp"))
+            .select(F.col("key").alias(own)))
+    return table.join(gone, own, "left_anti").select(*docs.columns)
+
+
+def _components(table: DataFrame, text: str, key: str, threshold: tuple[int, int], miss: float) -> DataFrame:
+    """``key, n_shingles, comp`` of rows with a unique ``key``."""
+    rows = table.select(F.col(key).alias("key"), F.col(text).alias("text"))
     sig = materialize(arrow_map(rows, _signatures, "key bigint, n bigint, h1 bigint, h2 bigint, sig binary"), "sig")
     full = sig.where(F.col("n") > 0)
     classes = full.groupBy("h1", "h2").agg(F.min("key").alias("rep"))

@@ -2,7 +2,9 @@ import pytest
 
 from ..conftest import SF_SMALL
 
-SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, score double, sig string, component_id int"
+SCHEMA = ("doc_id bigint, text string, lang string, source string, n_chars bigint, score double, sig string, component_id int, "
+          "__llm_key string, __llm_kept int, __mix_of string, __mix_size int, __mix_copies string, _pid int, __pid int, "
+          "_local string, _base int, _tie int, key int, size int, n int, rank int, row int, name string, _id int, of int")
 
 
 @pytest.fixture(scope="session")
@@ -26,7 +28,8 @@ def odd(spark):
             (3, None, None, None), (4, "", "en", "a"), (5, "   \n\t ", "en", None), (None, same, "en", "a"),
             (None, None, None, None), (6, long, "en", "b"), (7, long + " end", "fr", "c"), (8, "one two", "en", "c"),
             (9, "ONE two", "en", "c"), (10, "é — 漢字 ß", "de", "c"), (11, "123 456 !!", None, "c")]
-    return spark.createDataFrame([(*r, len(r[1] or ""), 0.5, "x", 7) for r in rows], SCHEMA)
+    return spark.createDataFrame([(*r, len(r[1] or ""), 0.5, "x", 7, "k", 1, "m", 2, "c", 3, 4, "l", 5, 6, *range(5), "n", 8, 9)
+                                   for r in rows], SCHEMA)
 
 
 @pytest.fixture(scope="session")

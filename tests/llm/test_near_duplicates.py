@@ -3,6 +3,7 @@ import random
 import numpy as np
 import pytest
 
+from bigraph.llm import minhash_bayes
 from bigraph.llm.components import components
 from bigraph.llm.minhash_bayes import keep_first, least_matches, minhash, near_duplicates
 
@@ -79,3 +80,33 @@ def test_components(spark, shape):
     want = brute.union_find({x for l in links for x in l}, links)
     found = {r.node: r.component for r in components(spark.createDataFrame(links, "a bigint, b bigint")).collect()}
     assert found == {x: c for x, c in want.items() if any(a != b and x in (a, b) for a, b in links)}
+
+
+def test_blocks_of_a_hot_bucket_run_in_several_tasks(spark):
+    """All members of one bucket, in pairs of components: the blocks are dealt
+    over tasks, and full sets travel for members that pass the tests only."""
+    import re
+
+    from pyspark.sql import functions as F
+
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled", None)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        n = 4000
+        multi = spark.range(n).select(F.lit(7).cast("bigint").alias("bucket"), F.col("id").alias("key"))
+        comps = spark.range(n).select(F.col("id").alias("node"), (F.col("id") - F.col("id") % 2).alias("component"))
+        rows, _ = minhash_bayes._blocks(multi, comps)
+        dealt = rows.repartition(*minhash_bayes._BLOCK_KEY)
+        per_task = [r["count"] for r in dealt.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+        blocks = dealt.select(*minhash_bayes._BLOCK_KEY).distinct().count()
+        assert blocks == 64 and len(per_task) >= 5 and max(per_task) < sum(per_task) / 3
+        # Every seeker meets every member in exactly one block.
+        met = (rows.where("role = 0").select("bucket", "sb", "mb", F.col("key").alias("s"))
+               .join(rows.where("role = 1").select("bucket", "sb", "mb", F.col("key").alias("m")), ["bucket", "sb", "mb"]))
+        assert met.where("s in (5, 17)").count() == 2 * n and met.where("s in (5, 17)").distinct().count() == 2 * n
+        plan = (dealt.groupBy(*minhash_bayes._BLOCK_KEY).applyInArrow(lambda _, t: t, rows.schema)
+                ._jdf.queryExecution().executedPlan().toString())
+        assert re.search(r"hashpartitioning\(bucket#\d+L, sb#\d+, mb#\d+, \d+\)", plan)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled") if old is None else spark.conf.set(
+            "spark.sql.adaptive.coalescePartitions.enabled", old)
