@@ -5,68 +5,78 @@ task) give each source a target: sources share all words by weight, none gets
 more than ``repeat`` times its own size, and what a capped source leaves is
 shared by weight among the others.  The repetition rate of a source is target
 over size; a document is emitted floor(rate) times, plus once more when a hash
-of its id is under the fraction.  Built-in functions only.
+of its id is under the fraction.  Built-in functions on the rows; the sources,
+however many, are ranked by range partitions, and the capped ones are found by
+rounds of one aggregate each.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bigraph.llm.common import WORD, materialize
+from bigraph.functions import DEFAULT_MAX_ENTRIES, with_group_totals
+from bigraph.llm.common import WORD, fresh, materialize, with_rank
 
 WEIGHTS = (5, 2, 1)         # of the sources by code point, repeating
 REPEAT = 3                  # a source's target is at most so many times its size
 SEED = "mix"
-BROADCAST_SOURCES = 200_000  # up to so many sources are broadcast, beyond it the join is shuffled
 
 
-def sized(docs: DataFrame, text: str = "text"):
+def sized(text: Column):
     """The number of words of a text (NULL: 0)."""
-    return F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("bigint")
+    return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("bigint")
 
 
 def source_targets(docs: DataFrame, source: str = "source", text: str = "text", weights=WEIGHTS,
                    repeat: int = REPEAT) -> DataFrame:
-    """``source, source_size, target, rate``: one row per source (NULL is one).
+    """``source, n, source_size, target, rate``: one row per source (NULL is
+    one) with its number of documents.
 
-    With sources in order of size over weight, a source is capped exactly when
-    ``repeat`` times its size is at most its share of what the capped ones
-    before it leave; the others share the rest by weight.
+    The uncapped sources share by weight what the capped ones leave; a source
+    is capped if ``repeat`` times its size is at most its share.  Capping
+    raises the shares of the others, so the set of capped sources only grows:
+    it is found by rounds, each a one-row aggregate over the sources.
     """
-    sizes = docs.groupBy(F.col(source).alias("source")).agg(F.sum(sized(docs, text)).alias("source_size"))
-    by_name = Window.orderBy(F.col("source").asc_nulls_last())
-    ranked = sizes.withColumn("rank", F.row_number().over(by_name) - 1).withColumn(
+    sizes = docs.groupBy(F.col(source).alias("source")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(sized(F.col(text))).alias("source_size"))
+    ranked = with_rank(sizes, [F.col("source").asc_nulls_last()], "rank").withColumn(
         "w", F.element_at(F.array(*[F.lit(w).cast("bigint") for w in weights]),
                           (F.col("rank") % len(weights) + 1).cast("int")))
+    ranked = materialize(ranked, "sources")
     wide = lambda c: c.cast("decimal(38,0)")
-    common = 1
-    for w in weights:
-        common *= w
-    fill = Window.orderBy(wide(F.col("source_size")) * F.floor(F.lit(common) / F.col("w")), "rank")
-    before = fill.rowsBetween(Window.unboundedPreceding, -1)
-    from_here = fill.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    whole = Window.partitionBy()
-    steps = (ranked.withColumn("all", F.sum("source_size").over(whole))
-             .withColumn("left", F.col("all") - repeat * F.coalesce(F.sum("source_size").over(before), F.lit(0)))
-             .withColumn("weight_left", F.sum("w").over(from_here))
-             .withColumn("capped", wide(repeat * F.col("source_size")) * F.col("weight_left")
-                         <= wide(F.col("w")) * F.col("left")))
-    free = F.when(~F.col("capped"), F.col("w"))
-    kept = F.when(F.col("capped"), repeat * F.col("source_size"))
-    shared = (steps.withColumn("rest", F.col("all") - F.coalesce(F.sum(kept).over(whole), F.lit(0)))
-              .withColumn("free", F.sum(free).over(whole)))
-    target = (F.when(F.col("capped"), (repeat * F.col("source_size")).cast("double"))
-              .otherwise((F.col("w") * F.col("rest")).cast("double") / F.col("free")))
+    total = ranked.agg(F.sum("source_size").alias("size"), F.sum("w").alias("w")).first()
+    rest, free, found = total["size"] or 0, total["w"] or 0, -1
+    while True:
+        capped = (wide(repeat * F.col("source_size")) * F.lit(free).cast("decimal(18,0)")
+                  <= wide(F.col("w")) * F.lit(rest).cast("decimal(18,0)"))
+        got = ranked.where(capped).agg(F.count(F.lit(1)).alias("n"), F.sum("source_size").alias("size"),
+                                       F.sum("w").alias("w")).first()
+        if got["n"] == found or not free:
+            break
+        found = got["n"]
+        rest, free = total["size"] - repeat * (got["size"] or 0), total["w"] - (got["w"] or 0)
+    # The last round's share decides for all.
+    if not free:
+        capped = F.lit(True)
+    target = (F.when(capped, (repeat * F.col("source_size")).cast("double"))
+              .otherwise((F.col("w") * F.lit(rest)).cast("double") / F.lit(float(max(free, 1)))))
     rate = F.when(F.col("source_size") > 0, F.least(F.col("target") / F.col("source_size"), F.lit(float(repeat))))
-    return (shared.withColumn("target", target)
-            .select("source", "source_size", "target", F.coalesce(rate, F.lit(0.0)).alias("rate")))
+    return (ranked.withColumn("target", target)
+            .select("source", "n", "source_size", "target", F.coalesce(rate, F.lit(0.0)).alias("rate")))
+
+
+def names(columns: list[str]) -> dict[str, str]:
+    """The names of the columns that :func:`mixed` adds to a table with
+    ``columns``: as they are, or changed where the table has them."""
+    return {k: fresh(f"__mix_{k}", columns) for k in ("size", "source_size", "target", "copies")}
 
 
 def mixed(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text", weights=WEIGHTS,
           repeat: int = REPEAT, seed: str = SEED) -> DataFrame:
     """The rows of ``docs`` with ``__mix_size, __mix_source_size,
-    __mix_target, __mix_copies``.
+    __mix_target, __mix_copies`` (see :func:`names` for tables that have such
+    columns themselves).
 
     ``__mix_copies`` is floor(rate) plus a Bernoulli copy whose draw is the first
     52 bits of MD5(seed, id) as a fraction, so reruns agree.
@@ -74,26 +84,34 @@ def mixed(docs: DataFrame, key: str = "doc_id", source: str = "source", text: st
     Edge cases: a NULL text has size 0; NULL is a source of its own, after all
     others; sources without words get target 0 and no copies.  Rows with the
     same id (also NULL ones) share a draw and are each emitted.  An empty table
-    gives no rows; other columns are kept.
+    gives no rows; other columns are kept, whatever their names.
     """
+    columns, add = docs.columns, names(docs.columns)
     targets = materialize(source_targets(docs, source, text, weights, repeat), "targets")
-    small = targets.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES
-    t = targets.select(F.col("source").alias("__mix_of"), F.col("source_size").alias("__mix_source_size"),
-                       F.col("target").alias("__mix_target"), F.col("rate").alias("__mix_rate"))
-    out = docs.join(F.broadcast(t) if small else t, F.col(source).eqNullSafe(F.col("__mix_of"))).drop("__mix_of")
-    name = F.concat(F.lit(seed + ":"), F.coalesce(F.col(key).cast("string"), F.lit("null")))
-    draw = F.conv(F.substring(F.md5(name), 1, 13), 16, 10).cast("bigint") / F.lit(float(1 << 52))
-    whole = F.floor(F.col("__mix_rate"))
-    copies = whole + F.when(draw < F.col("__mix_rate") - whole, 1).otherwise(0)
-    return out.withColumn("__mix_size", sized(docs, text)).withColumn("__mix_copies", copies.cast("int")).drop("__mix_rate")
+    of = lambda c: F.coalesce(F.concat(F.lit("="), c), F.lit("null"))
+    # The caller's columns travel by number, so no name can clash.
+    plain = docs.toDF(*[f"c{i}" for i in range(len(columns))])
+    at = {c: F.col(f"c{columns.index(c)}") for c in (key, source, text)}
+    rows = plain.select("*", of(at[source].cast("string")).alias("of"), sized(at[text]).alias("size"),
+                        F.concat(F.lit(seed + ":"), F.coalesce(at[key].cast("string"), F.lit("null"))).alias("name"))
+    t = targets.select(of(F.col("source").cast("string")).alias("of"), "n", "source_size", "target", "rate")
+    # A hot source's rows are spread over the tasks of the join.
+    out = with_group_totals(rows, t, "of", "name", "n", DEFAULT_MAX_ENTRIES)
+    draw = F.conv(F.substring(F.md5("name"), 1, 13), 16, 10).cast("bigint") / F.lit(float(1 << 52))
+    whole = F.floor(F.col("rate"))
+    copies = (whole + F.when(draw < F.col("rate") - whole, 1).otherwise(0)).cast("int")
+    return out.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(columns)], F.col("size").alias(add["size"]),
+                      F.col("source_size").alias(add["source_size"]), F.col("target").alias(add["target"]),
+                      copies.alias(add["copies"]))
 
 
 def emit(docs: DataFrame, **settings) -> DataFrame:
     """``docs`` with each row repeated (or left out) by its number of copies."""
-    columns = docs.columns
+    columns, copies = docs.columns, names(docs.columns)["copies"]
     out = mixed(docs, **settings)
-    return (out.where(F.col("__mix_copies") > 0)
-            .withColumn("__mix_copy", F.explode(F.sequence(F.lit(1), F.col("__mix_copies"))))
+    one = fresh("_copy", out.columns)
+    return (out.where(F.col(copies) > 0)
+            .withColumn(one, F.explode(F.sequence(F.lit(1), F.col(copies))))
             .select(*columns))
 
 

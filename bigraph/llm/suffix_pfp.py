@@ -37,7 +37,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bigraph.llm.common import KEY, arrow_map, discard, keyed, materialize, shuffle_partitions
+from bigraph.llm.common import KEY, arrow_map, discard, fresh, keyed, materialize, shuffle_partitions
 from bigraph.llm.kernels import CHUNK_BYTES, U64, chunks, mix, powers, prefix_hash, span_hash, text_arrays
 
 LENGTH = 100
@@ -465,9 +465,9 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH, gram: int = GRAM, max_
     return arrow_map(affected, _cut, "_key bigint, kept binary, n_bytes bigint, n_removed bigint, n_spans bigint")
 
 
-def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH,
+def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH, own: str = KEY,
                    **settings) -> tuple[DataFrame, DataFrame]:
-    """``(table, cuts)``: ``docs`` with a unique ``KEY``, and what
+    """``(table, cuts)``: ``docs`` with a unique column ``own``, and what
     :func:`repeated_spans` finds for them (a table in the shared folder).
 
     Edge cases: a NULL text is empty; texts under ``length`` bytes lose
@@ -476,17 +476,18 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
     never cross documents.  Empty tables give no rows.  Cuts are by bytes and
     may part a character.
     """
-    table, _ = keyed(docs, key, text)
-    rows = table.select(F.col(KEY).alias("_key"), F.col(text).alias("text"))
+    table, _ = keyed(docs, key, text, own)
+    rows = table.select(F.col(own).alias("_key"), F.col(text).alias("text"))
     return table, materialize(repeated_spans(rows, length, **settings), "cuts")
 
 
 def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH,
                     **settings) -> DataFrame:
-    """``docs`` (all columns) with the remaining text; a character that a cut
-    has parted goes with it, a NULL text stays NULL."""
-    table, cuts = remove_repeats(docs, key, text, length, **settings)
-    cut = cuts.where(F.col("n_removed") > 0).select(F.col("_key").alias(KEY), F.col("kept").alias("__llm_kept"))
+    """``docs`` (all columns, whatever their names) with the remaining text; a
+    character that a cut has parted goes with it, a NULL text stays NULL."""
+    own, rest = fresh(KEY, docs.columns), fresh("__llm_kept", docs.columns)
+    table, cuts = remove_repeats(docs, key, text, length, own, **settings)
+    cut = cuts.where(F.col("n_removed") > 0).select(F.col("_key").alias(own), F.col("kept").alias(rest))
     names, place = docs.columns, docs.columns.index(text)
 
     def decode(batch: pa.RecordBatch):
@@ -497,7 +498,7 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", le
         columns[place] = pa.array(texts, pa.string())
         yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    joined = table.join(cut, KEY, "left").select(*docs.columns, "__llm_kept")
+    joined = table.join(cut, own, "left").select(*docs.columns, rest)
     return arrow_map(joined, decode, docs.schema)
 
 
@@ -505,7 +506,7 @@ def removal_digest(docs: DataFrame, key: str = "doc_id", text: str = "text", len
                    **settings) -> DataFrame:
     """``key, n_bytes, n_removed, n_spans, kept_sha256`` for every row; only
     affected documents' texts are shuffled for it."""
-    table, cuts = remove_repeats(docs.select(key, text), key, text, length, **settings)
+    table, cuts = remove_repeats(docs.select(key, text), key, text, length, KEY, **settings)
     whole = F.coalesce(F.col(text), F.lit("")).cast("binary")
     base = table.select(KEY, F.col(key).cast("bigint").alias(key), F.octet_length(whole).cast("bigint").alias("n_bytes"),
                         F.sha2(whole, 256).alias("sha"))
