@@ -265,7 +265,8 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "l
         F.col(lang).alias("lang"), F.xxhash64(key).alias("h"), F.col(key).cast("bigint").alias("id"))
     chosen = least_hashed(known, per_lang, "lang")
     rows = docs.where(F.col(text).isNotNull()).select(F.col(key).alias("id"), F.col(lang).alias("lang"), F.col(text).alias("text"))
-    picked = (rows.join(F.broadcast(chosen), ["id", "lang"])
+    # One row per id, should the table repeat it: the sample stays bounded.
+    picked = (rows.join(F.broadcast(chosen), ["id", "lang"]).groupBy("id", "lang").agg(F.min("text").alias("text"))
               .select("lang", F.pmod(F.xxhash64("id", F.lit(17)), F.lit(1 << 40)).alias("draw"), "text"))
     got = arrow_map(picked, _runs(run), "lang string, draw bigint, run binary").toArrow()
     rows = sorted(zip(got.column("lang").to_pylist(), got.column("draw").to_pylist(), got.column("run").to_pylist()))
