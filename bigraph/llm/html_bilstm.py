@@ -465,10 +465,13 @@ def recaster(pool: list[str]):
     return recast
 
 
+MARKED = r"(?i)<(article|main)[\s>]"     # a page that marks its article, before it is parsed
+
+
 def fit(pages: DataFrame, key: str = "page_id", html: str = "html", sample: int = PAGES, **settings) -> Labeller | None:
-    """A labeller trained on a bounded sample of the pages; None when no
-    sample page marks its article."""
-    rows = (pages.where(F.col(html).isNotNull()).select(F.xxhash64(key).alias("h"), F.col(html).alias("html"))
+    """A labeller trained on a bounded sample of the pages that mark their
+    article; None when no page of the table does."""
+    rows = (pages.where(F.col(html).rlike(MARKED)).select(F.xxhash64(key).alias("h"), F.col(html).alias("html"))
             .orderBy("h", "html").limit(sample).toArrow())
     parsed = [blocks(h) for h in rows.column("html").to_pylist()]
     both = [(b, y) for b in parsed if (y := self_labels(b)) is not None]
