@@ -1,11 +1,13 @@
 """Compression bands, mixing, packing, language-model scores."""
 
+import math
 import zlib
 from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
 import pytest
+import zstandard
 
 from bigraph.llm import compression_bands, lm_interpolation, mixing, packing
 from bigraph.llm.queries import QUERIES, SQL, tokenizer_path
@@ -39,6 +41,56 @@ def test_base_counts(documents, odd):
         assert not any(r.kept for r in rows if r.base_failed)
 
 
+def plain_limits(sized, spread, prior):
+    """Limits from a list of ``(bytes, ratio)``: sorted ratios of the length
+    bands, those with under 100 texts together with the next shorter ones."""
+    bands = defaultdict(list)
+    for size, ratio in sized:
+        bands[math.floor(math.log2(size) * 4)].append((math.floor(ratio * 1000 + 0.5), size))
+    groups, open_ = [], []
+    for band in sorted(bands, reverse=True):
+        open_.append(band)
+        if sum(len(bands[b]) for b in open_) >= 100:
+            groups.append(open_)
+            open_ = []
+    groups[-1].extend(open_)
+    out = []
+    for group in reversed(groups):
+        values = sorted(v for b in group for v, _ in bands[b])
+        lengths = sorted(b for b in group for _ in bands[b])
+        n = len(values)
+        q1, q3 = values[math.ceil(n / 4) - 1] / 1000, values[math.ceil(3 * n / 4) - 1] / 1000
+        typical = 2 ** ((lengths[math.ceil(n / 2) - 1] + 0.5) / 4)
+        lo, hi = next((lo, hi) for upto, lo, hi in prior if typical < upto)
+        share, apart = n * n / (n * n + 40 * 40), max(q3 - q1, 0.001)
+        out.append((2 ** ((max(group) + 1) / 4), share * (q1 - spread[0] * apart) + (1 - share) * lo,
+                    share * (q3 + spread[1] * apart) + (1 - share) * hi))
+    return out[:-1] + [(math.inf, *out[-1][1:])]
+
+
+def test_verdicts_equal_a_plain_statement(spark):
+    """Learned limits and verdicts of a whole table, document by document."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    press = zstandard.ZstdCompressor(level=3).compress
+    texts = {}
+    for d, t in pairs(docs):
+        raw = (t or "").encode()
+        parts = [(len(p), len(press(p)) / len(p)) for p in (raw[i:i + 2048] for i in range(0, len(raw), 2048))]
+        texts[d] = (base_of(t)[-1], len(raw), len(press(raw)) / max(1, len(raw)), parts)
+    passed = [x for x in texts.values() if not x[0]]
+    whole = plain_limits([(n, r) for _, n, r, _ in passed], (2.5, 5.0), compression_bands.BANDS)
+    part = plain_limits([p for x in passed for p in x[3]], (3.0, 6.0), compression_bands.CHUNK_BANDS)
+
+    def inside(size, ratio, limits):
+        return next(lo <= ratio <= hi for upto, lo, hi in limits if size < upto)
+
+    want = {d: not failed and inside(n, r, whole) and sum(not inside(*p, part) for p in parts) <= 0.2 * len(parts)
+            for d, (failed, n, r, parts) in texts.items()}
+    got = {r.doc_id: r.kept for r in compression_bands.compression_verdicts(docs).collect()}
+    assert got == want
+    assert any(not k and not texts[d][0] for d, k in got.items())        # the limits reject some
+
+
 def test_bands(spark):
     """Repetition that five-word windows miss, and random characters, are
     rejected; plain text is kept."""
