@@ -22,8 +22,9 @@ Physical design of the loop
   ``[0, splits(src))`` from a hash of ``dst``, where ``splits`` grows with the
   number of distinct targets (``ceil(links / split_edges)``), and the edges are
   hash-partitioned on ``(src, salt)`` into partitions of about
-  ``edges_per_partition`` edges, checkpointed in the shared folder and cached:
-  an executor that is lost takes cached copies with it, not the layout.  A
+  ``edges_per_partition`` edges and cached.  The salted edges are checkpointed
+  in the shared folder: an executor that is lost costs its part of the layout,
+  which comes from there again.  A
   hub's edges are spread over many tasks; the table of hubs is broadcast while
   laying out and cut at ``MAX_HOT_KEYS`` rows.
 * The state is ``node, out_degree, splits, page_rank``.  A round sends each
@@ -33,8 +34,13 @@ Physical design of the loop
   through one partial + final aggregate on ``node`` (map-side combine, so an
   in-hub is no hot key): that single shuffle yields the whole new state, with
   no join back.
-* ``D`` is a one-row aggregate joined as a broadcast single row.
-* The node table comes from one pass over the edges (``node_degrees``).
+* Nodes without out-links pass nothing on but their sum ``D``.  Where they are
+  many, edges to them are marked while laying out (``tail``), and all rounds but
+  the last sum those edges into one row (``node`` NULL, its rank is ``D``): such
+  a round moves and writes the other nodes only.  The last one ranks every node.
+* The layout is sorted within its partitions, so that no round sorts the edges.
+* The node table comes from one pass over the edges (``_ends``) and is
+  checkpointed before the hubs are looked up in it.
 * Each round's state is written as a Parquet table under the shared folder
   named by ``spark.checkpoint.dir`` and read back, which cuts the lineage (the
   plan does not grow with the rounds) and means a lost executor only costs
@@ -82,10 +88,17 @@ def _splits(links, split_edges: int):
     return F.greatest(F.lit(1), F.ceil(links / F.lit(split_edges))).cast("int")
 
 
-def _degrees(weighted: DataFrame, split_edges: int) -> DataFrame:
-    """``node, out_degree, links, splits`` of every node: ``out_degree``
-    counts copies, ``links`` distinct targets (what salts can spread)."""
-    return node_degrees(weighted).withColumn("splits", _splits(F.col("links"), split_edges))
+def _ends(weighted: DataFrame, split_edges: int) -> DataFrame:
+    """``node, out_degree, links, in_links, splits`` of every node, from one
+    pass: ``out_degree`` counts copies, ``links`` distinct targets (what salts
+    can spread), ``in_links`` distinct sources."""
+    ends = F.explode(F.array(
+        F.struct(F.col("src").alias("node"), F.col("mult").alias("deg"), F.lit(1).alias("out"), F.lit(0).alias("inn")),
+        F.struct(F.col("dst").alias("node"), F.lit(0).cast("bigint").alias("deg"), F.lit(0).alias("out"),
+                 F.lit(1).alias("inn"))))
+    return (weighted.select(ends.alias("e")).groupBy(F.col("e.node").alias("node"))
+            .agg(F.sum("e.deg").alias("out_degree"), F.sum("e.out").alias("links"), F.sum("e.inn").alias("in_links"))
+            .withColumn("splits", _splits(F.col("links"), split_edges)))
 
 
 def _bounded(deg: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -103,7 +116,16 @@ def _salted(weighted: DataFrame, hubs: DataFrame) -> DataFrame:
     ``splits(src)`` salts by a hash of ``dst``."""
     salt = (F.when(F.col("hub_splits").isNull(), F.lit(0))
             .otherwise(F.pmod(F.xxhash64("dst"), F.col("hub_splits").cast("bigint")).cast("int")))
-    return weighted.join(hubs, "src", "left").select("src", salt.alias("salt"), "dst", "mult")
+    rest = [c for c in weighted.columns if c != "src"]
+    return weighted.join(hubs, "src", "left").select("src", salt.alias("salt"), *rest)
+
+
+def _marked(weighted: DataFrame, nodes: DataFrame, split_edges: int) -> DataFrame:
+    """``src, dst, mult, tail``: whether the target has no out-links.  Edges
+    meet their target, those of an in-hub in several tasks."""
+    going_on = nodes.where(F.col("out_degree") > 0).select(F.col("node").alias("dst"), "in_links")
+    return (with_group_totals(weighted, going_on, "dst", "src", "in_links", split_edges)
+            .select("src", "dst", "mult", F.col("in_links").isNull().alias("tail")))
 
 
 def _shares(state: DataFrame) -> DataFrame:
@@ -213,8 +235,8 @@ def rank_mass(ranks: DataFrame) -> DataFrame:
 class RankGraph:
     """An edge list laid out for repeated rank steps (see module notes)."""
 
-    layout: DataFrame      # src, salt, dst, mult   partitioned by (src, salt), cached
-    nodes: DataFrame       # node, out_degree, links, splits   cached
+    layout: DataFrame      # src, salt, dst, mult (, tail)   partitioned and sorted by (src, salt), cached
+    nodes: DataFrame       # node, out_degree, links, in_links, splits   cached
     n_nodes: int
     n_links: int
     n_dangling: int
@@ -237,7 +259,8 @@ def _default_parallelism(spark) -> int:
 
 def prepare_graph(edges: DataFrame, dedupe_edges: bool = False,
                   split_edges: int = DEFAULT_SPLIT_EDGES, partitions: int | None = None,
-                  edges_per_partition: int = DEFAULT_EDGES_PER_PARTITION, run_dir: str | None = None) -> RankGraph:
+                  edges_per_partition: int = DEFAULT_EDGES_PER_PARTITION, run_dir: str | None = None,
+                  mark_tails: bool = False) -> RankGraph:
     """Lay out ``edges`` for the iteration and count the nodes.
 
     The layout gets ``partitions`` partitions; by default as many as hold
@@ -245,25 +268,30 @@ def prepare_graph(edges: DataFrame, dedupe_edges: bool = False,
     parallelism), so it follows the data and not the session's shuffle
     setting: every round runs one task per layout partition.  The rounds are
     written to ``run_dir`` (by default a fresh folder under the shared one).
+    ``mark_tails`` marks edges to nodes without out-links, if a quarter of all
+    nodes or more are such (see module notes); it changes no result.
     """
     spark = edges.sparkSession
     # Copies of an edge become one row with their number; the result feeds
     # the node table and the layout, so it is kept for the preparation only.
     checkpoint_dir(spark)
     weighted = weighted_edges(edges, dedupe_edges).persist(StorageLevel.MEMORY_AND_DISK)
-    deg, hubs = _bounded(_degrees(weighted, split_edges))
-    nodes = checkpointed(deg).persist(StorageLevel.MEMORY_AND_DISK)
+    nodes, hubs = _bounded(checkpointed(_ends(weighted, split_edges)))
+    nodes = nodes.persist(StorageLevel.MEMORY_AND_DISK)
     # One job fills the node cache and counts nodes and layout rows.
     sizes = nodes.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("links"), F.lit(0)).alias("m"),
                       F.count(F.when(F.col("out_degree") == 0, 1)).alias("dangling")).first()
-    n_nodes, n_rows = int(sizes["n"]), int(sizes["m"])
+    n_nodes, n_rows, n_dangling = int(sizes["n"]), int(sizes["m"]), int(sizes["dangling"])
     if partitions is None:
         partitions = max(_default_parallelism(spark), -(-n_rows // edges_per_partition))
-    layout = checkpointed(_salted(weighted, hubs).repartition(partitions, "src", "salt")).persist(
-        StorageLevel.MEMORY_AND_DISK)
+    laid = _marked(weighted, nodes, split_edges) if mark_tails and 4 * n_dangling >= n_nodes > 0 else weighted
+    # The checkpoint comes before the layout: a checkpoint of an adaptive plan
+    # forgets partitioning and order, and each round would shuffle the edges.
+    layout = (checkpointed(_salted(laid, hubs)).repartition(partitions, "src", "salt")
+              .sortWithinPartitions("src", "salt").persist(StorageLevel.MEMORY_AND_DISK))
     layout.count()
     weighted.unpersist()
-    return RankGraph(layout=layout, nodes=nodes, n_nodes=n_nodes, n_links=n_rows, n_dangling=int(sizes["dangling"]),
+    return RankGraph(layout=layout, nodes=nodes, n_nodes=n_nodes, n_links=n_rows, n_dangling=n_dangling,
                      partitions=partitions, run_dir=run_dir or new_folder(spark, "pagerank"),
                      setting={"split_edges": split_edges, "dedupe_edges": dedupe_edges})
 
@@ -276,25 +304,39 @@ def _initial_state(graph: RankGraph, n_nodes: int) -> DataFrame:
 
 
 def _round(graph: RankGraph, state: DataFrame, n_nodes: int, damping: float | None,
-           node_range: tuple[int, int] | None, dangling_mass: float, keep_previous: bool = False) -> DataFrame:
+           node_range: tuple[int, int] | None, dangling_mass: float, keep_previous: bool = False,
+           dangling: tuple[int, int] | None = None) -> DataFrame:
     """One round.  With ``keep_previous`` the new state also holds the old
-    rank as ``previous``, so the change of the round is known from its rows."""
+    rank as ``previous``, so the change of the round is known from its rows.
+    With ``dangling`` (how many nodes without out-links there are, and how
+    many of them lie in ``node_range``) these share one row, ``node`` NULL."""
     shares = _shares(state)
     null_double = F.lit(None).cast("double")
-    flows = (graph.layout.join(shares, ["src", "salt"])
-             .select(F.col("dst").alias("node"), _flow().alias("share"),
-                     F.lit(None).cast("bigint").alias("out_degree"), F.lit(None).cast("int").alias("splits"),
-                     null_double.alias("previous")))
+    target = F.col("dst") if dangling is None else F.when(~F.col("tail"), F.col("dst"))
+    # A merge join: edges are read in place and in order.  Spark would plan a
+    # broadcast from the size of the state's files, which says nothing of the
+    # salts it is exploded to.
+    flows = (graph.layout.join(shares.hint("merge"), ["src", "salt"])
+             .select(target.alias("node"), _flow().alias("share"),
+                     F.lit(None).cast("bigint").alias("out_degree"), F.lit(None).cast("int").alias("splits")))
     # Every node's own row rides along in the same aggregation (with a NULL
     # share), so one shuffle on ``node`` yields the whole new state: no join.
-    carried = state.select("node", null_double.alias("share"), "out_degree", "splits",
-                           (F.col("page_rank") if keep_previous else null_double).alias("previous"))
-    aggs = [F.sum("share").alias("incoming"), F.max("out_degree").alias("out_degree"),
-            F.max("splits").alias("splits")]
+    # Marked targets have in-links and need none.
+    own = state.where(F.col("out_degree") > 0) if "tail" in graph.layout.columns and not keep_previous else state
+    carried = own.select("node", null_double.alias("share"), "out_degree", "splits",
+                         *([F.col("page_rank").alias("previous")] if keep_previous else []))
+    aggs = [F.sum("share").alias("incoming"), F.coalesce(F.max("out_degree"), F.lit(0)).cast("bigint").alias("out_degree"),
+            F.coalesce(F.max("splits"), F.lit(1)).alias("splits")]
     if keep_previous:
         aggs.append(F.max("previous").alias("previous"))
+        flows = flows.withColumn("previous", null_double)
     summed = flows.unionByName(carried).groupBy("node").agg(*aggs)
     rank = _updated_rank(F.col("incoming"), F.lit(dangling_mass), F.col("node"), F.lit(n_nodes), damping, node_range)
+    if dangling is not None and damping is not None:
+        count, reached = dangling
+        together = (F.lit(count * (1.0 - damping) / n_nodes)
+                    + F.lit(damping) * (F.lit(reached * dangling_mass / n_nodes) + F.coalesce("incoming", F.lit(0.0))))
+        rank = F.when(F.col("node").isNull(), together).otherwise(rank)
     cols = ["node", "out_degree", "splits", rank.alias("page_rank")]
     if keep_previous:
         cols.append("previous")
@@ -369,6 +411,13 @@ def iterate_ranks(graph: RankGraph, n_iterations: int, damping: float | None,
                "dangling": graph.n_dangling, "node_range": list(node_range) if node_range else None,
                "keeps_previous": tol is not None}
     metrics = {"dangling_mass": graph.n_dangling * (1.0 / n)}
+    dangling = None
+    if "tail" in graph.layout.columns and tol is None:
+        reached = graph.n_dangling
+        if node_range is not None and damping is not None and n_iterations > 1:
+            lo, hi = (F.lit(x) for x in node_range)
+            reached = graph.nodes.where((F.col("out_degree") == 0) & (F.col("node") >= lo) & (F.col("node") < hi)).count()
+        dangling = (graph.n_dangling, reached)
     done, found = 0, _load_manifest(spark, graph.run_dir)
     if found is not None:
         if found["setting"] != setting:
@@ -377,6 +426,9 @@ def iterate_ranks(graph: RankGraph, n_iterations: int, damping: float | None,
         done = len(graph.rounds)
         if done > n_iterations:
             raise ValueError(f"{graph.run_dir} is already at round {done}")
+        if done == n_iterations and graph.rounds and graph.rounds[-1].get("together"):
+            graph.rounds.pop()          # that round did not rank every node: again, from the one before
+            done -= 1
         if done:
             metrics = graph.rounds[-1]
             schema = "node " + state.schema["node"].dataType.simpleString() + (
@@ -385,12 +437,15 @@ def iterate_ranks(graph: RankGraph, n_iterations: int, damping: float | None,
             if tol is not None and metrics["l1_change"] < n * tol:
                 return state, done
     for i in range(done, n_iterations):
-        new = _round(graph, state, n, damping, node_range, metrics["dangling_mass"], keep_previous=tol is not None)
+        together = dangling if i + 1 < n_iterations else None
+        new = _round(graph, state, n, damping, node_range, metrics["dangling_mass"], keep_previous=tol is not None,
+                     dangling=together)
         state, metrics = _cut(graph, new, i)
+        metrics["together"] = together is not None
         graph.rounds.append(metrics)
         _save_manifest(spark, graph.run_dir, {"setting": setting, "rounds": graph.rounds})
-        if i:
-            delete_folder(spark, f"{graph.run_dir}/round-{i - 1:05d}")
+        if i > 1:
+            delete_folder(spark, f"{graph.run_dir}/round-{i - 2:05d}")
         if tol is not None and metrics["l1_change"] < n * tol:
             return state, i + 1
     if tol is not None:
@@ -411,7 +466,7 @@ def pagerank_simple(edges: DataFrame, n_iterations: int = 10, n_nodes: int | Non
     folder, edges and settings (also for more rounds).  Other ``layout``
     settings are those of :func:`prepare_graph`.
     """
-    graph = prepare_graph(edges, **layout)
+    graph = prepare_graph(edges, mark_tails=n_iterations > 1, **layout)
     try:
         state, _ = iterate_ranks(graph, n_iterations, None, n_nodes)
     finally:
@@ -424,7 +479,7 @@ def pagerank_complete(edges: DataFrame, n_iterations: int = 10, damping: float =
                       **layout) -> DataFrame:
     """``node, page_rank`` after ``n_iterations`` complete rounds (G2, G3);
     ``run_dir`` as in :func:`pagerank_simple`."""
-    graph = prepare_graph(edges, **layout)
+    graph = prepare_graph(edges, mark_tails=n_iterations > 1, **layout)
     try:
         state, _ = iterate_ranks(graph, n_iterations, damping, n_nodes, node_range)
     finally:

@@ -288,3 +288,57 @@ def test_close_removes_what_operators_wrote(spark):
     assert ranks.count() == 60 and set(os.listdir(folder)) > before
     assert session.close(spark) >= 3        # the run, and the checkpoints of layout and nodes
     assert set(os.listdir(folder)) == before and session.close(spark) == 0
+
+
+# ------------------------------------------------- nodes without out-links in one row
+
+def fan(n=40, ends=60):
+    """More ends than other nodes; copies of edges, also to ends; an end on either side of every id range."""
+    rows = [(i, (i * 7 + 1) % n) for i in range(n)] + [(i % n, 100 + i) for i in range(ends)] + [(3, 100)] * 4
+    return rows + [(i, -1 - i) for i in range(0, n, 5)]
+
+
+@pytest.mark.parametrize("damping, node_range, split", [(None, None, 1000), (0.85, None, 2), (0.85, (-3, 120), 1000)])
+def test_rounds_before_the_last_hold_ends_in_one_row(spark, damping, node_range, split):
+    rows = fan()
+    g = P.prepare_graph(spark.createDataFrame(rows, "src bigint, dst bigint"), split_edges=split, mark_tails=True)
+    state, _ = P.iterate_ranks(g, 7, damping, node_range=node_range)
+    want = python_pagerank(rows, 7, damping, node_range=node_range)
+    got = {r.node: r.page_rank for r in state.collect()}
+    assert got.keys() == want.keys() and max(abs(got[v] - want[v]) for v in want) < 1e-15
+    assert [r["rows"] for r in g.rounds] == [g.n_nodes - g.n_dangling + 1] * 6 + [g.n_nodes]
+    for i, r in enumerate(g.rounds):       # the one row is their rank, all of it
+        full = python_pagerank(rows, i + 1, damping, node_range=node_range)
+        assert r["dangling_mass"] == pytest.approx(sum(full[v] for v in full if v < 0 or v >= 100), abs=1e-15)
+        assert r["rank_mass"] == pytest.approx(sum(full.values()), abs=1e-14)
+    g.release()
+
+
+def test_cut_run_ends_at_the_round_it_had_reached(spark, tmp_path, monkeypatch):
+    """A run for 6 rounds is cut after the third and called again for 3, then for 5."""
+    rows, path = fan(), f"file://{tmp_path}/run"
+    edges, whole, calls = spark.createDataFrame(rows, "src bigint, dst bigint"), P._round, []
+
+    def dies(*args, **kw):
+        calls.append(1)
+        if len(calls) == 4:
+            raise KeyboardInterrupt
+        return whole(*args, **kw)
+
+    monkeypatch.setattr(P, "_round", dies)
+    with pytest.raises(KeyboardInterrupt):
+        P.pagerank_complete(edges, 6, run_dir=path)
+    monkeypatch.setattr(P, "_round", whole)
+    for rounds in (3, 5):
+        want = python_pagerank(rows, rounds, 0.85)
+        got = {r.node: r.page_rank for r in P.pagerank_complete(edges, rounds, run_dir=path).collect()}
+        assert got.keys() == want.keys() and max(abs(got[v] - want[v]) for v in want) < 1e-15
+
+
+def test_a_round_reads_the_edges_in_place_and_in_order(spark):
+    """No exchange or sort on the layout."""
+    g = P.prepare_graph(spark.createDataFrame(fan(), "src bigint, dst bigint"), split_edges=2, mark_tails=True)
+    plan = P._round(g, P._initial_state(g, g.n_nodes), g.n_nodes, None, None, 0.0)._jdf.queryExecution().executedPlan().toString()
+    head = plan.split("SortMergeJoin")[1].split("InMemoryTableScan")[0]
+    assert "Exchange" not in head and "Sort" not in head
+    g.release()
