@@ -38,6 +38,9 @@ Physical design of the loop
   many, edges to them are marked while laying out (``tail``), and all rounds but
   the last sum those edges into one row (``node`` NULL, its rank is ``D``): such
   a round moves and writes the other nodes only.  The last one ranks every node.
+* STRING ids are replaced by 64-bit fingerprints while the rounds run, after a
+  check that no two nodes of the graph share one (else they stay as they are);
+  the result gets its ids back from the node table.
 * The layout is sorted within its partitions, so that no round sorts the edges.
 * The node table comes from one pass over the edges (``_ends``) and is
   checkpointed before the hubs are looked up in it.
@@ -101,6 +104,16 @@ def _ends(weighted: DataFrame, split_edges: int) -> DataFrame:
             .withColumn("splits", _splits(F.col("links"), split_edges)))
 
 
+def _fingerprint(c: str):
+    return F.xxhash64(F.col(c))
+
+
+def _unlike(nodes: DataFrame) -> bool:
+    """Whether all nodes have fingerprints of their own."""
+    prints = nodes.groupBy(_fingerprint("node").alias("f")).agg(F.count(F.lit(1)).alias("n"))
+    return not prints.where(F.col("n") > 1).limit(1).collect()
+
+
 def _bounded(deg: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The node table with ``splits`` 1 for hubs that the bounded broadcast
     table passes over, and that table (``src, hub_splits``)."""
@@ -242,6 +255,7 @@ class RankGraph:
     n_dangling: int
     partitions: int
     run_dir: str
+    names: DataFrame | None = None     # node (fingerprint), name: of a graph whose ids are texts
     setting: dict = field(default_factory=dict)     # what a manifest must agree on
     rounds: list[dict] = field(default_factory=list)  # metrics of the rounds of this run
 
@@ -260,7 +274,7 @@ def _default_parallelism(spark) -> int:
 def prepare_graph(edges: DataFrame, dedupe_edges: bool = False,
                   split_edges: int = DEFAULT_SPLIT_EDGES, partitions: int | None = None,
                   edges_per_partition: int = DEFAULT_EDGES_PER_PARTITION, run_dir: str | None = None,
-                  mark_tails: bool = False) -> RankGraph:
+                  mark_tails: bool = False, fingerprints: bool = True) -> RankGraph:
     """Lay out ``edges`` for the iteration and count the nodes.
 
     The layout gets ``partitions`` partitions; by default as many as hold
@@ -269,14 +283,21 @@ def prepare_graph(edges: DataFrame, dedupe_edges: bool = False,
     setting: every round runs one task per layout partition.  The rounds are
     written to ``run_dir`` (by default a fresh folder under the shared one).
     ``mark_tails`` marks edges to nodes without out-links, if a quarter of all
-    nodes or more are such (see module notes); it changes no result.
+    nodes or more are such (see module notes); it changes no result.  STRING ids
+    stay as they are without ``fingerprints`` (an id range needs them).
     """
     spark = edges.sparkSession
     # Copies of an edge become one row with their number; the result feeds
     # the node table and the layout, so it is kept for the preparation only.
     checkpoint_dir(spark)
     weighted = weighted_edges(edges, dedupe_edges).persist(StorageLevel.MEMORY_AND_DISK)
-    nodes, hubs = _bounded(checkpointed(_ends(weighted, split_edges)))
+    deg, names = checkpointed(_ends(weighted, split_edges)), None
+    edge_rows = weighted
+    if fingerprints and deg.schema["node"].dataType.typeName() == "string" and _unlike(deg):
+        names = deg.select(_fingerprint("node").alias("node"), F.col("node").alias("name"))
+        deg = deg.withColumn("node", _fingerprint("node"))
+        edge_rows = weighted.select(_fingerprint("src").alias("src"), _fingerprint("dst").alias("dst"), "mult")
+    nodes, hubs = _bounded(deg)
     nodes = nodes.persist(StorageLevel.MEMORY_AND_DISK)
     # One job fills the node cache and counts nodes and layout rows.
     sizes = nodes.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("links"), F.lit(0)).alias("m"),
@@ -284,7 +305,7 @@ def prepare_graph(edges: DataFrame, dedupe_edges: bool = False,
     n_nodes, n_rows, n_dangling = int(sizes["n"]), int(sizes["m"]), int(sizes["dangling"])
     if partitions is None:
         partitions = max(_default_parallelism(spark), -(-n_rows // edges_per_partition))
-    laid = _marked(weighted, nodes, split_edges) if mark_tails and 4 * n_dangling >= n_nodes > 0 else weighted
+    laid = _marked(edge_rows, nodes, split_edges) if mark_tails and 4 * n_dangling >= n_nodes > 0 else edge_rows
     # The checkpoint comes before the layout: a checkpoint of an adaptive plan
     # forgets partitioning and order, and each round would shuffle the edges.
     layout = (checkpointed(_salted(laid, hubs)).repartition(partitions, "src", "salt")
@@ -293,7 +314,8 @@ def prepare_graph(edges: DataFrame, dedupe_edges: bool = False,
     weighted.unpersist()
     return RankGraph(layout=layout, nodes=nodes, n_nodes=n_nodes, n_links=n_rows, n_dangling=n_dangling,
                      partitions=partitions, run_dir=run_dir or new_folder(spark, "pagerank"),
-                     setting={"split_edges": split_edges, "dedupe_edges": dedupe_edges})
+                     names=names, setting={"split_edges": split_edges, "dedupe_edges": dedupe_edges}
+                     | ({"ids": "xxhash64"} if names is not None else {}))
 
 
 def _initial_state(graph: RankGraph, n_nodes: int) -> DataFrame:
@@ -402,6 +424,17 @@ def iterate_ranks(graph: RankGraph, n_iterations: int, damping: float | None,
     Rounds that the manifest of the graph's ``run_dir`` records as whole are
     not run again; it must stem from the same graph and settings.
     """
+    if graph.names is not None and node_range is not None:
+        raise ValueError("a graph whose ids are fingerprints has no id range")
+    state, done = _iterate(graph, n_iterations, damping, n_nodes, node_range, tol)
+    if graph.names is not None:
+        state = (state.join(graph.names, "node").drop("node")
+                 .select(F.col("name").alias("node"), *[c for c in state.columns if c != "node"]))
+    return state, done
+
+
+def _iterate(graph: RankGraph, n_iterations: int, damping: float | None, n_nodes: int | None,
+             node_range: tuple[int, int] | None, tol: float | None) -> tuple[DataFrame, int]:
     n = graph.n_nodes if n_nodes is None else n_nodes
     state = _initial_state(graph, n)
     if n == 0:  # empty graph: nothing to rank
@@ -479,7 +512,7 @@ def pagerank_complete(edges: DataFrame, n_iterations: int = 10, damping: float =
                       **layout) -> DataFrame:
     """``node, page_rank`` after ``n_iterations`` complete rounds (G2, G3);
     ``run_dir`` as in :func:`pagerank_simple`."""
-    graph = prepare_graph(edges, mark_tails=n_iterations > 1, **layout)
+    graph = prepare_graph(edges, mark_tails=n_iterations > 1, **{"fingerprints": node_range is None, **layout})
     try:
         state, _ = iterate_ranks(graph, n_iterations, damping, n_nodes, node_range)
     finally:

@@ -342,3 +342,17 @@ def test_a_round_reads_the_edges_in_place_and_in_order(spark):
     head = plan.split("SortMergeJoin")[1].split("InMemoryTableScan")[0]
     assert "Exchange" not in head and "Sort" not in head
     g.release()
+
+
+def test_text_ids_iterate_as_fingerprints(spark, monkeypatch):
+    """Rounds hold 64-bit numbers, results the ids; two nodes of one fingerprint keep their texts."""
+    rows = [(f"node {a}", f"node {b}") for a, b in fan()]
+    edges, want = spark.createDataFrame(rows, "src string, dst string"), python_pagerank(rows, 4, 0.85)
+    g = P.prepare_graph(edges)
+    assert dict(g.layout.dtypes)["src"] == dict(g.layout.dtypes)["dst"] == "bigint"
+    g.release()
+    for print_of in (P._fingerprint, lambda c: F.length(c).cast("bigint")):
+        monkeypatch.setattr(P, "_fingerprint", print_of)
+        got = {r.node: r.page_rank for r in P.pagerank_complete(edges, 4).collect()}
+        assert got.keys() == want.keys() and max(abs(got[v] - want[v]) for v in want) < 1e-15
+    assert dict(P.pagerank_complete(edges, 2, node_range=("node 1", "node 2")).dtypes)["node"] == "string"
