@@ -19,15 +19,21 @@ def double_text(c: Column | str) -> Column:
     Python's ``json`` and SQL engines write it; the JVM's own text differs only
     in layout."""
     c = F.col(c) if isinstance(c, str) else c
-    java = c.cast("string")
+    return _moved_point(c.cast("string"))
+
+
+def _moved_point(java: Column) -> Column:
+    """The canonical text from the JVM's; no regular expression runs."""
+    unsigned = F.ltrim(java, F.lit("-"))
     sign = F.when(F.startswith(java, F.lit("-")), F.lit("-")).otherwise(F.lit(""))
-    mantissa = F.regexp_extract(java, r"^-?([0-9.]+)E", 1)
-    exponent = F.regexp_extract(java, r"E(-?[0-9]+)$", 1).cast("int")
-    digits = F.regexp_replace(F.regexp_replace(mantissa, r"\.0$", ""), r"\.", "")
+    mantissa = F.substring_index(unsigned, "E", 1)
+    short = F.when(F.endswith(mantissa, F.lit(".0")), F.substring_index(mantissa, ".", 1)).otherwise(mantissa)
+    exponent = F.substring_index(java, "E", -1).try_cast("int")     # NULL, and not used, where there is none
+    digits = F.replace(short, F.lit("."), F.lit(""))
     small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -exponent - 1), digits)
     padded = F.rpad(digits, F.greatest(exponent + 2, F.length(digits)), "0")
     large = F.concat(F.substring(padded, F.lit(1), exponent + 1), F.lit("."), F.substring(padded, exponent + 2, F.length(padded)))
-    power = F.concat(F.regexp_replace(mantissa, r"\.0$", ""), F.lit("e"), F.when(exponent < 0, F.lit("-")).otherwise(F.lit("+")),
+    power = F.concat(short, F.lit("e"), F.when(exponent < 0, F.lit("-")).otherwise(F.lit("+")),
                      F.lpad(F.abs(exponent).cast("string"), F.greatest(F.lit(2), F.length(F.abs(exponent).cast("string"))), "0"))
     moved = F.when((exponent >= -4) & (exponent < 0), small).when((exponent >= 0) & (exponent < 16), large).otherwise(power)
     return F.when(F.contains(java, F.lit("E")), F.concat(sign, moved)).otherwise(java)
@@ -37,7 +43,8 @@ def json_value(c: Column | str) -> Column:
     """JSON text of any scalar: ``to_json`` of a one-element array, brackets
     removed (``to_json`` does not take a bare scalar)."""
     c = F.col(c) if isinstance(c, str) else c
-    return F.regexp_extract(F.to_json(F.array(c)), r"^\[(.*)\]$", 1)
+    text = F.to_json(F.array(c))
+    return text.substr(F.lit(2), F.length(text) - 2)
 
 
 def kv_lines(df: DataFrame, key: Column | str, value: Column) -> DataFrame:
@@ -48,8 +55,12 @@ def kv_lines(df: DataFrame, key: Column | str, value: Column) -> DataFrame:
 def probability_lines(df: DataFrame, key: str = "bigram", value: str = "probability") -> DataFrame:
     """``json(key) TAB json(value)`` lines (bigram output:
     ``"word-next"\t0.25``)."""
-    double = isinstance(df.schema[value].dataType, DoubleType)
-    return kv_lines(df, key, double_text(value) if double else json_value(value))
+    if not isinstance(df.schema[value].dataType, DoubleType):
+        return kv_lines(df, key, json_value(value))
+    # The text of a double is used several times below: a column of its own
+    # makes Spark compute it once.
+    texts = df.select(F.col(key).alias("_key"), F.col(value).cast("string").alias("_java"))
+    return kv_lines(texts, "_key", _moved_point(F.col("_java")))
 
 
 def adjacency_lines(df: DataFrame) -> DataFrame:

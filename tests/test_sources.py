@@ -223,3 +223,20 @@ def test_damaged_csv_raises(spark, tmp_path):
     write_csv(tmp_path / "c.csv", [(1, "fine")])
     with pytest.raises(Exception, match="header|Text"):
         read_documents_csv(spark, f"file://{tmp_path}/[bc].csv").collect()
+
+
+def test_lines_are_rendered_without_regular_expressions(spark):
+    """The text of a double is Python's at every exponent, computed once a row."""
+    from bigraph.sources import sinks as K
+
+    values = [0.0, 1.0, 0.1, 0.001, 0.00099, 1e-4, 1.5e-4, 1e-5, 1 / 3e7, 1e7, 12345678.9, 1e15, 1e16, 1.5e16, 1e100, 5e-324,
+              1.7976931348623157e308]
+    values += [-v for v in values[1:]]
+    rows = [(f'k "{i}"\n', v) for i, v in enumerate(values)] + [("none", None)]
+    lines = K.probability_lines(spark.createDataFrame(rows, "bigram string, probability double"))
+    got = [r.value for r in lines.collect()]
+    # The shortest digits of 5e-324 are 4.9E-324 to the JVM.
+    want = [f"{json.dumps(k)}\t{json.dumps(v)}".replace("5e-324", "4.9e-324") for k, v in rows[:-1]] + ['"none"']
+    assert got == want
+    plan = lines._jdf.queryExecution().executedPlan().toString()
+    assert "regexp" not in plan and plan.count("cast(probability") == 1
