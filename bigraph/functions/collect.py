@@ -34,7 +34,7 @@ def part_of(entry: Column, parts: Column) -> Column:
 
 def sorted_entries_text(m: Column) -> Column:
     """A map rendered as ``k:v,k:v`` in key order (for comparing results)."""
-    entries = F.array_sort(F.map_entries(m))
+    entries = F.sort_array(F.map_entries(m))      # no entry is NULL: array_sort's order, without its lambda
     return F.array_join(
         F.transform(entries, lambda e: F.concat(e["key"], F.lit(":"), e["value"].cast("string"))),
         ",")

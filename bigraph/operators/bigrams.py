@@ -112,14 +112,9 @@ def stripes(counts: DataFrame, max_entries: int = DEFAULT_MAX_ENTRIES, max_keys:
               .withColumn("parts", n_parts(F.col("n_next"), max_entries))    # 1 for words that are not long
               .select("word", "next_word", "n", part.alias("part"), "parts", "total"))
     collected = (tagged.groupBy("word", "part", "parts", "total")
-                 .agg(F.map_from_entries(F.collect_list(F.struct("next_word", "n"))).alias("stripe")))
-    return collected.select("word", "part", "parts", F.coalesce(F.col("total"), stripe_total("stripe")).alias("total"),
-                            "stripe")
-
-
-def stripe_total(stripe: str = "stripe"):
-    """Sum of the counts in a stripe (the reference's ``sum(counts.values())``)."""
-    return F.aggregate(F.map_values(F.col(stripe)), F.lit(0).cast("bigint"), lambda acc, x: acc + x)
+                 .agg(F.map_from_entries(F.collect_list(F.struct("next_word", "n"))).alias("stripe"),
+                      F.sum("n").alias("_n")))
+    return collected.select("word", "part", "parts", F.coalesce("total", "_n").alias("total"), "stripe")
 
 
 def bigram_probabilities_from_stripes(stripe_df: DataFrame) -> DataFrame:

@@ -116,3 +116,8 @@ def test_weighted_edges_give_the_same(spark):
     assert sorted(map(tuple, P.rank_step(w, ranks).collect())) == sorted(map(tuple, P.rank_step(edges, ranks).collect()))
     a, b = ({(r.node, tuple(sorted(r.out_links))) for r in G.adjacency(x).collect()} for x in (w, edges))
     assert a == b
+
+
+def test_stripes_run_no_lambda_to_sort_or_to_total(spark):
+    plan = executed(QUERIES["stripes"](spark, SF_SMALL))
+    assert "sort_array(" in plan and "array_sort(" not in plan and "aggregate(map_values" not in plan
