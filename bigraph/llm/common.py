@@ -3,6 +3,7 @@ hash folds, unique row keys, chunked Arrow maps."""
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -83,11 +84,25 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
+def give_back() -> None:
+    """Return what this Python worker has freed to the system.
+
+    A worker lives on for later tasks, an executor has one or more for each
+    core, and the C allocator keeps what large arrays held: without this,
+    every worker stays as large as the largest step it has ever run."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)     # glibc's
+    if trim is not None:
+        trim(0)
+
+
 def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     """``mapInArrow`` with a function of one record batch."""
     def run(batches):
         for b in batches:
             yield from fn(b)
+            del b       # not held while the next one is read
+            give_back()
     return df.mapInArrow(run, schema)
 
 

@@ -26,6 +26,8 @@ LOWER[65:91] += 32
 #: Bytes of text handled at once: bounds the temporaries of a kernel.
 CHUNK_BYTES = 1 << 20
 CHUNK_DOCS = 1 << 14
+#: The same for kernels with a dozen 64-bit numbers or more for each byte.
+SMALL_BYTES = 1 << 18
 
 _BASE = 0x9E3779B97F4A7C55 | 1
 _BASE_INV = pow(_BASE, -1, 1 << 64)

@@ -30,9 +30,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bigraph.llm.common import KEY, arrow_map, discard, fresh, keyed, materialize
+from bigraph.llm.common import KEY, arrow_map, discard, fresh, give_back, keyed, materialize
 from bigraph.llm.components import components
-from bigraph.llm.kernels import SHINGLE_BITS, U64, chunks, mix, pack, shingle_sets, split_bytes, text_arrays
+from bigraph.llm.kernels import SHINGLE_BITS, SMALL_BYTES, U64, chunks, mix, pack, shingle_sets, split_bytes, text_arrays
 
 BANDS = 24
 ROWS = 5
@@ -41,6 +41,7 @@ BATCH = 20                  # signature entries per sequential test
 MISS = 1e-5                 # posterior probability under which a pair is dropped
 THRESHOLD = (85, 100)       # similarity as a fraction
 BLOCK = 512                 # bucket members and seekers that a task compares
+LARGE_BLOCK = 1 << 20       # bytes of a block's full sets after which a worker returns what it has freed
 
 _SEEDS = mix(np.arange(1, HASHES + 1, dtype=U64) * U64(0x9E3779B97F4A7C15)) | U64(1)
 _BAND_SEEDS = mix(np.arange(1001, 1001 + ROWS, dtype=U64) * U64(0x9E3779B97F4A7C15)) | U64(1)
@@ -84,7 +85,7 @@ def band_keys(sig: np.ndarray) -> np.ndarray:
 def _signatures(batch: pa.RecordBatch):
     data, offsets = text_arrays(batch.column(1))
     keys = batch.column(0)
-    for i, j, d, o in chunks(data, offsets):
+    for i, j, d, o in chunks(data, offsets, SMALL_BYTES):
         values, counts = shingle_sets(d, o)
         full = counts > 0
         marks = [np.zeros(j - i, dtype=np.int64) for _ in range(2)]
@@ -123,7 +124,7 @@ def _sequential(least: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.nd
 
 def _sets(batch: pa.RecordBatch):
     data, offsets = text_arrays(batch.column(1))
-    for i, j, d, o in chunks(data, offsets):
+    for i, j, d, o in chunks(data, offsets, SMALL_BYTES):
         values, counts = shingle_sets(d, o)
         yield pa.RecordBatch.from_arrays(
             [batch.column(0).slice(i, j - i), pa.array(split_bytes(values, counts), pa.binary())],
@@ -241,6 +242,8 @@ def _across(least: np.ndarray, num: int, den: int):
                 if here != there:
                     root[root == there] = here
                     out.append((min(key[s], key[t]), max(key[s], key[t])))
+        if values.nbytes > LARGE_BLOCK:
+            give_back()
         return pa.table({"a": pa.array([a for a, _ in out], pa.int64()), "b": pa.array([b for _, b in out], pa.int64())})
     return run
 

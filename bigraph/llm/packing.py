@@ -18,13 +18,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bigraph.llm.common import arrow_map, materialize, partition_offsets
+from bigraph.llm.common import arrow_map, give_back, materialize, partition_offsets
 from bigraph.llm.kernels import chunks, text_arrays
 
 WINDOW = 2048
 END_ID = 1
-CACHE_UNITS = 600_000       # encoded units kept by a worker (about 130 MB)
-BATCH_BYTES = 1 << 22       # text encoded at once
+CACHE_UNITS = 300_000       # encoded units kept by a worker (about 60 MB); it lives on in later stages
+BATCH_BYTES = 1 << 20       # text encoded at once
 # Two white-space characters in a row, or one that is neither space nor line feed.
 _RUN = r"[\t-\r\x{1c}-\x{20}\x{85}\p{Z}]{2}|[\t\x{0b}-\r\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 
@@ -180,6 +180,8 @@ def _tokenize(path: str, end_id: int):
                      pa.array(n), blobs.cast(pa.binary()), pa.array([enc.kind.itemsize] * (j - i), pa.int32())],
                     names=["doc_id", "_pid", "_local", "n", "ids", "width"])
                 offset += int(n.sum())
+            del batch, texts
+            give_back()
     return run
 
 

@@ -22,8 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bigraph.llm.common import arrow_map, fold, least_hashed
-from bigraph.llm.kernels import LOWER, U64, chunks, mix, prefix_hash, span_hash, text_arrays, word_spans
+from bigraph.llm.common import arrow_map, fold, give_back, least_hashed
+from bigraph.llm.kernels import LOWER, SMALL_BYTES, U64, chunks, mix, prefix_hash, span_hash, text_arrays, word_spans
 
 FOLDS, HELD_FOLD = 5, 0
 PER_CLASS = 2500            # labelled rows of each class the classifier is fitted on
@@ -188,7 +188,7 @@ def train(feats: list[np.ndarray], y: np.ndarray, population: tuple[int, int], b
 def _features(bits: int):
     def run(batch: pa.RecordBatch):
         data, offsets = text_arrays(batch.column(1))
-        for i, j, d, o in chunks(data, offsets):
+        for i, j, d, o in chunks(data, offsets, SMALL_BYTES):
             docs, feats = indicators(d, o, bits)
             cuts = np.searchsorted(docs, np.arange(j - i + 1))
             raw = [feats[a:b].astype(np.int32).tobytes() for a, b in zip(cuts[:-1], cuts[1:])]
@@ -226,7 +226,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
 def _score(model: Model):
     def run(batch: pa.RecordBatch):
         data, offsets = text_arrays(batch.column(2))
-        for i, j, d, o in chunks(data, offsets):
+        for i, j, d, o in chunks(data, offsets, SMALL_BYTES):
             m = model.margins(*indicators(d, o, model.bits), j - i)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).slice(i, j - i), batch.column(1).slice(i, j - i), pa.array(model.scores(m))],
@@ -257,6 +257,8 @@ def _with_model(docs: DataFrame, model: Model, step):
         one = step(shared.value)
         for b in batches:
             yield from one(b)
+            del b
+            give_back()
     return run
 
 
@@ -267,7 +269,7 @@ def accepted(docs: DataFrame, model: Model, text: str = "text", threshold: float
     def step(model):
         def run(batch: pa.RecordBatch):
             data, offsets = text_arrays(batch.column(place))
-            for i, j, d, o in chunks(data, offsets):
+            for i, j, d, o in chunks(data, offsets, SMALL_BYTES):
                 m = model.margins(*indicators(d, o, model.bits), j - i)
                 yield batch.slice(i, j - i).filter(pa.array(model.scores(m) >= threshold))
         return run

@@ -37,7 +37,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bigraph.llm.common import KEY, arrow_map, discard, fresh, keyed, materialize, shuffle_partitions
+from bigraph.llm.common import KEY, arrow_map, discard, fresh, give_back, keyed, materialize, shuffle_partitions
 from bigraph.llm.kernels import CHUNK_BYTES, U64, chunks, mix, powers, prefix_hash, span_hash, text_arrays
 
 LENGTH = 100
@@ -267,6 +267,7 @@ def _dictionary(length: int, max_rows: int, hot_rows: int):
                     yield from settle(False)
                     limit = max(max_rows, 2 * n)    # what stays is different runs: look again after as many more
         yield from settle(True)
+        give_back()
     return run
 
 
@@ -403,6 +404,8 @@ def _resolve(length: int):
         key, lo = repeated_windows(*cols, spans, length)
         if key.size:
             yield _ranges(key, lo, np.zeros(len(lo), np.int64), length)
+        del cols, spans
+        give_back()
 
     def run(batches):
         held, bucket = [], None

@@ -106,3 +106,44 @@ def test_packing_stage_rebuilds_every_copy(spark, documents, odd, sf):
         got = sorted((-1 if d is None else d, np.frombuffer(b"".join(b for _, b in sorted(p)), "<u4").tolist())
                      for (d, _), p in out.items())
         assert got == want
+
+
+KEPT = """
+import ctypes, re
+import numpy as np, pyarrow as pa
+from bigraph.llm import common, minhash_bayes, quality_nbsvm, suffix_pfp
+
+class Frame:
+    def mapInArrow(self, run, schema):
+        return sum(b.num_rows for b in run(pa.RecordBatch.from_arrays([pa.array(keys), pa.array(texts)], ["key", "text"]) for _ in range(2)))
+
+def anonymous():
+    return int(re.search(r"RssAnon:\\s+(\\d+)", open("/proc/self/status").read())[1]) / 1024
+
+words = np.random.default_rng(1).integers(0, 1 << 40, (4000, 400))
+keys, texts = list(range(4000)), [" ".join(map(hex, row.tolist())) for row in words]
+steps = [quality_nbsvm._features(18), minhash_bayes._signatures, suffix_pfp._parse_batch(100, 32, 64)]
+common.arrow_map(Frame(), lambda b: steps[0](b.slice(0, 10)), "")      # tables that stay
+pa.default_memory_pool().release_unused()
+ctypes.CDLL("libc.so.6").malloc_trim(0)
+before = anonymous()
+for step in steps:
+    assert common.arrow_map(Frame(), step, "") > 0
+    print(round(anonymous() - before))
+"""
+
+
+def test_workers_return_what_steps_have_freed():
+    """A Python worker lives on after a task; it must not stay as large as
+    the step was (MB left after each one)."""
+    done = subprocess.run([sys.executable, "-c", KEPT], cwd=ROOT, capture_output=True, text=True, timeout=120)
+    assert done.returncode == 0, done.stderr
+    assert max(map(int, done.stdout.split())) < 40, done.stdout
+
+
+def test_units_kept_by_a_worker_are_bounded():
+    enc = packing.Encoder(tokenizer_path())
+    texts = [" ".join(f"{c}{i}" for i in range(350_000)) for c in "xy"]
+    ids = [enc.encode(t) for t in texts]
+    assert len(enc.units) < 400_000
+    assert ids[1] == enc.encode(texts[1]) == packing.Encoder(tokenizer_path()).encode(texts[1])
