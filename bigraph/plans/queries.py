@@ -61,7 +61,7 @@ def _top(ranks: DataFrame, n: int) -> DataFrame:
 
 
 def _counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return B.bigram_counts(B.bigrams(T.documents(spark, sf_dir)))
+    return B.bigram_counts(B.bigrams(T.documents(spark, sf_dir, T.TASK_BYTES)))
 
 
 def _probs(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -18,26 +18,39 @@ from pyspark.sql import functions as F
 # Fixed values of the derived graph (the oracle SQL uses the same ones).
 LINE_ORDER = ("l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
 MIN_SPLITS = 8  # a scan of fewer splits is dealt to all cores
+TASK_BYTES = 32 << 20  # of a table's files: what a task takes that counts bigrams before the shuffle
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
+def spread(df: DataFrame, tasks: int = 1) -> DataFrame:
     """Deal the rows of a scan of a few splits to all cores.  A file with one
     row group cannot be split, so a small table would be tokenised by one
     task; a scan of ``MIN_SPLITS`` splits or more (anything over about 1 GB)
-    is returned as it is, however many cores there are.  Asking for the
-    number of splits plans the scan and runs no job."""
-    if df.rdd.getNumPartitions() >= MIN_SPLITS:
+    is returned as it is, however many cores there are, if those are at least
+    ``tasks``; otherwise the rows are dealt to at least ``tasks`` tasks.
+    Asking for the number of splits plans the scan and runs no job."""
+    if df.rdd.getNumPartitions() >= max(MIN_SPLITS, tasks):
         return df
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+    return df.repartition(max(df.sparkSession.sparkContext.defaultParallelism, tasks))
 
 
-def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``doc_id, text`` of the documents table (other columns are pruned)."""
-    return spread(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+def _file_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of a file, or of all files in a folder (Hadoop FileSystem)."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(p).getLength()
+
+
+def documents(spark: SparkSession, sf_dir: str, task_bytes: int | None = None) -> DataFrame:
+    """``doc_id, text`` of the documents table (other columns are pruned).
+
+    With ``task_bytes`` a task gets about so many bytes of its files, however
+    large the table: for map-side combining, whose table grows with the
+    distinct keys of a task."""
+    tasks = 1 if task_bytes is None else -(-_file_bytes(spark, f"{sf_dir.rstrip('/')}/documents.parquet") // task_bytes)
+    return spread(read_table(spark, sf_dir, "documents").select("doc_id", "text"), tasks)
 
 
 def lineitem_edges(lineitem: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from bigraph.operators import bigrams as B
 from bigraph.operators import graph as G
 from bigraph.operators import pagerank as P
 from bigraph.plans import QUERIES
+from bigraph.sources import tables as T
 
 from .conftest import SF_SMALL
 from .test_skew import hot_docs, most_in_a_task  # noqa: F401
@@ -47,6 +48,21 @@ def test_corpus_is_tokenised_and_shuffled_once(spark, broadcasts, name):
     assert exchanges(plan, "word", "next_word") == 1
 
 
+@pytest.mark.parametrize("name", ["parse_edges_text", "bigram_counts"])
+def test_a_counting_task_does_not_grow_with_the_table(spark, monkeypatch, name):
+    """What a task counts before the shuffle is bounded: a larger table has more tasks."""
+    want = QUERIES[name](spark, SF_SMALL).count()
+    size = T._file_bytes(spark, f"{SF_SMALL}/documents.parquet")
+    assert size > 100_000
+    monkeypatch.setattr(T, "TASK_BYTES", size // 40)
+    df = QUERIES[name](spark, SF_SMALL)
+    plan = executed(df)
+    assert int(re.search(r"RoundRobinPartitioning\((\d+)\)", plan)[1]) >= 40
+    assert df.count() == want
+    monkeypatch.setattr(T, "TASK_BYTES", size)
+    assert "RoundRobinPartitioning(40)" not in executed(QUERIES[name](spark, SF_SMALL))
+
+
 @pytest.mark.parametrize("name", ["rank_step", "rank_contributions", "rank_contributions_split", "adjacency",
                                   "adjacency_split", "initial_ranks", "dangling_mass", "parse_ranks"])
 def test_edges_are_read_once(spark, broadcasts, name):
