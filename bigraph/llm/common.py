@@ -34,11 +34,22 @@ def fresh(name: str, columns: list[str]) -> str:
     return name
 
 
-def materialize(df: DataFrame, tag: str, partition_by: str | None = None) -> DataFrame:
+#: Rows of a table of links for each of its files.
+FILE_ROWS = 1 << 18
+
+
+def materialize(df: DataFrame, tag: str, partition_by: str | None = None, most: int | None = None) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back: the
-    lineage ends there, and a lost executor re-reads the table."""
+    lineage ends there, and a lost executor re-reads the table.
+
+    ``most``: the rows of ``df`` (narrow ones) are known not to be more.  A
+    table of few rows is then dealt to as few files, however many tasks have
+    made it: each file costs a request or, on a local file system, processes
+    that set its mode, and a task of every later read."""
     spark = df.sparkSession
     path = shared_path(spark, tag)
+    if most is not None and (files := max(1, -(-most // FILE_ROWS))) < shuffle_partitions(spark):
+        df = df.repartition(files)
     writer = df.write.option("compression", "zstd")
     if partition_by:
         writer = writer.partitionBy(partition_by)

@@ -36,18 +36,20 @@ def _mark(links: DataFrame) -> tuple:
     return r["n"], r["s"]
 
 
-def components(links: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 60) -> DataFrame:
+def components(links: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 60, most: int | None = None) -> DataFrame:
     """``node, component`` for every node with a link to another one;
     ``component`` is the smallest node reachable.  Self-links, repeated links
-    and either direction are allowed; NULL ends are ignored."""
+    and either direction are allowed; NULL ends are ignored.  ``most``: a
+    bound on the rows of ``links``, if known."""
     now = materialize(
         links.where(F.col(a) != F.col(b))
-        .select(F.greatest(a, b).alias("hi"), F.least(a, b).alias("lo")).distinct(), "links")
+        .select(F.greatest(a, b).alias("hi"), F.least(a, b).alias("lo")).distinct(), "links", most=most)
     mark = _mark(now)
     for _ in range(max_rounds):
         if not mark[0]:
             break
-        new = materialize(_star(_star(now, True), False), "star")
+        # No step has more links than the one before: each link hangs one node.
+        new = materialize(_star(_star(now, True), False), "star", most=mark[0])
         discard(now)
         now, before, mark = new, mark, _mark(new)
         if mark == before:

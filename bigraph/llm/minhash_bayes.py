@@ -174,11 +174,11 @@ def verify(pairs: DataFrame, signatures: DataFrame, sets: DataFrame, threshold:
     sa = signatures.select(F.col("key").alias("a"), F.col("sig").alias("sa"))
     sb = signatures.select(F.col("key").alias("b"), F.col("sig").alias("sb"))
     joined = pairs.join(sa, "a").join(sb, "b").select("a", "b", "sa", "sb")
-    pairs = materialize(arrow_map(joined, sieve, "a bigint, b bigint"), "survivors")
+    pairs = materialize(arrow_map(joined, sieve, "a bigint, b bigint"), "survivors", most=pairs.count())
     left = sets.select(F.col("key").alias("a"), F.col("members").alias("ma"))
     right = sets.select(F.col("key").alias("b"), F.col("members").alias("mb"))
     joined = pairs.join(left, "a").join(right, "b").select("a", "b", "ma", "mb")
-    return materialize(arrow_map(joined, _exact(*threshold), "a bigint, b bigint"), "verified")
+    return materialize(arrow_map(joined, _exact(*threshold), "a bigint, b bigint"), "verified", most=pairs.count())
 
 
 def _first_shared(bands: np.ndarray, m: np.ndarray, s: int, bucket: int) -> np.ndarray:
@@ -358,7 +358,8 @@ def _components(table: DataFrame, text: str, key: str, threshold: tuple[int, int
     # Full sets of the documents that share a bucket with another: the only texts that are shuffled.
     texts = rows.join(met.select("key").distinct().hint("shuffle_hash"), "key", "left_semi").select("key", "text")
     sets = materialize(arrow_map(texts, _sets, "key bigint, members binary"), "sets")
-    comps = components(verify(pairs, reps, sets, threshold, miss))
+    links = verify(pairs, reps, sets, threshold, miss)
+    comps = components(links, most=links.count())
     more, members = _leftovers(met.select("bucket", "key"), comps, reps, sets, threshold, miss)
     if not more.isEmpty():
         comps = components(comps.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))

@@ -110,3 +110,36 @@ def test_blocks_of_a_hot_bucket_run_in_several_tasks(spark):
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled") if old is None else spark.conf.set(
             "spark.sql.adaptive.coalescePartitions.enabled", old)
+
+
+def test_rounds_of_few_links_write_few_files(spark, monkeypatch):
+    """The files of a round follow its links, not the shuffle partitions."""
+    from bigraph.llm import components as module
+
+    files = []
+
+    def written(df, tag, **kw):
+        out = materialize(df, tag, **kw)
+        files.append((tag, len(out.inputFiles())))
+        return out
+
+    materialize = module.materialize
+    monkeypatch.setattr(module, "materialize", written)
+    keys = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "40"}
+    old = {k: spark.conf.get(k, None) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    try:
+        links = [(i, i + 1) for i in range(300)] + [(1000 + i, 2000 + i) for i in range(300)]
+        df = spark.createDataFrame(links, "a bigint, b bigint")
+        found = {r.node: r.component for r in components(df, most=len(links)).collect()}
+        assert len(found) == 901 and found[300] == 0 and found[2299] == 1299
+        assert len(files) > 3 and max(n for _, n in files) == 1, files
+        # More rows than one file takes: as many files as that makes.
+        monkeypatch.setattr("bigraph.llm.common.FILE_ROWS", 100)
+        files.clear()
+        assert {r.node: r.component for r in components(df, most=len(links)).collect()} == found
+        assert all(1 < n <= 6 for _, n in files), files
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
