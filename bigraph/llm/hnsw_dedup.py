@@ -1,9 +1,21 @@
 """Embedding near-duplicates over hierarchical navigable small-world graphs.
 
-Equal vectors are a class, held by the smallest id.  Classes are dealt into
-shards by a hash, each shard's task builds its graph, and every shard's vectors
-query every shard's graph (a shard pair is one task; the pair (i, j) serves both
-directions).  Found neighbours are verified by cosine in double precision.
+Equal vectors are a class, held by the smallest id.  A class belongs to the cell
+of its nearest pivot; pivots are a hashed sample of the classes, about one for
+``CELL_ROWS``, so dense places get more cells.  Each cell is a shard with a
+graph, built in one task; a cell over the bounds of a shard is dealt into
+several by a hash.  A vector queries the graph of its own shard and, of the
+cells whose pivot is nearly as near as its own, those that do not send their
+vectors to it: every two cells meet in one direction only.  Found neighbours are
+verified by cosine in double precision.
+
+How much less near a pivot may be (the margin) is measured: a hashed sample of
+queries is compared with all vectors, and the margin is ``ROUTE_WIDER`` times
+the least that leaves out no more than ``ROUTE_LOSS`` of a query's links, on
+average.  With few linked queries in the sample it is also three standard
+deviations of the difference of two pivots' cosines between a vector and a link
+at the threshold in a random direction, at least.  Where links lie so far apart
+that a vector would visit most cells, fewer and larger cells are taken.
 
 A query whose whole beam lies above the threshold is repeated with a beam twice
 as wide.  Then an audit compares some queries with brute force over the shard;
@@ -17,7 +29,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bigraph.llm.common import KEY, arrow_map, discard, keyed, materialize
@@ -27,6 +39,13 @@ THRESHOLD = 0.95
 SHARD_ROWS = 50_000         # classes of a shard at most
 SHARD_BYTES = 1 << 26       # of the vectors of a shard (with SHARD_ROWS it bounds a task's memory)
 MIN_SHARDS = 4
+CELL_ROWS = 2048            # classes of a cell, about
+VISIT_ROWS = 4 * CELL_ROWS  # vectors of other shards that query a shard in one task, about
+PIVOT_BYTES = 1 << 25       # of all pivots, and of all queries of the margin's sample
+ROUTE_LOSS = 0.001          # share of a query's links outside the cells it meets, on average
+ROUTE_WIDER = 1.5           # for links that the sample has not seen
+BINS = 512                  # steps of the margin in a cosine of 1
+MAX_TASKS = 1 << 14
 LINKS = 16                  # neighbours per node above the ground layer, twice as many on it
 BUILD_BEAM = 64
 BEAM = 64
@@ -286,18 +305,200 @@ def audited_beam(graph: Graph, exact: np.ndarray, q: np.ndarray, threshold: floa
         beam *= 2
 
 
-SHARD = ("shard bigint, dim int, ids binary, mult binary, raw binary, order binary, sizes binary, layers binary")
+SHARD = "dim int, cell int, sub int, ids binary, mult binary, raw binary, order binary, sizes binary, layers binary"
+VISITORS = "dim int, cell int, sub int, block int, q_ids binary, q_mult binary, q_raw binary"
 
 
-def _build(table):
+def _group(table):
+    """``ids, mult, raw`` of a group's rows, by id."""
     ids, mult = table.column("rep").to_numpy(), table.column("mult").to_numpy()
     raw = np.frombuffer(b"".join(table.column("raw").to_pylist()), np.float64).reshape(len(ids), -1)
     order = np.argsort(ids)
-    ids, mult, raw = ids[order], mult[order], raw[order]
+    return ids[order], mult[order], raw[order]
+
+
+def _build(table):
+    ids, mult, raw = _group(table)
     a, b, c = Graph(unit(raw)).dump()
-    return pa.table({"shard": table.column("shard")[:1], "dim": table.column("dim")[:1],
-                     "ids": [ids.tobytes()], "mult": [mult.tobytes()], "raw": [raw.tobytes()],
-                     "order": [a], "sizes": [b], "layers": [c]})
+    return pa.table({name: table.column(name)[:1] for name in ("dim", "cell", "sub")}
+                    | {"ids": [ids.tobytes()], "mult": [mult.tobytes()], "raw": [raw.tobytes()],
+                       "order": [a], "sizes": [b], "layers": [c]})
+
+
+def _pack(table):
+    ids, mult, raw = _group(table)
+    return pa.table({name: table.column(name)[:1] for name in ("dim", "cell", "sub", "block")}
+                    | {"q_ids": [ids.tobytes()], "q_mult": [mult.tobytes()], "q_raw": [raw.tobytes()]})
+
+
+def visits(cell: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """Whether the vectors of ``cell`` query ``other``: of two cells, one does."""
+    return (cell != other) & (((cell + other) % 2 == 0) == (cell < other))
+
+
+def _by_dim(batch: pa.RecordBatch, step: int):
+    """``rows, dim, vectors`` of at most ``step`` rows of a batch."""
+    raw = batch.column("raw").to_pylist()
+    sizes = np.array([len(x) // 8 for x in raw])
+    for dim in np.unique(sizes).tolist():
+        at = np.flatnonzero(sizes == dim)
+        for i in range(0, len(at), step):
+            rows = at[i:i + step]
+            yield rows, dim, unit(np.frombuffer(b"".join(raw[r] for r in rows), np.float64).reshape(-1, dim))
+
+
+def _assign(pivots, routes: dict):
+    """Adds ``dim, cell, visits`` to the classes; a dimension without pivots is one cell."""
+    def run(batch: pa.RecordBatch):
+        dims, cells = np.zeros(batch.num_rows, np.int32), np.zeros(batch.num_rows, np.int32)
+        met: list = [[]] * batch.num_rows
+        for rows, dim, x in _by_dim(batch, 256):
+            dims[rows] = dim
+            if dim not in routes:
+                continue
+            count, margin = routes[dim]
+            s = x.astype(np.float32) @ pivots.value[dim][:count].T
+            cell = s.argmax(axis=1)
+            cells[rows] = cell
+            near = s >= s.max(axis=1, keepdims=True) - margin
+            near &= visits(cell[:, None], np.arange(s.shape[1]))
+            for i, r in enumerate(rows):
+                met[r] = np.flatnonzero(near[i]).tolist()
+        yield pa.RecordBatch.from_arrays(
+            [*batch.columns, pa.array(dims), pa.array(cells), pa.array(met, pa.list_(pa.int32()))],
+            names=[*batch.schema.names, "dim", "cell", "visits"])
+    return run
+
+
+def _gaps(pivots, counts: dict, drawn, threshold: float):
+    """``dim, count, query, bin, n``: links of the drawn queries, by the margin
+    in ``1 / BINS`` that it takes for the two cells to meet, for each number of
+    pivots in ``counts[dim]``."""
+    def run(batch: pa.RecordBatch):
+        own = batch.column("rep").to_numpy()
+        out, of_query = [], {}
+        for rows, dim, exact in _by_dim(batch, 1024):
+            if dim not in drawn.value:
+                continue
+            p, (ids, q) = pivots.value[dim], drawn.value[dim]
+            x, q32 = exact.astype(np.float32), q.astype(np.float32)
+            a, b = np.nonzero(x @ q32.T >= threshold - _SLACK)
+            ok = (own[rows[a]] != ids[b]) & (np.einsum("id,id->i", exact[a], q[b]) >= threshold)
+            a, b = a[ok], b[ok]
+            if dim not in of_query:
+                of_query[dim] = {}
+            for count in counts[dim]:
+                if count not in of_query[dim]:
+                    of_query[dim][count] = _places(q32, p[:count])
+                q_cell, q_top = of_query[dim][count]
+                cell, top = _places(x, p[:count])
+                away = np.where(visits(cell[a], q_cell[b]), top[a] - np.einsum("id,id->i", x[a], p[q_cell[b]]),
+                                q_top[b] - np.einsum("id,id->i", q32[b], p[cell[a]]))
+                step = np.where(cell[a] == q_cell[b], 0, np.ceil(away * BINS)).astype(np.int64)
+                pair, n = np.unique(np.stack([ids[b], step]), axis=1, return_counts=True)
+                out.append((np.full(len(n), dim), np.full(len(n), count), *pair, n))
+        cols = [np.concatenate(c) for c in zip(*out)] if out else [np.zeros(0, np.int64)] * 5
+        yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in cols],
+                                         names=["dim", "count", "query", "bin", "n"])
+    return run
+
+
+def _places(x: np.ndarray, p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The nearest pivot of each vector, and its cosine."""
+    cell, top = np.zeros(len(x), np.int64), np.zeros(len(x), np.float32)
+    for i in range(0, len(x), 256):
+        s = x[i:i + 256] @ p.T
+        cell[i:i + 256], top[i:i + 256] = s.argmax(axis=1), s.max(axis=1)
+    return cell, top
+
+
+def _mean_visits(x: np.ndarray, p: np.ndarray, margin: float) -> float:
+    met = 0
+    for i in range(0, len(x), 256):
+        s = x[i:i + 256].astype(np.float32) @ p.T
+        top = s.max(axis=1, keepdims=True)
+        met += int(((s >= top - margin) & visits(s.argmax(axis=1)[:, None], np.arange(len(p)))).sum())
+    return met / max(1, len(x))
+
+
+def _low(h: str, share: Column) -> Column:
+    """Rows whose hash lies in the lowest ``share`` of the range."""
+    return F.expr(h).cast("double") / 2.0**64 + 0.5 <= share
+
+
+def _cells(classes: DataFrame, sizes: list, cell_rows: int, shard_bytes: int, min_shards: int):
+    """The pivots of each dimension that has more than one cell, broadcast."""
+    spark = classes.sparkSession
+    total, plan = sum(r["n"] * r["dim"] for r in sizes), []
+    for r in sizes:
+        n, dim = r["n"], r["dim"]
+        cells = max(-(-n // cell_rows), -(-8 * n * dim // shard_bytes), min(min_shards, n // 256))
+        cells = min(cells, int(PIVOT_BYTES * (n * dim / total) / (4 * dim)))
+        if cells > 1:
+            plan.append((dim, cells, (4 * cells + 16) / n))
+    pivots: dict = {}
+    if plan:
+        # Of the hashes' low end, the lowest: what meets in a task follows the cells.
+        low = (classes.withColumn("dim", (F.octet_length("raw") / 8).cast("int"))
+               .join(F.broadcast(spark.createDataFrame(plan, "dim int, cells int, share double")), "dim")
+               .withColumn("h", F.expr("xxhash64(rep, 3)")).where(_low("h", F.col("share"))))
+        least = Window.partitionBy("dim").orderBy("h", "rep")
+        rows = (low.withColumn("r", F.row_number().over(least)).where(F.col("r") <= F.col("cells"))
+                .select("dim", "r", "raw").collect())
+        for r in sorted(rows, key=lambda r: (r["dim"], r["r"])):
+            pivots.setdefault(r["dim"], []).append(np.frombuffer(r["raw"], np.float64))
+    return spark.sparkContext.broadcast({d: unit(np.stack(v)).astype(np.float32) for d, v in pivots.items()})
+
+
+def _routes(classes: DataFrame, sizes: list, pivots, threshold: float, shard_rows: int, min_shards: int) -> dict:
+    """``dim: (pivots to use, margin)`` of each dimension with pivots.
+
+    A prefix of the pivots is a sample of the classes as well.  Among the whole
+    and its quarters the one with the least work is taken: a query of a graph
+    takes about the cube root of its size, its share of the build twice that."""
+    spark = classes.sparkSession
+    sizes = [r for r in sizes if r["dim"] in pivots.value]
+    if not sizes:
+        return {}
+    counts: dict = {}
+    for r in sizes:
+        count, least = len(pivots.value[r["dim"]]), max(min_shards, -(-r["n"] // shard_rows))
+        counts[r["dim"]] = [count]
+        while count // 4 >= least:
+            count //= 4
+            counts[r["dim"]].append(count)
+    n, total = sum(r["n"] for r in sizes), sum(8 * r["n"] * r["dim"] for r in sizes)
+    share = min(DRAWS, PIVOT_BYTES * n // total) / n
+    mine = classes.withColumn("dim", (F.octet_length("raw") / 8).cast("int")).where(F.col("dim").isin(list(counts)))
+    drawn: dict = {}
+    for r in mine.where(_low("xxhash64(rep, 7)", F.lit(share))).select("dim", "rep", "raw").collect():
+        drawn.setdefault(r["dim"], []).append((r["rep"], np.frombuffer(r["raw"], np.float64)))
+    queries = spark.sparkContext.broadcast(
+        {d: (np.array([k for k, _ in v], np.int64), unit(np.stack([x for _, x in v]))) for d, v in drawn.items()})
+    links = (arrow_map(classes.select("rep", "raw"), _gaps(pivots, counts, queries, threshold),
+                       "dim bigint, count bigint, query bigint, bin bigint, n bigint")
+             .groupBy("dim", "count", "query", "bin").agg(F.sum("n").alias("n")))
+    links = links.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy("dim", "count", "query")))
+    found: dict = {}
+    for r in links.groupBy("dim", "count", "bin").agg(F.sum("share").alias("share")).orderBy("dim", "count", "bin").collect():
+        found.setdefault((r["dim"], r["count"]), []).append((r["bin"], r["share"]))
+    out = {}
+    for r in sizes:
+        dim, best = r["dim"], None
+        for count in counts[dim]:
+            steps, shares = np.array(found.get((dim, count), [(0, 0.0)])).T
+            linked = shares.sum()
+            reached = np.cumsum(shares) >= (1 - ROUTE_LOSS) * linked - 1e-9
+            # Half a step more, as cosines of single precision differ in their last digits.
+            margin = float((steps[np.argmax(reached)] + 0.5) / BINS) * ROUTE_WIDER
+            if share < 1 and linked < AUDIT:
+                margin = max(margin, 3 * float(np.sqrt(2 * max(0.0, 1 - threshold * threshold) / dim)))
+            met = _mean_visits(queries.value[dim][1], pivots.value[dim][:count], margin) if dim in drawn else 0.0
+            work = (3 + met) * (r["n"] / count) ** (1 / 3)
+            if best is None or work < best[0]:
+                best = work, count, margin
+        out[dim] = best[1:]
+    return out
 
 
 def _match(threshold: float, goal: float, audit: int, beam: int):
@@ -374,6 +575,25 @@ def _valid(batch: pa.RecordBatch):
     yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(raw, pa.binary())], names=["key", "raw"])
 
 
+def _tasks(dealt: DataFrame, shard_rows: int, shard_bytes: int) -> tuple[DataFrame, int]:
+    """``dim, cell, subs, blocks, first`` of every cell: its shards, the
+    blocks of their visitors and the number of its first pair; and the number
+    of tasks.  One row for about ``CELL_ROWS`` classes is on the driver."""
+    members = dealt.groupBy("dim", "cell").agg(F.count(F.lit(1)).alias("n"))
+    guests = (dealt.select("dim", F.explode("visits").alias("cell")).groupBy("dim", "cell")
+              .agg(F.count(F.lit(1)).alias("guests")))
+    rows, first = [], 0
+    for r in members.join(guests, ["dim", "cell"], "left").orderBy("dim", "cell").collect():
+        width = 8 * r["dim"]
+        subs = max(-(-r["n"] // shard_rows), -(-r["n"] * width // shard_bytes))
+        guests_n = (r["guests"] or 0) + (r["n"] if subs > 1 else 0)
+        blocks = max(1, -(-guests_n // min(VISIT_ROWS, shard_rows)), -(-guests_n * width // shard_bytes))
+        rows.append((r["dim"], r["cell"], subs, blocks, first))
+        first += subs * (1 + blocks)
+    table = dealt.sparkSession.createDataFrame(rows, "dim int, cell int, subs int, blocks int, first bigint")
+    return F.broadcast(table), max(1, min(first, MAX_TASKS))
+
+
 def near_vectors(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", threshold: float = THRESHOLD,
                  shard_rows: int = SHARD_ROWS, shard_bytes: int = SHARD_BYTES, min_shards: int = MIN_SHARDS, goal: float = RECALL_GOAL,
                  audit: int = AUDIT, beam: int = BEAM) -> DataFrame:
@@ -392,29 +612,38 @@ def near_vectors(vectors: DataFrame, key: str = "vec_id", vector: str = "embeddi
     valid = materialize(arrow_map(rows, _valid, "key bigint, raw binary").withColumn("same", F.md5("raw")), "valid")
     classes = materialize(valid.groupBy("same").agg(F.min("key").alias("rep"), F.count(F.lit(1)).alias("mult"),
                                                     F.any_value("raw").alias("raw")), "classes")
-    size = classes.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("raw")).alias("bytes")).first()
-    shards = max(min_shards, -(-size["n"] // shard_rows), -(-(size["bytes"] or 0) // shard_bytes))
-    dealt = (classes.withColumn("dim", (F.octet_length("raw") / 8).cast("int"))
-             .withColumn("shard", F.pmod(F.xxhash64("rep"), F.lit(shards))))
-    graphs = materialize(dealt.groupBy("shard", "dim").applyInArrow(_build, SHARD), "graphs")
-    # Every pair (i, j) of shards of one dimension, i <= j, meets by key.
-    as_graph = graphs.withColumn("by", F.explode(F.sequence(F.col("shard"), F.lit(shards - 1))))
-    as_query = (graphs.withColumn("at", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("shard"))))
-                .where(F.col("at") < F.col("shard"))
-                .select("dim", F.col("at").alias("shard"), F.col("shard").alias("by"), F.col("ids").alias("q_ids"),
-                        F.col("mult").alias("q_mult"), F.col("raw").alias("q_raw")))
-    pairs = (as_graph.join(as_query.hint("shuffle_hash"), ["dim", "shard", "by"], "left")
-             .where((F.col("shard") == F.col("by")) | F.col("q_ids").isNotNull())
+    sizes = (classes.groupBy((F.octet_length("raw") / 8).cast("int").alias("dim")).agg(F.count(F.lit(1)).alias("n"))
+             .orderBy("dim").collect())
+    pivots = _cells(classes, sizes, min(CELL_ROWS, shard_rows), shard_bytes, min_shards)
+    routes = _routes(classes, sizes, pivots, threshold, shard_rows, min_shards)
+    dealt = materialize(arrow_map(classes, _assign(pivots, routes), "same string, rep bigint, mult bigint, raw binary, "
+                                  "dim int, cell int, visits array<int>"), "cells")
+    discard(classes)
+    tasks, parts = _tasks(dealt, shard_rows, shard_bytes)
+    own = dealt.join(tasks, ["dim", "cell"]).withColumn("sub", F.pmod(F.xxhash64("rep"), "subs").cast("int"))
+    graphs = materialize(own.groupBy("dim", "cell", "sub").applyInArrow(_build, SHARD), "graphs")
+    # A vector meets all shards of a cell that it visits, and the later ones of its own cell.
+    columns = ["dim", "rep", "mult", "raw", "cell", "sub", "blocks"]
+    away = (dealt.select("dim", "rep", "mult", "raw", F.explode("visits").alias("cell")).join(tasks, ["dim", "cell"])
+            .withColumn("sub", F.explode(F.sequence(F.lit(0), F.col("subs") - 1))).select(*columns))
+    home = (own.where(F.col("sub") < F.col("subs") - 1)
+            .withColumn("sub", F.explode(F.sequence(F.col("sub") + 1, F.col("subs") - 1))).select(*columns))
+    visitors = (away.union(home).withColumn("block", F.pmod(F.xxhash64("rep", F.lit(5)), "blocks").cast("int"))
+                .groupBy("dim", "cell", "sub", "block").applyInArrow(_pack, VISITORS))
+    alone = graphs.select("*", *(F.lit(None).cast(t).alias(c) for c, t in
+                                 (("block", "int"), ("q_ids", "binary"), ("q_mult", "binary"), ("q_raw", "binary"))))
+    pairs = (graphs.join(visitors.hint("shuffle_hash"), ["dim", "cell", "sub"]).unionByName(alone).join(tasks, ["dim", "cell"])
              # One task for each pair, by its number: hashes would collide.
-             .withColumn("pair", (F.col("by") * (F.col("by") + 1) / 2 + F.col("shard")).cast("int"))
-             .repartitionById(shards * (shards + 1) // 2, "pair").drop("pair"))
+             .withColumn("pair", F.expr("first + sub * (1L + blocks) + coalesce(block + 1, 0)"))
+             .repartitionById(parts, F.pmod("pair", F.lit(parts)).cast("int"))
+             .drop("pair", "first", "subs", "blocks", "block"))
     found = materialize(arrow_map(pairs, _match(threshold, goal, audit, beam),
                                   "node bigint, n bigint, other bigint, beam int, recall double"), "found")
     counts = found.where(F.col("other").isNull()).groupBy("node").agg(F.sum("n").alias("n"))
     comps = components(found.where(F.col("other").isNotNull()).select(F.col("node").alias("a"), F.col("other").alias("b")))
     discard(graphs)
     zero = F.lit(0).cast("bigint")
-    of_class = (classes.select("same", "rep", "mult")
+    of_class = (dealt.select("same", "rep", "mult")
                 .join(counts, F.col("rep") == counts["node"], "left").drop("node")
                 .join(comps, F.col("rep") == comps["node"], "left")
                 .select("same", (F.coalesce("n", zero) + F.col("mult") - 1).alias("n_links"),

@@ -264,6 +264,59 @@ def test_wide_vectors_make_more_shards(spark, monkeypatch):
     assert sorted(map(tuple, hnsw_dedup.near_vectors(df, shard_bytes=1 << 13).collect())) == want
 
 
+def _routed(spark, monkeypatch, x, **options):
+    """The rows for vectors ``x`` and how many vectors of other shards query a shard, in sum."""
+    met, mapped = [], hnsw_dedup.arrow_map
+
+    def watched(df, fn, schema):
+        if "q_ids" in df.columns:
+            met.append(df.selectExpr("sum(octet_length(q_ids)) / 8 AS n").first()["n"] or 0)
+        return mapped(df, fn, schema)
+
+    monkeypatch.setattr(hnsw_dedup, "arrow_map", watched)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id bigint, embedding array<double>")
+    rows = sorted(map(tuple, hnsw_dedup.near_vectors(df, **options).collect()))
+    monkeypatch.undo()
+    return rows, met[0]
+
+
+def _plain(x):
+    """``links of each vector, smallest id of its component`` by all cosines."""
+    near = x @ x.T >= 0.95
+    np.fill_diagonal(near, False)
+    links = list(zip(*(k.tolist() for k in np.nonzero(np.triu(near)))))
+    comp = brute.union_find(range(len(x)), links)
+    return near.sum(axis=1), [comp[i] for i in range(len(x))]
+
+
+def test_vectors_meet_few_shards(spark, monkeypatch):
+    """With 24 shards a vector queries those its links may lie in, not half of
+    them; links are found, also near the threshold and in a group over several cells."""
+    r = np.random.default_rng(12)
+    one = r.normal(size=(900, 48))
+    noise = r.uniform(0.05, 0.3, size=(900, 1))
+    hot = r.normal(size=48) + r.normal(size=(300, 48)) * 0.1
+    x = hnsw_dedup.unit(np.concatenate([one, one + r.normal(size=one.shape) * noise, hot, r.normal(size=(300, 48))]))
+    rows, met = _routed(spark, monkeypatch, x, shard_rows=100)
+    n, comp = _plain(x)
+    assert met < 7.5 * len(x)
+    assert all(got <= want for (_, got, _, _), want in zip(rows, n))
+    assert sum(k for _, k, _, _ in rows) >= 0.995 * n.sum()
+    assert np.mean([k / want for (_, k, _, _), want in zip(rows, n) if want]) >= 0.99
+    assert np.mean([c == want for (_, _, c, _), want in zip(rows, comp)]) >= 0.995
+
+
+def test_cells_over_the_bound_are_several_shards(spark, monkeypatch):
+    """A cell of many vectors is dealt into shards that all meet."""
+    r = np.random.default_rng(13)
+    x = hnsw_dedup.unit(r.normal(size=16) + r.normal(size=(400, 16)) * 0.05)
+    monkeypatch.setattr(hnsw_dedup, "PIVOT_BYTES", 1)       # no pivots: one cell
+    rows, met = _routed(spark, monkeypatch, x, shard_rows=60)
+    n, comp = _plain(x)
+    assert 2.5 * len(x) < met < 3.5 * len(x)                # of 7 shards each vector meets half the others
+    assert [k for _, k, _, _ in rows] == n.tolist() and [c for _, _, c, _ in rows] == comp
+
+
 def test_repeated_ids_do_not_grow_the_language_sample(spark, monkeypatch):
     """An id on thousands of rows sends one run to the driver."""
     rows = [(1, "the same words again and again here", "en")] * 3000 + [
